@@ -67,9 +67,9 @@ def truncate(c: ColumnOrName, max_length: int = 100, suffix: str = "...") -> Col
 
 
 def truncate_rstrip(c: ColumnOrName, max_length: int = 600) -> Column:
-    """P3 variant: cut to ``max`` then right-strip whitespace and add ``...``."""
+    """P3 variant: ``s[:max-3].rstrip() + '...'`` when longer than ``max``."""
     c = col(c)
-    cut = F.regexp_replace(F.substring(c, 1, max_length), r"(?U)\s+$", "")
+    cut = F.regexp_replace(F.substring(c, 1, max_length - 3), r"(?U)\s+$", "")
     return F.when(F.length(c) <= max_length, c).otherwise(F.concat(cut, F.lit("...")))
 
 
@@ -140,7 +140,14 @@ def path_excluded(path: ColumnOrName, by_segment: bool = False) -> Column:
     return contains_any(p, EXCLUDED_PATH_PARTS)
 
 
-def safe_name(*cols: ColumnOrName) -> Column:
-    """K3: ``owner_repo`` joined by '_' keeping only letters, digits and ``._-``."""
-    return F.regexp_replace(F.concat_ws("_", *[col(c) for c in cols]), r"(?U)[^\w.\-]|_(?=_)|", "") \
-        if False else F.regexp_replace(F.concat_ws("_", *[col(c) for c in cols]), r"(?U)[^\p{Alnum}._\-]", "")
+def safe_file_name(repo_url: ColumnOrName) -> Column:
+    """K3: ``{owner}_{repo}.json`` from a URL, keeping only letters, digits and ``._-``.
+
+    owner = second-to-last path segment ('unknown' without '/'), repo = last
+    segment with '.git' removed.
+    """
+    u = col(repo_url)
+    segs = F.split(u, "/", -1)
+    repo = F.replace(F.element_at(segs, -1), F.lit(".git"), F.lit(""))
+    owner = F.when(u.contains("/"), F.element_at(segs, -2)).otherwise(F.lit("unknown"))
+    return F.regexp_replace(F.concat(owner, F.lit("_"), repo, F.lit(".json")), r"[^\p{L}\p{N}._\-]", "")

@@ -11,6 +11,8 @@ def with_views(views, ctes=(), recursive: bool = False) -> str:
     parts = [head[len("WITH "):].rstrip()] if head else []
     parts += [f"{n} AS ({s})" for n, s in ctes]
     kw = "WITH RECURSIVE " if recursive else "WITH "
+    if not any(parts):
+        return ""
     return kw + ",\n".join(p for p in parts if p) + "\n"
 
 
