@@ -26,7 +26,7 @@ def register(key: str, sql: str | None = None):
     return wrap
 
 
-PLAN_MODULES = ["text_plans", "links_plans", "repo_plans", "code_plans", "sft_plans", "quality_plans"]
+PLAN_MODULES = ["text_plans", "links_plans", "repo_plans", "code_plans", "sft_plans", "quality_plans", "vector_plans"]
 
 
 def load_all() -> None:
