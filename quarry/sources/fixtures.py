@@ -109,6 +109,14 @@ SELECT conv_id AS doc_id,
        CASE WHEN conv_id % 5 = 0 THEN 'usage' ELSE 'api' END AS block_name,
        CASE WHEN conv_id % 2 = 0 THEN text ELSE 'new text' END AS new_content
 FROM conversations WHERE turn = 0""",
+    # Not in FIXTURES.md: API reference pages for the incremental merge (T8, M3), one per conversation turn.
+    "v_api_docs": """
+SELECT conv_id AS doc_id, turn,
+  '## Guide ' || CAST(conv_id AS STRING) || chr(10) || chr(10)
+  || '### fn' || CAST(length(text) % 7 AS STRING) || '(a, b)' || chr(10) || split_part(text, '.', 1) || chr(10)
+  || '### api' || CAST(turn % 3 AS STRING) || '.call(x)' || chr(10) || 'Body of turn ' || CAST(turn AS STRING) || chr(10)
+  || '```python' || chr(10) || 'print(' || CAST(turn % 2 AS STRING) || ')' || chr(10) || '```' AS content
+FROM conversations""",
 }
 
 # Non-portable views: written once per engine (aggregate list functions differ).
