@@ -17,7 +17,7 @@ DEFAULT_METRICS = ("relevance_score", "hallucination_score")
 
 
 def _tokens(c: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\W+", -1), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[\s\p{P}]+", -1), lambda t: t != ""))
 
 
 def lexical_scores(query: Column, output: Column, context: Column) -> list[Column]:
