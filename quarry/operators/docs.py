@@ -35,11 +35,13 @@ def render_tree(files: DataFrame, *, max_depth: int = 3, max_lines: int = 200, r
     bad = F.exists(F.col("anc"), lambda p: p.startswith(".") | p.isin(REVIEW_TREE_SKIP))
     ent = ent.filter(~bad).select("repo", "anc", "name", "is_dir", "lvl").distinct()
     ent = ent.withColumn("parent", F.slice("anc", 1, F.col("lvl")))
-    w = Window.partitionBy("repo", "parent").orderBy(F.col("is_dir").desc(), F.lower("name").desc(), F.col("name").desc())
+    # last child in (directories first, then case-insensitive name) order
+    w = Window.partitionBy("repo", "parent").orderBy(F.col("is_dir").asc(), F.lower("name").desc(), F.col("name").desc())
     ent = ent.withColumn("is_last", F.row_number().over(w) == 1)
     # ancestors' last-child flags give the indentation (at most max_depth lookups per entry)
     anc = ent.select("repo", F.col("anc").alias("a_path"), F.col("is_last").alias("a_last"), F.col("lvl").alias("a_lvl"))
-    up = ent.select("repo", "anc", F.explode(F.sequence(F.lit(1), F.col("lvl"))).alias("k")).filter(F.col("k") > 0) \
+    levels = F.when(F.col("lvl") > 0, F.sequence(F.lit(1), F.col("lvl"))).otherwise(F.array().cast("array<int>"))
+    up = ent.select("repo", "anc", F.explode(levels).alias("k")) \
         .withColumn("a_path", F.slice("anc", 1, F.col("k")))
     flags = up.join(anc, ["repo", "a_path"]).groupBy("repo", "anc").agg(
         F.array_sort(F.collect_list(F.struct("a_lvl", "a_last"))).alias("_f"))
