@@ -336,16 +336,18 @@ def review_prefilter(files: DataFrame, comps: DataFrame, conns: DataFrame) -> Da
 
     f = rp.with_path_parts(files)
     code = F.col("suffix").isin(PREFILTER_CODE_EXT)
+    # an entry point among the key files = a file named like a key-file candidate that is an entry point
+    entry_names = sorted({c.lower() for c in rp.KEY_FILE_CANDIDATES} & set(ENTRY_POINTS))
     g = f.groupBy("repo_id").agg(
-        *rp.validity_aggs(), *rp.project_type_aggs(), *rp.key_file_aggs(),
+        *rp.validity_aggs(), *rp.project_type_aggs(),
+        F.coalesce(F.bool_or(F.col("lname").isin(entry_names)), F.lit(False)).alias("_entry"),
         F.count_if(code).alias("_code"),
         F.count_distinct(F.when(code, F.col("parent"))).alias("_code_dirs"))
     lay = layers(comps)
     nconn = conns.groupBy("repo_id").agg(F.count(F.lit(1)).alias("_conns"))
     g = g.join(lay, "repo_id", "left").join(nconn, "repo_id", "left")
     ptype = rp.project_type_expr()
-    kf_names = F.transform(rp.key_files_expr(), lambda e: F.lower(F.element_at(F.split(e["path"], "/", -1), -1)))
-    has_entry = F.exists(kf_names, lambda x: x.isin(ENTRY_POINTS))
+    has_entry = F.col("_entry")
     ncomp = F.coalesce(F.col("component_count"), F.lit(0))
     nlay = F.coalesce(F.col("layer_count"), F.lit(0))
     nconns = F.coalesce(F.col("_conns"), F.lit(0))

@@ -149,17 +149,30 @@ def key_files_expr() -> Column:
     return F.filter(F.array(*entries), lambda e: e["path"].isNotNull())
 
 
+def _key_file_table(files: DataFrame) -> DataFrame:
+    """A3 aggregation over the few files that can be key files (candidate names or a nested
+    ``__init__.py``): filtering first keeps the string-valued ``max_by`` off the full file list."""
+    f = with_path_parts(files)
+    cand = F.col("lname").isin([c.lower() for c in KEY_FILE_CANDIDATES]) | \
+        (F.col("path").contains("/") & (F.col("name") == "__init__.py"))
+    return f.filter(cand).groupBy("repo_id").agg(*key_file_aggs())
+
+
 def key_files(files: DataFrame) -> DataFrame:
     """A3 as rows ``(repo_id, key, path)``."""
-    g = with_path_parts(files).groupBy("repo_id").agg(*key_file_aggs())
-    return g.select("repo_id", F.inline(key_files_expr()))
+    return _key_file_table(files).select("repo_id", F.inline(key_files_expr()))
 
 
 def repo_summary(files: DataFrame, *, legacy_language: bool = False) -> DataFrame:
-    """A4: type, language, key files and file count — a single aggregation per repo."""
+    """A4: type, language, key files and file count per repository.
+
+    The flags and counts are one hash aggregation (boolean/long buffers only);
+    key files come from a second aggregation over candidate-named files and are
+    joined on the repository id.
+    """
     g = with_path_parts(files).groupBy("repo_id").agg(
-        *project_type_aggs(), *project_language_aggs(legacy_language), *key_file_aggs(),
-        F.count(F.lit(1)).alias("file_count"))
+        *project_type_aggs(), *project_language_aggs(legacy_language), F.count(F.lit(1)).alias("file_count"))
+    g = g.join(_key_file_table(files), "repo_id", "left")
     kf = key_files_expr()
     return g.select("repo_id", project_type_expr().alias("project_type"),
                     project_language_expr().alias("project_language"),

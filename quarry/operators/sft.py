@@ -106,21 +106,24 @@ def build_sft_samples(chunks: DataFrame, answers: DataFrame | None = None, *, si
     """G1 + J7: chunk rows -> batches -> prompts -> answers -> parsed instructions zipped
     to items by position -> ``(repo_url, chunk_no, instruction, input{file_tree, project_type}, content)``.
 
-    ``answers(repo_url, batch_no, answer)`` may be given directly (landed model
-    output); otherwise ``complete`` (default: offline fallback) is called.
+    ``answers`` holds landed model output keyed by ``batch_no`` (and optionally the
+    repository key); otherwise ``complete`` (default: offline fallback) is called on
+    the batch prompts. The batch size comes from a window on the partitioning the
+    batching already produced, and each item picks its instruction by position from
+    its batch's parsed answer: one join, no re-explode.
     """
     b = batches(chunks, size=size, within=key, order=["chunk_no"])
-    items = b.withColumn("item_text", prompt_item(F.col("chunk"), F.col("file_tree"), F.col("item_no")))
-    nitems = items.groupBy(key, "batch_no").agg(F.count(F.lit(1)).alias("n_items"))
+    b = b.withColumn("n_items", F.count(F.lit(1)).over(Window.partitionBy(key, "batch_no")))
     if answers is None:
+        items = b.withColumn("item_text", prompt_item(F.col("chunk"), F.col("file_tree"), F.col("item_no")))
         prompts = batch_prompts(items, key=(key, "batch_no"))
         answers = complete_prompts(prompts, complete or offline_model, key=(key, "batch_no"))
-    parsed = nitems.join(answers, [key, "batch_no"], "left").select(
-        key, "batch_no", F.posexplode(parse_instructions(F.col("answer"), F.col("n_items"))).alias("item_no", "instruction"))
-    joined = b.join(parsed, [key, "batch_no", "item_no"], "left")
+    on = [c for c in (key, "batch_no") if c in answers.columns]
+    joined = b.join(answers.select(*on, "answer"), on, "left")
+    instr = F.element_at(parse_instructions(F.col("answer"), F.col("n_items")), F.col("item_no") + 1)
     return joined.select(
         key, "chunk_no", "batch_no", "item_no",
-        F.coalesce("instruction", F.lit(FALLBACK_INSTRUCTION)).alias("instruction"),
+        F.coalesce(instr, F.lit(FALLBACK_INSTRUCTION)).alias("instruction"),
         F.struct(F.coalesce("file_tree", F.array().cast("array<string>")).alias("file_tree"),
                  F.coalesce(F.nullif("project_type", F.lit("")), F.lit("unknown")).alias("project_type")).alias("input"),
         F.coalesce("chunk", F.lit("")).alias("content"))

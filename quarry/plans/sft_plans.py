@@ -98,11 +98,9 @@ SFT_VIEWS = CHUNK_VIEWS + ["v_answers"]
 
 
 def _samples(spark, sf):
+    # landed model output keyed by batch number (the same answer table for every repository)
     ans = fixture(spark, sf, "v_answers").select("batch_no", "answer")
-    chunks = _chunks(spark, sf)
-    # landed model output: one answer per batch number (same answer table for every repository)
-    answers = sft.batches(chunks).select("repo_url", "batch_no").distinct().join(ans, "batch_no")
-    return sft.build_sft_samples(chunks, answers)
+    return sft.build_sft_samples(_chunks(spark, sf), ans)
 
 
 @register("sft_samples", with_views(SFT_VIEWS, SFT_CTES, recursive=True) + """

@@ -195,3 +195,24 @@ def backup_path(base: str) -> str:
 def dry_run(df: DataFrame) -> int:
     """K6: the number of rows a write would produce."""
     return df.count()
+
+
+def first_available(spark: SparkSession, candidates) -> DataFrame:
+    """The first source that exists, e.g. ``[("table", name), ("json", clean_path), ("json", raw_path)]``.
+
+    Existence is tested by creating the (lazy) DataFrame: a missing table or path
+    raises at analysis time and the next candidate is tried.
+    """
+    from pyspark.errors import AnalysisException
+
+    errors = []
+    for kind, where in candidates:
+        try:
+            if kind == "table":
+                return spark.table(where)
+            if kind == "parquet":
+                return spark.read.parquet(where)
+            return read_collection(spark, where)
+        except AnalysisException as e:  # not there: try the next source
+            errors.append(f"{kind}:{where}: {str(e).splitlines()[0]}")
+    raise FileNotFoundError("no readable source: " + "; ".join(errors))
