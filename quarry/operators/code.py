@@ -242,6 +242,51 @@ IMPORT_TARGET_RULES = [
 ]
 
 
+def _grams(c: Column, k: int) -> Column:
+    """Distinct substrings of length ``k`` (the whole string when shorter)."""
+    n = F.length(c)
+    return F.when(n <= k, F.array(c)).otherwise(
+        F.array_distinct(F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(c, i, k))))
+
+
+def _theta_targets(typed: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """First typed file (by ``file_no``) whose path contains the import, or whose dotted path
+    occurs in the import; exact, without pairing every import with every file of a repo.
+
+    * import in path: each import joins only the files that share its rarest trigram
+      (every true match contains it), then the substring test is applied;
+    * dotted path in import: the import's substrings (bounded by the import's length)
+      are equi-joined with dotted paths;
+    * files typed without parsing have no path and match every import: a per-repo minimum.
+    """
+    parsed = typed.filter(F.col("parsed")).select("repo_id", F.col("file_no").alias("_tfile"),
+                                                  F.col("type").alias("_ttype"), F.col("path").alias("_tpath"))
+    grams = parsed.select("*", F.explode(F.array_distinct(F.concat(
+        _grams(F.col("_tpath"), 1), _grams(F.col("_tpath"), 2), _grams(F.col("_tpath"), 3)))).alias("gram"))
+    freq = grams.groupBy("repo_id", "gram").agg(F.count(F.lit(1)).alias("_f"))
+    imp = unresolved.withColumn("_k", F.least(F.length("import"), F.lit(3)))
+    ig = imp.filter(F.col("_k") > 0).select("repo_id", "import", F.explode(
+        F.when(F.col("_k") < 3, F.array(F.col("import"))).otherwise(_grams(F.col("import"), 3))).alias("gram"))
+    best = ig.join(freq, ["repo_id", "gram"]).groupBy("repo_id", "import").agg(F.min_by("gram", "_f").alias("gram"))
+    in_path = best.join(grams, ["repo_id", "gram"]).filter(F.col("_tpath").contains(F.col("import"))) \
+        .select("repo_id", "import", "_tfile", "_ttype")
+    empty_import = imp.filter(F.col("_k") == 0).join(parsed, "repo_id").select("repo_id", "import", "_tfile", "_ttype")
+    n = F.length("import")
+    subs = unresolved.select("repo_id", "import", F.explode(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: F.transform(F.sequence(i, F.greatest(n, i)), lambda j: F.substring(F.col("import"), i, j - i + 1))))).alias("_sub"))
+    dotted = parsed.withColumn("_sub", F.translate("_tpath", "/\\", ".."))
+    in_import = subs.join(dotted, ["repo_id", "_sub"]).select("repo_id", "import", "_tfile", "_ttype")
+    hits = in_path.unionByName(empty_import).unionByName(in_import)
+    first = hits.groupBy("repo_id", "import").agg(F.min_by("_ttype", "_tfile").alias("_ht"), F.min("_tfile").alias("_hf"))
+    universal = typed.filter(~F.col("parsed")).groupBy("repo_id").agg(
+        F.min_by("type", "file_no").alias("_ut"), F.min("file_no").alias("_uf"))
+    out = unresolved.join(first, ["repo_id", "import"], "left").join(universal, "repo_id", "left")
+    pick = F.when(F.col("_hf").isNull(), F.col("_ut")).when(F.col("_uf").isNull(), F.col("_ht")) \
+        .when(F.col("_uf") < F.col("_hf"), F.col("_ut")).otherwise(F.col("_ht"))
+    return out.select("repo_id", "import", pick.alias("_theta"))
+
+
 def import_edges(typed: DataFrame, imports: DataFrame) -> DataFrame:
     """J6 + A7: connections ``(repo_id, file_no, imp_no, from, to, confidence)``.
 
@@ -249,20 +294,13 @@ def import_edges(typed: DataFrame, imports: DataFrame) -> DataFrame:
     imp_no, import)`` of typed files. Keyword rules first; otherwise the first
     typed file (by ``file_no``) of the same repo whose path contains the import,
     or whose dotted path occurs in it (a file typed without parsing has no path
-    and matches any import). Only distinct unresolved ``(repo, import)`` pairs
-    enter the theta join, whose equi key is ``repo_id``.
+    and matches any import). Duplicates and self edges are kept.
     """
     imp = imports.join(typed.select("repo_id", "file_no", F.col("type").alias("from")), ["repo_id", "file_no"])
     kw = first_match(F.lower(F.col("import")), IMPORT_TARGET_RULES)
     imp = imp.withColumn("_kw", kw)
     unresolved = imp.filter(F.col("_kw").isNull()).select("repo_id", "import").distinct()
-    cand = typed.select("repo_id", F.col("file_no").alias("_tfile"), F.col("type").alias("_ttype"),
-                        F.when(F.col("parsed"), F.col("path")).otherwise(F.lit("")).alias("_tpath"))
-    j = unresolved.join(cand, "repo_id").filter(
-        F.col("_tpath").contains(F.col("import"))
-        | F.col("import").contains(F.translate(F.col("_tpath"), "/\\", "..")))
-    first = j.groupBy("repo_id", "import").agg(F.min_by("_ttype", "_tfile").alias("_theta"))
-    out = imp.join(first, ["repo_id", "import"], "left")
+    out = imp.join(_theta_targets(typed, unresolved), ["repo_id", "import"], "left")
     return out.select("repo_id", "file_no", "imp_no", "from", F.coalesce("_kw", "_theta").alias("to"),
                       F.lit(0.9).alias("confidence")).filter(F.col("to").isNotNull())
 

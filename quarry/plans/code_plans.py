@@ -231,6 +231,17 @@ def q_file_facts(spark, sf):
     return typed.join(n, ["repo_id", "file_no"], "left").fillna(0, ["connections"])
 
 
-@register("connections")
-def q_connections(spark, sf):
+@register("connections_ast")
+def q_connections_ast(spark, sf):
     return cd.architecture(_files(spark, sf), mode="ast")[2]
+
+
+@register("connections", with_views(["v_repo_files"], EDGE_CTES) + """
+SELECT k.repo_id, k."from", coalesce(k._kw, th._theta) AS "to", count(*) AS edges, 0.9::DOUBLE AS confidence
+FROM kw k LEFT JOIN theta th ON th.repo_id = k.repo_id AND th.import = k.import
+WHERE coalesce(k._kw, th._theta) IS NOT NULL GROUP BY 1, 2, 3""")
+def q_connections(spark, sf):
+    """Connections between file types per repository (duplicates counted)."""
+    typed, imps = _edge_inputs(spark, sf)
+    e = cd.import_edges(typed, imps)
+    return e.groupBy("repo_id", "from", "to").agg(F.count(F.lit(1)).alias("edges"), F.first("confidence").alias("confidence"))
