@@ -11,6 +11,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -27,9 +28,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     scratch checkpoint folder.
     """
     builder = SparkSession.builder.appName(app_name)
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+    elif not submitted and not os.environ.get("SPARK_MASTER"):
         builder = builder.master("local[*]")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)

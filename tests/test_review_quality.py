@@ -53,3 +53,37 @@ def test_alpaca_text_templates(spark):
         .withColumn("input", F.struct(F.array(F.lit("a.py")).alias("file_tree"), F.col("pt").alias("project_type")))
     t = sft.alpaca_text(df, eos="<E>").first()["text"]
     assert "### Input:\nFile structure:\na.py\n\nProject type: api\n\n### Response:\nfrom content<E>" in t
+
+
+def test_resolve_readme_api_fallback(spark):
+    import base64
+
+    from quarry.operators import collect as co
+    repos = spark.createDataFrame([("u1", "o", "a"), ("u2", "o", "b"), ("u3", "o", "c")], "repo_url string, owner string, repo string")
+    fetches = spark.createDataFrame([
+        ("https://raw.githubusercontent.com/o/a/master/README.md", 200, "A2"),
+        ("https://raw.githubusercontent.com/o/a/main/readme.md", 200, "A3"),
+        ("https://raw.githubusercontent.com/o/a/main/README.md", 404, ""),
+        ("https://raw.githubusercontent.com/o/b/main/README.md", 500, "")], "url string, status int, body string")
+    api = spark.createDataFrame([("u2", 200, base64.b64encode("B from api".encode()).decode()), ("u3", 404, None)],
+                                "repo_url string, status int, content string")
+    got = {r["repo_url"]: (r["readme"], r["rank"]) for r in co.resolve_readme(repos, fetches, api=api).collect()}
+    assert got == {"u1": ("A2", 2), "u2": ("B from api", 5)}
+
+
+def test_md_links_source_restriction(spark):
+    from quarry.operators import links as lk
+    lines = spark.createDataFrame([("a", 0, 1, "[x](https://github.com/o/r)"), ("b", 1, 1, "[y](https://github.com/o/s)")],
+                                  "source string, source_rank int, line_no long, line string")
+    assert [r["repo"] for r in lk.md_links(lines, sources=["b"]).collect()] == ["s"]
+
+
+def test_append_and_first_available(spark, tmp_path):
+    from quarry.sources import io
+    path = str(tmp_path / "store")
+    a = spark.createDataFrame([("u1", 1), ("u2", 2)], "repo_url string, v int")
+    io.append_to(a, path)
+    io.append_to(spark.createDataFrame([("u2", 9), ("u3", 3)], "repo_url string, v int"), path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("u1", 1), ("u2", 2), ("u3", 3)]
+    df = io.first_available(spark, [("parquet", str(tmp_path / "missing")), ("parquet", path)])
+    assert df.count() == 3
