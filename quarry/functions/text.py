@@ -16,9 +16,19 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the characters Python's ``str.isspace()`` accepts (what ``str.strip()`` removes).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                 "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def ustrip(c: ColumnOrName) -> Column:
-    """``str.strip()``: trim Unicode whitespace at both ends (``trim`` only drops spaces)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """``str.strip()``: drop Python whitespace at both ends (a character-set trim, no regex)."""
+    return F.trim(col(c), F.lit(PY_WHITESPACE))
+
+
+def urstrip(c: ColumnOrName) -> Column:
+    """``str.rstrip()``."""
+    return F.rtrim(col(c), F.lit(PY_WHITESPACE))
 
 
 def truthy(c: ColumnOrName) -> Column:
@@ -69,7 +79,7 @@ def truncate(c: ColumnOrName, max_length: int = 100, suffix: str = "...") -> Col
 def truncate_rstrip(c: ColumnOrName, max_length: int = 600) -> Column:
     """P3 variant: ``s[:max-3].rstrip() + '...'`` when longer than ``max``."""
     c = col(c)
-    cut = F.regexp_replace(F.substring(c, 1, max_length - 3), r"(?U)\s+$", "")
+    cut = urstrip(F.substring(c, 1, max_length - 3))
     return F.when(F.length(c) <= max_length, c).otherwise(F.concat(cut, F.lit("...")))
 
 

@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STRIP = r"(?U)^\s+|\s+$"
-
+from quarry.functions.text import urstrip, ustrip
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, STRIP, "")
+    return ustrip(c)
 
 
 def block_pattern(marker: str = "DOC", modes=("AUTO", "MANUAL")) -> str:
@@ -134,7 +133,7 @@ def merge_document(existing: Column, new_blocks: Column, *, policy: str = "two_m
     appended = F.array_join(F.transform(F.filter(nb, lambda x: ~F.array_contains(names, x["name"])),
                                         lambda x: F.concat(F.lit("\n"), _tag(marker, "AUTO", x["name"], F.lit(1), x["content"]))), "")
     rebuilt = F.concat(body, F.try_element_at(segs, F.lit(-1)), appended)
-    fresh = F.concat(F.regexp_replace(existing, r"(?U)\s+$", ""), F.lit("\n\n"),
+    fresh = F.concat(urstrip(existing), F.lit("\n\n"),
                      F.array_join(F.transform(nb, lambda x: F.concat(_tag(marker, "AUTO", x["name"], F.lit(1), x["content"]),
                                                                     F.lit("\n\n"))), ""))
     return F.when(n == 0, fresh).otherwise(rebuilt)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import ustrip
+
 from quarry.operators.core import quota_per_group
 
 # Names skipped when listing a repository directory for review.
@@ -102,11 +104,11 @@ def graph_bullets(components: DataFrame, connections: DataFrame, *, repo: str =
 
 def fence_extract(text: Column) -> Column:
     """The body of the first ``mermaid`` fence, else of the first fence, else the text; stripped."""
-    t = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    t = ustrip(text)
     merm = F.substring_index(F.element_at(F.split(t, "```mermaid", -1), 2), "```", 1)
     anyf = F.substring_index(F.element_at(F.split(t, "```", -1), 2), "```", 1)
     body = F.when(t.contains("```mermaid"), merm).when(t.contains("```"), anyf).otherwise(t)
-    return F.regexp_replace(body, r"(?U)^\s+|\s+$", "")
+    return ustrip(body)
 
 
 # README-style phrases that an architecture explanation must not contain.

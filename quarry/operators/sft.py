@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import ustrip
+
 from quarry.functions.text import truncate_rstrip
 
 # Prompt text and fallback instruction.
@@ -156,13 +158,13 @@ def alpaca_text(df: DataFrame, *, eos: str = "</s>", input_col: str = "input", i
     cols = set(df.columns)
     out = F.col("output") if "output" in cols else F.lit(None).cast("string")
     content = F.col("content") if "content" in cols else F.lit(None).cast("string")
-    response = F.when(out.isNotNull() & (F.regexp_replace(out, r"(?U)^\s+|\s+$", "") != ""), out).otherwise(content)
+    response = F.when(out.isNotNull() & (ustrip(out) != ""), out).otherwise(content)
     txt = F.lit("")
     if input_col in cols:
         txt = input_text(F.col(input_col), has_file_tree=has_file_tree, has_project_type=has_project_type)
     if input_text_col and input_text_col in cols:
         s = F.col(input_text_col)
-        s_txt = F.when(s.isNull() | (F.regexp_replace(s, r"(?U)^\s+|\s+$", "") == ""), F.lit("")).otherwise(s)
+        s_txt = F.when(s.isNull() | (ustrip(s) == ""), F.lit("")).otherwise(s)
         txt = F.when(F.col(input_col).isNull(), s_txt).otherwise(txt) if input_col in cols else s_txt
     resp = F.coalesce(response.cast("string"), F.lit("None"))
     with_input = F.concat(F.lit(ALPACA_WITH_INPUT.split("{instruction}")[0]), F.col("instruction"),

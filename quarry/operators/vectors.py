@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import ustrip
+
 from quarry.operators.core import keep_first
 
 DEFAULT_BROADCAST_BYTES = 256 << 20
@@ -147,7 +149,7 @@ def rerank(hits: DataFrame, points: DataFrame, answers: DataFrame | None = None,
 def expand_parse(query: Column, response: Column, n: int = 3) -> Column:
     """Response lines, stripped, non-empty; original query prepended when absent; cut to ``n``.
     A null response (failed call) gives ``[query]``."""
-    lines = F.filter(F.transform(F.split(response, "\n", -1), lambda l: F.regexp_replace(l, r"(?U)^\s+|\s+$", "")),
+    lines = F.filter(F.transform(F.split(response, "\n", -1), lambda l: ustrip(l)),
                      lambda l: l != "")
     with_q = F.when(F.array_contains(lines, query), lines).otherwise(F.concat(F.array(query), lines))
     return F.when(response.isNull(), F.array(query)).otherwise(F.slice(with_q, 1, n))
