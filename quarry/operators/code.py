@@ -202,27 +202,36 @@ API_DECORATOR_WORDS = ["route", "get", "post", "put", "delete", "patch", "bluepr
 MODEL_BASE_WORDS = ["Base", "db.Model", "DeclarativeBase"]
 DB_CALL_WORDS = ["create_engine", "connect", "session", "engine"]
 CACHE_WORDS = ["redis", "cache", "get", "set"]
+REFERENCE_RULES = {"api_decorator": API_DECORATOR_WORDS, "model_base": MODEL_BASE_WORDS,
+                   "db_call": DB_CALL_WORDS, "cache": CACHE_WORDS}
+# Stricter preset (not the reference's): plain ``get``/``set`` and bare ``session`` no longer type a file.
+STRICT_RULES = {"api_decorator": ["route", "blueprint", "router", "endpoint", "app.get", "app.post", "app.put",
+                                  "app.delete", "app.patch", "router.get", "router.post"],
+                "model_base": MODEL_BASE_WORDS, "db_call": ["create_engine", "sessionmaker", "engine.connect"],
+                "cache": ["redis", "cache"]}
 
 
-def file_types(files: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+def file_types(files: DataFrame, facts: DataFrame | None = None, *, rules: dict | None = None) -> DataFrame:
     """C2 + C4: ``(repo_id, file_no, path, type, parsed)`` for every typed ``.py`` file.
 
     The walk is replayed as an ordered reduction: the last overriding fact
     (API decorator, model base, class-level assign when the file mentions
     Column/relationship) wins; else the first database call; else the first
     cache-like call/attribute; else the regex typing (C3). Files whose parse
-    failed use the regex typing and carry no imports.
+    failed use the regex typing and carry no imports. ``rules`` replaces the
+    keyword lists (default: the reference's; ``STRICT_RULES`` over-matches less).
     """
+    r = rules or REFERENCE_RULES
     facts = facts if facts is not None else code_facts(files)
     py = files.filter(F.col("path").endswith(".py") & (F.length(F.element_at(F.split("path", "/", -1), -1)) > 3))
     mentions = py.select("repo_id", "file_no", (F.col("content").contains("Column") | F.col("content").contains("relationship")).alias("_orm"))
     v, low, k = F.col("value"), F.lower(F.col("value")), F.col("kind")
     f = facts.filter(F.col("seq") > 0).join(mentions, ["repo_id", "file_no"], "left")
-    over_type = (F.when((k == "decorator") & contains_any(low, API_DECORATOR_WORDS), "api_server")
-                 .when((k == "base") & contains_any(v, MODEL_BASE_WORDS), "model")
+    over_type = (F.when((k == "decorator") & contains_any(low, r["api_decorator"]), "api_server")
+                 .when((k == "base") & contains_any(v, r["model_base"]), "model")
                  .when((k == "class_assign") & F.coalesce(F.col("_orm"), F.lit(False)), "model"))
-    soft_type = (F.when((k == "call") & contains_any(low, DB_CALL_WORDS), "database")
-                 .when((k == "call_or_attr") & contains_any(low, CACHE_WORDS), "cache"))
+    soft_type = (F.when((k == "call") & contains_any(low, r["db_call"]), "database")
+                 .when((k == "call_or_attr") & contains_any(low, r["cache"]), "cache"))
     # ``call`` precedes ``call_or_attr`` of the same node: order by (seq) is already walk order.
     ast_types = f.groupBy("repo_id", "file_no").agg(
         F.max_by(over_type, F.when(over_type.isNotNull(), F.col("seq"))).alias("_over"),
@@ -347,7 +356,7 @@ def layers(comps: DataFrame) -> DataFrame:
                         + F.col("data_layer").cast("int"))
 
 
-def architecture(files: DataFrame, *, mode: str = "ast"):
+def architecture(files: DataFrame, *, mode: str = "ast", rules: dict | None = None):
     """(typed files, components, connections) of every repository.
 
     ``mode='regex'`` types files by content patterns only (C3) and has no
@@ -359,7 +368,7 @@ def architecture(files: DataFrame, *, mode: str = "ast"):
                                       F.col("type").alias("to"), F.lit(0.9).alias("confidence"))
         return typed, components(typed), empty
     facts = code_facts(files).persist()
-    typed = file_types(files, facts)
+    typed = file_types(files, facts, rules=rules)
     imps = facts.filter(F.col("kind") == "import").select("repo_id", "file_no", F.col("seq").alias("imp_no"),
                                                           F.col("value").alias("import"))
     return typed, components(typed), import_edges(typed, imps)

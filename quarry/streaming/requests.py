@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 REQUEST_SCHEMA = "request_id long, repo_id long, kind string, ts timestamp"
 
 
-def read_requests(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming source: one JSON message per line (``value``), parsed with a fixed schema."""
-    r = spark.readStream.format("text")
+def read_requests(spark: SparkSession, path: str | None = None, *, fmt: str = "text",
+                  max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+    """Streaming source of JSON messages in a ``value`` column: a folder of JSON lines
+    (``fmt='text'``) or a durable queue such as ``fmt='kafka'`` (``options`` carries the
+    broker and topic settings), parsed with a fixed schema."""
+    r = spark.readStream.format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.load(path)
+    for k, v in (options or {}).items():
+        r = r.option(k, v)
+    raw = r.load(path) if path else r.load()
+    if fmt == "kafka":
+        raw = raw.select(F.col("value").cast("string").alias("value"))
     msg = F.from_json(F.col("value"), REQUEST_SCHEMA)
     return raw.select(msg.alias("m")).select("m.*").filter(F.col("request_id").isNotNull())
 
