@@ -126,7 +126,7 @@ def owner_repo(url: ColumnOrName, legacy_git_strip: bool = False) -> Column:
     s = F.substring_index(s, "#", 1)
     s = F.regexp_replace(s, r"\.git", "") if legacy_git_strip else F.regexp_replace(s, r"\.git$", "")
     path = F.when(s.startswith("git@github.com:"), F.substring(s, len("git@github.com:") + 1, 1 << 30)) \
-        .otherwise(F.when(s.contains("github.com/"), F.element_at(F.split(s, "github.com/", 2), 2)))
+        .otherwise(F.when(s.contains("github.com/"), F.try_element_at(F.split(s, "github\\.com/", -1), F.lit(2))))
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
     ok = valid_github_url(u) & (F.size(parts) >= 2)
     return F.struct(

@@ -38,7 +38,7 @@ def parse_blocks(text: Column, marker: str = "DOC", modes=("AUTO", "MANUAL")) ->
         F.regexp_extract_all(text, p, 3).alias("version"), F.regexp_extract_all(text, p, 4).alias("content"),
         F.regexp_extract_all(text, p, 0).alias("full_match"))
     return F.transform(z, lambda b: F.struct(
-        b["mode"].alias("mode"), b["name"].alias("name"), b["version"].cast("int").alias("version"),
+        b["mode"].alias("mode"), b["name"].alias("name"), b["version"].try_cast("long").alias("version"),
         _strip(b["content"]).alias("content"), b["full_match"].alias("full_match")))
 
 

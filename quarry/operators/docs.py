@@ -105,8 +105,8 @@ def graph_bullets(components: DataFrame, connections: DataFrame, *, repo: str =
 def fence_extract(text: Column) -> Column:
     """The body of the first ``mermaid`` fence, else of the first fence, else the text; stripped."""
     t = ustrip(text)
-    merm = F.substring_index(F.element_at(F.split(t, "```mermaid", -1), 2), "```", 1)
-    anyf = F.substring_index(F.element_at(F.split(t, "```", -1), 2), "```", 1)
+    merm = F.substring_index(F.try_element_at(F.split(t, "```mermaid", -1), F.lit(2)), "```", 1)
+    anyf = F.substring_index(F.try_element_at(F.split(t, "```", -1), F.lit(2)), "```", 1)
     body = F.when(t.contains("```mermaid"), merm).when(t.contains("```"), anyf).otherwise(t)
     return ustrip(body)
 

@@ -96,7 +96,11 @@ def complete_prompts(prompts: DataFrame, complete: Callable[[list[str]], list[st
     def run(batches_iter):
         for pdf in batches_iter:
             out = pdf[key].copy()
-            out["answer"] = complete(list(pdf["prompt"])) if len(pdf) else []
+            try:
+                answers = complete(list(pdf["prompt"])) if len(pdf) else []
+            except Exception:  # noqa: BLE001 - a failed call falls back to the default instruction
+                answers = [None] * len(pdf)
+            out["answer"] = answers
             yield out
 
     return prompts.select(*key, "prompt").mapInPandas(run, f"{schema}, answer string")
@@ -122,7 +126,7 @@ def build_sft_samples(chunks: DataFrame, answers: DataFrame | None = None, *, si
         answers = complete_prompts(prompts, complete or offline_model, key=(key, "batch_no"))
     on = [c for c in (key, "batch_no") if c in answers.columns]
     joined = b.join(answers.select(*on, "answer"), on, "left")
-    instr = F.element_at(parse_instructions(F.col("answer"), F.col("n_items")), F.col("item_no") + 1)
+    instr = F.try_element_at(parse_instructions(F.col("answer"), F.col("n_items")), F.col("item_no") + 1)
     return joined.select(
         key, "chunk_no", "batch_no", "item_no",
         F.coalesce(instr, F.lit(FALLBACK_INSTRUCTION)).alias("instruction"),

@@ -122,8 +122,8 @@ def multi_query_topk(points: DataFrame, queries: DataFrame, *, k: int = 10, wher
 
 def parse_indices(answer: Column, n_passages: Column) -> Column:
     """Every integer in the answer minus one, kept when inside ``[0, n)`` (repeats allowed)."""
-    nums = F.transform(F.regexp_extract_all(answer, F.lit(r"\d+"), 0), lambda x: x.cast("long") - 1)
-    return F.filter(nums, lambda i: (i >= 0) & (i < n_passages))
+    nums = F.transform(F.regexp_extract_all(answer, F.lit(r"\d+"), 0), lambda x: x.try_cast("long") - 1)
+    return F.filter(nums, lambda i: i.isNotNull() & (i >= 0) & (i < n_passages))
 
 
 def rerank(hits: DataFrame, points: DataFrame, answers: DataFrame | None = None, *, keep_top_k: int = 5,
