@@ -25,14 +25,18 @@ from quarry.operators.core import keep_first
 DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
-def _topk_partition_fn(qids: np.ndarray, qmat: np.ndarray, k: int):
+SCORE_BUDGET = 1 << 25          # doubles per score block (256 MB): bounds memory for any query count
+
+
+def _topk_partition_fn(qids: np.ndarray, qmat: np.ndarray, k: int, score_budget: int = SCORE_BUDGET):
     qn = np.linalg.norm(qmat, axis=1)
-    ok_q = qn > 0
-    qunit = np.where(ok_q[:, None], qmat / np.where(qn == 0, 1, qn)[:, None], 0.0)
+    live = np.nonzero(qn > 0)[0]                       # zero queries never match
+    qunit = qmat[live] / qn[live][:, None]
+    qids = qids[live]
 
     def run(batches):
         for pdf in batches:
-            if len(pdf) == 0:
+            if len(pdf) == 0 or len(qids) == 0:
                 continue
             ids = pdf["id"].to_numpy()
             pm = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["embedding"]])
@@ -40,24 +44,19 @@ def _topk_partition_fn(qids: np.ndarray, qmat: np.ndarray, k: int):
             keep = pn > 0
             if not keep.any():
                 continue
-            ids, pm, pn = ids[keep], pm[keep], pn[keep]
-            scores = (pm / pn[:, None]) @ qunit.T            # (points, queries)
-            kk = min(k, len(ids))
-            out_q, out_p, out_s = [], [], []
-            for j in np.nonzero(ok_q)[0]:
-                col = scores[:, j]
-                if kk < len(col):
-                    # candidates: everything scoring at least the k-th best (keeps ties for the id tiebreak)
-                    thr = np.partition(col, len(col) - kk)[len(col) - kk]
-                    sel = np.nonzero(col >= thr)[0]
+            ids, punit = ids[keep], pm[keep] / pn[keep][:, None]
+            n = len(ids)
+            kk = min(k, n)
+            step = max(1, score_budget // n)
+            for q0 in range(0, len(qids), step):
+                scores = punit @ qunit[q0:q0 + step].T     # (points, query chunk)
+                if kk < n:
+                    # k-th best per query; every point scoring at least that is kept (ties resolved by id later)
+                    thr = np.partition(scores, n - kk, axis=0)[n - kk]
+                    pi, qi = np.nonzero(scores >= thr[None, :])
                 else:
-                    sel = np.arange(len(col))
-                out_q.append(np.full(len(sel), qids[j]))
-                out_p.append(ids[sel])
-                out_s.append(col[sel])
-            if out_q:
-                yield pd.DataFrame({"query_id": np.concatenate(out_q), "id": np.concatenate(out_p),
-                                    "score": np.concatenate(out_s)})
+                    pi, qi = np.nonzero(np.ones_like(scores, dtype=bool))
+                yield pd.DataFrame({"query_id": qids[q0:q0 + step][qi], "id": ids[pi], "score": scores[pi, qi]})
     return run
 
 
@@ -88,7 +87,7 @@ def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Col
             continue
         qids = np.array([r["query_id"] for r in rows])
         qmat = np.array([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
-        fn = _topk_partition_fn(qids, qmat, k)
+        fn = _topk_partition_fn(qids, qmat, k, score_budget)
         qtype = q.schema["query_id"].dataType.simpleString()
         parts.append(pts.mapInPandas(fn, f"query_id {qtype}, id long, score double"))
     if not parts:

@@ -60,3 +60,12 @@ def test_upsert_latest_wins(spark):
     b1 = spark.createDataFrame([(2, "b1"), (3, "c1")], "id long, content string")
     b2 = spark.createDataFrame([(3, "c2")], "id long, content string")
     assert sorted(map(tuple, vx.upsert(cur, b1, b2).collect())) == [(1, "a"), (2, "b1"), (3, "c2")]
+
+
+def test_topk_small_score_blocks(spark):
+    pts, qs, p, q = _data(spark)
+    got = vx.vector_topk(p, q, k=4, score_budget=200).orderBy("query_id", "rank").collect()
+    res = {}
+    for r in got:
+        res.setdefault(r["query_id"], []).append(r["id"])
+    assert res == brute(pts, qs, 4)
