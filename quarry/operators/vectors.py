@@ -62,7 +62,7 @@ def _topk_partition_fn(qids: np.ndarray, qmat: np.ndarray, k: int, score_budget:
 
 def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Column | None = None,
                 query_id: str = "query_id", vector: str = "embedding",
-                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, score_budget: int = SCORE_BUDGET) -> DataFrame:
     """V1: for every query the ``k`` points with the highest cosine similarity
     (ties by smaller id); ``where`` is a payload filter applied at the scan.
 
