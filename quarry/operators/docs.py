@@ -37,9 +37,11 @@ def render_tree(files: DataFrame, *, max_depth: int = 3, max_lines: int = 200, r
     bad = F.exists(F.col("anc"), lambda p: p.startswith(".") | p.isin(REVIEW_TREE_SKIP))
     ent = ent.filter(~bad).select("repo", "anc", "name", "is_dir", "lvl").distinct()
     ent = ent.withColumn("parent", F.slice("anc", 1, F.col("lvl")))
-    # last child in (directories first, then case-insensitive name) order
-    w = Window.partitionBy("repo", "parent").orderBy(F.col("is_dir").asc(), F.lower("name").desc(), F.col("name").desc())
-    ent = ent.withColumn("is_last", F.row_number().over(w) == 1)
+    # last child in (directories first, then case-insensitive name) order: a partial aggregation per
+    # directory (skew-safe even for one huge directory), joined back
+    key = F.struct((~F.col("is_dir")).alias("f"), F.lower("name").alias("l"), F.col("name").alias("n"))
+    last = ent.groupBy("repo", "parent").agg(F.max(key).alias("_last"))
+    ent = ent.join(last, ["repo", "parent"]).withColumn("is_last", key == F.col("_last")).drop("_last")
     # ancestors' last-child flags give the indentation (at most max_depth lookups per entry)
     anc = ent.select("repo", F.col("anc").alias("a_path"), F.col("is_last").alias("a_last"), F.col("lvl").alias("a_lvl"))
     levels = F.when(F.col("lvl") > 0, F.sequence(F.lit(1), F.col("lvl"))).otherwise(F.array().cast("array<int>"))

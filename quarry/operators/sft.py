@@ -38,12 +38,19 @@ ALPACA_WITH_INPUT = ("Below is an instruction that describes a task, paired with
                      "{input_text}\n\n### Response:\n{response}")
 
 
-def batches(df: DataFrame, *, size: int = 3, within="repo_url", order=("chunk_no",)) -> DataFrame:
+def batches(df: DataFrame, *, size: int = 3, within="repo_url", order=("chunk_no",),
+            dense_ordinal: str | None = None) -> DataFrame:
     """``batch_no`` = position div ``size`` and ``item_no`` within it.
 
     Positions are numbered inside ``within`` (default: per repository) so no
     single-partition global ordinal is needed; ``within=None`` numbers globally.
+    When the rows already carry a dense 0-based ordinal within the group
+    (``dense_ordinal``, e.g. ``chunk_no`` from the chunker) it is used directly:
+    no shuffle, no window, whatever the group size.
     """
+    if dense_ordinal:
+        return df.withColumn("batch_no", (F.col(dense_ordinal) / size).cast("long")) \
+            .withColumn("item_no", (F.col(dense_ordinal) % size).cast("int"))
     w = Window.partitionBy(*([within] if isinstance(within, str) else list(within or []))).orderBy(*order)
     pos = F.row_number().over(w) - 1
     return df.withColumn("_pos", pos).withColumn("batch_no", (F.col("_pos") / size).cast("long")) \
@@ -118,8 +125,13 @@ def build_sft_samples(chunks: DataFrame, answers: DataFrame | None = None, *, si
     batching already produced, and each item picks its instruction by position from
     its batch's parsed answer: one join, no re-explode.
     """
-    b = batches(chunks, size=size, within=key, order=["chunk_no"])
-    b = b.withColumn("n_items", F.count(F.lit(1)).over(Window.partitionBy(key, "batch_no")))
+    if "n_chunks" in chunks.columns:
+        # chunk_no is a dense 0-based ordinal per document: batching is arithmetic, no shuffle or window
+        b = batches(chunks, size=size, dense_ordinal="chunk_no") \
+            .withColumn("n_items", F.least(F.lit(size), F.col("n_chunks") - F.col("batch_no") * size).cast("long"))
+    else:
+        b = batches(chunks, size=size, within=key, order=["chunk_no"])
+        b = b.withColumn("n_items", F.count(F.lit(1)).over(Window.partitionBy(key, "batch_no")))
     if answers is None:
         items = b.withColumn("item_text", prompt_item(F.col("chunk"), F.col("file_tree"), F.col("item_no")))
         prompts = batch_prompts(items, key=(key, "batch_no"))

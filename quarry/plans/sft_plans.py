@@ -42,18 +42,18 @@ def _chunks(spark, sf):
     s = s.join(t, s.files_repo_id == t.repo_id, "left").select(
         "repo_url", "readme", F.coalesce("file_tree", F.array().cast("array<string>")).alias("file_tree"),
         F.col("language").alias("project_type"))
-    return ch.chunk_features(s).select("repo_url", "chunk_no", "chunk", "file_tree", "project_type")
+    return ch.chunk_features(s).select("repo_url", "chunk_no", "n_chunks", "chunk", "file_tree", "project_type")
 
 
 def _items(spark, sf):
-    b = sft.batches(_chunks(spark, sf), size=3, within="repo_url", order=["chunk_no"])
+    b = sft.batches(_chunks(spark, sf), size=3, within="repo_url", order=["chunk_no"], dense_ordinal="chunk_no")
     return b.withColumn("item_text", sft.prompt_item(F.col("chunk"), F.col("file_tree"), F.col("item_no")))
 
 
 @register("batches", with_views(CHUNK_VIEWS, CHUNK_CTES, recursive=True) +
           "SELECT repo_url, chunk_no, batch_no, item_no FROM items")
 def q_batches(spark, sf):
-    return sft.batches(_chunks(spark, sf)).select("repo_url", "chunk_no", "batch_no", "item_no")
+    return sft.batches(_chunks(spark, sf), dense_ordinal="chunk_no").select("repo_url", "chunk_no", "batch_no", "item_no")
 
 
 @register("prompt_items", with_views(CHUNK_VIEWS, CHUNK_CTES, recursive=True) +

@@ -66,7 +66,7 @@ def q_chunk_features(spark, sf):
     s = fixture(spark, sf, "v_readme_samples")
     t = fixture(spark, sf, "v_repo_trees")
     s = s.join(t, s.files_repo_id == t.repo_id, "left").select("repo_url", "owner", "repo", "readme", "file_tree")
-    out = ch.chunk_features(s)
+    out = ch.chunk_features(s).drop("n_chunks")
     return out.withColumn("file_tree", F.array_join("file_tree", "|"))
 
 
