@@ -59,7 +59,8 @@ def first_success(candidates: DataFrame, responses: DataFrame, *, key, url: str
 
 
 def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 42,
-                     min_rows: int = 10, prefix_len: int = 4, flag: str = "is_train") -> DataFrame:
+                     min_rows: int = 10, prefix_len: int = 4, flag: str = "is_train",
+                     checkpoint: bool = False) -> DataFrame:
     """Deterministic exact split — the first ``floor(n * fraction)`` rows by
     ``md5(key || seed)`` go to train (all rows when ``n < min_rows``).
 
@@ -67,10 +68,18 @@ def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 4
     buckets, a size-bounded table that is broadcast); a running count over the
     bucket table finds the one boundary bucket, and only that bucket's rows are
     ranked.
+
+    The input is read twice (bucket counts, then rows); ``checkpoint=True`` first
+    writes it to the session's checkpoint folder (a reliable checkpoint, which
+    survives executor loss) so an expensive input is computed once.
     """
     key_col = key if isinstance(key, Column) else F.col(key)
     h = df.withColumn("_h", F.md5(F.concat(key_col.cast("string"), F.lit(str(seed))))) \
           .withColumn("_p", F.substring("_h", 1, prefix_len)).withColumn("_k", key_col.cast("string"))
+    if checkpoint:
+        from quarry.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(h.sparkSession)
+        h = h.checkpoint(eager=True)
     hist = h.groupBy("_p").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     tot = Window.partitionBy()
