@@ -50,3 +50,17 @@ def test_anti_plus_semi_is_input(spark):
     anti = anti_join_on_key(df, seen, key="key")
     semi = df.join(seen, "key", "left_semi")
     assert sorted(r[0] for r in anti.union(semi).collect()) == list(range(20))
+
+
+def test_partition_count_invariance(spark):
+    from quarry.operators import links as lk
+    from quarry.operators import repos as rp
+    from quarry.sources.fixtures import fixture
+    lines = fixture(spark, "/root/testdata/sf0.001", "v_md_lines")
+    files = fixture(spark, "/root/testdata/sf0.001", "v_repo_files")
+    for build in (lambda l, f: lk.dedup_links(lk.md_links(l)),
+                  lambda l, f: rp.repo_summary(f).withColumn("key_files", F.to_json("key_files")),
+                  lambda l, f: rp.well_structured(f)):
+        a = sorted(map(tuple, build(lines.repartition(1), files.repartition(1)).collect()))
+        b = sorted(map(tuple, build(lines.repartition(7), files.repartition(7)).collect()))
+        assert a == b
