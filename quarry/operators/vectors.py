@@ -129,7 +129,7 @@ def rerank(hits: DataFrame, points: DataFrame, answers: DataFrame | None = None,
            key: str = "question_id") -> DataFrame:
     """V4: passages = hit contents in hit order (empty content dropped); the ranker's answer
     gives 1-based passage numbers; the first ``keep_top_k`` valid ones are kept. No
-    answer (or none parsable) -> the original order."""
+    answer for a question (failed call) -> the original order."""
     pas = hits.join(points.select("id", "content"), "id").filter(F.col("content").isNotNull() & (F.col("content") != ""))
     w = Window.partitionBy(key).orderBy("hit_no")
     pas = pas.withColumn("passage_no", F.row_number().over(w) - 1)
@@ -140,7 +140,9 @@ def rerank(hits: DataFrame, points: DataFrame, answers: DataFrame | None = None,
     idx = answers.join(npas, key).select(key, F.posexplode(F.slice(parse_indices(F.col("answer"), F.col("_n")), 1, keep_top_k))
                                          .alias("out_no", "passage_no"))
     chosen = idx.join(pas, [key, "passage_no"]).select(key, "out_no", "passage_no", "id", "content")
-    fallback = pas.join(idx.select(key).distinct(), key, "left_anti").filter(F.col("passage_no") < keep_top_k) \
+    # only questions without an answer (a failed ranker call) fall back to the original order;
+    # an answer without a usable passage number keeps nothing, as in the reference
+    fallback = pas.join(answers.select(key).distinct(), key, "left_anti").filter(F.col("passage_no") < keep_top_k) \
         .select(key, F.col("passage_no").alias("out_no"), "passage_no", "id", "content")
     return chosen.unionByName(fallback)
 

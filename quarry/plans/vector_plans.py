@@ -115,7 +115,7 @@ def q_rerank(spark, sf):
 ]) + """
 SELECT i.question_id, i.out_no, CAST(i.passage_no AS INT) AS passage_no, p.id, p.content FROM idx i JOIN pas p ON p.question_id = i.question_id AND p.passage_no = i.passage_no
 UNION ALL
-SELECT question_id, CAST(passage_no AS INT), CAST(passage_no AS INT), id, content FROM pas WHERE passage_no < 5 AND question_id NOT IN (SELECT question_id FROM idx)""")
+SELECT question_id, CAST(passage_no AS INT), CAST(passage_no AS INT), id, content FROM pas WHERE passage_no < 5 AND question_id NOT IN (SELECT question_id FROM ans)""")
 def q_retrieve_rerank(spark, sf):
     """V5: expanded-query retrieval -> dedup -> rerank with the ranker's answers."""
     pts = _points(spark, sf)

@@ -85,14 +85,21 @@ INFO_SCHEMA = ("struct<language: string, stargazers_count: bigint, description:
 
 
 def repo_info(responses: DataFrame, *, body: str = "body") -> DataFrame:
-    """Repository-info JSON projected with defaults (stars 0, topics [], description '')."""
+    """Repository-info JSON projected with defaults for missing keys (stars 0, topics [],
+    description ''); a key present with ``null`` stays null, as with ``dict.get``."""
     j = F.from_json(F.col(body), INFO_SCHEMA)
+    keys = F.coalesce(F.json_object_keys(F.col(body)), F.array().cast("array<string>"))
+
+    def get(field, value, default):
+        # a missing key takes the default; a key present with null stays null
+        return F.when(F.array_contains(keys, field), value).otherwise(default)
+
     return responses.select("*", j.alias("_j")).select(
         *[c for c in responses.columns if c != body],
         F.col("_j.language").alias("language"),
-        F.coalesce(F.col("_j.stargazers_count"), F.lit(0)).alias("stars"),
-        F.coalesce(F.col("_j.description"), F.lit("")).alias("description"),
-        F.coalesce(F.col("_j.topics"), F.array().cast("array<string>")).alias("topics"),
+        get("stargazers_count", F.col("_j.stargazers_count"), F.lit(0).cast("bigint")).alias("stars"),
+        get("description", F.col("_j.description"), F.lit("")).alias("description"),
+        get("topics", F.col("_j.topics"), F.array().cast("array<string>")).alias("topics"),
         F.col("_j.created_at").alias("created_at"), F.col("_j.updated_at").alias("updated_at"))
 
 

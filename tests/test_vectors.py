@@ -69,3 +69,14 @@ def test_topk_small_score_blocks(spark):
     for r in got:
         res.setdefault(r["query_id"], []).append(r["id"])
     assert res == brute(pts, qs, 4)
+
+
+def test_rerank_answer_semantics(spark):
+    hits = spark.createDataFrame([(q, i, i) for q in (1, 2, 3) for i in range(1, 5)], "question_id int, hit_no int, id long")
+    pts = spark.createDataFrame([(i, f"p{i}" if i != 2 else "") for i in range(1, 5)], "id long, content string")
+    ans = spark.createDataFrame([(1, "3, 1, 1"), (2, "no numbers")], "question_id int, answer string")
+    got = {}
+    for r in vx.rerank(hits, pts, ans, keep_top_k=2).orderBy("question_id", "out_no").collect():
+        got.setdefault(r["question_id"], []).append(r["content"])
+    # q1: passages [p1, p3, p4] -> 3rd, 1st; q2 answered without numbers -> nothing; q3 unanswered -> original order
+    assert got == {1: ["p4", "p1"], 3: ["p1", "p3"]}
