@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,6 +165,23 @@ def input_text(inp: Column, *, has_file_tree: bool = True, has_project_type: boo
     return F.when(inp.isNull(), F.lit("")).when(joined == "", js).otherwise(joined)
 
 
+INPUT_STRUCT = "struct<file_tree: array<string>, project_type: string>"
+
+
+def parse_input(raw: Column) -> Column:
+    """P16 input as read from landed JSON (kept as text): a JSON object becomes the
+    ``struct<file_tree, project_type>``, anything else stays null here (use the text)."""
+    t = ustrip(raw)
+    return F.when(t.startswith("{"), F.from_json(t, INPUT_STRUCT))
+
+
+def input_text_any(raw: Column, cap: int = 200) -> Column:
+    """P16 for a raw ``input`` value: object -> structured text, blank -> '', other -> the text."""
+    obj = parse_input(raw)
+    return F.when(raw.isNull() | (ustrip(raw) == ""), F.lit("")) \
+        .when(obj.isNotNull(), input_text(obj, cap=cap)).otherwise(raw)
+
+
 def alpaca_text(df: DataFrame, *, eos: str = "</s>", input_col: str = "input", input_text_col: str | None = None,
                 has_file_tree: bool = True, has_project_type: bool = True) -> DataFrame:
     """Training text. Response = ``output`` when non-blank else ``content``; template with

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import text as tx
 from quarry.operators import collect as co
 from quarry.operators import links as lk
 from quarry.plans.registry import register

@@ -87,3 +87,11 @@ def test_append_and_first_available(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("u1", 1), ("u2", 2), ("u3", 3)]
     df = io.first_available(spark, [("parquet", str(tmp_path / "missing")), ("parquet", path)])
     assert df.count() == 3
+
+
+def test_input_text_from_raw_json(spark):
+    rows = [('{"file_tree": ["a.py", "b/c.py"], "project_type": "cli"}',), ("plain words",), ("   ",), (None,),
+            ('{"project_type": "api"}',)]
+    df = spark.createDataFrame(rows, "raw string")
+    got = [r[0] for r in df.select(sft.input_text_any(F.col("raw"))).collect()]
+    assert got == ["File structure:\na.py\nb/c.py\n\nProject type: cli", "plain words", "", "", "Project type: api"]
