@@ -48,6 +48,7 @@ def _tag(marker: str, mode, name: Column, version: Column, content: Column) -> C
                     content, F.lit(f"\n<!-- {marker}_"), mode, F.lit("_END:"), name, F.lit(" -->"))
 
 
+# API heading, python fence, API section (body up to the next heading or fence) and title patterns.
 API_HEADING = r"###\s+([\w\.]+)\([^)]*\)"
 PY_FENCE = r"(?s)```python\n(.*?)\n```"
 API_SECTION = r"(?sU)###\s+([\w\.]+)\([^)]*\)\s*\n(.*?)(?=\n###|\n```|$)"
