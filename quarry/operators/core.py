@@ -40,7 +40,7 @@ def ordered_limit(df: DataFrame, n: int, *, order) -> DataFrame:
 def anti_join_on_key(df: DataFrame, seen: DataFrame, *, key: str = "key", seen_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``seen`` (left anti join; AQE may broadcast a small side)."""
     seen_key = seen_key or key
-    s = seen.select(F.col(seen_key).alias("_seen_key")).distinct()
+    s = seen.select(F.col(seen_key).alias("_seen_key"))   # duplicates do not change an anti join
     return df.join(s, df[key] == s["_seen_key"], "left_anti")
 
 

@@ -72,10 +72,12 @@ def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Col
     if where is not None:
         points = points.filter(where)
     pts = points.select(F.col("id").cast("long").alias("id"), F.col(vector).alias("embedding"))
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding"))
-    first = q.select(F.size("embedding").alias("d")).limit(1).collect()
-    dim = first[0]["d"] if first else 0
-    nq = q.count()
+    # the query set is small by contract; it is evaluated once (persisted for the size check and the
+    # collection of its blocks) and released before the points are scanned
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding")).persist()
+    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
+    nq, dim = stats["n"], (stats["d"] or 0)
+    qtype = q.schema["query_id"].dataType.simpleString()
     per_block = max(1, int(max_broadcast_bytes // max(1, 8 * max(dim, 1))))
     nblocks = max(1, -(-nq // per_block))
     parts = []
@@ -88,10 +90,10 @@ def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Col
         qids = np.array([r["query_id"] for r in rows])
         qmat = np.array([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
         fn = _topk_partition_fn(qids, qmat, k, score_budget)
-        qtype = q.schema["query_id"].dataType.simpleString()
         parts.append(pts.mapInPandas(fn, f"query_id {qtype}, id long, score double"))
+    q.unpersist()
     if not parts:
-        return spark.createDataFrame([], f"query_id {q.schema['query_id'].dataType.simpleString()}, rank int, id long, score double")
+        return spark.createDataFrame([], f"query_id {qtype}, rank int, id long, score double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)

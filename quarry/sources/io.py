@@ -165,7 +165,7 @@ def append_new(new: DataFrame, existing: DataFrame | None, *, key: str = "repo_u
     """K1 (idempotent form): rows of ``new`` whose key is not stored yet."""
     if existing is None:
         return new
-    return new.join(existing.select(F.col(key).alias("_k")).distinct(), F.col(key) == F.col("_k"), "left_anti")
+    return new.join(existing.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_anti")
 
 
 def append_to(df: DataFrame, path: str, *, key: str | None = "repo_url", fmt: str = "parquet") -> int | None:

@@ -46,7 +46,7 @@ def idempotent_sink(path: str, key: str = "request_id"):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            seen = spark.read.parquet(path).select(F.col(key).alias("_seen")).distinct()
+            seen = spark.read.parquet(path).select(F.col(key).alias("_seen"))
             batch = batch.join(seen, batch[key] == seen["_seen"], "left_anti")
         except Exception:  # noqa: BLE001 - nothing written yet
             pass
