@@ -27,7 +27,27 @@ def q_render_tree(spark, sf):
     return dc.render_tree(_files(spark, sf), max_depth=3, max_lines=200)
 
 
-@register("format_tree")
+FORMAT_TREE_SQL = with_views(["v_repo_files"], [
+    ("p", "SELECT repo_id, string_split(path, '/') AS parts FROM v_repo_files"),
+    ("f", """SELECT * FROM p WHERE len(parts) <= 3 AND NOT list_bool_or(list_transform(parts, lambda x:
+              (starts_with(x, '.') AND x <> '.env.example') OR x IN ('__pycache__', '.git')))"""),
+    ("top", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY parts) AS rank FROM f) WHERE rank <= 100"),
+    ("under", "SELECT repo_id, rank, parts[1:k] AS dir FROM top, range(0, len(parts)) t(k)"),
+    ("span", "SELECT repo_id, dir, min(rank) AS first_rank, max(rank) AS last_rank FROM under GROUP BY repo_id, dir"),
+    ("lines", """SELECT t.repo_id, t.rank, 1048576 AS lvl,
+          CASE WHEN len(t.parts) = 1 THEN '' ELSE repeat('│   ', len(t.parts) - 1) END
+          || CASE WHEN t.rank = s.last_rank THEN '└── ' ELSE '├── ' END || t.parts[len(t.parts)] AS line
+        FROM top t JOIN span s ON s.repo_id = t.repo_id AND s.dir = t.parts[1:len(t.parts) - 1]
+        UNION ALL
+        SELECT repo_id, first_rank, len(dir) - 1,
+          CASE WHEN len(dir) = 1 THEN '├── ' ELSE repeat('│   ', len(dir) - 1) || '├── ' END || dir[len(dir)] || '/'
+        FROM span WHERE len(dir) > 0"""),
+]) + """
+SELECT r.repo_id, coalesce(l.tree, '') AS tree FROM (SELECT DISTINCT repo_id FROM v_repo_files) r
+LEFT JOIN (SELECT repo_id, string_agg(line, chr(10) ORDER BY rank, lvl) AS tree FROM lines GROUP BY repo_id) l ON l.repo_id = r.repo_id"""
+
+
+@register("format_tree", FORMAT_TREE_SQL)
 def q_format_tree(spark, sf):
     return dc.format_file_tree(_files(spark, sf), max_depth=3, max_files=100)
 

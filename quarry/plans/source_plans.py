@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import repos as rp
+from quarry.plans.repo_plans import LANG_CASE, PF, TYPE_AGG, TYPE_CASE, lang_agg
 from quarry.plans.registry import register
 from quarry.plans.sqlkit import with_views
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources import io
 from quarry.sources.fixtures import fixture
 from quarry.sources.tables import table
-from quarry.streaming.requests import start_requests
+from quarry.streaming.requests import JSON_OPTIONS, start_requests
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -137,13 +138,22 @@ def q_append_new(spark, sf):
     return io.append_new(s, stored, key="repo_url").select("repo_url")
 
 
-@register("stream_requests")
+STREAM_SQL = with_views(["v_repo_files"], [PF, ("summ", f"""SELECT repo_id, {TYPE_CASE} AS project_type, {LANG_CASE} AS project_language,
+        file_count FROM (SELECT repo_id, {TYPE_AGG}, {lang_agg(False)}, count(*) AS file_count FROM pf GROUP BY repo_id)""")]) + """
+SELECT e.event_id AS request_id, e.user_id AS repo_id, e.event_type AS kind, e.ts,
+       CASE WHEN s.project_type IS NOT NULL THEN printf('Generate documentation for repository %d (%s, %s, %d files).',
+            e.user_id, s.project_type, s.project_language, s.file_count) END AS prompt,
+       CASE WHEN s.project_type IS NULL THEN 'unknown repository' ELSE 'ready' END AS status
+FROM events e LEFT JOIN summ s ON s.repo_id = e.user_id"""
+
+
+@register("stream_requests", STREAM_SQL)
 def q_stream_requests(spark, sf):
     """Events as JSON messages -> file stream -> repository summaries -> idempotent sink."""
     src, sink, ckpt = scratch(spark, "requests"), scratch(spark, "answers"), scratch(spark, "ckpt")
     ev = table(spark, sf, "events")
     ev.select(F.to_json(F.struct(F.col("event_id").alias("request_id"), F.col("user_id").alias("repo_id"),
-                                 F.col("event_type").alias("kind"), "ts")).alias("value")).write.text(src)
+                                 F.col("event_type").alias("kind"), "ts"), JSON_OPTIONS).alias("value")).write.text(src)
     summaries = rp.repo_summary(fixture(spark, sf, "v_repo_files"))
     q = start_requests(spark, src, summaries, sink=sink, checkpoint=ckpt)
     q.awaitTermination()

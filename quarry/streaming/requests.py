@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REQUEST_SCHEMA = "request_id long, repo_id long, kind string, ts timestamp"
+REQUEST_SCHEMA = "request_id long, repo_id long, kind string, ts timestamp_ntz"
+# message timestamps (wall-clock, no zone) keep microseconds; Spark's default JSON format stops at milliseconds
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def read_requests(spark: SparkSession, path: str | None = None, *, fmt: str = "text",
@@ -26,7 +28,7 @@ def read_requests(spark: SparkSession, path: str | None = None, *, fmt: str = "t
     raw = r.load(path) if path else r.load()
     if fmt == "kafka":
         raw = raw.select(F.col("value").cast("string").alias("value"))
-    msg = F.from_json(F.col("value"), REQUEST_SCHEMA)
+    msg = F.from_json(F.col("value"), REQUEST_SCHEMA, JSON_OPTIONS)
     return raw.select(msg.alias("m")).select("m.*").filter(F.col("request_id").isNotNull())
 
 

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from quarry.operators import links as lk
 from quarry.operators import repos as rp
 from quarry.session import ensure_checkpoint_dir
-from quarry.streaming.requests import start_requests
+from quarry.streaming.requests import JSON_OPTIONS, start_requests
 
 
 def test_entry_contract(spark):
@@ -23,7 +23,7 @@ def test_request_stream_replay_is_idempotent(spark):
     src, sink = f"{base}/in", f"{base}/out"
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     ev.select(F.to_json(F.struct(F.col("event_id").alias("request_id"), F.col("user_id").alias("repo_id"),
-                                 F.col("event_type").alias("kind"), "ts")).alias("value")).write.text(src)
+                                 F.col("event_type").alias("kind"), "ts"), JSON_OPTIONS).alias("value")).write.text(src)
     files = spark.createDataFrame([(1, 1, "main.py", "")], "repo_id long, file_no int, path string, content string")
     summ = rp.repo_summary(files)
     start_requests(spark, src, summ, sink=sink, checkpoint=f"{base}/ck1").awaitTermination()
