@@ -22,7 +22,26 @@ def _files(spark, sf):
     return fixture(spark, sf, "v_repo_files")
 
 
-@register("render_tree")
+SKIP = ", ".join(f"'{x}'" for x in dc.REVIEW_TREE_SKIP)
+RENDER_TREE_SQL = with_views(["v_repo_files"], [
+    ("p", "SELECT repo_id, string_split(path, '/') AS parts FROM v_repo_files"),
+    ("e0", """SELECT DISTINCT repo_id, parts[1:k + 1] AS anc, parts[k + 1] AS name, k < len(parts) - 1 AS is_dir, CAST(k AS INT) AS lvl
+              FROM p, range(0, len(parts)) t(k) WHERE k <= 3"""),
+    ("e", f"""SELECT *, anc[1:lvl] AS parent FROM e0
+              WHERE NOT list_bool_or(list_transform(anc, lambda x: starts_with(x, '.') OR x IN ({SKIP})))"""),
+    ("el", """SELECT *, row_number() OVER (PARTITION BY repo_id, parent ORDER BY (NOT is_dir) DESC, lower(name) DESC, name DESC) = 1 AS is_last
+              FROM e"""),
+    ("fl", """SELECT c.repo_id, c.anc, string_agg(CASE WHEN a.is_last THEN '    ' ELSE '│   ' END, '' ORDER BY a.lvl) AS prefix
+              FROM el c JOIN el a ON a.repo_id = c.repo_id AND a.lvl < c.lvl AND a.anc = c.anc[1:a.lvl + 1] GROUP BY c.repo_id, c.anc"""),
+    ("ln", """SELECT el.repo_id, coalesce(fl.prefix, '') || CASE WHEN el.is_last THEN '└── ' ELSE '├── ' END || el.name AS line,
+                 list_transform(range(1, el.lvl + 2), lambda i: {'f': i = el.lvl + 1 AND NOT el.is_dir, 'l': lower(el.anc[i]), 'n': el.anc[i]}) AS dfs
+              FROM el LEFT JOIN fl ON fl.repo_id = el.repo_id AND fl.anc = el.anc"""),
+]) + """
+SELECT repo_id, string_agg(line, chr(10) ORDER BY rn) AS tree FROM (
+  SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY dfs) AS rn FROM ln) WHERE rn <= 200 GROUP BY repo_id"""
+
+
+@register("render_tree", RENDER_TREE_SQL)
 def q_render_tree(spark, sf):
     return dc.render_tree(_files(spark, sf), max_depth=3, max_lines=200)
 
