@@ -127,14 +127,19 @@ def drop_invalid(samples: DataFrame, projects: DataFrame, *, key: str = "files_r
     return kept, removed
 
 
-def phase_stats(phases: dict[str, DataFrame]) -> DataFrame:
-    """One row per phase — count, done flag and status text."""
+def phase_stats(phases: dict[str, DataFrame], *, pending: dict[str, str] | None = None) -> DataFrame:
+    """One row per phase — count, done flag and status text
+    (``Done — N samples``, else the phase's pending text, default ``Not run``)."""
+    pending = pending or {}
     rows = None
     for i, (name, df) in enumerate(phases.items()):
-        r = df.agg(F.count(F.lit(1)).alias("count")).select(F.lit(i).alias("phase_no"), F.lit(name).alias("phase"), "count")
+        r = df.agg(F.count(F.lit(1)).alias("count")).select(
+            F.lit(i + 1).alias("phase_no"), F.lit(name).alias("phase"), "count",
+            F.lit(pending.get(name, "Not run")).alias("_pending"))
         rows = r if rows is None else rows.unionByName(r)
     return rows.withColumn("done", F.col("count") > 0) \
-        .withColumn("status", F.when(F.col("count") > 0, F.lit("done")).otherwise(F.lit("pending")))
+        .withColumn("status", F.when(F.col("count") > 0, F.format_string("Done — %d samples", F.col("count")))
+                    .otherwise(F.col("_pending"))).drop("_pending")
 
 
 def count_where(df: DataFrame, cond) -> DataFrame:

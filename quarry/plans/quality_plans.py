@@ -85,16 +85,16 @@ def q_drop_invalid(spark, sf):
 
 
 @register("phase_stats", with_views(["v_readme_samples", "v_sft_samples", "v_md_lines"]) + """
-SELECT * FROM (
-  SELECT 0 AS phase_no, 'links' AS phase, count(*) AS count FROM v_md_lines WHERE contains(line, '](https://github.com/')
-  UNION ALL SELECT 1, 'collection', count(*) FROM v_readme_samples WHERE length(readme) >= 500
-  UNION ALL SELECT 2, 'sft', count(*) FROM v_sft_samples)
-""".replace("SELECT * FROM (", "SELECT phase_no, phase, count, count > 0 AS done, CASE WHEN count > 0 THEN 'done' ELSE 'pending' END AS status FROM ("))
+SELECT phase_no, phase, count, count > 0 AS done,
+       CASE WHEN count > 0 THEN 'Done — ' || count || ' samples' ELSE pending END AS status FROM (
+  SELECT 1 AS phase_no, 'links' AS phase, count(*) AS count, 'Not run' AS pending FROM v_md_lines WHERE contains(line, '](https://github.com/')
+  UNION ALL SELECT 2, 'collection', count(*), 'Not run' FROM v_readme_samples WHERE length(readme) >= 500
+  UNION ALL SELECT 3, 'sft', count(*), 'To implement' FROM v_sft_samples)""")
 def q_phase_stats(spark, sf):
     links = fixture(spark, sf, "v_md_lines").filter(F.col("line").contains("](https://github.com/"))
     coll = fixture(spark, sf, "v_readme_samples").filter(F.length("readme") >= 500)
     sftd = fixture(spark, sf, "v_sft_samples")
-    return qu.phase_stats({"links": links, "collection": coll, "sft": sftd})
+    return qu.phase_stats({"links": links, "collection": coll, "sft": sftd}, pending={"sft": "To implement"})
 
 
 @register("count_where", with_views(["v_readme_samples"]) + f"""
