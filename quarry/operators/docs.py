@@ -20,6 +20,10 @@ from quarry.functions.text import ustrip
 
 from quarry.operators.core import quota_per_group
 
+from quarry._workers import ship_by_value
+
+ship_by_value(__name__)
+
 # Names skipped when listing a repository directory for review.
 REVIEW_TREE_SKIP = ["node_modules", "__pycache__", ".git", "venv", "env", "dist", "build"]
 BRANCH, LAST, PIPE, BLANK = "├── ", "└── ", "│   ", "    "

@@ -13,6 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry._workers import ship_by_value
+
+ship_by_value(__name__)
+
 DEFAULT_METRICS = ("relevance_score", "hallucination_score")
 
 

@@ -19,6 +19,10 @@ from quarry.functions.text import ustrip
 
 from quarry.functions.text import truncate_rstrip
 
+from quarry._workers import ship_by_value
+
+ship_by_value(__name__)
+
 # Prompt text and fallback instruction.
 FALLBACK_INSTRUCTION = "Generate a README for this project given the file structure."
 STRUCTURE_HINT = ("Include standard sections: About, Built With, Getting Started, Usage, "

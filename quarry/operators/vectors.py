@@ -22,6 +22,10 @@ from quarry.functions.text import ustrip
 
 from quarry.operators.core import keep_first
 
+from quarry._workers import ship_by_value
+
+ship_by_value(__name__)
+
 DEFAULT_BROADCAST_BYTES = 256 << 20
 
 

@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 
 from quarry.functions.text import path_excluded
 
+from quarry._workers import ship_by_value
+
+ship_by_value(__name__)
+
 SAMPLE_FIELDS = [
     T.StructField("repo_url", T.StringType()), T.StructField("owner", T.StringType()),
     T.StructField("repo", T.StringType()), T.StructField("name", T.StringType()),
