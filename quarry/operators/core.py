@@ -60,7 +60,7 @@ def first_success(candidates: DataFrame, responses: DataFrame, *, key, url: str
 
 def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 42,
                      min_rows: int = 10, prefix_len: int = 4, flag: str = "is_train",
-                     checkpoint: bool = False) -> DataFrame:
+                     checkpoint: bool = False, shuffle_once: bool = True) -> DataFrame:
     """Deterministic exact split — the first ``floor(n * fraction)`` rows by
     ``md5(key || seed)`` go to train (all rows when ``n < min_rows``).
 
@@ -69,9 +69,10 @@ def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 4
     bucket table finds the one boundary bucket, and only that bucket's rows are
     ranked.
 
-    The input is read twice (bucket counts, then rows); ``checkpoint=True`` first
-    writes it to the session's checkpoint folder (a reliable checkpoint, which
-    survives executor loss) so an expensive input is computed once.
+    By default the hashed rows are exchanged once by bucket and that exchange
+    feeds both the bucket counts and the row path, so the input is evaluated
+    once; ``shuffle_once=False`` re-reads a cheap input instead of shuffling it;
+    ``checkpoint=True`` writes it to the session's checkpoint folder first.
     """
     key_col = key if isinstance(key, Column) else F.col(key)
     h = df.withColumn("_h", F.md5(F.concat(key_col.cast("string"), F.lit(str(seed))))) \
@@ -80,6 +81,10 @@ def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 4
         from quarry.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(h.sparkSession)
         h = h.checkpoint(eager=True)
+    elif shuffle_once:
+        # one exchange by bucket, shared (ReusedExchange) by the bucket counts and the row path:
+        # the input is evaluated once and the boundary bucket is already co-located for ranking
+        h = h.repartition("_p")
     hist = h.groupBy("_p").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     tot = Window.partitionBy()
