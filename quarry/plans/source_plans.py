@@ -56,10 +56,10 @@ def q_scan_collection(spark, sf):
 @register("scan_samples")
 def q_scan_samples(spark, sf):
     """A directory of one-sample files plus an unreadable file (skipped)."""
-    s = fixture(spark, sf, "v_readme_samples").select("repo_url", "owner", "repo", "readme", "doc_id", "source")
+    s = fixture(spark, sf, "v_readme_samples").select("repo_url", "owner", "repo", "readme", "doc_id", "source", "language")
     root = scratch(spark, "samples")
     js = F.to_json(F.struct("repo_url", "owner", "repo", "readme"))
-    single = F.col("doc_id") % 20 == 0          # these rows get a file of their own; the rest one array file per source
+    single = F.coalesce(F.col("language") == "de", F.lit(False))   # these get a file each; the rest one array file per source
     one = s.filter(single).select(F.col("doc_id").cast("string").alias("file"), js.alias("value"))
     arr = s.filter(~single).groupBy("source").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(js), ","), F.lit("]")).alias("value")).withColumnRenamed("source", "file")
@@ -84,9 +84,10 @@ TREE_CTE = ("pt", """SELECT repo_id, path, NOT (contains(path, '.git') OR contai
 def _tree_responses(spark, sf):
     f = fixture(spark, sf, "v_repo_files")
     item = F.struct("path", F.lit("blob").alias("type"))
-    main = f.groupBy("repo_id").agg(F.to_json(F.struct(F.collect_list(item).alias("tree"))).alias("body")) \
-        .select("repo_id", F.lit("main").alias("branch"),
-                F.when(F.col("repo_id") % 2 == 0, 200).otherwise(404).alias("status"), "body")
+    # repositories with a src/ folder answer on 'main'; the others only on 'master' (root files only)
+    main = f.groupBy("repo_id").agg(F.to_json(F.struct(F.collect_list(item).alias("tree"))).alias("body"),
+                                    F.bool_or(F.col("path").startswith("src/")).alias("_src")) \
+        .select("repo_id", F.lit("main").alias("branch"), F.when(F.col("_src"), 200).otherwise(404).alias("status"), "body")
     master = f.filter(~F.col("path").contains("/")).groupBy("repo_id").agg(
         F.to_json(F.struct(F.collect_list(item).alias("tree"))).alias("body")) \
         .select("repo_id", F.lit("master").alias("branch"), F.lit(200).alias("status"), "body")
@@ -94,19 +95,21 @@ def _tree_responses(spark, sf):
 
 
 @register("file_tree", with_views(["v_repo_files"], [TREE_CTE]) + """
-SELECT r.repo_id, coalesce(array_to_string(list_sort(list(p.path) FILTER (WHERE p.keep AND (r.repo_id % 2 = 0 OR NOT contains(p.path, '/')))), '|'), '') AS file_tree
-FROM (SELECT DISTINCT repo_id FROM v_repo_files) r LEFT JOIN pt p ON p.repo_id = r.repo_id GROUP BY r.repo_id""")
+SELECT r.repo_id, coalesce(array_to_string(list_sort(list(p.path) FILTER (WHERE p.keep AND (r.has_src OR NOT contains(p.path, '/')))), '|'), '') AS file_tree
+FROM (SELECT repo_id, bool_or(starts_with(path, 'src/')) AS has_src FROM v_repo_files GROUP BY repo_id) r
+LEFT JOIN pt p ON p.repo_id = r.repo_id GROUP BY r.repo_id, r.has_src""")
 def q_file_tree(spark, sf):
     t = io.file_tree(_tree_responses(spark, sf))
     return t.select("repo_id", F.array_join("file_tree", "|").alias("file_tree"))
 
 
 @register("repo_info", with_views(["v_search_items"]) + """
-SELECT url, language, CASE WHEN stars % 7 = 0 THEN 0 ELSE stars END AS stars, coalesce(description, '') AS description,
+SELECT url, language, CASE WHEN language IS NULL THEN 0 ELSE stars END AS stars, coalesce(description, '') AS description,
        array_to_string(topics, '|') AS topics FROM v_search_items""")
 def q_repo_info(spark, sf):
     s = fixture(spark, sf, "v_search_items")
-    body = F.to_json(F.struct("language", F.when(F.col("stars") % 7 != 0, F.col("stars")).alias("stargazers_count"),
+    # answers for repositories of unknown language carry no star count (the key is absent)
+    body = F.to_json(F.struct("language", F.when(F.col("language").isNotNull(), F.col("stars")).alias("stargazers_count"),
                               "description", "topics", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at")))
     r = io.repo_info(s.select("url", body.alias("body")))
     return r.select("url", "language", F.col("stars").cast("int").alias("stars"), "description",

@@ -60,8 +60,10 @@ def q_vector_topk_where(spark, sf):
 
 # expanded queries per question (= label): overall centroid, centroid of even ids, of odd ids
 MQ_CTES = CEN_CTES + [
-    ("cen2", """SELECT label AS question_id, id % 2 + 1 AS query_no, list(a ORDER BY pos) AS q FROM (
-        SELECT label, id % 2 AS id, pos, avg(CAST(v AS DOUBLE)) AS a FROM ex GROUP BY label, id % 2, pos) GROUP BY label, id % 2"""),
+    ("half", "SELECT id, CASE WHEN embedding[1] >= 0 THEN 1 ELSE 2 END AS half FROM v_points"),
+    ("cen2", """SELECT label AS question_id, half AS query_no, list(a ORDER BY pos) AS q FROM (
+        SELECT ex.label, h.half, ex.pos, avg(CAST(ex.v AS DOUBLE)) AS a FROM ex JOIN half h ON h.id = ex.id
+        GROUP BY ex.label, h.half, ex.pos) GROUP BY label, half"""),
     ("qs", "SELECT query_id AS question_id, 0 AS query_no, q FROM cen UNION ALL SELECT question_id, query_no, q FROM cen2"),
     ("hits", """SELECT question_id, query_no, rank, id, score FROM (
         SELECT c.question_id, c.query_no, p.id, list_cosine_similarity(p.e, c.q) AS score,
@@ -75,7 +77,9 @@ MQ_CTES = CEN_CTES + [
 def _queries(spark, sf):
     pts = _points(spark, sf)
     c0 = centroids(pts, ["label"]).select(F.col("label").alias("question_id"), F.lit(0).alias("query_no"), "embedding")
-    c12 = centroids(pts.withColumn("_par", (F.col("id") % 2 + 1).cast("int")), ["label", "_par"]) \
+    # expanded queries: the label's points split by the sign of their first component
+    half = F.when(F.element_at("embedding", 1) >= 0, 1).otherwise(2).cast("int")
+    c12 = centroids(pts.withColumn("_par", half), ["label", "_par"]) \
         .select(F.col("label").alias("question_id"), F.col("_par").alias("query_no"), "embedding")
     return c0.unionByName(c12)
 
