@@ -227,3 +227,30 @@ def first_available(spark: SparkSession, candidates) -> DataFrame:
         except AnalysisException as e:  # not there: try the next source
             errors.append(f"{kind}:{where}: {str(e).splitlines()[0]}")
     raise FileNotFoundError("no readable source: " + "; ".join(errors))
+
+
+def write_with_counts(df: DataFrame, path: str, *, fmt: str = "json", partition_by=None,
+                      metrics: dict | None = None) -> dict:
+    """K2: write a dataset and return its counts gathered while writing (``observe``),
+    e.g. ``{"rows": n}`` plus any extra named aggregate — no second pass over the data."""
+    from pyspark.sql import Observation
+
+    obs = Observation("quarry_write")
+    aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in (metrics or {}).items()]
+    write_dataset(df.observe(obs, *aggs), path, fmt=fmt, partition_by=partition_by)
+    return dict(obs.get)
+
+
+def publish(df: DataFrame, *, path: str | None = None, kafka: dict | None = None, key: str | None = None) -> None:
+    """K8: publish rows as JSON messages — to a Kafka topic (``kafka`` holds the writer
+    options, e.g. bootstrap servers and topic) or, without a broker, to a folder of JSON lines."""
+    cols = [c for c in df.columns]
+    msg = df.select(*([F.col(key).cast("string").alias("key")] if key else []),
+                    F.to_json(F.struct(*cols)).alias("value"))
+    if kafka:
+        w = msg.write.format("kafka")
+        for k, v in kafka.items():
+            w = w.option(k, v)
+        w.save()
+    else:
+        msg.select("value").write.mode("errorifexists").text(path)

@@ -76,3 +76,13 @@ def test_eval_with_injected_scorer(spark):
     assert avg.first()["avg_relevance_score"] == 0.75 and avg.first()["avg_hallucination_score"] == 0.0
     lex = ev.eval_batch(tasks)[0].orderBy("task_id").first()
     assert lex["relevance_score"] == 0.0 and lex["hallucination_score"] == 1.0
+
+
+def test_write_with_counts_and_publish(spark, tmp_path):
+    df = spark.createDataFrame([(i, "x" * i) for i in range(7)], "id long, s string")
+    counts = io.write_with_counts(df, str(tmp_path / "out"), metrics={"chars": F.sum(F.length("s"))})
+    assert counts == {"rows": 7, "chars": 21}
+    assert spark.read.json(str(tmp_path / "out")).count() == 7
+    io.publish(df, path=str(tmp_path / "msgs"), key="id")
+    back = spark.read.text(str(tmp_path / "msgs")).select(F.from_json("value", "id long, s string").alias("m"))
+    assert sorted(r["m"]["id"] for r in back.collect()) == list(range(7))
