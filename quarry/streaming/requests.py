@@ -32,13 +32,18 @@ def read_requests(spark: SparkSession, path: str | None = None, *, fmt: str = "t
     return raw.select(msg.alias("m")).select("m.*").filter(F.col("request_id").isNotNull())
 
 
-def enrich_requests(requests: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Stream-static left join on the repository id; unknown repositories are answered with a status."""
+def enrich_requests(requests: DataFrame, summaries: DataFrame, prompts: DataFrame | None = None) -> DataFrame:
+    """Stream-static left join on the repository id; unknown repositories are answered with a
+    status. With ``prompts(repo_id, prompt)`` (the P19 README prompts) the request carries that
+    prompt; otherwise a short prompt built from the repository summary."""
     s = summaries.select("repo_id", "project_type", "project_language", "file_count")
     j = requests.join(s, "repo_id", "left")
     prompt = F.when(F.col("project_type").isNotNull(), F.format_string(
         "Generate documentation for repository %d (%s, %s, %d files).", F.col("repo_id"), F.col("project_type"),
         F.col("project_language"), F.col("file_count")))
+    if prompts is not None:
+        j = j.join(prompts.select("repo_id", F.col("prompt").alias("_p19")), "repo_id", "left")
+        prompt = F.when(F.col("project_type").isNotNull(), F.coalesce(F.col("_p19"), prompt))
     return j.select("request_id", "repo_id", "kind", "ts", prompt.alias("prompt"),
                     F.when(prompt.isNull(), F.lit("unknown repository")).otherwise(F.lit("ready")).alias("status"))
 
@@ -57,9 +62,9 @@ def idempotent_sink(path: str, key: str = "request_id"):
 
 
 def start_requests(spark: SparkSession, source: str, summaries: DataFrame, *, sink: str, checkpoint: str,
-                   available_now: bool = True):
+                   available_now: bool = True, prompts: DataFrame | None = None):
     """Start the flow; returns the ``StreamingQuery``."""
-    flow = enrich_requests(read_requests(spark, source), summaries)
+    flow = enrich_requests(read_requests(spark, source), summaries, prompts)
     w = flow.writeStream.foreachBatch(idempotent_sink(sink)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -44,3 +44,19 @@ def test_md_links_from_whole_documents(spark):
     assert got == [("Org", "Tool", "a tool", 2, 0), ("org", "tool", "dup", 3, 0), ("c", "d", "trailing", 4, 1),
                    ("e", "f", "", 5, 0)]
     assert [r["key"] for r in lk.dedup_links(links).orderBy("key").collect()] == ["c/d", "e/f", "org/tool"]
+
+
+def test_request_stream_with_readme_prompts(spark):
+    from quarry.operators import docs as dc
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/test-stream-p19-{uuid.uuid4().hex[:8]}"
+    msgs = spark.createDataFrame([(1, 7, "click"), (2, 8, "view")], "request_id long, repo_id long, kind string") \
+        .withColumn("ts", F.to_timestamp(F.lit("2024-01-01 00:00:00")).cast("timestamp_ntz"))
+    msgs.select(F.to_json(F.struct("request_id", "repo_id", "kind", "ts"), JSON_OPTIONS).alias("value")).write.text(f"{base}/in")
+    files = spark.createDataFrame([(7, 1, "main.py", "print(1)\n"), (7, 2, "src/app.py", "x = 1\n")],
+                                  "repo_id long, file_no int, path string, content string")
+    summ = rp.repo_summary(files)
+    prompts = dc.doc_prompts(files, summ)
+    start_requests(spark, f"{base}/in", summ, sink=f"{base}/out", checkpoint=f"{base}/ck", prompts=prompts).awaitTermination()
+    got = {r["request_id"]: (r["status"], r["prompt"]) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got[2] == ("unknown repository", None)
+    assert got[1][0] == "ready" and "Project name: repo-7" in got[1][1] and "main.py" in got[1][1]
