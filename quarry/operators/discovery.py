@@ -86,7 +86,9 @@ def fresh(as_of: str, years: int = 2) -> Column:
     return F.col("updated_at") >= F.add_months(F.to_timestamp(F.lit(as_of)), -12 * years)
 
 
-STARS_ORDER = [F.col("stars").desc(), F.col("url")]
+def stars_order() -> list[Column]:
+    """Stars descending, URL as the unique tiebreak (built lazily: no Column at import time)."""
+    return [F.col("stars").desc(), F.col("url")]
 
 
 def search_repos(items: DataFrame, *, min_stars: int = 100, language: str | None = None,
@@ -102,7 +104,7 @@ def search_repos(items: DataFrame, *, min_stars: int = 100, language: str | None
     if as_of:
         strict = strict.filter(fresh(as_of))
     strict = strict.withColumn("origin", F.lit("strict"))
-    strict = ordered_limit(strict, limit, order=STARS_ORDER) if limit else strict
+    strict = ordered_limit(strict, limit, order=stars_order()) if limit else strict
     if not (fallback and project_type):
         return strict
     weak = items.filter(search_predicate(min_stars=min_stars, language=language, project_type=None,
@@ -127,7 +129,7 @@ def language_quota(items: DataFrame, languages, *, min_stars: int = 100, limit:
         c = search_predicate(min_stars=min_stars, language=l, project_type=project_type) & crawl_filter(l)
         cond = c if cond is None else cond | c
     hits = items.filter(cond).withColumn("lang_no", lang_rank[F.lower(F.col("language"))])
-    ranked = quota_per_group(hits, group="lang_no", quota=q, order=STARS_ORDER, rank_col="rank")
+    ranked = quota_per_group(hits, group="lang_no", quota=q, order=stars_order(), rank_col="rank")
     return ordered_limit(ranked, limit, order=["lang_no", "rank"])
 
 
@@ -138,7 +140,7 @@ def query_quota(items: DataFrame, *, n_queries: int, min_stars: int = 20, limit:
     q = limit // n_queries
     base = items.filter((F.col("stars") >= min_stars) & ~_any_contains(search_text(), FINDER_NEGATIVE))
     base = base.filter(~exclude_flag(F.col("name"), F.col("description"), F.col("owner")))
-    ranked = quota_per_group(base, group="query_no", quota=q, order=STARS_ORDER, rank_col="rank")
+    ranked = quota_per_group(base, group="query_no", quota=q, order=stars_order(), rank_col="rank")
     uniq = keep_first(ranked, key="url", order=["query_no", "rank"])
     per_q = uniq.groupBy("query_no").agg(F.count(F.lit(1)).alias("_new"))
     w = Window.orderBy("query_no").rowsBetween(Window.unboundedPreceding, -1)

@@ -65,17 +65,19 @@ def q_fresh_repos(spark, sf):
     return _items(spark, sf).filter(dv.fresh("2024-01-01")).select(*COLS.split(", "))
 
 
-STRICT_SQL = f"""SELECT {COLS}, 'strict' AS origin FROM v_search_items WHERE {pred_sql(100, 'Go', 'webapp')} AND {crawl_sql('go')}
+# parameters for which the strict search finds nothing, so the fallback answers
+FB_LANG, FB_TYPE, FB_STARS = "Java", "fullstack", 830
+STRICT_SQL = f"""SELECT {COLS}, 'strict' AS origin FROM v_search_items WHERE {pred_sql(FB_STARS, FB_LANG, FB_TYPE)} AND {crawl_sql(FB_LANG.lower())}
    ORDER BY stars DESC, url LIMIT 1000"""
 WEAK_SQL = f"""SELECT {COLS}, 'fallback' AS origin FROM v_search_items
-   WHERE {pred_sql(100, 'Go', None, negative=dv.FALLBACK_NEGATIVE)} AND {crawl_sql(None, dv.FALLBACK_KEYWORDS, dv.FALLBACK_NAME_KEYWORDS)}
+   WHERE {pred_sql(FB_STARS, FB_LANG, None, negative=dv.FALLBACK_NEGATIVE)} AND {crawl_sql(None, dv.FALLBACK_KEYWORDS, dv.FALLBACK_NAME_KEYWORDS)}
    ORDER BY updated_at DESC, url LIMIT 100"""
 
 
 @register("search_fallback", with_views(["v_search_items"], [("strict", STRICT_SQL), ("weak", WEAK_SQL)]) + """
 SELECT * FROM strict UNION ALL SELECT * FROM weak WHERE (SELECT count(*) FROM strict) = 0""")
 def q_search_fallback(spark, sf):
-    r = dv.search_repos(_items(spark, sf), min_stars=100, language="Go", project_type="webapp", limit=1000)
+    r = dv.search_repos(_items(spark, sf), min_stars=FB_STARS, language=FB_LANG, project_type=FB_TYPE, limit=1000)
     return r.select(*COLS.split(", "), "origin")
 
 

@@ -38,10 +38,10 @@ URL_CTES = [
       QUALIFY row_number() OVER (PARTITION BY source_rank, regexp_replace(url, '/+$', '') ORDER BY source_rank, line_no, match_no) = 1"""),
 ]
 # Prior run, derived from the link table: links of the first list were collected before,
-# links without a description had failed (the two sets overlap, exercising J2's priority rule).
+# links written with a capitalised owner had failed (the sets overlap, exercising J2's priority rule).
 PRIOR_CTES = [
     ("prior_ok", "SELECT key FROM md_links WHERE source_rank = 0"),
-    ("prior_failed", "SELECT key FROM md_links WHERE description = ''"),
+    ("prior_failed", "SELECT key FROM md_links WHERE owner <> lower(owner)"),
 ]
 LINK_COLS = "source, source_rank, line_no, match_no, repo_url, owner, repo, name, description, key"
 
@@ -53,7 +53,7 @@ def _links(spark, sf):
 def _prior(spark, sf):
     links = _links(spark, sf)
     return (links.filter(F.col("source_rank") == 0).select("key"),
-            links.filter(F.col("description") == "").select("key"))
+            links.filter(F.col("owner") != F.lower("owner")).select("key"))
 
 
 @register("md_links", with_views(["v_md_lines"], MD_LINKS_CTES) + f"SELECT {LINK_COLS} FROM md_links")

@@ -60,3 +60,15 @@ def test_request_stream_with_readme_prompts(spark):
     got = {r["request_id"]: (r["status"], r["prompt"]) for r in spark.read.parquet(f"{base}/out").collect()}
     assert got[2] == ("unknown repository", None)
     assert got[1][0] == "ready" and "Project name: repo-7" in got[1][1] and "main.py" in got[1][1]
+
+
+def test_entry_module_imports_without_spark():
+    import subprocess
+    import sys
+    repo = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.oracle_sql()))" % repo)
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    nq, no = map(int, out.stdout.split())
+    assert nq >= 100 and no <= nq
