@@ -59,7 +59,8 @@ def q_scan_samples(spark, sf):
     s = fixture(spark, sf, "v_readme_samples").select("repo_url", "owner", "repo", "readme", "doc_id", "source", "language")
     root = scratch(spark, "samples")
     js = F.to_json(F.struct("repo_url", "owner", "repo", "readme"))
-    single = F.coalesce(F.col("language") == "de", F.lit(False))   # these get a file each; the rest one array file per source
+    # German documents of the first source get a file each; the rest one array file per source
+    single = F.coalesce((F.col("language") == "de") & (F.col("source") == "src0"), F.lit(False))
     one = s.filter(single).select(F.col("doc_id").cast("string").alias("file"), js.alias("value"))
     arr = s.filter(~single).groupBy("source").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(js), ","), F.lit("]")).alias("value")).withColumnRenamed("source", "file")
