@@ -372,8 +372,12 @@ def architecture(files: DataFrame, *, mode: str = "ast", rules: dict | None = No
         empty = typed.limit(0).select("repo_id", "file_no", F.lit(0).alias("imp_no"), F.col("type").alias("from"),
                                       F.col("type").alias("to"), F.lit(0.9).alias("confidence"))
         return typed, components(typed), empty
-    facts = code_facts(files).persist()
-    typed = file_types(files, facts, rules=rules)
+    # stage boundary (the reference's list of file analyses): parsed facts and typed files are
+    # written once to the shared checkpoint folder, so the Python parse and the typing joins run
+    # once however often the import-edge join reads them
+    from quarry.session import materialize
+    facts = materialize(code_facts(files), "code-facts")
+    typed = materialize(file_types(files, facts, rules=rules), "typed-files")
     imps = facts.filter(F.col("kind") == "import").select("repo_id", "file_no", F.col("seq").alias("imp_no"),
                                                           F.col("value").alias("import"))
     return typed, components(typed), import_edges(typed, imps)

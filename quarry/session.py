@@ -54,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage at a stage boundary: write ``df`` as Parquet under the shared checkpoint
+    folder and return a DataFrame reading it back (survives executor loss, unlike a cache)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stages/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
