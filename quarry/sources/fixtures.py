@@ -7,6 +7,8 @@ them into the query plan (pruning and pushdown still reach the parquet scan).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.sources.tables import register_tables
@@ -144,13 +146,22 @@ def _order(names) -> list[str]:
     return out
 
 
+_VIEW_LOCK = threading.Lock()
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy DataFrame of one adapter view over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
-    for n in _order([name]):
-        sql = SPARK_ONLY.get(n) or VIEWS[n]
-        spark.sql(sql).createOrReplaceTempView(n)
-    return spark.table(name)
+    """Lazy DataFrame of one adapter view over the tables in ``sf_dir``.
+
+    Views are resolved while the session's temp views point at ``sf_dir``; the
+    returned DataFrame is already analysed, so later re-registrations (another
+    scale directory, another thread) do not change it.
+    """
+    with _VIEW_LOCK:
+        register_tables(spark, sf_dir)
+        for n in _order([name]):
+            sql = SPARK_ONLY.get(n) or VIEWS[n]
+            spark.sql(sql).createOrReplaceTempView(n)
+        return spark.sql(f"SELECT * FROM {name}")
 
 
 def duckdb_with(*names: str) -> str:
