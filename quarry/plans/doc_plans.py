@@ -83,7 +83,10 @@ def q_doc_prompts(spark, sf):
     return dc.doc_prompts(files, rp.repo_summary(files), names=meta)
 
 
-@register("batch_docs")
+@register("batch_docs", with_views(["v_repo_files"]) + """
+SELECT repo_id, CAST(NULL AS VARCHAR) AS doc, 'empty answer' AS error, CAST(0 AS BIGINT) AS succeeded,
+       count(*) OVER () AS failed
+FROM (SELECT DISTINCT repo_id FROM v_repo_files)""")
 def q_batch_docs(spark, sf):
     """Every repository's prompt through the (offline) model; failures become errors, counted."""
     files = _files(spark, sf)
