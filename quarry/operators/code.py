@@ -287,11 +287,15 @@ def _theta_targets(typed: DataFrame, unresolved: DataFrame) -> DataFrame:
     in_path = best.join(grams, ["repo_id", "gram"]).filter(F.col("_tpath").contains(F.col("import"))) \
         .select("repo_id", "import", "_tfile", "_ttype")
     empty_import = imp.filter(F.col("_k") == 0).join(parsed, "repo_id").select("repo_id", "import", "_tfile", "_ttype")
+    # a dotted path is never longer than the repository's longest typed path: substrings are
+    # enumerated only up to that length (exact, and linear in the import's length)
+    dotted = parsed.withColumn("_sub", F.translate("_tpath", "/\\", ".."))
+    longest = dotted.groupBy("repo_id").agg(F.max(F.length("_sub")).alias("_maxlen"))
     n = F.length("import")
-    subs = unresolved.select("repo_id", "import", F.explode(F.flatten(F.transform(
+    subs = unresolved.join(longest, "repo_id").select("repo_id", "import", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.transform(F.sequence(i, F.greatest(n, i)), lambda j: F.substring(F.col("import"), i, j - i + 1))))).alias("_sub"))
-    dotted = parsed.withColumn("_sub", F.translate("_tpath", "/\\", ".."))
+        lambda i: F.transform(F.sequence(i, F.greatest(F.least(n, i + F.col("_maxlen") - 1), i)),
+                              lambda j: F.substring(F.col("import"), i, j - i + 1))))).alias("_sub"))
     in_import = subs.join(dotted, ["repo_id", "_sub"]).select("repo_id", "import", "_tfile", "_ttype")
     hits = in_path.unionByName(empty_import).unionByName(in_import)
     first = hits.groupBy("repo_id", "import").agg(F.min_by("_ttype", "_tfile").alias("_ht"), F.min("_tfile").alias("_hf"))
