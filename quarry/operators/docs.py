@@ -34,10 +34,10 @@ def render_tree(files: DataFrame, *, max_depth: int = 3, max_lines: int = 200, r
     name order, hidden and build folders skipped, ``max_depth`` levels below the root,
     first ``max_lines`` lines. Returns ``(repo, tree)``."""
     parts = files.select(F.col(repo).alias("repo"), F.split("path", "/", -1).alias("parts"))
-    ent = parts.select("repo", "parts", F.posexplode(F.col("parts")).alias("lvl", "name"))
+    # only the first max_depth + 1 components can be listed: at most that many rows per file
+    ent = parts.select("repo", "parts", F.posexplode(F.slice("parts", 1, max_depth + 1)).alias("lvl", "name"))
     ent = ent.withColumn("is_dir", F.col("lvl") < F.size("parts") - 1) \
-        .withColumn("anc", F.slice("parts", 1, F.col("lvl") + 1)) \
-        .filter(F.col("lvl") <= max_depth)
+        .withColumn("anc", F.slice("parts", 1, F.col("lvl") + 1))
     bad = F.exists(F.col("anc"), lambda p: p.startswith(".") | p.isin(REVIEW_TREE_SKIP))
     ent = ent.filter(~bad).select("repo", "anc", "name", "is_dir", "lvl").distinct()
     ent = ent.withColumn("parent", F.slice("anc", 1, F.col("lvl")))
