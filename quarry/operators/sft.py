@@ -33,7 +33,17 @@ PROMPT_HEAD = ("You are helping build a training dataset for a model that genera
                "generate for that project. {hint}\n\nOutput ONLY a JSON array of strings: one instruction per "
                "item, in order. No other text.\nExample format: [\"Generate a README for a C# OIDC server library "
                "with these files.\", \"Generate a README for a Python CLI tool.\", ...]\n\nItems:\n\n")
+# README sections encouraged in generation prompts (P15, inference suffix).
+README_SECTIONS = ["Title / project name and short description", "Table of Contents (optional for long READMEs)",
+                   "About the Project", "Built With (tech stack)", "Getting Started (Prerequisites, Installation)",
+                   "Usage", "Roadmap (optional)", "Contributing (optional)", "License",
+                   "Contact / Acknowledgments (optional)"]
 ITEM_SEPARATOR = "\n---\n\n"
+
+
+def structure_suffix() -> str:
+    """Text appended to a generation prompt so the README follows the section list."""
+    return " The README should include these sections where appropriate: " + "; ".join(README_SECTIONS) + "."
 ALPACA_NO_INPUT = ("Below is an instruction that describes a task. Write a response that appropriately completes "
                    "the request.\n\n### Instruction:\n{instruction}\n\n### Response:\n{response}")
 ALPACA_WITH_INPUT = ("Below is an instruction that describes a task, paired with an input. Write a response that "
