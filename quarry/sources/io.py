@@ -47,8 +47,12 @@ def read_collection(spark: SparkSession, path: str, *, keys=ENVELOPE_KEYS) -> Da
     schema = T.StructType(SAMPLE_FIELDS + env + [T.StructField("_corrupt_record", T.StringType())])
     raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    raw = raw.filter(F.col("_corrupt_record").isNull())
     arr = F.coalesce(*[F.col(k) for k in keys])
+    # a file that is not JSON at all yields nothing usable and is skipped; a record with one
+    # mistyped field (e.g. "stars": "12") keeps its other fields, as an untyped reader would
+    usable = F.coalesce(*[F.col(c).isNotNull() for c in ("repo_url", "readme", "chunk", "instruction", "content", "output")]
+                        + [arr.isNotNull()])
+    raw = raw.filter(F.col("_corrupt_record").isNull() | F.coalesce(usable, F.lit(False)))
     wrapped = raw.filter(arr.isNotNull()).select(F.explode(arr).alias("s")).select("s.*")
     single = raw.filter(arr.isNull()).select(*[f.name for f in SAMPLE_FIELDS])
     return wrapped.unionByName(single)

@@ -86,3 +86,10 @@ def test_write_with_counts_and_publish(spark, tmp_path):
     io.publish(df, path=str(tmp_path / "msgs"), key="id")
     back = spark.read.text(str(tmp_path / "msgs")).select(F.from_json("value", "id long, s string").alias("m"))
     assert sorted(r["m"]["id"] for r in back.collect()) == list(range(7))
+
+
+def test_read_collection_keeps_records_with_one_bad_field(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"repo_url": "u1", "stars": "many"}, {"repo_url": "u2", "stars": 3}]))
+    (tmp_path / "b.json").write_text("not json at all")
+    got = {r["repo_url"]: r["stars"] for r in io.read_collection(spark, str(tmp_path)).collect()}
+    assert got == {"u1": None, "u2": 3}
