@@ -92,11 +92,22 @@ def batch_prompts(items: DataFrame, *, key=("repo_url", "batch_no")) -> DataFram
     return g.select(*key, n.alias("n_items"), F.concat(head, body).alias("prompt"))
 
 
+_JSON_WS = r"[ \t\n\r]*"
+_JSON_VALUE = r'(?:"(?:[^"\\]|\\.)*"|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)'
+FLAT_JSON_ARRAY = (r"(?s)^\[" + _JSON_WS + "(?:" + _JSON_VALUE + "(?:" + _JSON_WS + "," + _JSON_WS + _JSON_VALUE + ")*)?"
+                   + _JSON_WS + r"\]$")
+
+
 def parse_instructions(answer: Column, n: Column, fallback: str = FALLBACK_INSTRUCTION) -> Column:
     """Greedy ``[...]`` span -> JSON array of strings, padded with the fallback or cut to ``n``;
-    no span or invalid JSON -> ``n`` fallbacks."""
+    no span or invalid JSON (including trailing text after the array) -> ``n`` fallbacks.
+
+    Scalars become their JSON text; a nested array or object (which Python would
+    print with ``str()``) is treated as unparsable and falls back.
+    """
     span = F.regexp_extract(answer, r"\[[\s\S]*\]", 0)
-    arr = F.from_json(F.when(span != "", span), "array<string>")
+    # the span must be exactly one JSON array (json.loads rejects trailing text; from_json would not)
+    arr = F.from_json(F.when(span.rlike(FLAT_JSON_ARRAY), span), "array<string>")
     fill = F.array_repeat(F.lit(fallback), n.cast("int"))
     padded = F.concat(arr, F.array_repeat(F.lit(fallback), F.greatest(n.cast("int") - F.size(arr), F.lit(0))))
     return F.when(arr.isNull(), fill).otherwise(F.slice(padded, 1, n.cast("int")))

@@ -95,3 +95,32 @@ def test_input_text_from_raw_json(spark):
     df = spark.createDataFrame(rows, "raw string")
     got = [r[0] for r in df.select(sft.input_text_any(F.col("raw"))).collect()]
     assert got == ["File structure:\na.py\nb/c.py\n\nProject type: cli", "plain words", "", "", "Project type: api"]
+
+
+def test_parse_instructions_random(spark):
+    import json
+    import random
+    import re
+    rng = random.Random(3)
+    fb = sft.FALLBACK_INSTRUCTION
+
+    def brute(answer, n):
+        m = re.search(r"\[[\s\S]*\]", answer)
+        if not m:
+            return [fb] * n
+        try:
+            got = json.loads(m.group(0))
+        except json.JSONDecodeError:
+            return [fb] * n
+        got = [str(x) for x in got] if isinstance(got, list) else [str(got)]
+        return (got + [fb] * n)[:n]
+    answers = []
+    for _ in range(200):
+        items = [rng.choice(["a", "Generate x", "with, comma", 'q"t', 7, ""]) for _ in range(rng.randint(0, 5))]
+        text = json.dumps(items)
+        answers.append((rng.choice(["", "Sure: ", "x (", "]"]) + rng.choice([text, text[:-1], "none"]) + rng.choice(["", " ok", "]"]),
+                        rng.randint(1, 4)))
+    df = spark.createDataFrame(answers, "a string, n int")
+    got = [r[0] for r in df.select(sft.parse_instructions(F.col("a"), F.col("n"))).collect()]
+    for (a, n), g in zip(answers, got):
+        assert g == brute(a, n), a
