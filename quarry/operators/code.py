@@ -102,6 +102,7 @@ def regex_type(content) -> Column:
     only while unset; evidence lists every pattern family that matched.
     """
     c = F.col(content) if isinstance(content, str) else content
+    c = F.regexp_replace(c, "\r\n?", "\n")          # text-mode reading: universal newlines
     api_hits = [_rx(c, p, True) for p in API_PATTERNS]
     api_any = api_hits[0]
     for h in api_hits[1:]:

@@ -242,7 +242,9 @@ def merge_public(custom: DataFrame, public: DataFrame | None, *, size: int = 100
 
 def file_head(content: Column, max_lines: int = 50) -> Column:
     """The first ``max_lines`` lines (terminators kept) plus a truncation note when the
-    file has at least that many lines."""
+    file has at least that many lines. Line ends are read as Python's text mode reads
+    them (``\r\n`` and ``\r`` become ``\n``)."""
+    content = F.regexp_replace(content, "\r\n?", "\n")
     lines = F.split(content, "\n", -1)
     nlines = F.size(lines) - F.when(content.endswith("\n") | (content == ""), 1).otherwise(0)
     head = F.when(nlines <= max_lines, content).otherwise(
