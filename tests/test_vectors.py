@@ -80,3 +80,28 @@ def test_rerank_answer_semantics(spark):
         got.setdefault(r["question_id"], []).append(r["content"])
     # q1: passages [p1, p3, p4] -> 3rd, 1st; q2 answered without numbers -> nothing; q3 unanswered -> original order
     assert got == {1: ["p4", "p1"], 3: ["p1", "p3"]}
+
+
+def test_multi_query_random(spark):
+    rng = np.random.default_rng(21)
+    pts = rng.normal(size=(80, 6))
+    p = spark.createDataFrame([(i, pts[i].tolist(), "c") for i in range(80)], "id long, embedding array<double>, content string")
+    qrows = []
+    for qid in range(5):
+        for qn in range(rng.integers(1, 4)):
+            qrows.append((qid, qn, rng.normal(size=6).tolist()))
+    q = spark.createDataFrame(qrows, "question_id int, query_no int, embedding array<double>")
+    got = {}
+    for r in vx.multi_query_topk(p, q, k=7).orderBy("question_id", "hit_no").collect():
+        got.setdefault(r["question_id"], []).append(r["id"])
+    unit = pts / np.linalg.norm(pts, axis=1)[:, None]
+    for qid in range(5):
+        qs = [(qn, np.array(v)) for (a, qn, v) in qrows if a == qid]
+        lim = 7 // len(qs) + 1
+        hits = []
+        for qn, v in sorted(qs, key=lambda x: x[0]):
+            s = unit @ (v / np.linalg.norm(v))
+            order = sorted(range(80), key=lambda i: (-s[i], i))[:lim]
+            hits.extend(order)
+        want = list(dict.fromkeys(hits))
+        assert got[qid] == want, qid
