@@ -64,3 +64,26 @@ def test_partition_count_invariance(spark):
         a = sorted(map(tuple, build(lines.repartition(1), files.repartition(1)).collect()))
         b = sorted(map(tuple, build(lines.repartition(7), files.repartition(7)).collect()))
         assert a == b
+
+
+def test_keep_first_and_upsert_random(spark):
+    import random
+
+    from quarry.operators import vectors as vx
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 30), rng.randint(0, 5), i, f"v{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, a int, b int, v string")
+    got = {r["k"]: r["v"] for r in keep_first(df, key="k", order=["a", "b"]).collect()}
+    want = {}
+    for k, a, b, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        want.setdefault(k, v)
+    assert got == want
+    cur = spark.createDataFrame([(i, "c0") for i in range(20)], "id long, content string")
+    batches = [[(rng.randint(0, 30), f"b{j}") for _ in range(10)] for j in range(1, 4)]
+    dfs = [spark.createDataFrame(list({i: (i, c) for i, c in b}.values()), "id long, content string") for b in batches]
+    got_u = dict(map(tuple, vx.upsert(cur, *dfs).collect()))
+    want_u = {i: "c0" for i in range(20)}
+    for b in batches:
+        for i, c in b:
+            want_u[i] = c
+    assert got_u == want_u
