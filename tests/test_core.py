@@ -87,3 +87,20 @@ def test_keep_first_and_upsert_random(spark):
         for i, c in b:
             want_u[i] = c
     assert got_u == want_u
+
+
+def test_exact_split_random_fractions(spark):
+    import random
+    rng = random.Random(8)
+    for _ in range(6):
+        n = rng.randint(0, 400)
+        frac = rng.choice([0.05, 0.5, 0.9, 0.95])
+        df = spark.createDataFrame([(f"key-{i}",) for i in range(n)] or [("x",)], "k string")
+        if n == 0:
+            df = df.filter("false")
+        out = exact_hash_split(df, key="k", fraction=frac, seed=13, prefix_len=2)
+        flags = dict(map(tuple, out.select("k", "is_train").collect()))
+        want = n if n < 10 else math.floor(n * frac)
+        assert len(flags) == n and sum(flags.values()) == want
+        again = dict(map(tuple, exact_hash_split(df, key="k", fraction=frac, seed=13, prefix_len=2).select("k", "is_train").collect()))
+        assert again == flags
