@@ -44,16 +44,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; only set one when none is configured."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    """Return the shared checkpoint folder.
+
+    Where none is configured, a local session gets a scratch folder; on a cluster that would be
+    each executor's own disk, so it is refused.
+    """
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not current:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
+    return current
 
 
 def materialize(df, name: str):
