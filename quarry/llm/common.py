@@ -52,14 +52,14 @@ def doc_text(docs: DataFrame, *more: str) -> DataFrame:
                        *[column_or_null(docs, c, "string").alias(c) for c in more])
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches of about BLOCK_CHARS characters, with the texts as Python strings."""
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of the batches of about ``chars`` characters, with the texts as Python strings."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
         at = 0
         while at < len(texts):
             size, end = 0, at
-            while end < len(texts) and (end == at or size + len(texts[end] or "") <= BLOCK_CHARS):
+            while end < len(texts) and (end == at or size + len(texts[end] or "") <= chars):
                 size += len(texts[end] or "")
                 end += 1
             yield batch.slice(at, end - at), texts[at:end]

@@ -39,24 +39,27 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Filling, int]]:
     """Best-fit decreasing on counts: bins of one content move together."""
-    bins: dict[tuple[int, Filling], int] = {}                              # (room left, content) -> how many bins
+    bins: list[dict[Filling, int]] = [{} for _ in range(capacity + 1)]    # by room left: content -> how many bins
+    bins[capacity][()] = int(counts.sum())                                # bins not opened yet
+    some = np.zeros(capacity + 1, bool)
+    some[capacity] = True
     for size in np.flatnonzero(counts)[::-1].tolist():
         left = int(counts[size])
         while left:
-            fits = [b for b in bins if b[0] >= size]
-            key = min(fits) if fits else (capacity, ())
-            have = bins.get(key, left) if fits else left
-            each = min(key[0] // size, left)
+            room = size + int(np.argmax(some[size:]))                       # the tightest that fits
+            content, have = next(iter(bins[room].items()))
+            each = min(room // size, left)
             n = min(have, left // each)
-            if fits:
-                bins[key] -= n
-                if not bins[key]:
-                    del bins[key]
-            room, content = key
-            new = (room - each * size, (*content, (size, each)))
-            bins[new] = bins.get(new, 0) + n
+            if n == have:
+                del bins[room][content]
+                some[room] = bool(bins[room])
+            else:
+                bins[room][content] = have - n
+            new, rest = (*content, (size, each)), room - each * size
+            bins[rest][new] = bins[rest].get(new, 0) + n
+            some[rest] = True
             left -= n * each
-    return [(content, n) for (_, content), n in bins.items()]
+    return [(content, n) for contents in bins for content, n in contents.items() if content]
 
 
 def _dominated(counts: np.ndarray, filling: list[int], waste: int) -> bool:
@@ -101,7 +104,7 @@ def _fillings(counts: np.ndarray, room: int, width: int) -> Iterator[list[int]]:
     found: list[tuple[int, list[int]]] = []
     stack: list[tuple[int, int, list[int]]] = [(room, int(sizes[-1]), [])]
     steps = 0
-    while stack and len(found) < width and steps < 20 * width:
+    while stack and len(found) < width and steps < 8 * width:
         steps += 1
         left, largest, chosen = stack.pop()
         free = counts[: min(left, largest) + 1].copy()
@@ -166,7 +169,7 @@ def plan_bins(counts: np.ndarray, capacity: int, nodes: int = 4_000, width: int
             left[size] -= each * n
         if used + n + (lower_bound(left, capacity) if left.any() else 0) >= best_n:
             continue
-        if seen % 16 == 1 or not left.any():
+        if seen % 64 == 1 or not left.any():
             tail = best_fit(left, capacity)
             total = used + n + sum(k for _, k in tail)
             if total < best_n:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm import toxicity
+from quarry.llm.bpe import encode_decode_digests
 from quarry.llm.packing import pack
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 from quarry.llm.urlfilter import url_filter
@@ -23,6 +25,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode_digests(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -48,3 +55,9 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
