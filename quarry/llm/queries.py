@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import toxicity
+from quarry.llm import ann, toxicity
 from quarry.llm.bpe import encode_decode_digests
 from quarry.llm.packing import pack
+from quarry.llm.quality import quality_rules
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 from quarry.llm.urlfilter import url_filter
 from quarry.sources.tables import table
@@ -35,6 +36,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
