@@ -63,7 +63,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
     return stage(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, block int, task int, counts binary"), "ngram-survey")
 
 
-def _levels(survey: DataFrame) -> np.ndarray:
+def levels_of(survey: DataFrame) -> np.ndarray:
     """The buckets' counts over all documents, on a logarithmic scale; 2^BUCKET_BITS bytes."""
 
     def add(group: pa.Table) -> pa.Table:
@@ -110,7 +110,7 @@ def _postings(docs: DataFrame, size: int, percent: int, levels) -> DataFrame:
     return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "gram long, doc_id long, size int, place int")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Columns of whole runs of equal first values, of batches sorted by it; runs of one row are left out."""
     held: list[np.ndarray] | None = None
     for batch in batches:
@@ -137,7 +137,7 @@ def _shared(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [c[keep] for c in columns]
 
 
-def _may_link(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
+def may_link(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
     """The length filter, and the positional one: what follows the shared n-gram suffices."""
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
     return (100 * small >= percent * large) & (np.minimum(size_a - place_a, size_b - place_b) >= overlap_needed(size_a + 0, size_b + 0, percent))
@@ -150,14 +150,14 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
     """Postings of n-grams with several documents; ``centre`` is the list's most typical member (the least place) where the two may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, doc, size, place in _runs(batches):
+        for gram, doc, size, place in runs_of(batches):
             if not len(gram):
                 continue
             order = np.lexsort((doc, place, gram))
             gram, doc, size, place = gram[order], doc[order], size[order], place[order]
             head = np.flatnonzero(np.diff(gram, prepend=gram[0] - 1))
             at = np.repeat(head, np.diff(head, append=len(gram)))
-            ok = (doc != doc[at]) & _may_link(size.astype(np.int64), place, size[at].astype(np.int64), place[at], percent)
+            ok = (doc != doc[at]) & may_link(size.astype(np.int64), place, size[at].astype(np.int64), place[at], percent)
             yield as_batch(SHARED, gram, doc, size, place, pa.array(doc[at], mask=~ok))
 
     return stage(postings.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, doc_id long, size int, place int, centre long"), "ngram-lists")
@@ -171,7 +171,7 @@ def _across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     named = lists.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("gram", "doc_id", "size", "place", F.coalesce("component", "doc_id").alias("component"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, doc, size, place, component in _runs(batches):
+        for gram, doc, size, place, component in runs_of(batches):
             done = np.zeros((0, 2), np.int64)
             for rows in np.split(np.arange(len(gram)), np.flatnonzero(np.diff(gram)) + 1):
                 if len(rows) < 2 or (component[rows] == component[rows[0]]).all():
@@ -183,7 +183,7 @@ def _across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
                     other = rows[i + 1 : end]
                     a = rows[i]
                     other = other[(component[other] != component[a]) & (doc[other] != doc[a])]
-                    other = other[_may_link(np.int64(size[a]), place[a], size[other].astype(np.int64), place[other], percent)]
+                    other = other[may_link(np.int64(size[a]), place[a], size[other].astype(np.int64), place[other], percent)]
                     if len(other):
                         done = np.concatenate([done, np.column_stack([np.minimum(doc[a], doc[other]), np.maximum(doc[a], doc[other])])])
                         if len(done) > 1_000_000:
@@ -266,7 +266,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     docs = doc_text(docs)
     survey = _survey(docs, size)
     rows = survey.where("block IS NULL").select("doc_id", "n_shingles", "digest")
-    levels = spark.sparkContext.broadcast(_levels(survey))
+    levels = spark.sparkContext.broadcast(levels_of(survey))
     lists = _lists(_postings(docs, size, percent, levels), percent)
     first = lists.where("centre IS NOT NULL").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct()
     # the centre of a list is the side with many partners: it probes

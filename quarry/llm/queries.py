@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import ann, toxicity
 from quarry.llm.bpe import encode_decode_digests
+from quarry.llm.linededup import dedup_lines
 from quarry.llm.ngramjoin import similar_documents
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
@@ -69,6 +70,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
