@@ -85,5 +85,6 @@ def quality_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left:
 def keep_good(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
     """The rows that the rules keep, with all their columns."""
     gone = stage(depleted(docs, max_documents, min_left), "quality-depleted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    good = with_base(docs).where("NOT _base.base_failed")
+    # a filter on the generated column stays above the projections; on the base itself it would be pushed below and repeat them
+    good = with_base(docs).withColumn("_good", F.explode_outer(F.array(~F.col("_base.base_failed")))).where("_good")
     return good.join(gone, good["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(good["text"]) == gone["_digest"]), "left_anti").select(*[good[c] for c in docs.columns])
