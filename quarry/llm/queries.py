@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import ann, toxicity
+from quarry.llm import ann, lm, toxicity
 from quarry.llm.bpe import encode_decode_digests
 from quarry.llm.linededup import dedup_lines
 from quarry.llm.ngramjoin import similar_documents
@@ -70,6 +70,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
