@@ -110,3 +110,13 @@ def open_buffer(uri: str) -> pa.Buffer:
 def crc_mod(column: Column, n: int) -> Column:
     """crc32 of a number's decimal text, modulo n."""
     return F.crc32(column.cast("string").cast("binary")) % n
+
+
+#: Ids that a broadcast may hold; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def some_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with an id in ``ids``."""
+    ids = stage(ids.select("doc_id"), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi").select("doc_id", "text")

@@ -21,15 +21,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_batch, doc_text, offsets_of, stage, text_blocks
+from quarry.llm.common import as_batch, doc_text, offsets_of, some_documents, stage, text_blocks
 from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed, runs_of
-from quarry.llm.words import word_hashes, words_of
+from quarry.llm.words import distinct, word_hashes, words_of
 
 SHIFT = np.uint64(64 - BUCKET_BITS)
 
 
 def word_set(line: str) -> np.ndarray:
-    return np.unique(word_hashes(words_of(line)))
+    return distinct(word_hashes(words_of(line)))
 
 
 def _new_sets(doc_ids: list, texts: list, seen: set) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
@@ -163,7 +163,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, line) of the later lines of the pairs that are similar."""
     pairs = stage(pairs, "line-pairs")
     places = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line")).union(pairs.select("y_doc", "y_line")).distinct()
-    some = docs.join(places.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    some = some_documents(docs, places.select("doc_id").distinct()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
     lines = stage(some.join(places, ["doc_id", "line"]), "line-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

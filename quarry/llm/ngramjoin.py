@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_batch, doc_text, stage, text_blocks
+from quarry.llm.common import as_batch, doc_text, some_documents, stage, text_blocks
 from quarry.llm.components import components
-from quarry.llm.words import shingles
+from quarry.llm.words import shingles_of
 
 #: Counts of n-grams are kept in 2^BUCKET_BITS hashed buckets, dealt into blocks; noise only costs speed.
 BUCKET_BITS, BLOCK_BITS = 22, 16
@@ -43,15 +43,16 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), set()
         for batch, texts in text_blocks(batches):
-            sizes, digests = [], []
-            for text in texts:
-                grams = shingles(text, size)
+            sizes, digests, fresh = [], [], []
+            for grams in shingles_of(texts, size):
                 digest = xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
                 sizes.append(len(grams))
                 digests.append(digest)
                 if len(grams) and digest not in seen:
                     seen.add(digest)
-                    np.add.at(counts, (grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
+                    fresh.append(grams)
+            if fresh:
+                np.add.at(counts, (np.concatenate(fresh) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
             none = [None] * len(texts)
             yield as_batch(schema, batch.column(0), sizes, digests, none, none, none)
         if seen:
@@ -91,8 +92,7 @@ def _postings(docs: DataFrame, size: int, percent: int, levels) -> DataFrame:
         rank, seen = levels.value, set()
         for batch, texts in text_blocks(batches, chars=1_000_000):
             parts, owners, sizes, places = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                grams = shingles(text, size)
+            for doc_id, grams in zip(batch.column(0).to_pylist(), shingles_of(texts, size), strict=True):
                 n = len(grams)
                 if not n or (digest := xxhash.xxh3_128_digest(grams.tobytes())) in seen:
                     continue
@@ -143,7 +143,7 @@ def may_link(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
     return (100 * small >= percent * large) & (np.minimum(size_a - place_a, size_b - place_b) >= overlap_needed(size_a + 0, size_b + 0, percent))
 
 
-SHARED = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("centre", pa.int64())])
+SHARED = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("members", pa.int32()), ("centre", pa.int64())])
 
 
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
@@ -156,19 +156,20 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
             order = np.lexsort((doc, place, gram))
             gram, doc, size, place = gram[order], doc[order], size[order], place[order]
             head = np.flatnonzero(np.diff(gram, prepend=gram[0] - 1))
-            at = np.repeat(head, np.diff(head, append=len(gram)))
+            members = np.diff(head, append=len(gram))
+            at = np.repeat(head, members)
             ok = (doc != doc[at]) & may_link(size.astype(np.int64), place, size[at].astype(np.int64), place[at], percent)
-            yield as_batch(SHARED, gram, doc, size, place, pa.array(doc[at], mask=~ok))
+            yield as_batch(SHARED, gram, doc, size, place, np.repeat(members, members).astype(np.int32), pa.array(doc[at], mask=~ok))
 
-    return stage(postings.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, doc_id long, size int, place int, centre long"), "ngram-lists")
+    return stage(postings.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, doc_id long, size int, place int, members int, centre long"), "ngram-lists")
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of a list's members in different components that may link."""
-    named = lists.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("gram", "doc_id", "size", "place", F.coalesce("component", "doc_id").alias("component"))
+    """Pairs (a < b) of a list's members in different components that may link; lists of two were settled with their centre."""
+    named = lists.where("members > 2").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("gram", "doc_id", "size", "place", F.coalesce("component", "doc_id").alias("component"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, doc, size, place, component in runs_of(batches):
@@ -235,16 +236,17 @@ def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[i
     return linked
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     pairs = stage(pairs, "ngram-pairs")
+    texts = stage(some_documents(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()), "ngram-texts")
     trees = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", (1 + F.floor((F.col("n") - 1) / TREE)).cast("int").alias("trees"))
     stored = pairs.join(trees, "a").select("a", F.pmod(F.xxhash64("b"), "trees").cast("int").alias("tree"), F.col("b").alias("doc_id")).join(texts, "doc_id").select("a", "tree", "doc_id", "text", F.lit(False).alias("probes"))
     probes = trees.join(texts, trees["a"] == texts["doc_id"]).select("a", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "doc_id", "text", F.lit(True).alias("probes"))
 
     def run(group: pa.Table) -> pa.Table:
         flags, docs = group.column("probes").to_pylist(), group.column("doc_id").to_pylist()
-        sets = [shingles(t, size) for t in group.column("text").to_pylist()]
+        sets = shingles_of(group.column("text").to_pylist(), size)
         kept = [k for k, f in enumerate(flags) if not f and len(sets[k])]
         out = set()
         for k, f in enumerate(flags):
@@ -271,12 +273,11 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     first = lists.where("centre IS NOT NULL").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct()
     # the centre of a list is the side with many partners: it probes
     hubs = lists.where("centre IS NOT NULL").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    texts = stage(docs.join(lists.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text"), "ngram-texts")
-    links = _verified(hubs, texts, size, percent)
+    links = _verified(hubs, docs, size, percent)
     labels = components(links)
     rest = _across(lists, labels, percent).join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(rest, texts, size, percent))
-    least = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    links = links.unionByName(_verified(rest, docs, size, percent))
+    least = stage(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "ngram-copies")
     known = stage(rows.join(least, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), "ngram-classes")
     of = known.where("doc_id IS NOT NULL").select("doc_id", "rep").distinct()
     several = of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")

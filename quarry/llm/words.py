@@ -36,13 +36,42 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted, each value once."""
+    h = np.sort(h)
+    if len(h) > 1:
+        keep = np.empty(len(h), bool)
+        keep[0] = True
+        np.not_equal(h[1:], h[:-1], out=keep[1:])
+        h = h[keep]
+    return h
+
+
+def shingles_of(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of the runs of ``size`` words; the whole sequence as one with fewer words; none without words."""
+    words: list[bytes] = []
+    ends = []
+    for text in texts:
+        words += words_of(text)
+        ends.append(len(words))
+    h = word_hashes(words)
+    runs = np.zeros(max(0, len(h) - size + 1), np.uint64)                  # of the whole block; those across two texts aren't used
+    for i in range(size):
+        runs += h[i : i + len(runs)] * PLACES[i % len(PLACES)] ** np.uint64(1 + i // len(PLACES))
+    runs = mixed(runs + np.uint64(size))
+    out, at = [], 0
+    for end in ends:
+        k = min(size, end - at)
+        if k == size:
+            out.append(distinct(runs[at : end - size + 1]))
+        else:
+            total = np.zeros(1 if k else 0, np.uint64)
+            for i in range(k):
+                total += h[at + i : at + i + 1] * PLACES[i % len(PLACES)] ** np.uint64(1 + i // len(PLACES))
+            out.append(mixed(total + np.uint64(k)))
+        at = end
+    return out
+
+
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``size`` words; the whole sequence as one with fewer words; none without words."""
-    h = word_hashes(words_of(text))
-    if not len(h):
-        return h
-    k = min(size, len(h))
-    total = np.zeros(len(h) - k + 1, np.uint64)
-    for i in range(k):
-        total += h[i : len(h) - k + 1 + i] * PLACES[i % len(PLACES)] ** np.uint64(1 + i // len(PLACES))
-    return np.unique(mixed(total + np.uint64(k)))
+    return shingles_of([text], size)[0]
