@@ -26,32 +26,37 @@ from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, o
 from quarry.llm.words import distinct, word_hashes, words_of
 
 SHIFT = np.uint64(64 - BUCKET_BITS)
+LISTED = "word long, doc_id long, line int, size int, place int"
 
 
-def word_set(line: str) -> np.ndarray:
+def word_set(line: str | None) -> np.ndarray:
     return distinct(word_hashes(words_of(line)))
 
 
-def _new_sets(doc_ids: list, texts: list, seen: set) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, line, words: one row a line. (An outer explode: the optimizer would repeat the split in a filter for an inner one.)"""
+    return docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "words"))
+
+
+def _new_sets(batch: pa.RecordBatch, texts: list, seen: set) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
     """(doc_id, line number, digest, set) of each line with words; the set only where the digest is new."""
-    for doc_id, text in zip(doc_ids, texts, strict=True):
-        for number, line in enumerate((text or "").split("\n")):
-            words = word_set(line)
-            if len(words):
-                key = xxhash.xxh3_128_digest(words.tobytes())
-                fresh = key not in seen
-                seen.add(key)
-                yield doc_id, number, key, words if fresh else None
+    for doc_id, number, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
+        words = word_set(line)
+        if len(words):
+            key = xxhash.xxh3_128_digest(words.tobytes())
+            fresh = key not in seen
+            seen.add(key)
+            yield doc_id, number, key, words if fresh else None
 
 
-def _survey(docs: DataFrame) -> DataFrame:
+def _survey(lines: DataFrame) -> DataFrame:
     """Rows of lines (doc_id, line, key), and rows of bucket counts (block, task, counts)."""
     schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.binary()), ("block", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), set()
-        for batch, texts in text_blocks(batches):
-            rows = list(_new_sets(batch.column(0).to_pylist(), texts, seen))
+        for batch, texts in text_blocks(batches, "words"):
+            rows = list(_new_sets(batch, texts, seen))
             if not rows:
                 continue
             fresh = [w for *_, w in rows if w is not None]
@@ -64,17 +69,18 @@ def _survey(docs: DataFrame) -> DataFrame:
             none = [None] * len(blocks)
             yield as_batch(schema, none, none, none, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
 
-    return stage(docs.mapInArrow(run, "doc_id long, line int, key binary, block int, task int, counts binary"), "line-survey")
+    return stage(lines.mapInArrow(run, "doc_id long, line int, key binary, block int, task int, counts binary"), "line-survey")
 
 
-def _postings(docs: DataFrame, percent: int, levels) -> DataFrame:
-    """(word, doc_id, line, size, place) of the prefixes of a task's distinct sets; words that only one set has are left out."""
+def _postings(lines: DataFrame, percent: int, levels) -> DataFrame:
+    """(word, doc_id, line, size, place) of the prefixes of a task's distinct sets, each at its earliest place in the task;
+    words that only one set has are left out."""
     schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
-        for batch, texts in text_blocks(batches, chars=1_000_000):
-            rows = [r for r in _new_sets(batch.column(0).to_pylist(), texts, seen) if r[3] is not None]
+        for batch, texts in text_blocks(batches, "words", chars=1_000_000):
+            rows = [r for r in _new_sets(batch, texts, seen) if r[3] is not None]
             if not rows:
                 continue
             sizes = np.fromiter((len(r[3]) for r in rows), np.int64, len(rows))
@@ -88,10 +94,9 @@ def _postings(docs: DataFrame, percent: int, levels) -> DataFrame:
             owner = owner[keep]
             yield as_batch(schema, words[order][keep].view(np.int64), np.array([r[0] for r in rows], np.int64)[owner], np.array([r[1] for r in rows], np.int32)[owner], sizes[owner].astype(np.int32), place[keep].astype(np.int32))
 
-    return docs.mapInArrow(run, "word long, doc_id long, line int, size int, place int")
+    return lines.sortWithinPartitions("doc_id", "line").mapInArrow(run, LISTED)
 
 
-LISTED = "word long, doc_id long, line int, size int, place int"
 PAIRS = pa.schema([("x_doc", pa.int64()), ("x_line", pa.int32()), ("y_doc", pa.int64()), ("y_line", pa.int32())])
 
 
@@ -163,7 +168,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, line) of the later lines of the pairs that are similar."""
     pairs = stage(pairs, "line-pairs")
     places = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line")).union(pairs.select("y_doc", "y_line")).distinct()
-    some = some_documents(docs, places.select("doc_id").distinct()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    some = lines_of(some_documents(docs, places.select("doc_id").distinct()))
     lines = stage(some.join(places, ["doc_id", "line"]), "line-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +194,13 @@ def repeated_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, line) of the lines that go; a line counts from 0 in its text. See ``dedup_lines`` for the special cases."""
     spark = docs.sparkSession
     docs = doc_text(docs).where("doc_id IS NOT NULL")
-    survey = _survey(docs)
+    survey = _survey(lines_of(docs))
     lines = survey.where("block IS NULL").select("doc_id", "line", "key")
     levels = spark.sparkContext.broadcast(levels_of(survey))
     firsts = stage(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).select("key", "first.doc_id", "first.line", "n"), "line-firsts")
     again = (lines.join(firsts.where("n > 1").select("key", F.col("doc_id").alias("first_doc"), F.col("line").alias("first_line")), "key")
              .where("doc_id > first_doc OR (doc_id = first_doc AND line > first_line)").select("doc_id", "line"))
-    lists = stage(_several(_postings(docs, percent, levels)).join(firsts.select("doc_id", "line").distinct(), ["doc_id", "line"], "left_semi").select("word", "doc_id", "line", "size", "place"), "line-lists")
+    lists = stage(_several(_postings(lines_of(docs), percent, levels)).join(firsts.select("doc_id", "line").distinct(), ["doc_id", "line"], "left_semi").select("word", "doc_id", "line", "size", "place"), "line-lists")
     first_pairs = stage(_first_pairs(lists, percent), "line-first-pairs")
     decided = _similar(first_pairs, docs, percent)
     rest = _other_pairs(lists, decided, percent).join(first_pairs, PAIRS.names, "left_anti")
