@@ -141,20 +141,24 @@ def merge_document(existing: Column, new_blocks: Column, *, policy: str = "two_m
 
 
 def new_blocks_by_doc(new_blocks: DataFrame, *, doc: str = "doc_id", name: str = "block_name",
-                      content: str = "new_content", order: str | None = None) -> DataFrame:
-    """Long table of new blocks -> ``(doc, new_blocks array)``; a document's block list is bounded."""
-    o = F.col(order) if order else F.lit(0)
-    g = new_blocks.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(o.alias("_o"), F.col(name).alias("name"),
-                                                                         F.col(content).alias("content")))).alias("_b"))
+                      content: str = "new_content", order: str) -> DataFrame:
+    """Long table of new blocks -> ``(doc, new_blocks array)``; a document's block list is bounded.
+
+    Blocks stand in ``order``; a repeated name keeps its first place and its last content.
+    """
+    once = new_blocks.groupBy(doc, name).agg(F.min(order).alias("_o"), F.max_by(content, order).alias(content))
+    g = once.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("_o", F.col(name).alias("name"),
+                                                                   F.col(content).alias("content")))).alias("_b"))
     return g.select(doc, F.transform("_b", lambda x: F.struct(x["name"].alias("name"), x["content"].alias("content")))
                     .alias("new_blocks"))
 
 
 def merge_blocks(docs: DataFrame, new_blocks: DataFrame | None = None, *, policy: str = "two_mode",
-                 auto_detect: bool = True, marker: str = "DOC", doc: str = "doc_id", existing: str = "existing") -> DataFrame:
-    """J8 + M1/M2: documents with their new blocks merged (``merged`` column)."""
+                 auto_detect: bool = True, marker: str = "DOC", doc: str = "doc_id", existing: str = "existing",
+                 order: str = "block_no") -> DataFrame:
+    """J8 + M1/M2: documents with their new blocks merged (``merged`` column); ``order`` orders a long table of new blocks."""
     d = docs
     if new_blocks is not None:
-        d = docs.join(new_blocks_by_doc(new_blocks, doc=doc), doc, "left")
+        d = docs.join(new_blocks_by_doc(new_blocks, doc=doc, order=order), doc, "left")
     return d.withColumn("merged", merge_document(F.col(existing), F.col("new_blocks"), policy=policy,
                                                  auto_detect=auto_detect, marker=marker))

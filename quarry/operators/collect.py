@@ -51,7 +51,7 @@ def resolve_readme(repos: DataFrame, fetches: DataFrame, *, key: str = "repo_url
     found = first_success(cand, fetches, key=key, value="body").withColumnRenamed("body", "readme")
     if api is not None:
         dec = api.filter(F.col("status") == 200).select(
-            F.col(key), F.decode(F.unbase64(F.col("content")), "UTF-8").alias("_api"))
+            F.col(key), F.try_validate_utf8(F.unbase64(F.col("content")).cast("string")).alias("_api"))
         found = found.join(dec, key, "full_outer").select(
             key, F.coalesce("readme", "_api").alias("readme"),
             F.when(F.col("readme").isNotNull(), F.col("rank")).otherwise(F.lit(len(README_CANDIDATES) + 1)).alias("rank"))

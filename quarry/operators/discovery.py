@@ -92,7 +92,7 @@ def stars_order() -> list[Column]:
 
 
 def search_repos(items: DataFrame, *, min_stars: int = 100, language: str | None = None,
-                 project_type: str | None = None, limit: int | None = 1000, as_of: str | None = None,
+                 project_type: str | None = None, limit: int | None = None, as_of: str | None = None,
                  fallback: bool = True) -> DataFrame:
     """F4-F7 + L5: strict search, post-filter, sort by stars; when the strict result is empty
     and a project type was asked, the weaker fallback (sorted by update time).
@@ -110,18 +110,17 @@ def search_repos(items: DataFrame, *, min_stars: int = 100, language: str | None
     weak = items.filter(search_predicate(min_stars=min_stars, language=language, project_type=None,
                                          negative=FALLBACK_NEGATIVE))
     weak = weak.filter(crawl_filter(None, keywords=FALLBACK_KEYWORDS, name_keywords=FALLBACK_NAME_KEYWORDS))
-    page = min(100, limit or 100)
-    weak = ordered_limit(weak, page, order=[F.col("updated_at").desc(), F.col("url")]).withColumn("origin", F.lit("fallback"))
+    weak = ordered_limit(weak, limit, order=[F.col("updated_at").desc(), F.col("url")]) if limit else weak
+    weak = weak.withColumn("origin", F.lit("fallback"))
     empty = strict.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(F.lit(1).alias("_k"))
     weak = weak.withColumn("_k", F.lit(1)).join(F.broadcast(empty), "_k").drop("_k")
     return strict.unionByName(weak)
 
 
-def language_quota(items: DataFrame, languages, *, min_stars: int = 100, limit: int = 1000,
-                   project_type: str | None = None, cap: int = 1000) -> DataFrame:
+def language_quota(items: DataFrame, languages, *, limit: int, min_stars: int = 100,
+                   project_type: str | None = None) -> DataFrame:
     """L3: per language ``limit // len(languages)`` best repositories (by stars), concatenated
-    in language order, cut at ``min(limit, cap)``."""
-    limit = min(limit, cap)
+    in language order, cut at ``limit``."""
     q = limit // len(languages)
     lang_rank = F.create_map(*[x for i, l in enumerate(languages) for x in (F.lit(l.lower()), F.lit(i))])
     cond = None

@@ -206,15 +206,13 @@ def batch_docs(prompts: DataFrame, complete: Callable[[list[str]], list[str]] |
     def run(batches):
         for pdf in batches:
             docs, errs = [], []
-            try:
-                answers = complete(list(pdf["prompt"])) if len(pdf) else []
-            except Exception as e:  # noqa: BLE001 - a failing batch is reported per row
-                answers, err = [None] * len(pdf), f"model error: {e}"
-            else:
-                err = "empty answer"
-            for a in answers:
-                docs.append(a if a else None)
-                errs.append(None if a else err)
+            for prompt in pdf["prompt"]:
+                try:
+                    answer, err = complete([prompt])[0], "empty answer"
+                except Exception as e:  # noqa: BLE001 - a failure is reported for its repository alone
+                    answer, err = None, f"model error: {e}"
+                docs.append(answer if answer else None)
+                errs.append(None if answer else err)
             yield pd.DataFrame({repo: pdf[repo], "doc": docs, "error": errs})
 
     return prompts.select(repo, "prompt").mapInPandas(run, f"{repo} {rtype}, doc string, error string")

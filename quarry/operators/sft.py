@@ -92,22 +92,20 @@ def batch_prompts(items: DataFrame, *, key=("repo_url", "batch_no")) -> DataFram
     return g.select(*key, n.alias("n_items"), F.concat(head, body).alias("prompt"))
 
 
-_JSON_WS = r"[ \t\n\r]*"
-_JSON_VALUE = r'(?:"(?:[^"\\]|\\.)*"|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)'
-FLAT_JSON_ARRAY = (r"(?s)^\[" + _JSON_WS + "(?:" + _JSON_VALUE + "(?:" + _JSON_WS + "," + _JSON_WS + _JSON_VALUE + ")*)?"
-                   + _JSON_WS + r"\]$")
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def parse_instructions(answer: Column, n: Column, fallback: str = FALLBACK_INSTRUCTION) -> Column:
     """Greedy ``[...]`` span -> JSON array of strings, padded with the fallback or cut to ``n``;
     no span or invalid JSON (including trailing text after the array) -> ``n`` fallbacks.
 
-    Scalars become their JSON text; a nested array or object (which Python would
-    print with ``str()``) is treated as unparsable and falls back.
+    Scalars, nested arrays and objects become their JSON text.
     """
-    span = F.regexp_extract(answer, r"\[[\s\S]*\]", 0)
-    # the span must be exactly one JSON array (json.loads rejects trailing text; from_json would not)
-    arr = F.from_json(F.when(span.rlike(FLAT_JSON_ARRAY), span), "array<string>")
+    span = F.regexp_extract(answer, r"(?s)\[.*\]", 0)
+    # the span must be one JSON value: inside one more pair of brackets a second element after it shows, as an object's value a bracket too many
+    wrapped = F.from_json(F.concat(F.lit("["), span, F.lit("]")), "array<array<string>>", STRICT_JSON)
+    value = F.from_json(F.concat(F.lit('{"v":'), span, F.lit("}")), "v array<string>", STRICT_JSON)["v"]
+    arr = F.when((F.size(wrapped) == 1) & value.isNotNull(), value)
     fill = F.array_repeat(F.lit(fallback), n.cast("int"))
     padded = F.concat(arr, F.array_repeat(F.lit(fallback), F.greatest(n.cast("int") - F.size(arr), F.lit(0))))
     return F.when(arr.isNull(), fill).otherwise(F.slice(padded, 1, n.cast("int")))
@@ -124,14 +122,16 @@ def complete_prompts(prompts: DataFrame, complete: Callable[[list[str]], list[st
     key = list(key)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prompts.select(*key).schema.fields)
 
+    def answer_of(prompt):
+        try:
+            return complete([prompt])[0]
+        except Exception:  # noqa: BLE001 - a failed call falls back to the default instruction, for its batch alone
+            return None
+
     def run(batches_iter):
         for pdf in batches_iter:
             out = pdf[key].copy()
-            try:
-                answers = complete(list(pdf["prompt"])) if len(pdf) else []
-            except Exception:  # noqa: BLE001 - a failed call falls back to the default instruction
-                answers = [None] * len(pdf)
-            out["answer"] = answers
+            out["answer"] = [answer_of(p) for p in pdf["prompt"]]
             yield out
 
     return prompts.select(*key, "prompt").mapInPandas(run, f"{schema}, answer string")
@@ -231,12 +231,12 @@ def alpaca_text(df: DataFrame, *, eos: str = "</s>", input_col: str = "input", i
     return df.withColumn("text", F.concat(F.when(txt != "", with_input).otherwise(no_input), F.lit(eos)))
 
 
-def merge_public(custom: DataFrame, public: DataFrame | None, *, size: int = 10000, order=("id",)) -> DataFrame:
-    """Custom samples plus the first ``size`` rows of the public set (columns by name;
+def merge_public(custom: DataFrame, public: DataFrame | None, *, size: int | None = None, order=("id",)) -> DataFrame:
+    """Custom samples plus the public set, or its first ``size`` rows (columns by name;
     missing ones become null). An absent public table leaves the custom set."""
     if public is None:
         return custom
-    head = public.orderBy(*order).limit(size)
+    head = public if size is None else public.orderBy(*order).limit(size)
     return custom.unionByName(head, allowMissingColumns=True)
 
 

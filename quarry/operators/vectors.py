@@ -162,12 +162,14 @@ def expand_parse(query: Column, response: Column, n: int = 3) -> Column:
     return F.when(response.isNull(), F.array(query)).otherwise(F.slice(with_q, 1, n))
 
 
-def upsert(current: DataFrame, *batches: DataFrame, key: str = "id") -> DataFrame:
-    """K7: insert-or-replace by id; a later batch wins (``batch_no`` order)."""
+def upsert(current: DataFrame, *batches: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """K7: insert-or-replace by id; a later batch wins, within a batch the largest ``order`` (without
+    one, ids have to be unique within a batch)."""
     u = current.withColumn("_batch", F.lit(0))
     for i, b in enumerate(batches, 1):
         u = u.unionByName(b.withColumn("_batch", F.lit(i)), allowMissingColumns=True)
-    return keep_first(u, key=key, order=[F.col("_batch").desc()]).drop("_batch")
+    last = [F.col("_batch").desc()] + ([F.col(order).desc()] if order else [])
+    return keep_first(u, key=key, order=last).drop("_batch")
 
 
 def scroll(points: DataFrame, *, limit: int = 10, offset: int | None = None) -> DataFrame:

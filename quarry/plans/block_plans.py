@@ -65,8 +65,8 @@ def q_merge_three_mode(spark, sf):
 def q_merge_blocks(spark, sf):
     """New blocks from a long table (one row per doc and block), looked up by name."""
     d = fixture(spark, sf, "v_marked_docs")
-    new = d.select("doc_id", "block_name", "new_content").unionByName(
-        d.select("doc_id", F.lit("api").alias("block_name"), F.col("new_content")))
+    new = d.select("doc_id", F.lit(0).alias("block_no"), "block_name", "new_content").unionByName(
+        d.select("doc_id", F.lit(1).alias("block_no"), F.lit("notes").alias("block_name"), F.col("existing").alias("new_content")))
     docs = d.select("doc_id", "existing")
     return bk.merge_blocks(docs, new).select("doc_id", "merged")
 

@@ -155,21 +155,17 @@ EDGE_CTES = [
         FROM il i JOIN typed t ON t.repo_id = i.repo_id AND t.path = i.path"""),
     ("kw", f"SELECT *, {cascade('lower(import)', cd.IMPORT_TARGET_RULES)} AS _kw FROM imps"),
     ("theta", """SELECT u.repo_id, u.import, arg_min(t.type, t.file_no) AS _theta FROM (SELECT DISTINCT repo_id, import FROM kw WHERE _kw IS NULL) u
-        JOIN typed t ON t.repo_id = u.repo_id WHERE contains('', u.import) OR contains(u.import, '') GROUP BY u.repo_id, u.import"""),
+        JOIN typed t ON t.repo_id = u.repo_id
+        WHERE contains(t.path, u.import) OR contains(u.import, replace(t.path, '/', '.')) GROUP BY u.repo_id, u.import"""),
+    ("ncon", """SELECT k.repo_id, count(*) AS conns FROM kw k LEFT JOIN theta th ON th.repo_id = k.repo_id AND th.import = k.import
+        WHERE coalesce(k._kw, th._theta) IS NOT NULL GROUP BY k.repo_id"""),
 ]
 
 
 def _edge_inputs(spark, sf):
     f = _files(spark, sf)
-    typed = cd.file_types_regex(f).withColumn("parsed", F.lit(False))
-    il = f.select("repo_id", "path", F.posexplode(cd.import_lines("content")).alias("imp_no", "line"))
-    m = F.regexp_extract("line", r"^from\s+(\S+)\s+import\s+(\S+)", 1)
-    x = F.regexp_extract("line", r"^from\s+(\S+)\s+import\s+(\S+)", 2)
-    imp = F.when(F.col("line").startswith("from "), F.concat(m, F.lit("."), x)) \
-        .otherwise(F.regexp_extract("line", r"^import\s+(\S+)", 1))
-    imps = il.join(typed.select("repo_id", "path", "file_no"), ["repo_id", "path"]) \
-        .select("repo_id", "file_no", "imp_no", imp.alias("import"))
-    return typed, imps
+    typed = cd.file_types_regex(f).withColumn("parsed", F.lit(True))
+    return typed, cd.line_imports(f, typed)
 
 
 @register("import_edges", with_views(["v_repo_files"], EDGE_CTES) + """
@@ -182,7 +178,7 @@ def q_import_edges(spark, sf):
 
 
 KF_VALUES = ", ".join(f"({i}, '{c.lower()}')" for i, c in enumerate(__import__("quarry.operators.repos", fromlist=["x"]).KEY_FILE_CANDIDATES))
-PRE_CTES = [PF, TYPED_CTE, CNT_CTE, COMP_CTE, LAYERS_CTE,
+PRE_CTES = [PF, *EDGE_CTES, CNT_CTE, COMP_CTE, LAYERS_CTE,
             ("kfc", f"SELECT * FROM (VALUES {KF_VALUES}) t(k_no, lk)"),
             ("entry", f"""SELECT DISTINCT pf.repo_id FROM pf JOIN kfc ON pf.lname = kfc.lk
                           WHERE pf.lname IN ({q(cd.ENTRY_POINTS)})"""),
@@ -201,12 +197,12 @@ SELECT repo_id, reason IS NULL AS ok,
    WHEN {TYPE_CASE} NOT IN ('application', 'cli') AND e.repo_id IS NULL THEN 'no application entry point'
    WHEN coalesce(l.layer_count, 0) < 2 THEN 'only ' || coalesce(l.layer_count, 0) || ' layer(s)'
    WHEN coalesce(l.component_count, 0) < 3 THEN 'too few components: ' || coalesce(l.component_count, 0)
-   WHEN coalesce(l.component_count, 0) < 4 THEN 'no component connections'
+   WHEN coalesce(nc.conns, 0) = 0 AND coalesce(l.component_count, 0) < 4 THEN 'no component connections'
    WHEN _code < 10 THEN 'too few code files: ' || _code
    WHEN _code > 500 THEN 'repository too large: ' || _code
    WHEN _code_dirs < 3 THEN 'files in too few directories: ' || _code_dirs END AS reason
  FROM g LEFT JOIN (SELECT *, CAST(frontend_layer AS INT) + CAST(application_layer AS INT) + CAST(data_layer AS INT) AS layer_count FROM lay) l
-   ON l.repo_id = g.repo_id LEFT JOIN entry e ON e.repo_id = g.repo_id)""")
+   ON l.repo_id = g.repo_id LEFT JOIN entry e ON e.repo_id = g.repo_id LEFT JOIN ncon nc ON nc.repo_id = g.repo_id)""")
 def q_review_prefilter(spark, sf):
     f = _files(spark, sf)
     _, comps, conns = cd.architecture(f, mode="regex")

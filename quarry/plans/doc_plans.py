@@ -14,7 +14,7 @@ from quarry.plans.code_plans import CNT_CTE, COMP_CTE, EDGE_CTES, _edge_inputs
 from quarry.plans.registry import register
 from quarry.plans.sqlkit import with_views
 from quarry.sources.fixtures import fixture
-from quarry.sources.io import project_metadata
+from quarry.session import materialize
 from quarry.sources.tables import table
 
 
@@ -71,16 +71,10 @@ def q_format_tree(spark, sf):
     return dc.format_file_tree(_files(spark, sf), max_depth=3, max_files=100)
 
 
-@register("project_metadata")
-def q_project_metadata(spark, sf):
-    return project_metadata(_files(spark, sf))
-
-
 @register("doc_prompts")
 def q_doc_prompts(spark, sf):
     files = _files(spark, sf)
-    meta = project_metadata(files).select("repo_id", "name", "description")
-    return dc.doc_prompts(files, rp.repo_summary(files), names=meta)
+    return dc.doc_prompts(files, rp.repo_summary(files))
 
 
 @register("batch_docs", with_views(["v_repo_files"]) + """
@@ -91,7 +85,7 @@ def q_batch_docs(spark, sf):
     """Every repository's prompt through the (offline) model; failures become errors, counted."""
     files = _files(spark, sf)
     prompts = dc.doc_prompts(files, rp.repo_summary(files))
-    res = dc.batch_docs(prompts)
+    res = materialize(dc.batch_docs(prompts), "batch-docs")     # the model answers once; rows and counts read its answers
     counts = dc.batch_counts(res).withColumn("_k", F.lit(1))
     return res.withColumn("_k", F.lit(1)).join(counts, "_k").drop("_k")
 
@@ -133,9 +127,9 @@ FB = "'" + dc.FALLBACK_EXPLANATION + "'"
 
 @register("content_guard", f"""
 SELECT conv_id, turn, CASE WHEN {has_any('text', dc.EXPLANATION_BANNED)} THEN {FB} ELSE text END AS explanation
-FROM conversations WHERE role = 'assistant'""")
+FROM conversations""")
 def q_content_guard(spark, sf):
-    c = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    c = table(spark, sf, "conversations")
     return c.select("conv_id", "turn", dc.content_guard(F.col("text")).alias("explanation"))
 
 
@@ -164,13 +158,13 @@ def _tasks(spark, sf):
     c = table(spark, sf, "conversations")
     w = Window.partitionBy("conv_id").orderBy("turn")
     c = c.withColumn("output", F.lead("text").over(w)).withColumn("context", F.lag("text").over(w))
-    return c.filter(F.col("role") == "user").select((F.col("conv_id") * 1000 + F.col("turn")).alias("task_id"),
+    return c.filter(F.col("role") == "user").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("task_id"),
                                                      F.col("text").alias("query"), "output", "context")
 
 
 TOK = "list_distinct(list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[\\s\\pP]+'), lambda t: t <> ''))"
 TASKS_CTES = [
-    ("t0", """SELECT conv_id * 1000 + turn AS task_id, role, text AS query, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS output,
+    ("t0", """SELECT conv_id || '/' || turn AS task_id, role, text AS query, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS output,
               lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS context FROM conversations"""),
     ("tk", f"SELECT task_id, {TOK.format(x='query')} AS q, {TOK.format(x='output')} AS o, {TOK.format(x='context')} AS c FROM t0 WHERE role = 'user'"),
     ("scores", """SELECT task_id,

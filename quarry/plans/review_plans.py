@@ -55,10 +55,11 @@ def q_unreviewed(spark, sf):
           WHEN (CASE WHEN _visible = 0 THEN 1 WHEN _pyv < 5 THEN 1 WHEN _codev / _visible < 0.25 THEN 1 WHEN NOT _struct THEN 1 END) IS NOT NULL THEN 'x'
           WHEN ({REPO_TYPE_CASE}) = 'library' THEN 'x'
           WHEN ({REPO_TYPE_CASE}) NOT IN ('application', 'cli') AND e.repo_id IS NULL THEN 'x'
-          WHEN coalesce(l.layer_count, 0) < 2 THEN 'x' WHEN coalesce(l.component_count, 0) < 4 THEN 'x'
+          WHEN coalesce(l.layer_count, 0) < 2 THEN 'x' WHEN coalesce(l.component_count, 0) < 3 THEN 'x'
+          WHEN coalesce(nc.conns, 0) = 0 AND coalesce(l.component_count, 0) < 4 THEN 'x'
           WHEN _code < 10 THEN 'x' WHEN _code > 500 THEN 'x' WHEN _code_dirs < 3 THEN 'x' END AS reason
         FROM g LEFT JOIN (SELECT *, CAST(frontend_layer AS INT) + CAST(application_layer AS INT) + CAST(data_layer AS INT) AS layer_count FROM lay) l
-          ON l.repo_id = g.repo_id LEFT JOIN entry e ON e.repo_id = g.repo_id)"""),
+          ON l.repo_id = g.repo_id LEFT JOIN entry e ON e.repo_id = g.repo_id LEFT JOIN ncon nc ON nc.repo_id = g.repo_id)"""),
     ("repos", """SELECT DISTINCT p.repo_id, 'https://github.com/u/r' || CAST(p.repo_id AS VARCHAR) AS repo_url,
                  coalesce(s.state, 'none') <> 'none' AS reviewed, pre.ok
                  FROM pf p LEFT JOIN state s ON s.repo_url = 'https://github.com/u/r' || CAST(p.repo_id AS VARCHAR)

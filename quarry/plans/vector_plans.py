@@ -179,6 +179,6 @@ def q_embed_chunks(spark, sf):
     """V6: sentence chunks of every document embedded by the offline encoder, then upserted (K7)."""
     from quarry.operators import chunks as ch
     docs = table(spark, sf, "documents")
-    c = ch.chunk_sentences(docs, "text", keep=["doc_id"]).withColumn("id", F.col("doc_id") * 100000 + F.col("chunk_no"))
+    c = ch.chunk_sentences(docs, "text", keep=["doc_id"]).withColumn("id", F.xxhash64("doc_id", "chunk_no"))
     emb = vx.embed_chunks(c, text="chunk", id_col="id", keep=["doc_id"])
     return vx.upsert(emb.select("id", "doc_id", "content", "embedding"))

@@ -7,11 +7,12 @@ them into the query plan (pruning and pushdown still reach the parquet scan).
 
 from __future__ import annotations
 
+import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.sources.tables import register_tables
+from quarry.sources.tables import TABLES, register_tables
 
 VIEWS: dict[str, str] = {
     "v_md_lines": """
@@ -47,24 +48,28 @@ SELECT 'https://github.com/' || source || '/repo' || CAST(doc_id AS STRING) AS r
             ELSE text END
          || CASE WHEN doc_id % 50 = 7 THEN ''
                  ELSE split_part('| web| cli| library| framework| android|', '|', 1 + CAST(doc_id % 7 AS INT)) END AS readme,
-       source AS source, doc_id % 100 AS files_repo_id, doc_id
+       source AS source, CAST((doc_id - doc_id % 8) / 8 AS BIGINT) AS files_repo_id, doc_id
 FROM documents""",
     "v_sectioned": """
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(text, chr(10), chr(10) || '## ')
                     WHEN doc_id % 3 = 1 THEN replace(text, chr(10), chr(10) || '### ')
                     ELSE text END AS readme
 FROM documents""",
+    # One file for each order and line number: eight orders make a repository; order and line give the file its number. A file of an
+    # order whose key is a document's id holds that document's text below its code.
     "v_repo_files": """
-SELECT repo_id, path,
-       CAST(row_number() OVER (PARTITION BY repo_id ORDER BY path) AS INT) AS file_no,
-       replace(split_part('import flask~@app.route("/")~def home(): pass|from fastapi import APIRouter~router = APIRouter()|import sqlalchemy~engine = create_engine(url)|class User(Base):~    id = Column(int)|class OrderService:~    pass|import redis~c = redis.Redis()|import celery~q = Queue()|import src.utils~import boto3|x = 1|from models import User~import pymongo|service handler s3|def broken(:', '|',
-               1 + CAST((length(path) + repo_id) % 12 AS INT)), '~', chr(10)) AS content
-FROM (SELECT DISTINCT l_suppkey AS repo_id,
-        split_part('|src/|src/app/|api/|services/|tests/|docs/|k8s/|cmd/|lib/core/', '|', 1 + CAST(l_partkey % 10 AS INT))
-        || split_part('main.py|README.md|setup.py|utils.py|models.py|index.js|package.json|__init__.py|docker-compose.yml|server.go|go.mod|Cargo.toml|cache.py|.gitignore|infra.tf|cli.py', '|',
-                      1 + CAST((l_orderkey + l_linenumber) % 16 AS INT)) AS path
-      FROM lineitem
-      WHERE l_partkey % 7 = l_suppkey % 7 AND l_linenumber <= 1 + l_suppkey % 3) t""",
+SELECT CAST((l_orderkey - l_orderkey % 8) / 8 AS BIGINT) AS repo_id,
+       CASE WHEN l_orderkey % 8 = 0 THEN '' ELSE 'mod' || CAST(l_orderkey % 8 AS STRING) || '/' END
+       || split_part('|src/|src/app/|api/|services/|tests/|docs/|k8s/|cmd/|lib/core/', '|', 1 + CAST(l_partkey % 10 AS INT))
+       || split_part('main.py|README.md|setup.py|utils.py|models.py|index.js|package.json|__init__.py|docker-compose.yml|server.go|go.mod|Cargo.toml|cache.py|.gitignore|infra.tf|cli.py', '|',
+                     1 + CAST((l_orderkey + l_linenumber) % 16 AS INT)) AS path,
+       CAST((l_orderkey % 8) * 8 + l_linenumber AS INT) AS file_no,
+       replace(split_part('import flask~@app.route("/")~def home(): pass|from fastapi import APIRouter~router = APIRouter()|import sqlalchemy~engine = create_engine(url)|class User(Base):~    id = Column(int)|class OrderService:~    pass|import redis~c = redis.Redis()|import celery~q = Queue()|import mod1.src.models.py~import utils~import boto3|x = 1|from models import User~import pymongo|service handler s3|def broken(:', '|',
+               1 + CAST((l_partkey + l_suppkey) % 12 AS INT)), '~', chr(10))
+       || CASE WHEN d.text IS NULL THEN '' ELSE chr(10) || d.text END AS content
+FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem
+      GROUP BY l_orderkey, l_linenumber) t
+LEFT JOIN documents d ON d.doc_id = l_orderkey""",
     "v_search_items": """
 SELECT 'https://github.com/org' || CAST(p_partkey % 90 AS STRING) || '/' || replace(p_name, ' ', '-') || CAST(p_partkey AS STRING) AS url,
        'org' || CAST(p_partkey % 90 AS STRING) AS owner,
@@ -98,19 +103,19 @@ FROM benchmark""",
 SELECT 'https://github.com/u/r' || CAST(user_id AS STRING) AS repo_url,
        CASE event_type WHEN 'purchase' THEN 'keep' WHEN 'error' THEN 'discard' ELSE 'undo' END AS decision,
        ts, event_id
-FROM events WHERE event_type IN ('purchase', 'error', 'signup')""",
+FROM events""",
     "v_points": """
 SELECT vec_id AS id, embedding, label,
        CASE WHEN vec_id % 10 = 0 THEN '' ELSE 'passage ' || CAST(vec_id AS STRING) END AS content
 FROM embeddings""",
     "v_marked_docs": """
-SELECT conv_id AS doc_id,
+SELECT conv_id || '/' || turn AS doc_id,
        'intro' || chr(10) || '<!-- DOC_' || CASE WHEN conv_id % 3 = 0 THEN 'MANUAL' ELSE 'AUTO' END || ':api v'
          || CAST(1 + conv_id % 4 AS STRING) || ' -->' || chr(10) || text || chr(10) || '<!-- DOC_'
          || CASE WHEN conv_id % 3 = 0 THEN 'MANUAL' ELSE 'AUTO' END || '_END:api -->' || chr(10) || 'outro' AS existing,
        CASE WHEN conv_id % 5 = 0 THEN 'usage' ELSE 'api' END AS block_name,
        CASE WHEN conv_id % 2 = 0 THEN text ELSE 'new text' END AS new_content
-FROM conversations WHERE turn = 0""",
+FROM conversations""",
     # Not in FIXTURES.md: API reference pages for the incremental merge (T8, M3), one per conversation turn.
     "v_api_docs": """
 SELECT conv_id AS doc_id, turn,
@@ -157,9 +162,9 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scale directory, another thread) do not change it.
     """
     with _VIEW_LOCK:
-        register_tables(spark, sf_dir)
         for n in _order([name]):
             sql = SPARK_ONLY.get(n) or VIEWS[n]
+            register_tables(spark, sf_dir, [t for t in TABLES if re.search(rf"\b{t}\b", sql)])
             spark.sql(sql).createOrReplaceTempView(n)
         return spark.sql(f"SELECT * FROM {name}")
 

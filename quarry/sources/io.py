@@ -7,11 +7,11 @@ only rows whose key is new.
 
 from __future__ import annotations
 
-import tomllib
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +60,15 @@ def read_collection(spark: SparkSession, path: str, *, keys=ENVELOPE_KEYS) -> Da
 
 def scan_repo_files(spark: SparkSession, root: str, *, depth: int = 1) -> DataFrame:
     """Every file under ``root/<repo>/...`` as ``(repo_id, path, content, length)``;
-    ``path`` is relative to the repository folder (``depth`` = folder levels naming the repo)."""
+    ``path`` is relative to the repository folder (``depth`` = folder levels naming the repo);
+    the content of a file that isn't UTF-8 is null."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     base = root.rstrip("/")
-    rel = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:", ""), "^/*" + base.lstrip("/").replace(".", r"\.") + "/", "")
+    rel = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:", ""), "^/*\\Q" + base.lstrip("/") + "\\E/", "")
     parts = F.split(rel, "/", -1)
     return raw.select(F.array_join(F.slice(parts, 1, depth), "/").alias("repo_id"),
-                      F.array_join(F.slice(parts, depth + 1, 1 << 20), "/").alias("path"),
-                      F.decode(F.col("content"), "UTF-8").alias("content"), F.col("length"))
+                      F.array_join(F.slice(parts, F.lit(depth + 1), F.size(parts)), "/").alias("path"),
+                      F.try_validate_utf8(F.col("content").cast("string")).alias("content"), F.col("length"))
 
 
 TREE_SCHEMA = "struct<tree: array<struct<path: string, type: string>>>"
@@ -126,67 +127,33 @@ def search_items(pages: DataFrame, *, body: str = "body", keep=("query_no", "pag
                      F.to_timestamp(F.col("i.updated_at")).alias("updated_at"))
 
 
-META_FIELDS = ["name", "description", "version", "author", "license"]
-
-
-def _toml_meta(batches):
-    for pdf in batches:
-        rows = []
-        for rid, content in zip(pdf["repo_id"], pdf["content"]):
-            m = {k: None for k in META_FIELDS}
-            try:
-                data = tomllib.loads(content or "")
-            except (tomllib.TOMLDecodeError, ValueError):
-                data = {}
-            proj = data.get("project") or {}
-            if isinstance(proj, dict) and proj:
-                m["name"], m["description"] = proj.get("name"), proj.get("description")
-                authors = proj.get("authors") or []
-                if authors:
-                    m["author"] = authors[0].get("name") if isinstance(authors[0], dict) else authors[0]
-                lic = proj.get("license")
-                m["license"] = lic.get("text") if isinstance(lic, dict) else lic
-            poetry = (data.get("tool") or {}).get("poetry") if isinstance(data.get("tool"), dict) else None
-            if isinstance(poetry, dict):
-                for k in ("name", "description", "version"):
-                    if not m[k]:
-                        m[k] = poetry.get(k)
-            rows.append({"repo_id": rid, **{k: (None if v is None else str(v)) for k, v in m.items()}})
-        yield pd.DataFrame(rows, columns=["repo_id"] + META_FIELDS)
-
-
-def project_metadata(files: DataFrame) -> DataFrame:
-    """Name, description, version, author, license from the root ``pyproject.toml``
-    (``[project]`` then ``[tool.poetry]``; parsed with ``tomllib`` in Arrow batches), then
-    the root ``package.json`` (JSON paths in Catalyst); first non-empty value wins."""
-    rtype = files.schema["repo_id"].dataType.simpleString()
-    toml = files.filter(F.col("path") == "pyproject.toml").select("repo_id", "content") \
-        .mapInPandas(_toml_meta, f"repo_id {rtype}, " + ", ".join(f"{k} string" for k in META_FIELDS))
-    pkg = files.filter(F.col("path") == "package.json").select(
-        "repo_id", *[F.get_json_object("content", f"$.{k}").alias(f"p_{k}") for k in META_FIELDS])
-    repos = files.select("repo_id").distinct()
-    out = repos.join(toml, "repo_id", "left").join(pkg, "repo_id", "left")
-    return out.select("repo_id", *[F.coalesce(F.nullif(F.col(k), F.lit("")), F.col(f"p_{k}")).alias(k) for k in META_FIELDS])
-
-
-def append_new(new: DataFrame, existing: DataFrame | None, *, key: str = "repo_url") -> DataFrame:
-    """K1 (idempotent form): rows of ``new`` whose key is not stored yet."""
+def append_new(new: DataFrame, existing: DataFrame | None, *, key: str = "repo_url", order=None) -> DataFrame:
+    """K1 (idempotent form): rows of ``new`` whose key is not stored yet, one a key: the first by
+    ``order`` (columns), or by a hash of the row."""
+    from quarry.operators.core import keep_first
+
+    new = keep_first(new, key=key, order=order or [F.xxhash64(*new.columns)])
     if existing is None:
         return new
     return new.join(existing.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_anti")
 
 
-def append_to(df: DataFrame, path: str, *, key: str | None = "repo_url", fmt: str = "parquet") -> int | None:
-    """K1 sink: append (only new keys when ``key`` is given); an empty input is a no-op."""
-    spark = df.sparkSession
-    rows = df
-    if key:
-        try:
-            rows = append_new(df, spark.read.format(fmt).load(path), key=key)
-        except Exception:  # noqa: BLE001 - first write: nothing stored yet
-            rows = df
-    rows.write.mode("append").format(fmt).save(path)
-    return None
+def stored_at(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """What a sink holds, or None before its first write; any other failure to read is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def append_to(df: DataFrame, path: str, *, key: str | None = "repo_url", fmt: str = "parquet", order=None) -> int:
+    """K1 sink: append (one row for each new key when ``key`` is given); returns how many rows were written."""
+    rows = append_new(df, stored_at(df.sparkSession, path, fmt), key=key, order=order) if key else df
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt).save(path)
+    return seen.get["rows"]
 
 
 def write_dataset(df: DataFrame, path: str, *, fmt: str = "json", partition_by=None) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -13,7 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every driver table as a temp view so shared SQL views resolve."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+#: Tables of a folder that were opened before, by session: opening one lists files and reads a footer.
+_OPENED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
+    """Expose driver tables as temp views so shared SQL views resolve; each is opened once for a session and folder."""
+    for name in names:
+        key = (f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}", sf_dir, name)
+        if key not in _OPENED:
+            _OPENED[key] = table(spark, sf_dir, name)
+        _OPENED[key].createOrReplaceTempView(name)

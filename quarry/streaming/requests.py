@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.io import append_to
+
 REQUEST_SCHEMA = "request_id long, repo_id long, kind string, ts timestamp_ntz"
 # message timestamps (wall-clock, no zone) keep microseconds; Spark's default JSON format stops at milliseconds
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -19,17 +21,19 @@ def read_requests(spark: SparkSession, path: str | None = None, *, fmt: str = "t
                   max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
     """Streaming source of JSON messages in a ``value`` column: a folder of JSON lines
     (``fmt='text'``) or a durable queue such as ``fmt='kafka'`` (``options`` carries the
-    broker and topic settings), parsed with a fixed schema."""
+    broker and topic settings and its ``maxOffsetsPerTrigger``)."""
     r = spark.readStream.format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     raw = r.load(path) if path else r.load()
-    if fmt == "kafka":
-        raw = raw.select(F.col("value").cast("string").alias("value"))
-    msg = F.from_json(F.col("value"), REQUEST_SCHEMA, JSON_OPTIONS)
-    return raw.select(msg.alias("m")).select("m.*").filter(F.col("request_id").isNotNull())
+    return raw.select(F.col("value").cast("string").alias("value"))
+
+
+def parse_requests(messages: DataFrame) -> DataFrame:
+    """``value`` and the message's fields; a message that isn't a request has a null ``request_id``."""
+    return messages.select("value", F.from_json(F.col("value"), REQUEST_SCHEMA, JSON_OPTIONS).alias("m")).select("value", "m.*")
 
 
 def enrich_requests(requests: DataFrame, summaries: DataFrame, prompts: DataFrame | None = None) -> DataFrame:
@@ -49,22 +53,29 @@ def enrich_requests(requests: DataFrame, summaries: DataFrame, prompts: DataFram
 
 
 def idempotent_sink(path: str, key: str = "request_id"):
-    """``foreachBatch`` writer that appends only keys not yet present at ``path``."""
+    """``foreachBatch`` writer that appends one row for each key not yet present at ``path``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            seen = spark.read.parquet(path).select(F.col(key).alias("_seen"))
-            batch = batch.join(seen, batch[key] == seen["_seen"], "left_anti")
-        except Exception:  # noqa: BLE001 - nothing written yet
-            pass
-        batch.write.mode("append").parquet(path)
+        append_to(batch, path, key=key)
     return write
 
 
-def start_requests(spark: SparkSession, source: str, summaries: DataFrame, *, sink: str, checkpoint: str,
-                   available_now: bool = True, prompts: DataFrame | None = None):
-    """Start the flow; returns the ``StreamingQuery``."""
-    flow = enrich_requests(read_requests(spark, source), summaries, prompts)
-    w = flow.writeStream.foreachBatch(idempotent_sink(sink)).option("checkpointLocation", checkpoint)
+def start_requests(spark: SparkSession, source: str | None, summaries: DataFrame, *, sink: str, checkpoint: str,
+                   available_now: bool = True, prompts: DataFrame | None = None, fmt: str = "text",
+                   max_files_per_trigger: int | None = None, options: dict | None = None, dead_letters: str | None = None):
+    """Start the flow; returns the ``StreamingQuery``.
+
+    ``fmt`` and ``options`` choose the source (a folder or a queue); ``max_files_per_trigger``, or the queue's own
+    option, bounds a micro-batch. Messages that are no requests are appended to ``dead_letters`` as they came.
+    """
+    store = idempotent_sink(sink)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_requests(batch)
+        store(enrich_requests(parsed.filter("request_id IS NOT NULL").drop("value"), summaries, prompts), batch_id)
+        if dead_letters:
+            parsed.filter("request_id IS NULL").select("value").write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+
+    w = read_requests(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger, options=options) \
+        .writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -72,3 +72,13 @@ def test_entry_module_imports_without_spark():
     assert out.returncode == 0, out.stderr[-2000:]
     nq, no = map(int, out.stdout.split())
     assert nq >= 100 and no <= nq
+
+
+def test_stream_sets_bad_messages_aside_and_repeats_once(spark):
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/test-stream-bad-{uuid.uuid4().hex[:8]}"
+    good = '{"request_id": 1, "repo_id": 1, "kind": "view", "ts": "2024-01-01T00:00:00.000000"}'
+    spark.createDataFrame([(good,), (good,), ("not json",), ("{}",)], "value string").coalesce(1).write.text(f"{base}/in")
+    summ = rp.repo_summary(spark.createDataFrame([(1, 1, "main.py", "")], "repo_id long, file_no int, path string, content string"))
+    start_requests(spark, f"{base}/in", summ, sink=f"{base}/out", checkpoint=f"{base}/ck", max_files_per_trigger=1, dead_letters=f"{base}/bad").awaitTermination()
+    assert spark.read.parquet(f"{base}/out").count() == 1
+    assert sorted(r["value"] for r in spark.read.parquet(f"{base}/bad").collect()) == ["not json", "{}"]

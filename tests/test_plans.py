@@ -41,3 +41,10 @@ def test_vector_search_has_no_nested_loop(spark):
     p = plan(spark, "vector_topk")
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
     assert "MapInPandas" in p or "MapInArrow" in p
+
+
+def test_chunk_features_folds_once(spark):
+    from quarry.operators import chunks as ch
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumnRenamed("text", "readme")
+    plan = ch.chunk_features(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("aggregate(") == 1

@@ -124,3 +124,15 @@ def test_parse_instructions_random(spark):
     got = [r[0] for r in df.select(sft.parse_instructions(F.col("a"), F.col("n"))).collect()]
     for (a, n), g in zip(answers, got):
         assert g == brute(a, n), a
+
+
+def test_long_answers_do_not_exhaust_the_stack(spark):
+    import json
+
+    from quarry.operators import sft
+    long = ["x" * 1_000_000, "\\\"" * 300_000]
+    rows = [(0, json.dumps(long), 2), (1, json.dumps(["a"]) + " and " + json.dumps(["b"]), 1), (2, json.dumps(["y"] * 50_000), 2), (3, "['single']", 1), (4, "[[1, 2], {\"k\": null}]", 2)]
+    df = spark.createDataFrame(rows, "i int, answer string, n int")
+    got = {r["i"]: r["v"] for r in df.select("i", sft.parse_instructions(F.col("answer"), F.col("n")).alias("v")).collect()}
+    fb = sft.FALLBACK_INSTRUCTION
+    assert got == {0: long, 1: [fb], 2: ["y", "y"], 3: [fb], 4: ["[1,2]", '{"k":null}']}

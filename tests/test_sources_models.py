@@ -8,23 +8,6 @@ from quarry.operators import sft
 from quarry.sources import io
 
 
-def test_project_metadata_toml_then_package_json(spark):
-    pyproject = '[project]\nname = "alpha"\nauthors = [{name = "Ann"}]\nlicense = {text = "MIT"}\n[tool.poetry]\nversion = "1.2"\n'
-    poetry_only = '[tool.poetry]\nname = "beta"\ndescription = "from poetry"\n'
-    pkg = json.dumps({"name": "node-name", "description": "node desc", "version": "9.9", "author": "Zed", "license": "ISC"})
-    files = spark.createDataFrame([
-        (1, 1, "pyproject.toml", pyproject), (1, 2, "package.json", pkg),
-        (2, 1, "pyproject.toml", poetry_only), (3, 1, "package.json", pkg), (4, 1, "pyproject.toml", "not = [toml"),
-        (5, 1, "src/pyproject.toml", pyproject)], "repo_id long, file_no int, path string, content string")
-    got = {r["repo_id"]: (r["name"], r["description"], r["version"], r["author"], r["license"])
-           for r in io.project_metadata(files).collect()}
-    assert got[1] == ("alpha", "node desc", "1.2", "Ann", "MIT")
-    assert got[2] == ("beta", "from poetry", None, None, None)
-    assert got[3] == ("node-name", "node desc", "9.9", "Zed", "ISC")
-    assert got[4] == (None, None, None, None, None)
-    assert got[5] == (None, None, None, None, None)       # only the root file counts
-
-
 def test_read_collection_shapes(spark, tmp_path):
     s1 = {"repo_url": "u1", "readme": "r1", "input": {"project_type": "cli"}}
     s2 = {"repo_url": "u2", "readme": "r2", "input": "plain"}
@@ -93,3 +76,35 @@ def test_read_collection_keeps_records_with_one_bad_field(spark, tmp_path):
     (tmp_path / "b.json").write_text("not json at all")
     got = {r["repo_url"]: r["stars"] for r in io.read_collection(spark, str(tmp_path)).collect()}
     assert got == {"u1": None, "u2": 3}
+
+
+def test_model_failure_stays_with_its_prompt(spark):
+    asked = []
+
+    def model(ps):
+        asked.extend(ps)
+        if "bad" in ps[0]:
+            raise RuntimeError("down")
+        return ["doc for " + p for p in ps]
+    prompts = spark.createDataFrame([(i, "bad" if i == 3 else f"p{i}") for i in range(10)], "repo_id long, prompt string")
+    got = {r["repo_id"]: (r["doc"], r["error"]) for r in dc.batch_docs(prompts, model).collect()}
+    assert got[3] == (None, "model error: down") and all(got[i] == (f"doc for p{i}", None) for i in range(10) if i != 3)
+    keyed = prompts.select(F.lit("u").alias("repo_url"), F.col("repo_id").alias("batch_no"), "prompt")
+    answers = {r["batch_no"]: r["answer"] for r in sft.complete_prompts(keyed, model).collect()}
+    assert answers[3] is None and answers[4] == "doc for p4"
+
+
+def test_files_that_are_not_text_keep_their_row(spark, tmp_path):
+    (tmp_path / "r.1" / "src").mkdir(parents=True)
+    (tmp_path / "r.1" / "logo.png").write_bytes(b"\x89PNG\xff\xfe")
+    (tmp_path / "r.1" / "src" / "a.py").write_text("x = 1\n")
+    got = {r["path"]: (r["repo_id"], r["content"]) for r in io.scan_repo_files(spark, str(tmp_path)).collect()}
+    assert got == {"logo.png": ("r.1", None), "src/a.py": ("r.1", "x = 1\n")}
+
+
+def test_append_keeps_one_row_a_key_and_counts(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "repo_url string, n int")
+    path = str(tmp_path / "sink")
+    assert io.append_to(rows, path, order=["n"]) == 2
+    assert io.append_to(rows.union(spark.createDataFrame([("c", 9)], "repo_url string, n int")), path) == 1
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("b", 3), ("c", 9)]

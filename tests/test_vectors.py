@@ -105,3 +105,9 @@ def test_multi_query_random(spark):
             hits.extend(order)
         want = list(dict.fromkeys(hits))
         assert got[qid] == want, qid
+
+
+def test_upsert_takes_the_last_of_a_batch(spark):
+    now = spark.createDataFrame([(1, "old", 0), (2, "two", 0)], "id long, content string, seq int")
+    batch = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "id long, content string, seq int")
+    assert {r["id"]: r["content"] for r in vx.upsert(now, batch, order="seq").collect()} == {1: "y", 2: "two"}
