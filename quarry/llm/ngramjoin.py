@@ -146,8 +146,27 @@ def may_link(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
 SHARED = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("members", pa.int32()), ("centre", pa.int64())])
 
 
+#: Lists up to this long are looked through for members that may link with none of the others.
+SHORT = 64
+
+
+def _has_partner(gram, doc, size, place, members, percent: int) -> np.ndarray:
+    """Rows that may link with another of their run; all rows of long runs."""
+    found = members > SHORT
+    rows = np.flatnonzero(~found)
+    for step in range(1, SHORT):
+        rows = rows[rows + step < len(gram)]
+        rows = rows[gram[rows] == gram[rows + step]]
+        if not len(rows):
+            break
+        ok = (doc[rows] != doc[rows + step]) & may_link(size[rows], place[rows], size[rows + step], place[rows + step], percent)
+        found[rows[ok]] = True
+        found[rows[ok] + step] = True
+    return found
+
+
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings of n-grams with several documents; ``centre`` is the list's most typical member (the least place) where the two may link."""
+    """Postings of n-grams with several documents, without those that may link with none of them; ``centre`` is the list's most typical member (the least place) where the two may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, doc, size, place in runs_of(batches):
@@ -159,7 +178,9 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
             members = np.diff(head, append=len(gram))
             at = np.repeat(head, members)
             ok = (doc != doc[at]) & may_link(size.astype(np.int64), place, size[at].astype(np.int64), place[at], percent)
-            yield as_batch(SHARED, gram, doc, size, place, np.repeat(members, members).astype(np.int32), pa.array(doc[at], mask=~ok))
+            members = np.repeat(members, members)
+            keep = ok | (members > 2) & _has_partner(gram, doc, size.astype(np.int64), place, members, percent)
+            yield as_batch(SHARED, gram[keep], doc[keep], size[keep], place[keep], members[keep].astype(np.int32), pa.array(doc[at][keep], mask=~ok[keep]))
 
     return stage(postings.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, doc_id long, size int, place int, members int, centre long"), "ngram-lists")
 
