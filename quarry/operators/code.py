@@ -174,7 +174,7 @@ def _facts_of(content: str):
     """Facts of one file in breadth-first order; ``None`` if it doesn't parse."""
     try:
         tree = ast.parse(content)
-    except (SyntaxError, ValueError, RecursionError):
+    except (SyntaxError, ValueError, RecursionError, MemoryError):      # MemoryError: nesting too deep for the parser
         return None
     return [fact for node in ast.walk(tree) for fact in NODE_FACTS.get(type(node), lambda n: ())(node)]
 
