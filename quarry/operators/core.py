@@ -59,45 +59,33 @@ def first_success(candidates: DataFrame, responses: DataFrame, *, key, url: str
 
 
 def exact_hash_split(df: DataFrame, *, key, fraction: float = 0.9, seed: int = 42,
-                     min_rows: int = 10, prefix_len: int = 4, flag: str = "is_train",
-                     checkpoint: bool = False, shuffle_once: bool = True) -> DataFrame:
+                     min_rows: int = 10, prefix_len: int = 4, flag: str = "is_train") -> DataFrame:
     """Deterministic exact split — the first ``floor(n * fraction)`` rows by
-    ``md5(key || seed)`` go to train (all rows when ``n < min_rows``).
+    ``md5(key || seed)`` go to train (all rows when ``n < min_rows``, as in the reference; 0 switches that off).
 
-    No global sort: rows are bucketed by a hash prefix (at most 16**prefix_len
-    buckets, a size-bounded table that is broadcast); a running count over the
-    bucket table finds the one boundary bucket, and only that bucket's rows are
-    ranked.
-
-    By default the hashed rows are exchanged once by bucket and that exchange
-    feeds both the bucket counts and the row path, so the input is evaluated
-    once; ``shuffle_once=False`` re-reads a cheap input instead of shuffling it;
-    ``checkpoint=True`` writes it to the session's checkpoint folder first.
+    The rows are written once to the shared checkpoint folder and read from there, so the input is evaluated
+    once. A pass over their keys counts hash prefixes (at most 16**prefix_len buckets) and finds the one bucket that
+    the boundary cuts; the other rows are labelled by comparing their prefix with it, without a shuffle, and
+    only that bucket's rows are ranked.
     """
+    from quarry.session import materialize
+
     key_col = key if isinstance(key, Column) else F.col(key)
     h = df.withColumn("_h", F.md5(F.concat(key_col.cast("string"), F.lit(str(seed))))) \
           .withColumn("_p", F.substring("_h", 1, prefix_len)).withColumn("_k", key_col.cast("string"))
-    if checkpoint:
-        from quarry.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(h.sparkSession)
-        h = h.checkpoint(eager=True)
-    elif shuffle_once:
-        # one exchange by bucket, shared (ReusedExchange) by the bucket counts and the row path:
-        # the input is evaluated once and the boundary bucket is already co-located for ranking
-        h = h.repartition("_p")
+    h = materialize(h, "exact-split")
     hist = h.groupBy("_p").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    tot = Window.partitionBy()
-    hist = (hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                .withColumn("_n", F.sum("_cnt").over(tot))
-                .withColumn("_ntrain", F.when(F.col("_n") < min_rows, F.col("_n"))
-                            .otherwise(F.floor(F.col("_n") * F.lit(float(fraction)))).cast("long")))
-    j = h.join(F.broadcast(hist), "_p")
-    inside = F.col("_before") + F.col("_cnt") <= F.col("_ntrain")
-    outside = F.col("_before") >= F.col("_ntrain")
-    clear = j.filter(inside | outside).withColumn(flag, inside)
-    edge = j.filter(~(inside | outside))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.sum("_cnt").over(w)                                       # a window over the buckets, at most 16**prefix_len rows
+    hist = hist.withColumn("_upto", upto).withColumn("_n", F.sum("_cnt").over(Window.partitionBy()))
+    hist = hist.withColumn("_ntrain", F.when(F.col("_n") < min_rows, F.col("_n"))
+                           .otherwise(F.floor(F.col("_n") * F.lit(float(fraction)))).cast("long"))
+    cut = F.when(F.col("_upto") > F.col("_ntrain"), F.col("_p"))
+    bound = hist.agg(F.min(cut).alias("_cut"), F.min_by(F.col("_ntrain") - F.col("_upto") + F.col("_cnt"), cut).alias("_take"))
+    j = h.join(F.broadcast(bound))                                     # one row
+    clear = j.filter(F.col("_cut").isNull() | (F.col("_p") != F.col("_cut"))) \
+        .withColumn(flag, F.col("_cut").isNull() | (F.col("_p") < F.col("_cut")))
+    edge = j.filter(F.col("_p") == F.col("_cut"))
     wr = Window.partitionBy("_p").orderBy("_h", "_k")
-    edge = edge.withColumn(flag, F.col("_before") + F.row_number().over(wr) <= F.col("_ntrain"))
-    helper = ["_h", "_p", "_k", "_cnt", "_before", "_n", "_ntrain"]
-    return clear.unionByName(edge).drop(*helper)
+    edge = edge.withColumn(flag, F.row_number().over(wr) <= F.col("_take"))
+    return clear.unionByName(edge).drop("_h", "_p", "_k", "_cut", "_take")

@@ -6,7 +6,7 @@ Exact top-k never materialises query x point pairs: the query matrix is
 size-checked and broadcast, every point partition scores an Arrow batch with one
 matrix product and keeps only its own top-k per query, and a final
 ``row_number() <= k`` (partial/final ``WindowGroupLimit``) merges those.
-Query sets above the broadcast budget are processed in blocks.
+Query sets above the broadcast budget meet the points in a grid of cells.
 """
 
 from __future__ import annotations
@@ -64,6 +64,34 @@ def _topk_partition_fn(qids: np.ndarray, qmat: np.ndarray, k: int, score_budget:
     return run
 
 
+def _matrix(rows) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([r["query_id"] for r in rows]), np.array([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
+
+
+CELL_POINTS = 65_536
+
+
+def _topk_cells(pts: DataFrame, q: DataFrame, blocks: int, k: int, score_budget: int, kind: str) -> DataFrame:
+    """Query sets beyond the broadcast budget: blocks of queries meet chunks of points in a grid of cells."""
+    chunks = 1 + pts.count() // CELL_POINTS
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    qtype = q.schema["query_id"].dataType
+    left = pts.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), each(blocks).alias("block"),
+                      F.lit(None).cast(qtype).alias("query_id"), "id", F.lit(False).alias("asks"), "embedding")
+    right = q.select(each(chunks).alias("chunk"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
+                     "query_id", F.lit(None).cast("long").alias("id"), F.lit(True).alias("asks"), "embedding")
+
+    def meet(cell: pd.DataFrame) -> pd.DataFrame:
+        asks = cell["asks"].to_numpy(dtype=bool)
+        if asks.all() or not asks.any():
+            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        points = cell[~asks].astype({"id": "int64"})
+        scored = list(_topk_partition_fn(*_matrix(cell[asks].to_dict("records")), k, score_budget)([points]))
+        return pd.concat(scored) if scored else pd.DataFrame({"query_id": [], "id": [], "score": []})
+
+    return left.unionByName(right).groupBy("chunk", "block").applyInPandas(meet, kind)
+
+
 def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Column | None = None,
                 query_id: str = "query_id", vector: str = "embedding",
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, score_budget: int = SCORE_BUDGET) -> DataFrame:
@@ -76,31 +104,18 @@ def vector_topk(points: DataFrame, queries: DataFrame, *, k: int = 5, where: Col
     if where is not None:
         points = points.filter(where)
     pts = points.select(F.col("id").cast("long").alias("id"), F.col(vector).alias("embedding"))
-    # the query set is small by contract; it is evaluated once (persisted for the size check and the
-    # collection of its blocks) and released before the points are scanned
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding")).persist()
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("embedding"))
+    qtype = q.schema["query_id"].dataType.simpleString()
+    kind = f"query_id {qtype}, id long, score double"
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
     nq, dim = stats["n"], (stats["d"] or 0)
-    qtype = q.schema["query_id"].dataType.simpleString()
-    per_block = max(1, int(max_broadcast_bytes // max(1, 8 * max(dim, 1))))
-    nblocks = max(1, -(-nq // per_block))
-    parts = []
-    qb = q.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(nblocks))) if nblocks > 1 else q
-    for b in range(nblocks):
-        block = qb.filter(F.col("_blk") == b) if nblocks > 1 else qb
-        rows = block.select("query_id", "embedding").collect()      # bounded by max_broadcast_bytes
-        if not rows:
-            continue
-        qids = np.array([r["query_id"] for r in rows])
-        qmat = np.array([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
-        fn = _topk_partition_fn(qids, qmat, k, score_budget)
-        parts.append(pts.mapInPandas(fn, f"query_id {qtype}, id long, score double"))
-    q.unpersist()
-    if not parts:
+    if not nq:
         return spark.createDataFrame([], f"query_id {qtype}, rank int, id long, score double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    per_block = max(1, int(max_broadcast_bytes // max(1, 8 * max(dim, 1))))
+    if nq <= per_block:                                                # the query matrix fits: points stay where they are
+        cand = pts.mapInPandas(_topk_partition_fn(*_matrix(q.collect()), k, score_budget), kind)
+    else:
+        cand = _topk_cells(pts, q, -(-nq // per_block), k, score_budget, kind)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "id", "score")

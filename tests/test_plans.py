@@ -1,5 +1,7 @@
 """Plan-shape checks: the scale properties the operators are designed for."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +50,11 @@ def test_chunk_features_folds_once(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumnRenamed("text", "readme")
     plan = ch.chunk_features(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("aggregate(") == 1
+
+
+def test_exact_split_has_no_full_row_shuffle(spark):
+    from quarry.operators.core import exact_hash_split
+    df = spark.range(1000).withColumn("wide", F.repeat(F.lit("x"), 100))
+    plan = exact_hash_split(df, key="id").select("wide", "is_train")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert all("_p" in line for line in exchanges) and plan.count("Range (") == 0
