@@ -76,7 +76,7 @@ class LibraryEncoder:
         self.opens = np.zeros(size, bool)      # ids whose text begins with a space
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")
-        self.store = UnitStore(self._encode_units)
+        self.store = UnitStore(self.encode_units)
 
     @staticmethod
     def cached(path: str) -> LibraryEncoder:
@@ -88,25 +88,35 @@ class LibraryEncoder:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Key ' x' is the unit x at a text's start; key 'x' is the unit x after a space."""
         first = [i for i, u in enumerate(units) if u[:1] == " "]
+        if not first:
+            return self._after_spaces(units)
         later = [i for i, u in enumerate(units) if u[:1] != " "]
-        parts: list[np.ndarray | None] = [None] * len(units)
-        for i, ids in zip(first, self._whole([units[i][1:] for i in first]), strict=True):
-            parts[i] = ids
-        for at in range(0, len(later), JOINED):
-            some = later[at : at + JOINED]
-            [ids] = self._whole(["".join(" " + units[i] for i in some)])
+        flat, sizes = self._after_spaces([units[i] for i in later])
+        parts: list[np.ndarray] = [flat] * len(units)
+        for i, run in zip(later, np.split(flat, np.cumsum(sizes)[:-1]), strict=False):
+            parts[i] = run
+        for i, run in zip(first, self._whole([units[i][1:] for i in first]), strict=True):
+            parts[i] = run
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def _after_spaces(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that each follow a space; many are encoded as one text, and each begins at an id that begins with a space."""
+        flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(units), JOINED):
+            some = units[at : at + JOINED]
+            [ids] = self._whole([" " + " ".join(some)])
             begins = np.flatnonzero(self.opens[ids])
             if len(begins) == len(some) and begins[0] == 0:
-                for i, run in zip(some, np.split(ids, begins[1:]), strict=True):
-                    parts[i] = run
+                flat.append(ids)
+                lengths.append(np.diff(begins, append=len(ids)))
             else:
-                for i, run in zip(some, self._whole([" " + units[i] for i in some]), strict=True):
-                    parts[i] = run
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), lengths
+                runs = self._whole([" " + u for u in some])
+                flat += runs
+                lengths.append(np.fromiter(map(len, runs), np.int64, len(runs)))
+        return np.concatenate(flat), np.concatenate(lengths)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, each text's number of ids); None counts as empty."""
