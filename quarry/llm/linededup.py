@@ -5,8 +5,9 @@ two sets of Jaccard similarity 0.75 or more share a word within their prefixes,
 leave enough after it, and have sizes that allow it. A line goes if a line at an earlier place, (doc_id,
 line number), is that similar, whether or not that one stays.
 
-Equal sets are settled by their first place. Of the rest, each line first meets the earliest and the most typical line
-of its words' lists; only lines that these leave undecided meet all earlier ones that the filters allow.
+Equal sets are settled by their first place. Of the rest, each line first meets the earliest line of its words'
+lists that the filters allow; only lines that this leaves undecided meet all such earlier ones. Besides the named
+filters, a 64-bit sketch of word parities bounds how many words two sets can share; it drops no similar pair.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_batch, doc_text, offsets_of, some_documents, stage, text_blocks
+from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, some_documents, stage, text_blocks
 from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed, runs_of
-from quarry.llm.words import distinct, word_hashes, words_of
+from quarry.llm.words import PLACES, distinct, mixed, word_hashes, words_of
 
 SHIFT = np.uint64(64 - BUCKET_BITS)
-LISTED = "word long, doc_id long, line int, size int, place int"
+LISTED = "word long, doc_id long, line int, size int, place int, sketch long"
+#: Lists up to this long are compared by steps over all lists of a batch at once, longer ones in pieces.
+SHORT, PIECE = 64, 256
 
 
 def word_set(line: str | None) -> np.ndarray:
@@ -38,120 +41,167 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "words"))
 
 
-def _new_sets(batch: pa.RecordBatch, texts: list, seen: set) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
-    """(doc_id, line number, digest, set) of each line with words; the set only where the digest is new."""
-    for doc_id, number, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
-        words = word_set(line)
-        if len(words):
-            key = xxhash.xxh3_128_digest(words.tobytes())
-            fresh = key not in seen
-            seen.add(key)
-            yield doc_id, number, key, words if fresh else None
-
-
-def _survey(lines: DataFrame) -> DataFrame:
-    """Rows of lines (doc_id, line, key), and rows of bucket counts (block, task, counts)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.binary()), ("block", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
+def _line_sets(doc_ids: list, texts: list) -> tuple[np.ndarray, ...]:
+    """Of all lines with words in a block: doc_id, line number, key (two columns), size; and the lines' distinct words one after another."""
+    words, counts, docs, numbers = [], [], [], []
+    for doc_id, text in zip(doc_ids, texts, strict=True):
+        for number, line in enumerate((text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")):
+            found = line.split()
+            if found:
+                words += found
+                counts.append(len(found))
+                docs.append(doc_id)
+                numbers.append(number)
+    h = word_hashes(words)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    keep = np.ones(len(h), bool)
+    keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[keep], owner[keep]
+    sizes = np.bincount(owner, minlength=len(counts))
+    starts = offsets_of(sizes)[:-1]
+    key = np.column_stack([np.add.reduceat(mixed(h), starts), np.add.reduceat(mixed(h ^ PLACES[0]), starts)]) if len(starts) else np.zeros((0, 2), np.uint64)
+    return np.array(docs, np.int64), np.array(numbers, np.int32), key, sizes, h
+
+
+def _fresh(doc: np.ndarray, key: np.ndarray, seen: set, last_doc) -> np.ndarray:
+    """Lines whose set the task has not met at an earlier document, the first of each set (lines come in order of their place)."""
+    pairs = list(map(tuple, key.tolist()))
+    out = np.zeros(len(pairs), bool)
+    block: set = set()
+    for i, k in enumerate(pairs):
+        if k not in block and (k not in seen or doc[i] == last_doc):
+            out[i] = True
+        block.add(k)
+    seen |= block
+    return out
+
+
+def _pick(h: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The words of the lines that ``rows`` marks."""
+    return h[np.repeat(rows, sizes)]
+
+
+def _survey(docs: DataFrame) -> DataFrame:
+    """Rows of lines (doc_id, line, key, key2), and rows of bucket counts (block, task, counts)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.int64()), ("key2", pa.int64()), ("block", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), set()
-        for batch, texts in text_blocks(batches, "words"):
-            rows = list(_new_sets(batch, texts, seen))
-            if not rows:
-                continue
-            fresh = [w for *_, w in rows if w is not None]
-            if fresh:
-                np.add.at(counts, (np.concatenate(fresh) >> SHIFT).astype(np.int64), 1)
-            none = [None] * len(rows)
-            yield as_batch(schema, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], none, none, none)
+        for batch, texts in text_blocks(batches):
+            doc, line, key, sizes, h = _line_sets(batch.column(0).to_pylist(), texts)
+            if len(doc):
+                fresh = _fresh(doc, key, seen, None)
+                np.add.at(counts, (_pick(h, sizes, fresh) >> SHIFT).astype(np.int64), 1)
+                none = [None] * len(doc)
+                yield as_batch(schema, doc, line, key[:, 0].astype(np.int64), key[:, 1].astype(np.int64), none, none, none)
         if seen:
             blocks = np.minimum(counts, 65535).astype("<u2").reshape(-1, 1 << BLOCK_BITS)
             none = [None] * len(blocks)
-            yield as_batch(schema, none, none, none, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
+            yield as_batch(schema, none, none, none, none, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
 
-    return stage(lines.mapInArrow(run, "doc_id long, line int, key binary, block int, task int, counts binary"), "line-survey")
+    return stage(docs.mapInArrow(run, "doc_id long, line int, key long, key2 long, block int, task int, counts binary"), "line-survey")
 
 
-def _postings(lines: DataFrame, percent: int, levels) -> DataFrame:
-    """(word, doc_id, line, size, place) of the prefixes of a task's distinct sets, each at its earliest place in the task;
-    words that only one set has are left out."""
-    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32())])
+def _postings(docs: DataFrame, percent: int, levels) -> DataFrame:
+    """(word, doc_id, line, size, place, sketch) of the prefixes of a task's distinct sets, each at its earliest place in the task;
+    words that only one set has are left out. The sketch's bits are the parities of the words' hashed counts."""
+    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("sketch", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen = levels.value, set()
-        for batch, texts in text_blocks(batches, "words", chars=1_000_000):
-            rows = [r for r in _new_sets(batch, texts, seen) if r[3] is not None]
-            if not rows:
+        level, seen, last = levels.value, set(), None
+        for batch, texts in text_blocks(batches, chars=2_000_000):
+            doc, line, key, sizes, h = _line_sets(batch.column(0).to_pylist(), texts)
+            if not len(doc):
+                continue
+            fresh = _fresh(doc, key, seen, last)
+            last = doc[-1]
+            h, doc, line, sizes = _pick(h, sizes, fresh), doc[fresh], line[fresh], sizes[fresh]
+            if not len(doc):
                 continue
-            sizes = np.fromiter((len(r[3]) for r in rows), np.int64, len(rows))
-            words = np.concatenate([r[3] for r in rows])
-            owner = np.repeat(np.arange(len(rows)), sizes)
-            rarity = level[(words >> SHIFT).astype(np.int64)]
-            order = np.lexsort((words, rarity, owner))
-            place = np.arange(len(words)) - np.repeat(offsets_of(sizes)[:-1], sizes)
+            starts = offsets_of(sizes)[:-1]
+            sketch = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(h ^ PLACES[1]) & np.uint64(63)), starts).astype(np.int64)
+            owner = np.repeat(np.arange(len(doc)), sizes)
+            rarity = level[(h >> SHIFT).astype(np.int64)]
+            order = np.lexsort((h, rarity, owner))
+            place = np.arange(len(h)) - np.repeat(starts, sizes)
             prefix = sizes - -(-percent * sizes // 100) + 1
             keep = (place < prefix[owner]) & (rarity[order] > 0)
             owner = owner[keep]
-            yield as_batch(schema, words[order][keep].view(np.int64), np.array([r[0] for r in rows], np.int64)[owner], np.array([r[1] for r in rows], np.int32)[owner], sizes[owner].astype(np.int32), place[keep].astype(np.int32))
+            yield as_batch(schema, h[order][keep].view(np.int64), doc[owner], line[owner], sizes[owner].astype(np.int32), place[keep].astype(np.int32), sketch[owner])
 
-    return lines.sortWithinPartitions("doc_id", "line").mapInArrow(run, LISTED)
+    return docs.sortWithinPartitions("doc_id").mapInArrow(run, LISTED)
 
 
 PAIRS = pa.schema([("x_doc", pa.int64()), ("x_line", pa.int32()), ("y_doc", pa.int64()), ("y_line", pa.int32())])
 
 
-def _several(postings: DataFrame) -> DataFrame:
-    """The postings of words that several sets have."""
-    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in runs_of(batches):
-            if len(columns[0]):
-                yield as_batch(schema, *columns)
-
-    return postings.repartition("word").sortWithinPartitions("word").mapInArrow(run, LISTED)
-
-
-def _unique_pairs(rows: np.ndarray) -> pa.RecordBatch:
-    rows = np.unique(rows, axis=0)
-    return as_batch(PAIRS, rows[:, 0], rows[:, 1].astype(np.int32), rows[:, 2], rows[:, 3].astype(np.int32))
+def _may_be_similar(size, place, sketch, i, j, percent: int) -> np.ndarray:
+    """Length and positional filters, and the sketches': they differ in no more bits than the sets in words."""
+    a, b = size[i], size[j]
+    apart = np.bitwise_count((sketch[i] ^ sketch[j]).view(np.uint64)).astype(np.int64)
+    return may_link(a, place[i], b, place[j], percent) & (a + b - apart >= 2 * overlap_needed(a, b, percent))
 
 
-def _first_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Each line of a list with the list's earliest and its most typical line, where these are earlier and may be similar."""
+def _lists(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings that may be similar to another of their word; x_doc, x_line: the earliest of these, where it is earlier."""
+    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("sketch", pa.int64()), ("x_doc", pa.int64()), ("x_line", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for word, doc, line, size, place in runs_of(batches):
+        for word, doc, line, size, place, sketch in runs_of(batches):
             if not len(word):
                 continue
-            size = size.astype(np.int64)
-            out = []
-            for order in (np.lexsort((line, doc, word)), np.lexsort((line, doc, place, word))):
-                w, d, n, s, p = word[order], doc[order], line[order], size[order], place[order]
-                head = np.flatnonzero(np.diff(w, prepend=w[0] - 1))
-                at = np.repeat(head, np.diff(head, append=len(w)))
-                ok = ((d[at] < d) | ((d[at] == d) & (n[at] < n))) & may_link(s, p, s[at], p[at], percent)
-                out.append(np.column_stack([d[at], n[at], d, n])[ok])
-            yield _unique_pairs(np.concatenate(out))
+            long_size = size.astype(np.int64)
+            order = np.lexsort((line, doc, word))
+            word, doc, line, size, place, sketch, long_size = (c[order] for c in (word, doc, line, size, place, sketch, long_size))
+            head = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
+            members = np.diff(head, append=len(word))
+            first = np.full(len(word), -1)                                  # the earliest partner
+            found = np.zeros(len(word), bool)
+            rows = np.flatnonzero(np.repeat(members <= SHORT, members))
+            for step in range(1, SHORT):
+                rows = rows[rows + step < len(word)]
+                rows = rows[word[rows] == word[rows + step]]
+                if not len(rows):
+                    break
+                ok = rows[_may_be_similar(long_size, place, sketch, rows, rows + step, percent)]
+                found[ok] = found[ok + step] = True
+                first[ok + step] = ok
+            for start, n in zip(head[members > SHORT], members[members > SHORT], strict=True):
+                for at in range(start, start + n, PIECE):
+                    y = np.arange(at, min(at + PIECE, start + n))
+                    for back in range(at, start - 1, -PIECE):               # pieces from here to the list's first: earlier ones win
+                        x = np.arange(back, min(back + PIECE, start + n))
+                        i, j = (g.ravel() for g in np.meshgrid(x, y, indexing="ij"))
+                        i, j = i[i < j], j[i < j]
+                        ok = _may_be_similar(long_size, place, sketch, i, j, percent)
+                        i, j = i[ok][::-1], j[ok][::-1]
+                        found[i] = found[j] = True
+                        first[j] = i                                        # of repeated j the last, the earliest i, stays
+            has = first >= 0
+            at = np.maximum(first, 0)
+            yield as_batch(schema, *(c[found] for c in (word, doc, line, size, place, sketch)), pa.array(doc[at][found], mask=~has[found]), pa.array(line[at][found], mask=~has[found]))
+
+    return stage(postings.repartition("word").sortWithinPartitions("word").mapInArrow(run, LISTED + ", x_doc long, x_line int"), "line-lists")
 
-    return lists.repartition("word").sortWithinPartitions("word").mapInArrow(run, "x_doc long, x_line int, y_doc long, y_line int").distinct()
+
+def _unique_pairs(rows: np.ndarray) -> pa.RecordBatch:
+    rows = np.unique(rows, axis=0)
+    return as_batch(PAIRS, rows[:, 0], rows[:, 1].astype(np.int32), rows[:, 2], rows[:, 3].astype(np.int32))
 
 
 def _other_pairs(lists: DataFrame, decided: DataFrame, percent: int) -> DataFrame:
     """Each undecided line with every earlier line of its lists that may be similar."""
-    flagged = lists.join(decided.withColumn("done", F.lit(True)), ["doc_id", "line"], "left").select("word", "doc_id", "line", "size", "place", F.coalesce("done", F.lit(False)).alias("done"))
+    flagged = lists.join(decided.withColumn("done", F.lit(True)), ["doc_id", "line"], "left").select("word", "doc_id", "line", "size", "place", "sketch", F.coalesce("done", F.lit(False)).alias("done"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for word, doc, line, size, place, done in runs_of(batches):
+        for word, doc, line, size, place, sketch, done in runs_of(batches):
             size, out, held = size.astype(np.int64), [], 0
             for rows in np.split(np.arange(len(word)), np.flatnonzero(np.diff(word)) + 1):
-                rows = rows[np.argsort(size[rows], kind="stable")]
-                sizes = size[rows]
                 for y in rows[~done[rows].astype(bool)]:
-                    lo, hi = np.searchsorted(sizes, -(-percent * size[y] // 100), "left"), np.searchsorted(sizes, 100 * size[y] // percent, "right")
-                    x = rows[lo:hi]
-                    x = x[(doc[x] < doc[y]) | ((doc[x] == doc[y]) & (line[x] < line[y]))]
-                    x = x[may_link(size[x], place[x], size[y], place[y], percent)]
+                    x = rows[(doc[rows] < doc[y]) | ((doc[rows] == doc[y]) & (line[rows] < line[y]))]
+                    x = x[_may_be_similar(size, place, sketch, x, np.full(len(x), y), percent)]
                     if len(x):
                         out.append(np.column_stack([doc[x], line[x], np.full(len(x), doc[y]), np.full(len(x), line[y])]))
                         held += len(x)
@@ -194,14 +244,14 @@ def repeated_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, line) of the lines that go; a line counts from 0 in its text. See ``dedup_lines`` for the special cases."""
     spark = docs.sparkSession
     docs = doc_text(docs).where("doc_id IS NOT NULL")
-    survey = _survey(lines_of(docs))
-    lines = survey.where("block IS NULL").select("doc_id", "line", "key")
+    survey = _survey(docs)
+    lines = survey.where("block IS NULL").select("doc_id", "line", "key", "key2")
     levels = spark.sparkContext.broadcast(levels_of(survey))
-    firsts = stage(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).select("key", "first.doc_id", "first.line", "n"), "line-firsts")
-    again = (lines.join(firsts.where("n > 1").select("key", F.col("doc_id").alias("first_doc"), F.col("line").alias("first_line")), "key")
-             .where("doc_id > first_doc OR (doc_id = first_doc AND line > first_line)").select("doc_id", "line"))
-    lists = stage(_several(_postings(lines_of(docs), percent, levels)).join(firsts.select("doc_id", "line").distinct(), ["doc_id", "line"], "left_semi").select("word", "doc_id", "line", "size", "place"), "line-lists")
-    first_pairs = stage(_first_pairs(lists, percent), "line-first-pairs")
+    firsts = stage(lines.groupBy("key", "key2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
+                   .select("key", "key2", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line")), "line-firsts")
+    again = lines.join(firsts, ["key", "key2"]).where("doc_id > first_doc OR (doc_id = first_doc AND line > first_line)").select("doc_id", "line")
+    lists = _lists(_postings(docs, percent, levels), percent)
+    first_pairs = stage(lists.where("x_doc IS NOT NULL").select("x_doc", "x_line", F.col("doc_id").alias("y_doc"), F.col("line").alias("y_line")).distinct(), "line-first-pairs")
     decided = _similar(first_pairs, docs, percent)
     rest = _other_pairs(lists, decided, percent).join(first_pairs, PAIRS.names, "left_anti")
     return again.union(decided).union(_similar(rest, docs, percent)).distinct()
@@ -209,7 +259,9 @@ def repeated_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` with ``_lines`` (all lines) and ``_left`` (those that stay)."""
+    gone = stage(gone, "line-gone")
     per_doc = gone.groupBy("doc_id").agg(F.collect_list("line").alias("_gone")).withColumnRenamed("doc_id", "_id")    # at most a document's lines
+    per_doc = F.broadcast(per_doc) if gone.count() <= BROADCAST_IDS else per_doc
     joined = docs.join(per_doc, docs["doc_id"].cast("long") == per_doc["_id"], "left").withColumn("_lines", F.split(docs["text"], "\n"))
     return joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~F.array_contains("_gone", i))))
 
