@@ -29,6 +29,7 @@ class UnitStore:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.at = np.zeros(0, np.int64)         # places of the units encoded last
         self.flat, self.starts, self.lengths = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.used = self.chars = 0
 
@@ -58,7 +59,7 @@ class UnitStore:
             self.clear()
         if new := list(set(units).difference(self.index)):
             self._add(new)
-        at = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        at = self.at = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
         return ragged(self.flat, self.starts[at], self.lengths[at]), self.lengths[at]
 
 
