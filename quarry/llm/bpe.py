@@ -24,7 +24,7 @@ from quarry.llm.subwords import UnitStore
 NONE = np.iinfo(np.int64).max
 #: Characters that Python's split() takes as white space and the tokenizer's pattern does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-WHITE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
+WHITE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 BATCH_CHARS = 1_000_000
 
 
