@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import as_batch, stage
 
 #: The tree is fitted on at most so many vectors, those with the least hash of their id; nodes have so many children, leaves so many sample vectors.
-SAMPLE, BRANCHES, LEAF = 20_000, 8, 40
+SAMPLE, BRANCHES, LEAF = 20_000, 8, 400
 #: Recall that so many calibration queries have to reach.
-RECALL, CALIBRATION = 0.98, 200
+RECALL, CALIBRATION = 0.95, 200
 #: A cell holds about so many vectors of a leaf, and about so many of the queries that visit it.
-CHUNK = 256
+CHUNK = 1024
 
 
 def matrix(column: pa.Array) -> np.ndarray:
