@@ -66,7 +66,7 @@ class WordBpe:
 
     @staticmethod
     def cached(path: str) -> WordBpe:
-        cache = process_cache()
+        cache = process_cache("bpe")
         if ("bpe", path) not in cache:
             cache["bpe", path] = WordBpe(path)
         return cache["bpe", path]

@@ -22,12 +22,19 @@ BLOCK_CHARS = 4_000_000
 cloudpickle.register_pickle_by_value(sys.modules["quarry.llm"])   # executors need no package path
 
 
-def process_cache() -> dict:
-    """A dictionary that lives as long as the Python worker (functions shipped by value lose their globals)."""
+def process_cache(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker (functions shipped by value lose their globals).
+
+    It holds one owner's entries: a worker that serves another operator next lets them go.
+    """
     name = "_quarry_llm_cache"
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
-    return sys.modules[name].__dict__
+    kept = sys.modules[name].__dict__.setdefault("kept", {})
+    if kept.get("owner") != owner:
+        kept.clear()
+        kept["owner"] = owner
+    return kept
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

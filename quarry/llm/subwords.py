@@ -16,7 +16,7 @@ from quarry.llm.common import offsets_of, process_cache, ragged
 
 LOOSE_SPACE = re.compile(r" (?!\S)")
 #: The cache is emptied beyond this many units or characters.
-MAX_UNITS, MAX_CHARS = 400_000, 6_000_000
+MAX_UNITS, MAX_CHARS = 300_000, 6_000_000
 JOINED = 2_000
 
 
@@ -81,7 +81,7 @@ class LibraryEncoder:
 
     @staticmethod
     def cached(path: str) -> LibraryEncoder:
-        cache = process_cache()
+        cache = process_cache("library")
         if ("library", path) not in cache:
             cache["library", path] = LibraryEncoder(path)
         return cache["library", path]

@@ -249,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 
 
 def _scorer(model: Model) -> Scorer:
-    cache = process_cache()
+    cache = process_cache("toxicity")
     if cache.get("toxicity", (None,))[0] != model.stems:
         cache["toxicity"] = (model.stems, Scorer(model.stems))
     return cache["toxicity"][1]
@@ -271,12 +271,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows below the threshold, with all their columns."""
-    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in batches:
-            keep = [score_of(scorer.features(t), model) < threshold for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for batch, texts in text_blocks(batches):
+            yield batch.filter(pa.array([score_of(scorer.features(t), model) < threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import xxhash
 from quarry.llm.common import process_cache
 
 #: The word cache is emptied beyond this many words.
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 #: Odd constants that tell the places of a shingle apart.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -26,7 +26,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    cache = process_cache().setdefault("words", WordHashes())
+    cache = process_cache("words").setdefault("words", WordHashes())
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
