@@ -131,6 +131,20 @@ def top_products(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     return rows[keep], columns[keep], scores[keep]
 
 
+def floors(queries: np.ndarray, query_ids: np.ndarray, visited: list[list[int]], sample: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> np.ndarray:
+    """Each query's k-th best score among the sample's vectors in the leaves it visits, its own left out: the k-th it finds scores no less."""
+    ids, points, leaf = sample
+    out = np.full(len(queries), -np.inf)
+    for at in range(0, len(queries), 128):
+        scores = queries[at : at + 128] @ points.T
+        scores[query_ids[at : at + 128][:, None] == ids[None, :]] = -np.inf
+        for row, leaves in zip(scores, visited[at : at + 128], strict=True):
+            row[~np.isin(leaf, leaves)] = -np.inf
+        if scores.shape[1] > k:
+            out[at : at + 128] = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    return out
+
+
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -177,7 +191,8 @@ def search(embeddings: DataFrame, query_rows: str, k: int = 20, sample: int = SA
     some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     if not some:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = Tree(lifted(np.array([r.embedding for r in some]), longest))
+    points = np.array([r.embedding for r in some])
+    tree = Tree(lifted(points, longest))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,13 +203,14 @@ def search(embeddings: DataFrame, query_rows: str, k: int = 20, sample: int = SA
     sizes = {r.leaf: r["count"] for r in routed.groupBy("leaf").count().collect()}        # as many as the tree has leaves
     asked = routed.where(query_rows).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select(F.col("vec_id").alias("query_id"), "embedding")
     visits = _calibrate(routed, asked, tree, longest, k, recall)
+    held = embeddings.sparkSession.sparkContext.broadcast((np.array([r.vec_id for r in some]), points, tree.route(lifted(points, longest))))    # the tree's sample
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaves = []
-            for q in aimed(matrix(batch.column(1)), longest):
+            leaves, queries = [], matrix(batch.column(1))
+            for q in aimed(queries, longest):
                 seen, rows = [], 0
                 for leaf in tree.visit(q):
                     if len(seen) >= visits and rows > k:
@@ -202,17 +218,17 @@ def search(embeddings: DataFrame, query_rows: str, k: int = 20, sample: int = SA
                     seen.append(leaf)
                     rows += sizes.get(leaf, 0)
                 leaves.append([x for x in seen if x in sizes])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], ["query_id", "embedding", "leaves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32())), pa.array(floors(queries, batch.column(0).to_numpy(), leaves, held.value, k))], ["query_id", "embedding", "leaves", "floor"])
 
-    walked = stage(asked.mapInArrow(walk, "query_id long, embedding array<double>, leaves array<int>"), "ann-visits")
+    walked = stage(asked.mapInArrow(walk, "query_id long, embedding array<double>, leaves array<int>, floor double"), "ann-visits")
     visitors = {r.leaf: r["count"] for r in walked.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
     spark = embeddings.sparkSession
     cells = spark.createDataFrame([(leaf, 1 + (n - 1) // CHUNK, 1 + (visitors[leaf] - 1) // CHUNK) for leaf, n in sizes.items() if leaf in visitors], "leaf int, chunks int, blocks int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (routed.join(F.broadcast(cells), "leaf").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int"))
-            .select("leaf", "chunk", each("blocks").alias("block"), F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "embedding"))
-    right = (walked.select("query_id", "embedding", F.explode("leaves").alias("leaf")).join(F.broadcast(cells), "leaf").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
-             .select("leaf", each("chunks").alias("chunk"), "block", F.lit(True).alias("asks"), F.col("query_id").alias("id"), "embedding"))
+            .select("leaf", "chunk", each("blocks").alias("block"), F.lit(False).alias("asks"), F.col("vec_id").alias("id"), F.lit(None).cast("double").alias("floor"), "embedding"))
+    right = (walked.select("query_id", "embedding", "floor", F.explode("leaves").alias("leaf")).join(F.broadcast(cells), "leaf").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
+             .select("leaf", each("chunks").alias("chunk"), "block", F.lit(True).alias("asks"), F.col("query_id").alias("id"), "floor", "embedding"))
 
     def meet(cell: pa.Table) -> pa.Table:
         asks = cell.column("asks").to_numpy(zero_copy_only=False) if cell.num_rows else np.zeros(0, bool)
@@ -220,7 +236,9 @@ def search(embeddings: DataFrame, query_rows: str, k: int = 20, sample: int = SA
         if not asks.any() or asks.all():
             return HITS.empty_table()
         rows, columns, scores = top_products(points[asks], ids[asks], points[~asks], ids[~asks], k)
-        return pa.Table.from_batches([as_batch(HITS, ids[asks][rows], ids[~asks][columns], scores)])
+        floor = cell.column("floor").to_numpy()[asks][rows]
+        keep = scores >= floor - 1e-9 * (1 + np.abs(np.maximum(floor, -1e300)))       # what the sample already beats k times is no neighbour
+        return pa.Table.from_batches([as_batch(HITS, ids[asks][rows][keep], ids[~asks][columns][keep], scores[keep])])
 
     hits = left.unionByName(right).groupBy("leaf", "chunk", "block").applyInArrow(meet, "query_id long, vec_id long, score double")
     return _ranked(hits, k)
