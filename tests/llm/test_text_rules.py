@@ -114,6 +114,19 @@ def test_probabilities_sum_to_one():
     assert np.allclose(p.sum(axis=0), 1, atol=1e-3)
 
 
+def test_every_block_is_trained_on(spark):
+    """A symbol that only the last block of a text reads moves only if that block is trained on."""
+    blocks, rows, rare = 40, [], np.arange(300, 400)
+    for i, symbol in enumerate(rare):
+        symbols = np.random.default_rng(i).integers(1, 250, blocks * lm.BLOCK - 1)
+        symbols[-5] = symbol
+        rows.append((i, symbols.astype("<u2").tobytes()))
+    prior = spark.sparkContext.broadcast(lm.prior_of(np.zeros(lm.SYMBOLS**2, np.int64)))
+    w = lm._train(spark.createDataFrame(rows, "doc_id long, symbols binary"), prior)
+    assert (w["E"][rare] != lm.first_weights()["E"][rare]).any(axis=1).all()
+    assert (w["E"][400:] == lm.first_weights()["E"][400:]).all()
+
+
 def test_scores_and_counts(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice(["alpha", "Beta", "gamma delta", "omega"]) for _ in range(rng.randint(0, 40)))) for i in range(120)]
