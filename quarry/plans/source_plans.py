@@ -16,7 +16,7 @@ from quarry.operators import repos as rp
 from quarry.plans.repo_plans import LANG_CASE, PF, TYPE_AGG, TYPE_CASE, lang_agg
 from quarry.plans.registry import register
 from quarry.plans.sqlkit import with_views
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sources import io
 from quarry.sources.fixtures import fixture
 from quarry.sources.tables import table
@@ -27,23 +27,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-scratch/{name}-{uuid.uuid4().hex[:10]}"
 
 
-def _one_doc_per_file(df: DataFrame, cols) -> DataFrame:
-    """Each group value in its own task, so ``partitionBy`` writes one single-line file per value."""
-    return df.repartition(*[F.col(c) for c in cols])
+#: A written array file holds about so many bytes of READMEs, whatever its source's size.
+FILE_BYTES = 4 << 20
+
+
+def _file_numbers(s: DataFrame, column: str, least: int = 1) -> DataFrame:
+    """``column``: each sample's file within its source, by hash; a source has files by its total size."""
+    files = F.ceil(F.sum(F.coalesce(F.octet_length("readme"), F.lit(0)) + 256) / FILE_BYTES)
+    totals = s.groupBy(F.col("source").alias("_source")).agg(F.greatest(files, F.lit(least)).alias("_files"))
+    return s.join(F.broadcast(totals), F.col("source").eqNullSafe(F.col("_source"))) \
+        .withColumn(column, F.pmod(F.xxhash64("source", "doc_id"), F.col("_files"))).drop("_source", "_files")
 
 
 def _write_collection(spark, sf) -> str:
-    s = fixture(spark, sf, "v_readme_samples").select(
+    s = _file_numbers(fixture(spark, sf, "v_readme_samples").select(
         "repo_url", "owner", "repo", "name", "description", "language", F.col("stars").cast("long").alias("stars"),
-        "readme", "source", (F.col("doc_id") % 4).alias("bucket"))
+        "readme", "source", "doc_id"), "bucket", least=4)
     root = scratch(spark, "collection")
-    sample = F.struct(*[c for c in s.columns if c not in ("bucket",)])
-    env = s.groupBy("source", "bucket").agg(F.collect_list(sample).alias("training_data")) \
-        .filter(F.col("bucket") < 2).select("source", "bucket", F.to_json(F.struct(
-            F.struct(F.col("source").alias("list")).alias("metadata"), "training_data")).alias("value"))
-    arr = s.filter(F.col("bucket") >= 2).groupBy("source", "bucket").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(sample)), ","), F.lit("]")).alias("value"))
-    _one_doc_per_file(env.unionByName(arr), ["source", "bucket"]).write.partitionBy("source", "bucket").text(root)
+    sample = F.struct(*[c for c in s.columns if c not in ("bucket", "doc_id")])
+    # two of four files are envelopes, the others arrays; each (source, bucket) is one row, so one single-line file
+    texts = s.groupBy("source", "bucket").agg(F.collect_list(sample).alias("training_data"))
+    envelope = F.to_json(F.struct(F.struct(F.col("source").alias("list")).alias("metadata"), "training_data"))
+    texts.select("source", "bucket", F.when(F.col("bucket") % 4 < 2, envelope).otherwise(F.to_json("training_data")).alias("value")) \
+        .write.partitionBy("source", "bucket").text(root)
     return root
 
 
@@ -59,13 +65,13 @@ def q_scan_samples(spark, sf):
     s = fixture(spark, sf, "v_readme_samples").select("repo_url", "owner", "repo", "readme", "doc_id", "source", "language")
     root = scratch(spark, "samples")
     js = F.to_json(F.struct("repo_url", "owner", "repo", "readme"))
-    # German documents of the first source get a file each; the rest one array file per source
+    # German documents of the first source get a file each; the rest array files per source
     single = F.coalesce((F.col("language") == "de") & (F.col("source") == "src0"), F.lit(False))
-    one = s.filter(single).select(F.col("doc_id").cast("string").alias("file"), js.alias("value"))
-    arr = s.filter(~single).groupBy("source").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(js), ","), F.lit("]")).alias("value")).withColumnRenamed("source", "file")
-    bad = spark.createDataFrame([("bad", "{not json")], "file string, value string")
-    _one_doc_per_file(one.unionByName(arr).unionByName(bad), ["file"]).write.partitionBy("file").text(root)
+    one = s.filter(single).select(F.col("doc_id").cast("string").alias("file"), F.lit(0).cast("long").alias("number"), js.alias("value"))
+    arr = _file_numbers(s.filter(~single), "number").groupBy(F.col("source").alias("file"), "number").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(js), ","), F.lit("]")).alias("value"))
+    bad = spark.createDataFrame([("bad", 0, "{not json")], "file string, number long, value string")
+    one.unionByName(arr).unionByName(bad).write.partitionBy("file", "number").text(root)
     return io.read_collection(spark, root)
 
 
@@ -117,14 +123,26 @@ def q_repo_info(spark, sf):
                     F.array_join("topics", "|").alias("topics"))
 
 
+def _rank_in_query(s: DataFrame) -> DataFrame:
+    """``_r``: each row's place in its query by (stars descending, url), from 0. Rows are dealt by ranges of that order
+    and written, so that a range keeps its rows; a place is the place within the range after the rows of earlier ranges."""
+    s = materialize(s.repartitionByRange("query_no", F.col("stars").desc(), "url").withColumn("_range", F.spark_partition_id()), "search-ranges")
+    earlier = Window.partitionBy("query_no").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = s.groupBy("query_no", "_range").agg(F.count("*").alias("_n")) \
+        .select(F.col("query_no").alias("_query"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))    # a row a range and query
+    within = Window.partitionBy("_range", "query_no").orderBy(F.col("stars").desc(), "url")
+    return s.withColumn("_r", F.row_number().over(within)) \
+        .join(F.broadcast(before), F.col("query_no").eqNullSafe(F.col("_query")) & (F.col("_range") == F.col("_of"))) \
+        .withColumn("_r", F.col("_r") - 1 + F.col("_before")).drop("_query", "_of", "_before", "_range")
+
+
 @register("search_items", with_views(["v_search_items"]) + """
 SELECT query_no, CAST((rank - 1) // 100 AS BIGINT) AS page, CAST((rank - 1) % 100 AS INT) AS item_no, url, owner, name,
        CAST(stars AS BIGINT) AS stars, language, coalesce(description, '') AS description, array_to_string(topics, '|') AS topics
 FROM (SELECT *, row_number() OVER (PARTITION BY query_no ORDER BY stars DESC, url) AS rank FROM v_search_items)""")
 def q_search_items(spark, sf):
     s = fixture(spark, sf, "v_search_items")
-    w = Window.partitionBy("query_no").orderBy(F.col("stars").desc(), "url")
-    s = s.withColumn("_r", F.row_number().over(w) - 1).withColumn("page", (F.col("_r") / 100).cast("long"))
+    s = _rank_in_query(s).withColumn("page", (F.col("_r") / 100).cast("long"))
     item = F.struct(F.col("_r").alias("_r"), F.col("url").alias("html_url"), "name", F.struct(F.col("owner").alias("login")).alias("owner"),
                     F.col("stars").alias("stargazers_count"), "language", "description", "topics",
                     F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"))

@@ -1,11 +1,18 @@
 import json
+import os
+from urllib.parse import unquote, urlparse
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import SF01
 from quarry.operators import docs as dc
 from quarry.operators import evaluate as ev
 from quarry.operators import sft
+from quarry.plans import source_plans
 from quarry.sources import io
+from quarry.sources.fixtures import fixture
 
 
 def test_read_collection_shapes(spark, tmp_path):
@@ -108,3 +115,24 @@ def test_append_keeps_one_row_a_key_and_counts(spark, tmp_path):
     assert io.append_to(rows, path, order=["n"]) == 2
     assert io.append_to(rows.union(spark.createDataFrame([("c", 9)], "repo_url string, n int")), path) == 1
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("b", 3), ("c", 9)]
+
+
+@pytest.mark.parametrize("name", ["scan_collection", "scan_samples"])
+def test_scanned_files_stay_small(spark, monkeypatch, name):
+    """A source of many samples is written as many files, and every sample is read back."""
+    monkeypatch.setattr(source_plans, "FILE_BYTES", 20_000, raising=False)
+    got = getattr(source_plans, f"q_{name}")(spark, SF01)
+    sizes = [os.path.getsize(unquote(urlparse(f).path)) for f in got.inputFiles()]
+    assert max(sizes) < 100_000 and sum(sizes) > 500_000
+    want = fixture(spark, SF01, "v_readme_samples")
+    assert sorted(map(tuple, got.select("repo_url", "readme").collect()), key=str) == sorted(map(tuple, want.select("repo_url", "readme").collect()), key=str)
+
+
+def test_search_items_ranks_by_ranges(spark):
+    w = Window.partitionBy("query_no").orderBy(F.col("stars").desc(), "url")
+    want = fixture(spark, SF01, "v_search_items").select("query_no", (F.row_number().over(w) - 1).alias("_r"), "url")
+    df = source_plans.q_search_items(spark, SF01)
+    got = df.select("query_no", F.col("page") * 100 + F.col("item_no"), "url")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "row_number()" in x and "windowspecdefinition(query_no" in x]
