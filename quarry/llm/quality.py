@@ -55,8 +55,8 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_base", base).drop("_words", "_lines", "_windows", "_sorted", "_places", "_repeat")
 
 
-def depleted(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
-    """(doc_id, digest of the text) of the documents that keep less than ``min_left`` of their characters.
+def _frequent_lines(docs: DataFrame, max_documents: int) -> DataFrame:
+    """(doc_id, digest of the text, place, line_chars, chars of the text) of each line in more than ``max_documents`` of its host.
 
     A line is normalised by lower case, single spaces and 0 for each digit; blank lines don't count. A null
     source is a host of its own. Rows that repeat a document count once.
@@ -68,11 +68,27 @@ def depleted(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: floa
     frequent = stage(lines.groupBy("source", "line", "digest").agg(F.count("*").alias("rows")).groupBy("source", "line").agg(F.count("*").alias("documents"))
                      .where(F.col("documents") > max_documents).select(F.col("source").alias("host"), F.col("line").alias("frequent")), "quality-frequent")
     held = lines.join(frequent, F.col("source").eqNullSafe(F.col("host")) & (F.col("line") == F.col("frequent")))
-    return (held.groupBy("doc_id", "digest", "place").agg(F.first("line_chars").alias("line_chars"), F.first("chars").alias("chars"))
+    return held.groupBy("doc_id", "digest", "place").agg(F.first("line_chars").alias("line_chars"), F.first("chars").alias("chars"))
+
+
+def depleted(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
+    """(doc_id, digest of the text) of the documents that keep less than ``min_left`` of their characters."""
+    return (_frequent_lines(docs, max_documents)
             .groupBy("doc_id", "digest").agg(F.sum("line_chars").alias("gone"), F.first("chars").alias("chars"))
             .where(F.col("chars") - F.col("gone") < min_left * F.col("chars")).select("doc_id", "digest"))
 
 
+def without_frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """All rows with all their columns, the texts without the lines above the limit of their host."""
+    gone = (_frequent_lines(docs, max_documents).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+            .agg(F.collect_list("place").alias("_places")))
+    rows = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_digest"]), "left")
+    lines = F.split(docs["text"], "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
+    text = F.when(F.col("_places").isNull(), docs["text"]).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    return rows.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+
+
 def quality_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
     """doc_id, the base columns, base_failed and kept of each row; rows repeat as in the input."""
     gone = stage(depleted(docs, max_documents, min_left), "quality-depleted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.lit(True).alias("_gone"))

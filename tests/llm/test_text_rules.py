@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers as P
 
 from quarry.llm import lm, toxicity
-from quarry.llm.quality import depleted, keep_good, quality_rules
+from quarry.llm.quality import depleted, keep_good, quality_rules, without_frequent_lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -114,6 +114,16 @@ def test_probabilities_sum_to_one():
     assert np.allclose(p.sum(axis=0), 1, atol=1e-3)
 
 
+def test_frequent_lines_are_removed(spark):
+    rows = [(i, f"own {chr(97 + i)}\n\nMENU  {i}\nend {chr(97 + i)}", "a", i) for i in range(6)]
+    rows += [(6, "menu 1", "a", 6), (7, "menu 1\nx", "b", 7), (8, None, "a", 8), (None, "menu 2\nz", "a", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long")
+    got = without_frequent_lines(df, max_documents=5)
+    assert got.columns == df.columns
+    want = {i: f"own {chr(97 + i)}\n\nend {chr(97 + i)}" for i in range(6)} | {6: "", 7: "menu 1\nx", 8: None, 9: "z"}
+    assert {r.extra: r.text for r in got.collect()} == want and got.count() == len(rows)
+
+
 def test_every_block_is_trained_on(spark):
     """A symbol that only the last block of a text reads moves only if that block is trained on."""
     blocks, rows, rare = 40, [], np.arange(300, 400)
