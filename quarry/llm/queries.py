@@ -13,6 +13,7 @@ from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 from quarry.llm.urlfilter import url_filter
+from quarry.llm.veccodes import vector_codes
 from quarry.sources.tables import table
 
 QUERIES: dict = {}
@@ -89,3 +90,28 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_round(n: int) -> str:
+    """Assignment a<n> of the parts to codebook b<n>, and the next codebook."""
+    return f"""
+d{n} AS (SELECT p.part, p.vec_id, p.label, p.x, b.idx, list_dot_product(p.x, p.x) + list_dot_product(b.e, b.e) - 2 * list_dot_product(p.x, b.e) AS d FROM p JOIN b{n} b ON b.part = p.part),
+a{n} AS (SELECT part, vec_id, any_value(label) AS label, any_value(x) AS x, CAST(min(d) AS BIGINT) AS d, CAST(min(d * 256 + idx) AS BIGINT) % 256 AS idx FROM d{n} GROUP BY part, vec_id),
+u{n} AS (SELECT part, idx, pos, floor(sum(v) / count(*)) AS m FROM (SELECT part, idx, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM a{n}) GROUP BY part, idx, pos),
+b{n + 1} AS (SELECT b.part, b.idx, coalesce(l.e, b.e) AS e FROM b{n} b LEFT JOIN (SELECT part, idx, list(m ORDER BY pos) AS e FROM u{n} GROUP BY part, idx) l ON l.part = b.part AND l.idx = b.idx),"""
+
+
+ORACLE["op12_vector_codes"] = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, label, part, e[part * (len(e) // 4) + 1 : (part + 1) * (len(e) // 4)] AS x FROM v, range(4) AS r(part)),
+b0 AS (SELECT part, idx, x AS e FROM (SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS idx FROM p) WHERE idx < 256),
+{"".join(_lloyd_round(n) for n in range(5))}
+h AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, idx, pos)) AS digest FROM (SELECT part, idx, unnest(e) AS c, generate_subscripts(e, 1) AS pos FROM b4)),
+c AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', idx), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT digest FROM h) AS codebooks_sha256 FROM c"""
