@@ -10,6 +10,7 @@ from quarry.llm.bpe import encode_decode_digests
 from quarry.llm.linededup import dedup_lines
 from quarry.llm.ngramjoin import similar_documents
 from quarry.llm.packing import pack
+from quarry.llm.prefixtrie import prefix_trie
 from quarry.llm.quality import quality_rules
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 from quarry.llm.urlfilter import url_filter
@@ -115,3 +116,28 @@ b0 AS (SELECT part, idx, x AS e FROM (SELECT part, x, row_number() OVER (PARTITI
 h AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, idx, pos)) AS digest FROM (SELECT part, idx, unnest(e) AS c, generate_subscripts(e, 1) AS pos FROM b4)),
 c AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', idx), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY vec_id)
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT digest FROM h) AS codebooks_sha256 FROM c"""
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: crc32 of the decimal id bit by bit: each byte joins at the first of its eight steps.
+ORACLE["op13_conversation_trie"] = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS k FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295::UBIGINT], flatten([[ascii(b)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR b IN string_split(CAST(conv_id AS VARCHAR), '')])),
+             lambda a, e: xor(xor(a, e) >> 1, CASE WHEN xor(a, e) & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)), 4294967295::UBIGINT) % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT i.conv_id, 0 AS part, t.k, t.role, t.text FROM i JOIN t ON t.conv_id = i.conv_id - ((i.conv_id % 5) + 5) % 5 AND t.k < i.h
+      UNION ALL SELECT t.conv_id, 1, t.k, t.role, t.text FROM t JOIN i USING (conv_id) WHERE t.k >= i.h),
+p AS (SELECT conv_id, row_number() OVER w AS d, list({'r': role, 't': text}) OVER w AS seq, text FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)
+      UNION ALL SELECT conv_id, 0, [], '' FROM i),
+l AS (SELECT conv_id, max(d) AS len FROM p GROUP BY conv_id),
+n AS (SELECT seq, d, min(p.conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(text)) END AS own,
+             sha256(coalesce(string_agg(CASE WHEN d = len THEN CAST(p.conv_id AS VARCHAR) END, ',' ORDER BY p.conv_id), '')) AS ends_sha256 FROM p JOIN l USING (conv_id) GROUP BY seq, d),
+k AS (SELECT seq[1 : d - 1] AS seq, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.seq = n.seq),
+s AS (SELECT p.seq, p.d, sum(m.own) AS saved_tokens, sum(CASE WHEN m.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves FROM m JOIN p ON p.conv_id = m.conv_id AND p.d <= m.d GROUP BY p.seq, p.d)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, CASE WHEN m.d > 0 THEN u.conv_id END AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN s ON s.d = m.d AND s.seq = m.seq LEFT JOIN n u ON u.d = m.d - 1 AND u.seq = m.seq[1 : m.d - 1]"""
