@@ -12,6 +12,7 @@ from quarry.llm.ngramjoin import similar_documents
 from quarry.llm.packing import pack
 from quarry.llm.prefixtrie import prefix_trie
 from quarry.llm.quality import quality_rules
+from quarry.llm.repeats import repeats_removed
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 from quarry.llm.urlfilter import url_filter
 from quarry.llm.veccodes import vector_codes
@@ -93,6 +94,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_removed(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_substring_dedup"] = """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT r, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS k FROM t),
+s AS (SELECT r, doc_id, word, k, CASE WHEN count(*) OVER g = 50 THEN string_agg(word, ' ') OVER g END AS win FROM w WINDOW g AS (PARTITION BY r ORDER BY k ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+f AS (SELECT win, min(doc_id) AS first_doc FROM s WHERE win IS NOT NULL GROUP BY win),
+d AS (SELECT s.r, s.word, s.k, max(CASE WHEN f.first_doc < s.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY s.r ORDER BY s.k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM s LEFT JOIN f ON f.win = s.win),
+k AS (SELECT r, count(*) AS n_words, sum(gone) AS n_removed, string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY k) AS kept FROM d GROUP BY r)
+SELECT t.doc_id, coalesce(k.n_words, 0) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM t LEFT JOIN k USING (r)"""
+
+
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))

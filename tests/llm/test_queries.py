@@ -8,7 +8,7 @@ from quarry.llm import queries
 
 def test_one_query_for_each_operator():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
