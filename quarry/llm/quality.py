@@ -71,22 +71,36 @@ def _frequent_lines(docs: DataFrame, max_documents: int) -> DataFrame:
     return held.groupBy("doc_id", "digest", "place").agg(F.first("line_chars").alias("line_chars"), F.first("chars").alias("chars"))
 
 
+def _per_document(docs: DataFrame, max_documents: int, min_left: float) -> DataFrame:
+    """(_id, _digest, _places, _depleted) of the documents with lines above the limit: these lines, and whether less than ``min_left`` of the characters is left."""
+    found = (_frequent_lines(docs, max_documents).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+             .agg(F.collect_list("place").alias("_places"), F.sum("line_chars").alias("gone"), F.first("chars").alias("chars")))       # at most a document's lines
+    return stage(found.select("_id", "_digest", "_places", (F.col("chars") - F.col("gone") < min_left * F.col("chars")).alias("_depleted")), "quality-lines-gone")
+
+
 def depleted(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
     """(doc_id, digest of the text) of the documents that keep less than ``min_left`` of their characters."""
-    return (_frequent_lines(docs, max_documents)
-            .groupBy("doc_id", "digest").agg(F.sum("line_chars").alias("gone"), F.first("chars").alias("chars"))
-            .where(F.col("chars") - F.col("gone") < min_left * F.col("chars")).select("doc_id", "digest"))
+    return _per_document(docs, max_documents, min_left).where("_depleted").select(F.col("_id").alias("doc_id"), F.col("_digest").alias("digest"))
+
+
+def _joined(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_digest"]), "left")
+
+
+def _cleaned(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``; ``text`` without the lines at ``_places``, and ``n_chars``, where there, its new length."""
+    lines = F.split(rows["text"], "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
+    rows = rows.withColumn("_left", F.when(F.col("_places").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")))
+    out = {c: F.col(c) for c in docs.columns} | {"text": F.coalesce("_left", "text").alias("text")}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length("_left")).cast(dict(docs.dtypes)["n_chars"]).alias("n_chars")
+    return rows.select(*out.values())
 
 
 def without_frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """All rows with all their columns, the texts without the lines above the limit of their host."""
-    gone = (_frequent_lines(docs, max_documents).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-            .agg(F.collect_list("place").alias("_places")))
-    rows = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_digest"]), "left")
-    lines = F.split(docs["text"], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
-    text = F.when(F.col("_places").isNull(), docs["text"]).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return rows.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    return _cleaned(_joined(docs, _per_document(docs, max_documents, 0.0)), docs)
 
 
 def quality_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
@@ -99,8 +113,8 @@ def quality_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left:
 
 
 def keep_good(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
-    """The rows that the rules keep, with all their columns."""
-    gone = stage(depleted(docs, max_documents, min_left), "quality-depleted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    """The rows that the rules keep, with all their columns; their texts without the lines above the limit of their host."""
+    gone = _per_document(docs, max_documents, min_left)
     # a filter on the generated column stays above the projections; on the base itself it would be pushed below and repeat them
     good = with_base(docs).withColumn("_good", F.explode_outer(F.array(~F.col("_base.base_failed")))).where("_good")
-    return good.join(gone, good["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(good["text"]) == gone["_digest"]), "left_anti").select(*[good[c] for c in docs.columns])
+    return _cleaned(_joined(good, gone).where("_depleted IS NULL OR NOT _depleted"), docs)

@@ -42,6 +42,8 @@ def test_lines_above_the_limit_deplete_documents(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {r.doc_id for r in depleted(df, max_documents=5).collect()} == {0, 1, 2, 3, 4, 5}
     kept = keep_good(df, max_documents=5)
+    texts = {(i, t if h != "h" or i > 10 else t.split("\n")[1]) for i, t, h in rows if i >= 10}        # the banner goes from kept documents of its host
+    assert {(r.doc_id, r.text) for r in kept.collect()} == texts
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [10, 11, 12, 13, 13, *range(20, 29)]
     assert sorted(r.doc_id for r in quality_rules(df, max_documents=5).where("kept").collect()) == [10, 11, 12, 13, 13, *range(20, 29)]
 
