@@ -26,8 +26,8 @@ from quarry.llm.common import as_batch, crc_mod, doc_text, process_cache, stage,
 
 #: Labelled rows that the model is fitted on, at most; those with the least hash of their doc_id.
 SAMPLE_ROWS = 6_000
-#: A learned stem has so many letters, and at most so many stems are weighed against clean rows.
-STEM, MAX_STEM, CANDIDATES = 4, 12, 50_000
+#: A learned stem has so many letters; a task passes its counts on beyond so many stems.
+STEM, MAX_STEM, HELD_STEMS = 4, 12, 200_000
 
 # Word lists of the grammar.
 INSULTS = ["idiot", "moron", "stupid", "imbecil", "scum", "loser", "pathetic", "worthless", "disgusting", "dumb", "trottel", "dummkopf", "crétin", "abruti", "estúpid", "pendej"]
@@ -184,30 +184,30 @@ def _learn_stems(sample: DataFrame) -> tuple[tuple[str, float], ...]:
             found = {(s, c, i) for i, t in zip(batch.column(0).to_pylist(), texts, strict=True) for s, c in _stems_of(t)}
             yield pa.RecordBatch.from_pydict({"stem": pa.array([x[0] for x in found], pa.string()), "context": pa.array([x[1] for x in found], pa.int64()), "doc_id": pa.array([x[2] for x in found], pa.int64())})
 
-    seen = (sample.where("toxic = 1").select("doc_id", "text").mapInArrow(contexts, "stem string, context long, doc_id long")
-            .groupBy("stem", "context").agg(F.min("doc_id").alias("doc_id"))
-            .groupBy("stem").agg(F.count("*").alias("n"), F.approx_count_distinct("doc_id").alias("rows")).where(((F.col("rows") >= least) & (F.col("n") >= least)) | ((F.col("rows") >= 2) & (F.col("n") >= 2 * least)))
-            .orderBy(F.desc("rows"), "stem").limit(CANDIDATES))
-    toxic = {r.stem: r["rows"] for r in seen.collect()}
+    toxic = (sample.where("toxic = 1").select("doc_id", "text").mapInArrow(contexts, "stem string, context long, doc_id long")
+             .groupBy("stem", "context").agg(F.min("doc_id").alias("doc_id"))
+             .groupBy("stem").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("a")).where(((F.col("a") >= least) & (F.col("n") >= least)) | ((F.col("a") >= 2) & (F.col("n") >= 2 * least))))
 
     def clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = defaultdict(int)
         for _, texts in text_blocks(batches):
             for t in texts:
                 words = {w for w in TOKEN.findall((t or "").lower()) if len(w) >= STEM}
-                for s in {w[:n] for w in words for n in range(STEM, min(len(w), MAX_STEM) + 1)}.intersection(toxic):
+                for s in {w[:n] for w in words for n in range(STEM, min(len(w), MAX_STEM) + 1)}:
                     counts[s] += 1
+            if len(counts) > HELD_STEMS:
+                yield pa.RecordBatch.from_pydict({"stem": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+                counts.clear()
         yield pa.RecordBatch.from_pydict({"stem": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
-    clean = {r.stem: r.n for r in sample.where("toxic = 0").select("doc_id", "text").mapInArrow(clean_rows, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n")).collect()} if toxic else {}
+    clean = sample.where("toxic = 0").select("doc_id", "text").mapInArrow(clean_rows, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("b"))
+    held = toxic.join(clean, "stem", "left").select("stem", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    odds = F.log((F.col("a") + 0.5) / (toxic_n + 1)) - F.log((F.col("b") + 0.5) / (clean_n + 1))
+    passed = held.withColumn("odds", odds).where((F.col("odds") >= 3) & (F.col("a") >= 4 * F.col("b")))
     kept: dict[str, float] = {}
-    for s in sorted(toxic, key=lambda s: (len(s), s)):
-        if any(s[:n] in kept for n in range(STEM, len(s))):
-            continue
-        a, b = toxic[s], clean.get(s, 0)
-        odds = math.log((a + 0.5) / (toxic_n + 1)) - math.log((b + 0.5) / (clean_n + 1))
-        if odds >= 3 and a >= 4 * b:
-            kept[s] = min(2.0, odds / 5)
+    for r in sorted(passed.collect(), key=lambda r: (len(r.stem), r.stem)):
+        if not any(r.stem[:n] in kept for n in range(STEM, len(r.stem))):
+            kept[r.stem] = min(2.0, r.odds / 5)
     return tuple(sorted((seeds | kept).items()))
 
 
