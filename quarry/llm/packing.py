@@ -21,6 +21,9 @@ from quarry.llm.subwords import LibraryEncoder
 
 #: Parts that each length's group is dealt into.
 SALTS = 256
+#: Steps that the search for a packing may take.
+NODES = 20_000
+END = object()
 Filling = tuple[tuple[int, int], ...]      # (length, how many), longest first
 
 
@@ -63,10 +66,12 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Filling, int]]:
 
 
 def _dominated(counts: np.ndarray, filling: list[int], waste: int) -> bool:
-    """Some of its items (one, or two together) could give way to a longer unused one that still fits."""
+    """An unused item still fits, or some of its items (one, or two together) could give way to a longer unused one that does."""
     free = counts.copy()
     for x in filling:
         free[x] -= 1
+    if (free[: waste + 1] > 0).any():
+        return True
     for k in (1, 2):
         for some in combinations(filling, k):
             s = sum(some)
@@ -76,63 +81,47 @@ def _dominated(counts: np.ndarray, filling: list[int], waste: int) -> bool:
     return False
 
 
-def _fillings(counts: np.ndarray, room: int, width: int) -> Iterator[list[int]]:
-    """Undominated ways to fill ``room``, least waste first. What fills it to the last token comes at once."""
-    if not room or not counts[: room + 1].any():
-        yield []
-        return
-    if counts[room]:
+def _fillings(counts: np.ndarray, room: int, most_waste: int) -> Iterator[list[int] | None]:
+    """All undominated ways to fill ``room`` with at most ``most_waste`` left, least waste first; None for a step that ends in none.
+
+    Sums that a run of the smaller sizes can reach are kept as bits, so only branches that come out at the wanted sum are followed.
+    """
+    if counts[room] and room:
         yield [room]                                                       # dominates every other filling
         return
-    sizes = np.flatnonzero(counts[: room + 1])
-    given = 0
-    rest = room - sizes
-    exact = sizes[(sizes >= rest) & (counts[rest] > np.where(sizes == rest, 1, 0))]
-    for a in exact[::-1][:4].tolist():
-        yield [a, room - a]
-        given += 1
-    if not given:
-        for a in sizes[::-1][:32].tolist():
-            rest = room - a - sizes
-            ok = (sizes <= a) & (rest >= 0) & (rest <= sizes)
-            b, c = sizes[ok], rest[ok]
-            need = 1 + (b == a) * 1 + (c == a) * 1
-            fit = (counts[c] > (c == b) * 1) & (counts[a] >= need) & (counts[b] > 0)
-            for x, y in zip(b[fit][::-1][:1].tolist(), c[fit][::-1][:1].tolist(), strict=True):
-                yield [a, x, y]
-                given += 1
-    found: list[tuple[int, list[int]]] = []
-    stack: list[tuple[int, int, list[int]]] = [(room, int(sizes[-1]), [])]
-    steps = 0
-    while stack and len(found) < width and steps < 8 * width:
-        steps += 1
-        left, largest, chosen = stack.pop()
-        free = counts[: min(left, largest) + 1].copy()
-        for x in chosen:
-            if x < len(free):
-                free[x] -= 1
-        fit = np.flatnonzero(free > 0)
-        smaller = counts[: left + 1].copy()                                # maximal: nothing unused fits
-        for x in chosen:
-            if x <= left:
-                smaller[x] -= 1
-        if not (smaller > 0).any():
-            if not _dominated(counts, chosen, left):
-                found.append((left, chosen))
-            continue
-        for x in fit[-width:].tolist():
-            stack.append((left - x, x, [*chosen, x]))
-    for _, chosen in sorted(found, key=lambda f: f[0]):
-        yield chosen
+    sizes = np.flatnonzero(counts[: room + 1]).tolist()
+    mask, sums = (1 << (room + 1)) - 1, [1]
+    for size in sizes:
+        bits, most, step = sums[-1], min(int(counts[size]), room // size), 1
+        while most:
+            step = min(step, most)
+            bits |= bits << (size * step) & mask
+            most -= step
+            step *= 2
+        sums.append(bits)
+    for waste in range(min(most_waste, room) + 1):
+        stack: list[tuple[int, int, list[int]]] = [(room - waste, len(sizes), [])]
+        while stack:
+            left, k, chosen = stack.pop()
+            if not left:
+                yield None if _dominated(counts, chosen, waste) else chosen
+                continue
+            if not sums[k] >> left & 1:
+                continue
+            # the largest size is taken once more, or not at all from here on
+            size = sizes[k - 1]
+            stack.append((left, k - 1, chosen))
+            if size <= left and chosen.count(size) < counts[size]:
+                stack.append((left - size, k, [*chosen, size]))
 
 
-def plan_bins(counts: np.ndarray, capacity: int, nodes: int = 4_000, width: int = 24) -> list[tuple[Filling, int]]:
+def plan_bins(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[tuple[Filling, int]]:
     """A packing of ``counts[length]`` pieces into few bins, as (filling, times used).
 
     Depth-first: each node fills bins around the longest piece left, with the filling as often as the counts allow and
     (when the search comes back) once. A branch ends when the bins so far and the bound for the
-    rest, which counts the waste already made, reach the incumbent. Best-fit packings of what is
-    left are the incumbents. The search ends at the lower bound, or after ``nodes`` nodes with the best packing found.
+    rest, which counts the waste already made, reach the incumbent; fillings that alone waste as much are not made. Best-fit packings of what is
+    left are the incumbents. The search is complete but for ``nodes``: it ends at the lower bound, when all is searched, or after so many steps with the best packing found.
     """
     counts = counts.astype(np.int64)
     best = best_fit(counts, capacity)
@@ -140,11 +129,16 @@ def plan_bins(counts: np.ndarray, capacity: int, nodes: int = 4_000, width: int
     if best_n <= goal or not counts.any():
         return best
 
-    def choices(state: np.ndarray) -> Iterator[tuple[Filling, int]]:
+    lengths = np.arange(capacity + 1)
+
+    def choices(state: np.ndarray, used: int) -> Iterator[tuple[Filling, int] | None]:
         longest = int(np.flatnonzero(state)[-1])
         free = state.copy()
         free[longest] -= 1
-        for some in _fillings(free, capacity - longest, width):
+        for some in _fillings(free, capacity - longest, (best_n - 1 - used) * capacity - int((state * lengths).sum())):
+            if some is None:
+                yield None
+                continue
             sizes, each = np.unique([longest, *some], return_counts=True)
             most = int((state[sizes] // each).min())
             filling = tuple(zip(sizes[::-1].tolist(), each[::-1].tolist(), strict=True))
@@ -152,17 +146,18 @@ def plan_bins(counts: np.ndarray, capacity: int, nodes: int = 4_000, width: int
                 yield filling, n
 
     path: list[tuple[Filling, int]] = []
-    stack: list[tuple[np.ndarray, int, Iterator]] = [(counts, 0, choices(counts))]
+    stack: list[tuple[np.ndarray, int, Iterator]] = [(counts, 0, choices(counts, 0))]
     seen = 0
     while stack and seen < nodes and best_n > goal:
         state, used, options = stack[-1]
-        step = next(options, None)
-        if step is None:
+        step = next(options, END)
+        seen += 1
+        if step is END:
             stack.pop()
             if path:
                 path.pop()
+        if step is END or step is None:
             continue
-        seen += 1
         filling, n = step
         left = state.copy()
         for size, each in filling:
@@ -176,7 +171,7 @@ def plan_bins(counts: np.ndarray, capacity: int, nodes: int = 4_000, width: int
                 best, best_n = [*path, step, *tail], total
         if left.any():
             path.append(step)
-            stack.append((left, used + n, choices(left)))
+            stack.append((left, used + n, choices(left, used + n)))
     return best
 
 
@@ -217,7 +212,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Da
     return doc_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, nodes: int = 4_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, nodes: int = NODES) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null text is empty (its end id alone); rows with a null or repeated doc_id are documents of their own;

@@ -15,9 +15,23 @@ import numpy as np
 from quarry.llm.common import offsets_of, process_cache, ragged
 
 LOOSE_SPACE = re.compile(r" (?!\S)")
-#: The cache is emptied beyond this many units or characters.
-MAX_UNITS, MAX_CHARS = 300_000, 6_000_000
-JOINED = 2_000
+#: Beyond this many units or characters the cache keeps the units it was asked for most, so many of them and of their characters.
+MAX_UNITS, MAX_CHARS = 600_000, 12_000_000
+KEPT_UNITS, KEPT_CHARS = 250_000, 5_000_000
+#: Units that are encoded as one text.
+JOINED = 256
+
+
+class Places(dict):
+    """Units to their places; a new unit gets the next place and is listed in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = place = len(self)
+        self.new.append(unit)
+        return place
 
 
 class UnitStore:
@@ -25,14 +39,31 @@ class UnitStore:
 
     def __init__(self, encode_new):
         self.encode_new = encode_new
+        self.kept: np.ndarray | None = None     # after it shrank: the places that the units it holds had before
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Places()
         self.at = np.zeros(0, np.int64)         # places of the units encoded last
-        self.flat, self.starts, self.lengths = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.flat, self.starts, self.lengths, self.asked = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.used = self.chars = 0
 
+    def shrink(self) -> None:
+        """Keep the units asked for most; their counts are halved, so that what is no longer asked for goes in time."""
+        units = list(self.index)
+        order = np.argsort(-self.asked[: len(units)], kind="stable")[:KEPT_UNITS]
+        sizes = np.fromiter((len(units[i]) for i in order.tolist()), np.int64, len(order))
+        order = np.sort(order[np.cumsum(sizes) <= KEPT_CHARS])
+        lengths, asked = self.lengths[order], self.asked[order] // 2
+        flat = ragged(self.flat, self.starts[order], lengths)
+        kept = [units[i] for i in order.tolist()]
+        self.clear()
+        for unit in kept:
+            self.index[unit] = len(self.index)
+        self._store(kept, flat, lengths)
+        self.asked[: len(kept)] = asked
+        self.kept = order
+
     def _grow(self, name: str, need: int) -> None:
         old = getattr(self, name)
         if need > len(old):
@@ -40,26 +71,28 @@ class UnitStore:
             new[: len(old)] = old
             setattr(self, name, new)
 
-    def _add(self, units: list[str]) -> None:
-        flat, lengths = self.encode_new(units)
-        n, k = len(self.index), len(units)
-        self._grow("starts", n + k)
-        self._grow("lengths", n + k)
+    def _store(self, units: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        """Ids of the units that were placed last."""
+        k = len(units)
+        n = len(self.index) - k
+        for name in ("starts", "lengths", "asked"):
+            self._grow(name, n + k)
         self._grow("flat", self.used + len(flat))
         self.flat[self.used : self.used + len(flat)] = flat
         self.lengths[n : n + k] = lengths
         self.starts[n : n + k] = self.used + offsets_of(lengths)[:-1]
         self.used += len(flat)
         self.chars += sum(map(len, units))
-        self.index.update(zip(units, range(n, n + k), strict=True))
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after another, and each unit's number of ids."""
         if len(self.index) > MAX_UNITS or self.chars > MAX_CHARS:
-            self.clear()
-        if new := list(set(units).difference(self.index)):
-            self._add(new)
+            self.shrink()
         at = self.at = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        if new := self.index.new:
+            self.index.new = []
+            self._store(new, *self.encode_new(new))
+        self.asked[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         return ragged(self.flat, self.starts[at], self.lengths[at]), self.lengths[at]
 
 
@@ -96,12 +129,12 @@ class LibraryEncoder:
             return self._after_spaces(units)
         later = [i for i, u in enumerate(units) if u[:1] != " "]
         flat, sizes = self._after_spaces([units[i] for i in later])
-        parts: list[np.ndarray] = [flat] * len(units)
-        for i, run in zip(later, np.split(flat, np.cumsum(sizes)[:-1]), strict=False):
-            parts[i] = run
-        for i, run in zip(first, self._whole([units[i][1:] for i in first]), strict=True):
-            parts[i] = run
-        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        runs = self._whole([units[i][1:] for i in first])
+        lengths = np.zeros(len(units), np.int64)
+        lengths[later], lengths[first] = sizes, np.fromiter(map(len, runs), np.int64, len(runs))
+        starts = np.zeros(len(units), np.int64)                            # in the later units' ids, then the first ones'
+        starts[later], starts[first] = offsets_of(sizes)[:-1], len(flat) + offsets_of(lengths[first])[:-1]
+        return ragged(np.concatenate([flat, *runs]), starts, lengths), lengths
 
     def _after_spaces(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units that each follow a space; many are encoded as one text, and each begins at an id that begins with a space."""

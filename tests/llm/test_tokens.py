@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers as P
@@ -11,7 +12,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from quarry.llm.bpe import WordBpe, encode_decode, encode_decode_digests
-from quarry.llm.packing import lower_bound, pack, plan_bins, slots_of
+from quarry.llm import subwords
+from quarry.llm.packing import _dominated, _fillings, best_fit, lower_bound, pack, plan_bins, slots_of
 from quarry.llm.subwords import LibraryEncoder
 from quarry.llm.tokenfiles import read_token_files, write_token_files
 
@@ -114,6 +116,43 @@ def fewest(items, capacity):
     return best[0]
 
 
+def test_search_goes_beyond_best_fit_and_is_complete():
+    counts = np.bincount([6, 6, 4, 4, 4, 3, 3], minlength=16)               # best fit: 6 6 3, 4 4 4 3; exact
+    assert sum(n for _, n in plan_bins(counts, 15)) == 2
+    better = 0
+    rng = random.Random(8)
+    for _ in range(60):
+        items = sorted((rng.randint(15, 60) for _ in range(12)), reverse=True)
+        counts = np.bincount(items, minlength=101)
+        found, first = sum(n for _, n in plan_bins(counts, 100)), sum(n for _, n in best_fit(counts, 100))
+        assert found == fewest(items, 100)
+        better += found < first
+    assert better
+
+
+def test_fillings_are_all_undominated_ones():
+    counts = np.bincount([9, 7, 7, 5, 4, 3, 3, 1], minlength=21)
+    want = set()
+    for k in range(7):
+        for some in combinations([9, 7, 7, 5, 4, 3, 3, 1], k):
+            if sum(some) <= 18 and not _dominated(counts, list(some), 18 - sum(some)):
+                want.add(tuple(sorted(some)))
+    found = [tuple(sorted(f)) for f in _fillings(counts, 18, 18) if f is not None]
+    assert set(found) == want and len(found) == len(want)
+    assert [f for f in _fillings(np.zeros(6, int), 5, 5)] == [[]]
+
+
+def test_units_are_kept_by_how_often_they_are_asked_for(monkeypatch):
+    monkeypatch.setattr(subwords, "MAX_UNITS", 60)
+    monkeypatch.setattr(subwords, "KEPT_UNITS", 10)
+    library, mine = Tokenizer.from_file(BYTE), LibraryEncoder(BYTE)
+    for k in range(20):
+        some = [f" the often seen {k}x{j} words, and rare{k * j}" for j in range(30)] + ["the often"]
+        ids, sizes = mine.encode(some)
+        assert [list(x) for x in np.split(ids, np.cumsum(sizes)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert "often" in mine.store.index and len(mine.store.index) < 400
+
+
 def test_bin_completion_is_optimal_on_small_inputs():
     rng = random.Random(1)
     for k in range(200):
@@ -121,7 +160,7 @@ def test_bin_completion_is_optimal_on_small_inputs():
         near = [capacity // 3, capacity // 2, capacity // 3 + 1, capacity // 4, capacity // 2 + 1, capacity // 5 + 1]
         items = sorted((rng.randint(1, capacity) if k % 2 else rng.choice(near) for _ in range(rng.randint(0, 11))), reverse=True)
         counts = np.bincount(items, minlength=capacity + 1) if items else np.zeros(capacity + 1, np.int64)
-        plan = plan_bins(counts, capacity, nodes=50_000, width=300)
+        plan = plan_bins(counts, capacity)
         used = np.zeros(capacity + 1, int)
         for filling, n in plan:
             assert sum(a * b for a, b in filling) <= capacity
