@@ -95,26 +95,34 @@ def _rx(c: Column, pattern: str, ignore_case: bool) -> Column:
     return c.rlike(("(?iU)" if ignore_case else "(?U)") + pattern)
 
 
-def regex_type(content) -> Column:
-    """struct(type, evidence) from content patterns.
+# What a text must contain (lower-cased) for a pattern to be tried; without s and k, which fold from other letters, too.
+GUARDS = {API_PATTERNS[0]: ["app.route"], API_PATTERNS[1]: ["router."], API_PATTERNS[2]: [".route"], API_PATTERNS[3]: ["blueprint"], API_PATTERNS[4]: ["apirouter"],
+          DB_PATTERNS[0]: ["create_engine"], DB_PATTERNS[1]: ["connect"], DB_PATTERNS[2]: ["ionma"], DB_PATTERNS[3]: ["engine.connect"],
+          SERVICE_PATTERNS[0]: ["ervice"], SERVICE_PATTERNS[1]: ["ervice"], SERVICE_PATTERNS[2]: ["ervice"],
+          CACHE_PATTERN: ["redi", "cache"], QUEUE_PATTERN: ["celery", "rabbitmq", "pi", "queue"]}
+
+
+def _hits(c: Column) -> Column:
+    """Which patterns a text holds, as a struct: api0.., model, db0.., sv0.., cache, queue."""
+    c = F.regexp_replace(c, "\r\n?", "\n")          # text-mode reading: universal newlines
+    low = F.lower(c)
+
+    def hit(p):
+        return contains_any(low, GUARDS[p]) & _rx(c, p, True)
+
+    model = c.contains("class") & (_rx(c, MODEL_PATTERNS[0], False) | _rx(c, MODEL_PATTERNS[1], False)) | c.contains("Column") & _rx(c, MODEL_PATTERNS[2], False)
+    named = [(f"api{i}", hit(p)) for i, p in enumerate(API_PATTERNS)] + [("model", model)] + [(f"db{i}", hit(p)) for i, p in enumerate(DB_PATTERNS)] \
+        + [(f"sv{i}", hit(p)) for i, p in enumerate(SERVICE_PATTERNS)] + [("cache", hit(CACHE_PATTERN)), ("queue", hit(QUEUE_PATTERN))]
+    return F.struct(*[F.coalesce(h, F.lit(False)).alias(n) for n, h in named])
+
+
+def _regex_type(hits: Column) -> Column:
+    """struct(type, evidence) from the hits.
 
     api (first pattern) -> model overrides -> database / service / cache / queue
     only while unset; evidence lists every pattern family that matched.
     """
-    c = F.col(content) if isinstance(content, str) else content
-    c = F.regexp_replace(c, "\r\n?", "\n")          # text-mode reading: universal newlines
-    api_hits = [_rx(c, p, True) for p in API_PATTERNS]
-    api_any = api_hits[0]
-    for h in api_hits[1:]:
-        api_any = api_any | h
-    api_ev = None
-    for p, h in zip(API_PATTERNS, api_hits):
-        api_ev = F.when(h, F.lit(f"Found API route pattern: {p}")) if api_ev is None else api_ev.when(h, F.lit(f"Found API route pattern: {p}"))
-    model = _rx(c, MODEL_PATTERNS[0], False) | _rx(c, MODEL_PATTERNS[1], False) | _rx(c, MODEL_PATTERNS[2], False)
-    db_hits = [_rx(c, p, True) for p in DB_PATTERNS]
-    sv_hits = [_rx(c, p, True) for p in SERVICE_PATTERNS]
-    cache = _rx(c, CACHE_PATTERN, True)
-    queue = _rx(c, QUEUE_PATTERN, True)
+    api, db, sv = ([hits[f"{k}{i}"] for i in range(len(ps))] for k, ps in (("api", API_PATTERNS), ("db", DB_PATTERNS), ("sv", SERVICE_PATTERNS)))
 
     def any_of(hs):
         out = hs[0]
@@ -122,20 +130,51 @@ def regex_type(content) -> Column:
             out = out | h
         return out
 
-    typ = (F.when(model, "model").when(api_any, "api_server").when(any_of(db_hits), "database")
-           .when(any_of(sv_hits), "service").when(cache, "cache").when(queue, "queue"))
-    ev = [api_ev, F.when(model, F.lit("Found SQLAlchemy model pattern"))]
-    ev += [F.when(h, F.lit(f"Found database pattern: {p}")) for p, h in zip(DB_PATTERNS, db_hits)]
-    ev += [F.when(h, F.lit(f"Found service pattern: {p}")) for p, h in zip(SERVICE_PATTERNS, sv_hits)]
-    ev += [F.when(cache, F.lit("Found cache usage")), F.when(queue, F.lit("Found queue usage"))]
+    api_ev = F.when(api[0], F.lit(f"Found API route pattern: {API_PATTERNS[0]}"))
+    for p, h in zip(API_PATTERNS[1:], api[1:]):
+        api_ev = api_ev.when(h, F.lit(f"Found API route pattern: {p}"))
+    typ = (F.when(hits["model"], "model").when(any_of(api), "api_server").when(any_of(db), "database")
+           .when(any_of(sv), "service").when(hits["cache"], "cache").when(hits["queue"], "queue"))
+    ev = [api_ev, F.when(hits["model"], F.lit("Found SQLAlchemy model pattern"))]
+    ev += [F.when(h, F.lit(f"Found database pattern: {p}")) for p, h in zip(DB_PATTERNS, db)]
+    ev += [F.when(h, F.lit(f"Found service pattern: {p}")) for p, h in zip(SERVICE_PATTERNS, sv)]
+    ev += [F.when(hits["cache"], F.lit("Found cache usage")), F.when(hits["queue"], F.lit("Found queue usage"))]
     return F.struct(typ.alias("type"), F.array_compact(F.array(*ev)).alias("evidence"))
 
 
+def regex_type(content) -> Column:
+    """C3 of one text column."""
+    return _regex_type(_hits(F.col(content) if isinstance(content, str) else content))
+
+
+def _py_files(files: DataFrame) -> DataFrame:
+    return files.filter(F.col("path").endswith(".py") & (F.length(F.element_at(F.split("path", "/", -1), -1)) > 3))
+
+
+def regex_typed(files: DataFrame, *more: Column) -> DataFrame:
+    """``(repo_id, file_no, path, _rx, *more)`` of ``.py`` files; ``_rx`` is C3's struct, its type null where nothing matched.
+
+    The hits come out of a generator, which the optimizer does not look through, so each pattern runs once a file.
+    """
+    hit = _py_files(files).select("repo_id", "file_no", "path", *more, F.explode(F.array(_hits(F.col("content")))).alias("_h"))
+    return hit.withColumn("_rx", _regex_type(F.col("_h"))).drop("_h")
+
+
 def file_types_regex(files: DataFrame) -> DataFrame:
     """C3 over ``.py`` files: ``(repo_id, file_no, path, type, evidence)`` for typed files."""
-    py = files.filter(F.col("path").endswith(".py") & (F.length(F.element_at(F.split("path", "/", -1), -1)) > 3))
-    r = py.select("repo_id", "file_no", "path", regex_type("content").alias("r"))
-    return r.select("repo_id", "file_no", "path", "r.type", "r.evidence").filter(F.col("type").isNotNull())
+    return regex_typed(files).select("repo_id", "file_no", "path", "_rx.type", "_rx.evidence").filter(F.col("type").isNotNull())
+
+
+def typed_with_imports(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C3 with the imports of the typed files' import lines: ``(typed, imports)`` for ``import_edges``.
+
+    One scan of the files; what it yields, without contents, is written once and read by everything that follows.
+    """
+    from quarry.session import materialize
+
+    seen = regex_typed(files, import_lines("content").alias("lines")).filter(F.col("_rx.type").isNotNull())
+    seen = materialize(seen.select("repo_id", "file_no", "path", "_rx.type", "_rx.evidence", F.lit(True).alias("parsed"), "lines"), "typed-lines")
+    return seen.drop("lines"), _named_imports(seen.select("repo_id", "file_no", F.posexplode("lines").alias("imp_no", "line")))
 
 
 # ------------------------------------------------------------------ C1 syntax-tree facts
@@ -179,7 +218,11 @@ def _facts_of(content: str):
     return [fact for node in ast.walk(tree) for fact in NODE_FACTS.get(type(node), lambda n: ())(node)]
 
 
+FACT_ROWS = 20_000                                     # a frame that a task hands on holds about so many facts
+
+
 def _facts_batches(batches):
+    columns = ["repo_id", "file_no", "path", "seq", "kind", "value", "owner"]
     for pdf in batches:
         rows = []
         for rid, fno, path, content in zip(pdf["repo_id"], pdf["file_no"], pdf["path"], pdf["content"]):
@@ -189,14 +232,16 @@ def _facts_batches(batches):
                 continue
             rows.append((rid, fno, path, 0, "parsed", None, None))
             rows += [(rid, fno, path, i + 1, k, v, o) for i, (k, v, o) in enumerate(facts)]
-        yield pd.DataFrame(rows, columns=["repo_id", "file_no", "path", "seq", "kind", "value", "owner"])
+            if len(rows) >= FACT_ROWS:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def code_facts(files: DataFrame) -> DataFrame:
     """One row per syntax-tree fact of every ``.py`` file (``seq`` = walk order);
     a ``parsed`` or ``syntax_error`` marker row has ``seq = 0``."""
-    py = files.filter(F.col("path").endswith(".py") & (F.length(F.element_at(F.split("path", "/", -1), -1)) > 3))
-    return py.select(F.col("repo_id").cast("long"), F.col("file_no").cast("int"), "path", "content") \
+    return _py_files(files).select(F.col("repo_id").cast("long"), F.col("file_no").cast("int"), "path", "content") \
         .mapInPandas(_facts_batches, FACT_SCHEMA)
 
 
@@ -226,8 +271,9 @@ def file_types(files: DataFrame, facts: DataFrame | None = None, *, rules: dict
     """
     r = rules or REFERENCE_RULES
     facts = facts if facts is not None else code_facts(files)
-    py = files.filter(F.col("path").endswith(".py") & (F.length(F.element_at(F.split("path", "/", -1), -1)) > 3))
-    mentions = py.select("repo_id", "file_no", (F.col("content").contains("Column") | F.col("content").contains("relationship")).alias("_orm"))
+    orm = (F.col("content").contains("Column") | F.col("content").contains("relationship")).alias("_orm")
+    rx = regex_typed(files, orm)
+    mentions = rx.select("repo_id", "file_no", "_orm")
     v, low, k = F.col("value"), F.lower(F.col("value")), F.col("kind")
     f = facts.filter(F.col("seq") > 0).join(mentions, ["repo_id", "file_no"], "left")
     over_type = (F.when((k == "decorator") & contains_any(low, r["api_decorator"]), "api_server")
@@ -240,7 +286,6 @@ def file_types(files: DataFrame, facts: DataFrame | None = None, *, rules: dict
         F.max_by(over_type, F.when(over_type.isNotNull(), F.col("seq"))).alias("_over"),
         F.min_by(soft_type, F.when(soft_type.isNotNull(), F.col("seq"))).alias("_soft"))
     status = facts.filter(F.col("seq") == 0).select("repo_id", "file_no", (F.col("kind") == "parsed").alias("parsed"))
-    rx = py.select("repo_id", "file_no", "path", regex_type("content").alias("_rx"))
     out = rx.join(status, ["repo_id", "file_no"], "left").join(ast_types, ["repo_id", "file_no"], "left")
     typ = F.when(F.col("parsed"), F.coalesce("_over", "_soft", "_rx.type")).otherwise(F.col("_rx.type"))
     return out.select("repo_id", "file_no", "path", typ.alias("type"), F.coalesce("parsed", F.lit(False)).alias("parsed")) \
@@ -286,15 +331,13 @@ def _theta_targets(typed: DataFrame, unresolved: DataFrame) -> DataFrame:
     in_path = best.join(grams, ["repo_id", "gram"]).filter(F.col("_tpath").contains(F.col("import"))) \
         .select("repo_id", "import", "_tfile", "_ttype")
     empty_import = imp.filter(F.col("_k") == 0).join(parsed, "repo_id").select("repo_id", "import", "_tfile", "_ttype")
-    # a dotted path is never longer than the repository's longest typed path: substrings are
-    # enumerated only up to that length (exact, and linear in the import's length)
+    # only substrings as long as some dotted path of the repository can be one
     dotted = parsed.withColumn("_sub", F.translate("_tpath", "/\\", ".."))
-    longest = dotted.groupBy("repo_id").agg(F.max(F.length("_sub")).alias("_maxlen"))
+    lengths = dotted.groupBy("repo_id").agg(F.collect_set(F.length("_sub")).alias("_lengths"))     # at most the longest path's length
     n = F.length("import")
-    subs = unresolved.join(longest, "repo_id").select("repo_id", "import", F.explode(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.transform(F.sequence(i, F.greatest(F.least(n, i + F.col("_maxlen") - 1), i)),
-                              lambda j: F.substring(F.col("import"), i, j - i + 1))))).alias("_sub"))
+    subs = unresolved.join(lengths, "repo_id").select("repo_id", "import", F.explode(F.array_distinct(F.flatten(F.transform(
+        F.filter("_lengths", lambda k: k <= n),
+        lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col("import"), i, k)))))).alias("_sub"))
     in_import = subs.join(dotted, ["repo_id", "_sub"]).select("repo_id", "import", "_tfile", "_ttype")
     hits = in_path.unionByName(empty_import).unionByName(in_import)
     first = hits.groupBy("repo_id", "import").agg(F.min_by("_ttype", "_tfile").alias("_ht"), F.min("_tfile").alias("_hf"))
@@ -324,11 +367,7 @@ def import_edges(typed: DataFrame, imports: DataFrame) -> DataFrame:
                       F.lit(0.9).alias("confidence")).filter(F.col("to").isNotNull())
 
 
-def line_imports(files: DataFrame, typed: DataFrame) -> DataFrame:
-    """``(repo_id, file_no, imp_no, import)`` of typed files from their import lines: ``import a`` -> a,
-    ``from m import x`` -> m.x."""
-    lines = files.join(typed.select("repo_id", "file_no"), ["repo_id", "file_no"], "left_semi") \
-        .select("repo_id", "file_no", F.posexplode(import_lines("content")).alias("imp_no", "line"))
+def _named_imports(lines: DataFrame) -> DataFrame:
     both = r"^from\s+(\S+)\s+import\s+(\S+)"
     name = F.when(F.col("line").startswith("from "),
                   F.concat(F.regexp_extract("line", both, 1), F.lit("."), F.regexp_extract("line", both, 2))) \
@@ -336,6 +375,13 @@ def line_imports(files: DataFrame, typed: DataFrame) -> DataFrame:
     return lines.select("repo_id", "file_no", "imp_no", name.alias("import"))
 
 
+def line_imports(files: DataFrame, typed: DataFrame) -> DataFrame:
+    """``(repo_id, file_no, imp_no, import)`` of typed files from their import lines: ``import a`` -> a,
+    ``from m import x`` -> m.x."""
+    return _named_imports(files.join(typed.select("repo_id", "file_no"), ["repo_id", "file_no"], "left_semi")
+                          .select("repo_id", "file_no", F.posexplode(import_lines("content")).alias("imp_no", "line")))
+
+
 def components(typed: DataFrame) -> DataFrame:
     """0..6 component rows per repo from counts of file types."""
     g = typed.groupBy("repo_id").agg(*[F.count_if(F.col("type") == t).alias(f"n_{t}") for t in
@@ -383,8 +429,8 @@ def architecture(files: DataFrame, *, mode: str = "ast", rules: dict | None = No
     — the mode a SQL engine can reproduce; ``mode='ast'`` runs C1/C2.
     """
     if mode == "regex":
-        typed = file_types_regex(files).withColumn("parsed", F.lit(True))
-        return typed, components(typed), import_edges(typed, line_imports(files, typed))
+        typed, imports = typed_with_imports(files)
+        return typed, components(typed), import_edges(typed, imports)
     # stage boundary (the reference's list of file analyses): parsed facts and typed files are
     # written once to the shared checkpoint folder, so the Python parse and the typing joins run
     # once however often the import-edge join reads them

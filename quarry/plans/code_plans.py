@@ -163,9 +163,7 @@ EDGE_CTES = [
 
 
 def _edge_inputs(spark, sf):
-    f = _files(spark, sf)
-    typed = cd.file_types_regex(f).withColumn("parsed", F.lit(True))
-    return typed, cd.line_imports(f, typed)
+    return cd.typed_with_imports(_files(spark, sf))
 
 
 @register("import_edges", with_views(["v_repo_files"], EDGE_CTES) + """

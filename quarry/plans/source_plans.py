@@ -53,13 +53,14 @@ def _write_collection(spark, sf) -> str:
     return root
 
 
-@register("scan_collection")
+@register("scan_collection", with_views(["v_readme_samples"]) + """
+SELECT repo_url, owner, repo, name, description, language, CAST(stars AS BIGINT) AS stars, readme, source FROM v_readme_samples""")
 def q_scan_collection(spark, sf):
-    """Envelope files and top-level-array files read by one reader."""
-    return io.read_collection(spark, _write_collection(spark, sf))
+    """Envelope files and top-level-array files read by one reader, each by as many tasks as it has splits."""
+    return io.read_collection(spark, _write_collection(spark, sf)).select("repo_url", "owner", "repo", "name", "description", "language", "stars", "readme", "source")
 
 
-@register("scan_samples")
+@register("scan_samples", with_views(["v_readme_samples"]) + "SELECT repo_url, owner, repo, readme FROM v_readme_samples")
 def q_scan_samples(spark, sf):
     """A directory of one-sample files plus an unreadable file (skipped)."""
     s = fixture(spark, sf, "v_readme_samples").select("repo_url", "owner", "repo", "readme", "doc_id", "source", "language")
@@ -72,7 +73,7 @@ def q_scan_samples(spark, sf):
         F.concat(F.lit("["), F.array_join(F.collect_list(js), ","), F.lit("]")).alias("value"))
     bad = spark.createDataFrame([("bad", 0, "{not json")], "file string, number long, value string")
     one.unionByName(arr).unionByName(bad).write.partitionBy("file", "number").text(root)
-    return io.read_collection(spark, root)
+    return io.read_collection(spark, root).select("repo_url", "owner", "repo", "readme")
 
 
 @register("scan_repo_files")

@@ -57,19 +57,21 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(text, chr(10), chr(10) || '
 FROM documents""",
     # One file for each order and line number: eight orders make a repository; order and line give the file its number. A file of an
     # order whose key is a document's id holds that document's text below its code.
+    # each document is one file's text: that of its order's first line, or a file of its own where there is none
     "v_repo_files": """
-SELECT CAST((l_orderkey - l_orderkey % 8) / 8 AS BIGINT) AS repo_id,
-       CASE WHEN l_orderkey % 8 = 0 THEN '' ELSE 'mod' || CAST(l_orderkey % 8 AS STRING) || '/' END
-       || split_part('|src/|src/app/|api/|services/|tests/|docs/|k8s/|cmd/|lib/core/', '|', 1 + CAST(l_partkey % 10 AS INT))
+SELECT CAST((k - k % 8) / 8 AS BIGINT) AS repo_id,
+       CASE WHEN k % 8 = 0 THEN '' ELSE 'mod' || CAST(k % 8 AS STRING) || '/' END
+       || split_part('|src/|src/app/|api/|services/|tests/|docs/|k8s/|cmd/|lib/core/', '|', 1 + CAST(p % 10 AS INT))
        || split_part('main.py|README.md|setup.py|utils.py|models.py|index.js|package.json|__init__.py|docker-compose.yml|server.go|go.mod|Cargo.toml|cache.py|.gitignore|infra.tf|cli.py', '|',
-                     1 + CAST((l_orderkey + l_linenumber) % 16 AS INT)) AS path,
-       CAST((l_orderkey % 8) * 8 + l_linenumber AS INT) AS file_no,
+                     1 + CAST((k + n) % 16 AS INT)) AS path,
+       CAST((k % 8) * 8 + n AS INT) AS file_no,
        replace(split_part('import flask~@app.route("/")~def home(): pass|from fastapi import APIRouter~router = APIRouter()|import sqlalchemy~engine = create_engine(url)|class User(Base):~    id = Column(int)|class OrderService:~    pass|import redis~c = redis.Redis()|import celery~q = Queue()|import mod1.src.models.py~import utils~import boto3|x = 1|from models import User~import pymongo|service handler s3|def broken(:', '|',
-               1 + CAST((l_partkey + l_suppkey) % 12 AS INT)), '~', chr(10))
-       || CASE WHEN d.text IS NULL THEN '' ELSE chr(10) || d.text END AS content
-FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem
-      GROUP BY l_orderkey, l_linenumber) t
-LEFT JOIN documents d ON d.doc_id = l_orderkey""",
+               1 + CAST((p + s) % 12 AS INT)), '~', chr(10))
+       || CASE WHEN text IS NULL THEN '' ELSE chr(10) || text END AS content
+FROM (SELECT coalesce(l_orderkey, doc_id) AS k, coalesce(l_linenumber, 0) AS n, coalesce(l_partkey, doc_id) AS p, coalesce(l_suppkey, 0) AS s, text
+      FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem
+            GROUP BY l_orderkey, l_linenumber) t
+      FULL OUTER JOIN documents d ON d.doc_id = l_orderkey AND l_linenumber = 1) f""",
     "v_search_items": """
 SELECT 'https://github.com/org' || CAST(p_partkey % 90 AS STRING) || '/' || replace(p_name, ' ', '-') || CAST(p_partkey AS STRING) AS url,
        'org' || CAST(p_partkey % 90 AS STRING) AS owner,

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from quarry.functions.text import path_excluded
 
 from quarry._workers import ship_by_value
+from quarry.sources.jsonarrays import json_records
 
 ship_by_value(__name__)
 
@@ -41,21 +42,20 @@ ENVELOPE_KEYS = ("training_data", "samples", "features", "data")
 def read_collection(spark: SparkSession, path: str, *, keys=ENVELOPE_KEYS) -> DataFrame:
     """JSON files holding a top-level array of samples, an envelope whose
     ``training_data`` / ``samples`` / ``features`` / ``data`` array holds them, or a single
-    sample object. A directory is read as a whole; unreadable files are dropped
-    (their rows carry ``_corrupt_record``)."""
-    env = [T.StructField(k, T.ArrayType(SAMPLE_SCHEMA)) for k in keys]
-    schema = T.StructType(SAMPLE_FIELDS + env + [T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    arr = F.coalesce(*[F.col(k) for k in keys])
-    # a file that is not JSON at all yields nothing usable and is skipped; a record with one
-    # mistyped field (e.g. "stars": "12") keeps its other fields, as an untyped reader would
-    usable = F.coalesce(*[F.col(c).isNotNull() for c in ("repo_url", "readme", "chunk", "instruction", "content", "output")]
-                        + [arr.isNotNull()])
-    raw = raw.filter(F.col("_corrupt_record").isNull() | F.coalesce(usable, F.lit(False)))
-    wrapped = raw.filter(arr.isNotNull()).select(F.explode(arr).alias("s")).select("s.*")
-    single = raw.filter(arr.isNull()).select(*[f.name for f in SAMPLE_FIELDS])
-    return wrapped.unionByName(single)
+    sample object. A directory is read as a whole. Large files are read by many tasks (``jsonarrays``).
+
+    Files that end inside a value give nothing (``read_collection_broken`` lists them); nor do records that are no object or hold
+    none of a sample's fields for a syntax error. A record with one mistyped field (e.g. "stars": "12") keeps its others, as an untyped reader would."""
+    schema = T.StructType([*SAMPLE_FIELDS, T.StructField("_corrupt_record", T.StringType())])
+    records, _ = json_records(spark, path, tuple(keys))
+    rows = records.select(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("s")).filter(F.col("s").isNotNull()).select("s.*")
+    any_field = F.coalesce(*[F.col(c).cast("string") for c in ("repo_url", "readme", "chunk", "instruction", "content", "output")]).isNotNull()
+    return rows.filter(F.col("_corrupt_record").isNull() | any_field).drop("_corrupt_record")
+
+
+def read_collection_broken(spark: SparkSession, path: str, *, keys=ENVELOPE_KEYS) -> DataFrame:
+    """The files (``file``) that ``read_collection`` takes nothing from because they end inside a value."""
+    return json_records(spark, path, tuple(keys))[1]
 
 
 def scan_repo_files(spark: SparkSession, root: str, *, depth: int = 1) -> DataFrame:
