@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,12 +61,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: Folders that this process has written stages to.
+_STAGES: list[str] = []
+
+
+def stage_path(spark: SparkSession, name: str, group: str = "quarry-stages") -> str:
+    """A new folder below the shared checkpoint folder, for a stage's output."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{group}/{name}-{uuid.uuid4().hex[:12]}"
+    _STAGES.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stages that this process has written, once nothing reads them any more; returns how many there were.
+
+    For callers that run many queries in one session (``bench.py``): a query's result may read its stages until it is written.
+    """
+    n = len(_STAGES)
+    for path in _STAGES:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _STAGES.clear()
+    return n
+
+
 def materialize(df, name: str):
     """Cut lineage at a stage boundary: write ``df`` as Parquet under the shared checkpoint
     folder and return a DataFrame reading it back (survives executor loss, unlike a cache)."""
-    import uuid
-
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stages/{name}-{uuid.uuid4().hex[:12]}"
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
