@@ -145,4 +145,4 @@ def query_quota(items: DataFrame, *, n_queries: int, min_stars: int = 20, limit:
     w = Window.orderBy("query_no").rowsBetween(Window.unboundedPreceding, -1)
     per_q = per_q.withColumn("_before", F.coalesce(F.sum("_new").over(w), F.lit(0)))
     read = per_q.filter(F.col("_before") < limit).select("query_no")
-    return ordered_limit(uniq.join(F.broadcast(read), "query_no"), limit, order=["query_no", "rank"])
+    return ordered_limit(uniq.join(read, "query_no"), limit, order=["query_no", "rank"])

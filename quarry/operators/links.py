@@ -92,7 +92,7 @@ def limit_lists(urls: DataFrame, limit: int | None) -> DataFrame:
     per_list = urls.groupBy("source_rank").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("source_rank").rowsBetween(Window.unboundedPreceding, -1)
     per_list = per_list.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    taken = urls.join(F.broadcast(per_list.filter(F.col("_before") < limit).select("source_rank")), "source_rank")
+    taken = urls.join(per_list.filter(F.col("_before") < limit).select("source_rank"), "source_rank")
     return ordered_limit(keep_first(taken, key="url", order=LINK_ORDER), limit, order=LINK_ORDER)
 
 

@@ -345,3 +345,10 @@ def well_structured(files: DataFrame, info: DataFrame | None = None) -> DataFram
               .when(F.col("_tops") < 2, "too few top-level directories")
               .when(~(F.col("_root_main") | main_in_first), "no main file"))
     return g.select("repo_id", reason.isNull().alias("ok"), F.coalesce(reason, F.lit("ok")).alias("reason"))
+
+
+def language_gate(projects: DataFrame, supported=("python",), *, language: str = "project_language") -> DataFrame:
+    """F16: ``allowed`` and, where it is not, a ``message`` for each project: only some languages may go on to an action."""
+    known = F.coalesce(F.col(language), F.lit("unknown"))
+    return projects.withColumn("allowed", known.isin(list(supported))).withColumn(
+        "message", F.when(~F.col("allowed"), F.concat(F.lit(f"only {', '.join(supported)} projects are supported, found: "), known)))

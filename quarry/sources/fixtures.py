@@ -83,6 +83,21 @@ SELECT 'https://github.com/org' || CAST(p_partkey % 90 AS STRING) || '/' || repl
        CAST('2024-01-01' AS TIMESTAMP) - INTERVAL '1' DAY * CAST(p_partkey % 1500 AS INT) AS updated_at,
        CAST(p_partkey % 6 AS INT) AS query_no
 FROM part""",
+    # Not in FIXTURES.md: one saved search and one filter document for each supplier.
+    "v_searches": """
+SELECT s_suppkey AS search_id, CAST(s_suppkey * 13 % 700 AS INT) AS min_stars,
+       nullif(split_part('Python|JavaScript|Go|Java|', '|', 1 + CAST(s_suppkey % 5 AS INT)), '') AS language,
+       CASE WHEN s_suppkey % 3 = 0 THEN CAST('2022-01-01' AS TIMESTAMP) END AS pushed_after,
+       split(CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE split_part('Widget|bolt,rest api|ring,x|gear|web app', '|', 1 + CAST(s_suppkey % 7 % 5 AS INT)) || ','
+             || split_part('red|blue|hot g|SDK', '|', 1 + CAST(s_suppkey % 4 AS INT)) END, ',') AS positive,
+       split(split_part('awesome|tutorial,library|shop|', '|', 1 + CAST(s_suppkey % 4 AS INT)), ',') AS negative
+FROM supplier""",
+    "v_filters": """
+SELECT s_suppkey AS filter_id,
+       '{"stars": {"$gte": ' || CAST(s_suppkey * 7 % 800 AS STRING) || ', "$lt": ' || CAST(s_suppkey * 7 % 800 + 60 AS STRING)
+       || '}, "$or": [{"language": ' || CASE WHEN s_suppkey % 6 = 0 THEN 'null' ELSE '"' || split_part('Python|JavaScript|Go|Java|Rust', '|', 1 + CAST(s_suppkey % 5 AS INT)) || '"' END
+       || '}, {"topics": {"$in": ["web", "k8s"]}, "description": {"$ne": null}}]}' AS document
+FROM supplier""",
     "v_sft_samples": """
 SELECT conv_id, turn, instruction, output, content, project_type
 FROM (SELECT conv_id, turn, role, text AS instruction,
