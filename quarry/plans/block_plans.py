@@ -61,7 +61,15 @@ def q_merge_three_mode(spark, sf):
     return bk.merge_blocks(d, policy="three_mode").select("doc_id", "merged")
 
 
-@register("merge_blocks")
+@register("merge_blocks", with_views(["v_marked_docs"], [PARSED]) + f"""
+SELECT doc_id, CASE WHEN len(modes) = 0 THEN
+    regexp_replace(existing, '\\s+$', '') || chr(10) || chr(10) || {tag('AUTO', 'block_name', '1', 'new_content')} || chr(10) || chr(10)
+      || {tag('AUTO', "'notes'", '1', 'existing')} || chr(10) || chr(10)
+  ELSE array_to_string([segs[i] || {RENDER} FOR i IN range(1, len(modes) + 1)], '') || segs[len(segs)]
+       || CASE WHEN NOT list_contains(names, block_name) THEN chr(10) || {tag('AUTO', 'block_name', '1', 'new_content')} ELSE '' END
+       || chr(10) || {tag('AUTO', "'notes'", '1', 'existing')}
+  END AS merged
+FROM p""")
 def q_merge_blocks(spark, sf):
     """New blocks from a long table (one row per doc and block), looked up by name."""
     d = fixture(spark, sf, "v_marked_docs")

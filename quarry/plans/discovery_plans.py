@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import discovery as dv
+from quarry.operators.filterdocs import find_table
+from quarry.operators.searches import saved_searches
 from quarry.plans.registry import register
 from quarry.plans.repo_plans import like_any
 from quarry.plans.sqlkit import with_views
@@ -120,3 +122,28 @@ ORDER BY query_no, rank LIMIT 200""")
 def q_query_quota(spark, sf):
     r = dv.query_quota(_items(spark, sf), n_queries=6, min_stars=20, limit=200)
     return r.select(*COLS.split(", "), "query_no", F.col("rank").cast("int").alias("rank"))
+
+
+ITEM_TEXT = TEXT.replace("name", "i.name").replace("description", "i.description").replace("topics", "i.topics")
+
+
+@register("saved_searches", with_views(["v_search_items", "v_searches"]) + f"""
+SELECT s.search_id, i.url FROM v_searches s JOIN v_search_items i ON i.stars >= s.min_stars AND (s.language IS NULL OR lower(s.language) = lower(i.language))
+   AND (s.pushed_after IS NULL OR i.updated_at > s.pushed_after)
+WHERE (len(list_filter(s.positive, lambda t: t <> '')) = 0 OR len(list_filter(s.positive, lambda t: t <> '' AND contains({ITEM_TEXT}, lower(t)))) > 0)
+  AND len(list_filter(s.negative, lambda t: t <> '' AND contains({ITEM_TEXT}, lower(t)))) = 0""")
+def q_saved_searches(spark, sf):
+    """F6 for a table of searches, one for each supplier."""
+    return saved_searches(_items(spark, sf), fixture(spark, sf, "v_searches"))
+
+
+@register("filter_table", with_views(["v_search_items"]) + """
+SELECT s.s_suppkey AS filter_id, count(*) AS n, min(i.url) AS first_url FROM supplier s JOIN v_search_items i
+  ON i.stars >= s.s_suppkey * 7 % 800 AND i.stars < s.s_suppkey * 7 % 800 + 60
+WHERE CASE WHEN s.s_suppkey % 6 = 0 THEN i.language IS NULL ELSE coalesce(i.language, '') = split_part('Python|JavaScript|Go|Java|Rust', '|', CAST(1 + s.s_suppkey % 5 AS INT)) END
+   OR (coalesce(list_has_any(i.topics, ['web', 'k8s']), false) AND i.description IS NOT NULL)
+GROUP BY s.s_suppkey""")
+def q_filter_table(spark, sf):
+    """F15, A15 for a table of filter documents, one for each supplier, in one scan of the items."""
+    found = find_table(_items(spark, sf), fixture(spark, sf, "v_filters"))
+    return found.groupBy("filter_id").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first_url"))

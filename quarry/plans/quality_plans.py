@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import readme_type
 from quarry.operators import quality as qu
 from quarry.operators import repos as rp
+from quarry.operators.pages import page_index
 from quarry.plans.registry import register
 from quarry.plans.repo_plans import INFO_CTE, PF, VALID_AGG, VALID_REASON, _info  # noqa: F401
 from quarry.plans.sqlkit import with_views
@@ -108,4 +109,4 @@ def q_count_where(spark, sf):
 SELECT repo_url, stars FROM v_readme_samples ORDER BY repo_url LIMIT 50 OFFSET 100""")
 def q_page_samples(spark, sf):
     s = fixture(spark, sf, "v_readme_samples").select("repo_url", "stars")
-    return qu.page(s, order=["repo_url"], offset=100, limit=50)
+    return page_index(s, [("repo_url", False)]).page(2, 50)

@@ -26,7 +26,7 @@ def register(key: str, sql: str | None = None):
     return wrap
 
 
-PLAN_MODULES = ["text_plans", "links_plans", "repo_plans", "code_plans", "sft_plans", "quality_plans", "vector_plans", "block_plans", "discovery_plans", "review_plans", "doc_plans", "source_plans"]
+PLAN_MODULES = ["text_plans", "links_plans", "repo_plans", "code_plans", "sft_plans", "quality_plans", "vector_plans", "block_plans", "discovery_plans", "review_plans", "doc_plans", "source_plans", "io_plans"]
 
 
 def load_all() -> None:

@@ -8,7 +8,8 @@ from quarry.operators import code as cd
 from quarry.operators import review as rv
 from quarry.plans.code_plans import PRE_CTES
 from quarry.plans.repo_plans import TYPE_CASE as REPO_TYPE_CASE
-from quarry.plans.registry import register
+from quarry.plans import doc_plans  # noqa: F401  (registers the tree's SQL)
+from quarry.plans.registry import ORACLE, register
 from quarry.plans.sqlkit import with_views
 from quarry.sources.fixtures import fixture
 from quarry.sources.tables import table
@@ -83,7 +84,13 @@ def q_candidates(spark, sf):
     return chosen.withColumn("_k", F.lit(1)).join(stats.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
-@register("review_cards")
+CARD_SQL = f"""
+SELECT s.*, st.* EXCLUDE (repo_id), t.* EXCLUDE (repo_id) FROM ({ORACLE["repo_summary"]}) s
+LEFT JOIN ({ORACLE["structure_stats"]}) st ON st.repo_id = s.repo_id LEFT JOIN ({ORACLE["render_tree"]}) t ON t.repo_id = s.repo_id"""
+
+
+@register("review_cards", CARD_SQL)
 def q_review_cards(spark, sf):
     c = rv.review_cards(fixture(spark, sf, "v_repo_files"))
-    return c.withColumn("key_files", F.to_json("key_files")).withColumn("top_level_dirs", F.array_join("top_level_dirs", "|"))
+    key_files = F.array_join(F.transform(F.map_entries("key_files"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return c.withColumn("key_files", F.when(F.size("key_files") > 0, key_files)).withColumn("top_level_dirs", F.array_join("top_level_dirs", "|"))

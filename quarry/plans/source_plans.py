@@ -7,24 +7,25 @@ fresh folder under the session's checkpoint directory, then read it back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import repos as rp
+from quarry.operators.collect import split_by_length
+from quarry.operators.pages import page_index
 from quarry.plans.repo_plans import LANG_CASE, PF, TYPE_AGG, TYPE_CASE, lang_agg
 from quarry.plans.registry import register
 from quarry.plans.sqlkit import with_views
-from quarry.session import ensure_checkpoint_dir, materialize
+from quarry.session import materialize, stage_path
 from quarry.sources import io
 from quarry.sources.fixtures import fixture
 from quarry.sources.tables import table
-from quarry.streaming.requests import JSON_OPTIONS, start_requests
+from quarry.sources.snapshots import Snapshots, drop_invalid_cached, load_prior
+from quarry.streaming.requests import JSON_OPTIONS, answers, start_requests
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-scratch/{name}-{uuid.uuid4().hex[:10]}"
+    return stage_path(spark, name, "quarry-scratch")
 
 
 #: A written array file holds about so many bytes of READMEs, whatever its source's size.
@@ -35,7 +36,7 @@ def _file_numbers(s: DataFrame, column: str, least: int = 1) -> DataFrame:
     """``column``: each sample's file within its source, by hash; a source has files by its total size."""
     files = F.ceil(F.sum(F.coalesce(F.octet_length("readme"), F.lit(0)) + 256) / FILE_BYTES)
     totals = s.groupBy(F.col("source").alias("_source")).agg(F.greatest(files, F.lit(least)).alias("_files"))
-    return s.join(F.broadcast(totals), F.col("source").eqNullSafe(F.col("_source"))) \
+    return s.join(totals, F.col("source").eqNullSafe(F.col("_source"))) \
         .withColumn(column, F.pmod(F.xxhash64("source", "doc_id"), F.col("_files"))).drop("_source", "_files")
 
 
@@ -76,12 +77,15 @@ def q_scan_samples(spark, sf):
     return io.read_collection(spark, root).select("repo_url", "owner", "repo", "readme")
 
 
-@register("scan_repo_files")
+@register("scan_repo_files", """
+SELECT 'source=' || coalesce(source, '__HIVE_DEFAULT_PARTITION__') AS repo_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents""")
 def q_scan_repo_files(spark, sf):
-    """Every file under a folder tree (one folder per source) read by the binary-file source."""
+    """Every file under a folder tree (one folder per source) read by the binary-file source, line by line."""
     root = scratch(spark, "repos")
     table(spark, sf, "documents").select("source", "text").write.partitionBy("source").text(root)
-    return io.scan_repo_files(spark, root)
+    files = io.scan_repo_files(spark, root)
+    text = F.substring(F.col("content"), F.lit(1), F.length("content") - 1)     # a text ends with a line break in its file
+    return files.filter(F.col("length") > 0).select("repo_id", F.explode(F.split(text, "\n")).alias("line"))
 
 
 TREE_CTE = ("pt", """SELECT repo_id, path, NOT (contains(path, '.git') OR contains(path, 'node_modules') OR contains(path, '__pycache__')
@@ -133,7 +137,7 @@ def _rank_in_query(s: DataFrame) -> DataFrame:
         .select(F.col("query_no").alias("_query"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))    # a row a range and query
     within = Window.partitionBy("_range", "query_no").orderBy(F.col("stars").desc(), "url")
     return s.withColumn("_r", F.row_number().over(within)) \
-        .join(F.broadcast(before), F.col("query_no").eqNullSafe(F.col("_query")) & (F.col("_range") == F.col("_of"))) \
+        .join(before, F.col("query_no").eqNullSafe(F.col("_query")) & (F.col("_range") == F.col("_of"))) \
         .withColumn("_r", F.col("_r") - 1 + F.col("_before")).drop("_query", "_of", "_before", "_range")
 
 
@@ -180,4 +184,37 @@ def q_stream_requests(spark, sf):
     summaries = rp.repo_summary(fixture(spark, sf, "v_repo_files"))
     q = start_requests(spark, src, summaries, sink=sink, checkpoint=ckpt)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return answers(spark, sink)
+
+
+@register("load_prior", with_views(["v_readme_samples"]) + """
+SELECT repo_url, stars, CASE WHEN length(readme) >= 500 THEN 'succeeded' ELSE 'failed' END AS part FROM v_readme_samples""")
+def q_load_prior(spark, sf):
+    """A collection run committed as one snapshot of two tables, and loaded again as the prior run."""
+    ok, failed = split_by_length(fixture(spark, sf, "v_readme_samples").select("repo_url", "stars", "readme"))
+    runs = Snapshots(spark, scratch(spark, "runs"))
+    runs.commit({"succeeded": ok, "failed": failed})
+    ok, failed = load_prior(runs)
+    return ok.select("repo_url", "stars", F.lit("succeeded").alias("part")).unionByName(failed.select("repo_url", "stars", F.lit("failed").alias("part")))
+
+
+@register("drop_invalid_cached", with_views(["v_readme_samples"]) + """
+SELECT repo_url, 'now' AS at FROM v_readme_samples WHERE length(readme) >= 500 AND stars >= 100
+UNION ALL SELECT repo_url, 'before' FROM v_readme_samples WHERE length(readme) >= 500""")
+def q_drop_invalid_cached(spark, sf):
+    """Cached repositories with too few stars go in a new snapshot; the one before stays readable under its backup's name."""
+    samples = fixture(spark, sf, "v_readme_samples").select("repo_url", "stars", "readme")
+    runs = Snapshots(spark, scratch(spark, "runs"))
+    number = runs.commit({"succeeded": samples.filter(F.length("readme") >= 500)})
+    drop_invalid_cached(runs, samples.filter(F.col("stars") >= 100))
+    now, before = runs.read("succeeded"), runs.read("succeeded", f"before-{number + 1}")
+    return now.select("repo_url", F.lit("now").alias("at")).unionByName(before.select("repo_url", F.lit("before").alias("at")))
+
+
+@register("sample_pages", with_views(["v_readme_samples"]) + """
+SELECT repo_url, stars, CAST((r - 1) // 50 AS BIGINT) AS page, CAST((r - 1) % 50 AS INT) AS place
+FROM (SELECT repo_url, stars, row_number() OVER (ORDER BY stars DESC NULLS LAST, repo_url) AS r FROM v_readme_samples)""")
+def q_sample_pages(spark, sf):
+    """Every page of the samples, most stars first, through the index of ranges."""
+    samples = fixture(spark, sf, "v_readme_samples").select("repo_url", "stars")
+    return page_index(samples, [("stars", True), ("repo_url", False)]).numbered(50)
