@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -14,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry import session
 
 #: Text is handled in blocks of this many characters, so a task's memory does not follow its batch size.
 BLOCK_CHARS = 4_000_000
@@ -39,7 +38,7 @@ def process_cache(owner: str) -> dict:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-llm/{name}-{uuid.uuid4().hex[:12]}"
+    return session.stage_path(spark, name, "quarry-llm")
 
 
 def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
