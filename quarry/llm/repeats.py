@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, stage, text_blocks
+from quarry.llm.common import as_batch, doc_text, stage, text_blocks
 from quarry.llm.recompression import Rounds, joined, ranges_of, windows_of
 
 WIDTH, ROUND = 50, 8
@@ -30,7 +30,7 @@ BLOCK = 2_000_000
 POSTS = pa.schema([("key", pa.int64()), ("spelling", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("gone", pa.bool_())])
 SPANS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("gone", pa.bool_())])
 SPANS_SQL = "doc_id long, tag int, at int, n int, gone boolean"
-SIGHTS = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("at", pa.int32()), ("gone", pa.bool_())])
+SIGHTS = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("gone", pa.bool_())])
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -58,6 +58,11 @@ def later(doc: np.ndarray, *spelling: np.ndarray) -> np.ndarray:
     return out
 
 
+def scattered(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number for each place that deals rows out evenly."""
+    return joined(doc.astype(np.uint64), at.astype(np.uint64), 5, 0).view(np.int64)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """doc_id, text, tag: rows that share a doc_id are told apart by their text's hash."""
     return doc_text(docs).withColumn("tag", F.hash("text"))
@@ -84,9 +89,8 @@ def _posts(docs: DataFrame, width: int) -> DataFrame:
             doc, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             doc, tag, at, n = doc[of], tag[of], (begin - text_begin).astype(np.int32), (b - a).astype(np.int32)
             gone = later(doc, *spelled)
-            zeros = np.zeros(gone.sum(), np.int64)
-            # posts of what is gone are dealt out by place and go through
-            yield as_batch(POSTS, spelled[1][gone].view(np.int64), zeros, doc[gone], tag[gone], at[gone], n[gone], np.ones(len(zeros), bool))
+            # what is gone goes through, dealt out by its place
+            yield as_batch(POSTS, scattered(doc[gone], at[gone]), np.zeros(gone.sum(), np.int64), doc[gone], tag[gone], at[gone], n[gone], np.ones(gone.sum(), bool))
             first, last, name, lasting = first[a], last[a], name[a], lasting[a]
             beside = (width - (last - first) + 1) // 2                     # of what a window has beside its anchor, one side has half
             for side, low, high in ((1, first - beside, last), (2, first, last + beside)):
@@ -149,6 +153,12 @@ def _met(posts: DataFrame) -> DataFrame:
     return stage(posts.repartition("key").sortWithinPartitions("key", "spelling", "doc_id").mapInArrow(run, SPANS_SQL), "repeat-spans")
 
 
+def joined_rows(some: np.ndarray, with_last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``some`` rows, those ``with_last`` join the row before, if that is one of them, too: the first rows and how many they stand for."""
+    first = np.flatnonzero(some & ~(np.append(False, some[:-1]) & with_last))
+    return first, np.add.reduceat(some.astype(np.int32), first).astype(np.int32) if len(first) else first.astype(np.int32)
+
+
 def _sights(docs: DataFrame, width: int) -> DataFrame:
     """Each window of the ``asks`` of a row, spelled; those that a smaller doc_id of the block has are gone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,9 +188,18 @@ def _sights(docs: DataFrame, width: int) -> DataFrame:
             of = owner[windows]
             at = (windows - (np.cumsum(lengths) - lengths)[of] + np.array(starts)[of]).astype(np.int32)
             doc, tag = np.array(doc, np.int64)[of], np.array(tag, np.int32)[of]
-            yield as_batch(SIGHTS, spelled[0].view(np.int64), spelled[1].view(np.int64), doc, tag, at, later(doc, *spelled))
+            gone = later(doc, *spelled)
+            beside = (np.diff(windows, prepend=-9) == 1) & (np.diff(of, prepend=-1) == 0)
+            alike = beside.copy()                                           # neighbours in a run of one word, or a like one, are spelled alike
+            alike[1:] &= (spelled[0][1:] == spelled[0][:-1]) & (spelled[1][1:] == spelled[1][:-1])
+            first, count = joined_rows(~gone, alike)
+            yield as_batch(SIGHTS, spelled[0][first].view(np.int64), spelled[1][first].view(np.int64), doc[first], tag[first], at[first], count, np.zeros(len(first), bool))
+            # neighbouring windows that are gone are one row, dealt out by its place
+            first, count = joined_rows(gone, beside)
+            far = scattered(doc[first], at[first])
+            yield as_batch(SIGHTS, far, far, doc[first], tag[first], at[first], count, np.ones(len(first), bool))
 
-    return docs.mapInArrow(run, "s1 long, s2 long, doc_id long, tag int, at int, gone boolean")
+    return docs.mapInArrow(run, "s1 long, s2 long, doc_id long, tag int, at int, n int, gone boolean")
 
 
 def _seen_before(sights: DataFrame) -> DataFrame:
@@ -188,7 +207,10 @@ def _seen_before(sights: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
         for batch in batches:
-            s1, s2, doc, tag, at, gone = _columns(batch)
+            s1, s2, doc, tag, at, n, gone = _columns(batch)
+            if gone.any():
+                yield as_batch(SPANS, doc[gone], tag[gone], at[gone], n[gone], gone[gone])
+                s1, s2, doc, tag, at, n = (c[~gone] for c in (s1, s2, doc, tag, at, n))
             if not len(s1):
                 continue
             new = np.ones(len(s1), bool)
@@ -196,18 +218,17 @@ def _seen_before(sights: DataFrame) -> DataFrame:
             least = doc[np.flatnonzero(new)]
             if state is not None and state[:2] == (s1[0], s2[0]):
                 least[0] = state[2]
-            out = gone | (doc > least[np.cumsum(new) - 1])
+            out = doc > least[np.cumsum(new) - 1]
             state = (s1[-1], s2[-1], least[-1])
-            yield as_batch(SPANS, doc[out], tag[out], at[out], np.ones(out.sum(), np.int32), out[out])
+            yield as_batch(SPANS, doc[out], tag[out], at[out], n[out], out[out])
 
     return stage(sights.repartition("s1", "s2").sortWithinPartitions("s1", "s2", "doc_id").mapInArrow(run, SPANS_SQL), "repeat-windows")
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """The rows with ``spans`` of (at, n), at most a row's number of windows."""
-    per_row = stage(spans.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("at", "n")).alias("spans")), "repeat-rows")
-    small = per_row.agg(F.coalesce(F.sum(F.size("spans") + 4), F.lit(0))).first()[0] <= BROADCAST_IDS
-    return docs.join(F.broadcast(per_row) if small else per_row, (docs["doc_id"] == F.col("_id")) & (docs["tag"] == F.col("_tag")), how).drop("_id", "_tag")
+    per_row = spans.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    return docs.join(per_row, (docs["doc_id"] == F.col("_id")) & (docs["tag"] == F.col("_tag")), how).drop("_id", "_tag")
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -76,7 +76,7 @@ def test_equals_the_plain_search(spark, monkeypatch, seed, block):
 def test_other_widths(spark):
     rows = list(enumerate(texts(3, 60)))
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for width in (7, 20):
+    for width in (1, 7, 20):
         got = repeats.repeats_removed(df, width).collect()
         assert sorted(map(tuple, got), key=str) == plain(rows, width)
 
