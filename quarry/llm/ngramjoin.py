@@ -219,11 +219,12 @@ def _across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return named.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "a long, b long").distinct()
 
 
-def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
-    """Which of ``sets`` link with ``probe`` (all sorted arrays of distinct hashes)."""
-    values, counts = np.unique(np.concatenate([probe, *sets]), return_counts=True)
+def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int, levels: np.ndarray) -> list[int]:
+    """Which of ``sets`` link with ``probe`` (all sorted arrays of distinct hashes); paths of the tree follow the global order,
+    from the common n-grams (by ``levels`` of their buckets) to the rare ones, so that they are shared for long."""
+    values = np.unique(np.concatenate([probe, *sets]))
     rank = np.empty(len(values), np.int64)
-    rank[np.lexsort((values, -counts))] = np.arange(len(values))             # one order for all: common n-grams first, to share paths
+    rank[np.lexsort((values, -levels[(values >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64)))] = np.arange(len(values))
     ordered = [np.sort(rank[np.searchsorted(values, s)]) for s in sets]
     inside = np.zeros(len(values) + 1, np.int64)
     inside[rank[np.searchsorted(values, probe)]] = 1
@@ -257,7 +258,7 @@ def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[i
     return linked
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, levels) -> DataFrame:
     """The pairs (a, b) that link."""
     pairs = stage(pairs, "ngram-pairs")
     texts = stage(some_documents(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()), "ngram-texts")
@@ -272,7 +273,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
         out = set()
         for k, f in enumerate(flags):
             if f and kept and len(sets[k]):
-                out |= {(docs[k], docs[kept[j]]) for j in tree_join(sets[k], [sets[j] for j in kept], percent)}
+                out |= {(docs[k], docs[kept[j]]) for j in tree_join(sets[k], [sets[j] for j in kept], percent, levels.value)}
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return stage(stored.unionByName(probes).groupBy("a", "tree").applyInArrow(run, "a long, b long"), "ngram-links")
@@ -294,10 +295,10 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     first = lists.where("centre IS NOT NULL").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct()
     # the centre of a list is the side with many partners: it probes
     hubs = lists.where("centre IS NOT NULL").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _verified(hubs, docs, size, percent)
+    links = _verified(hubs, docs, size, percent, levels)
     labels = components(links)
     rest = _across(lists, labels, percent).join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(rest, docs, size, percent))
+    links = links.unionByName(_verified(rest, docs, size, percent, levels))
     least = stage(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "ngram-copies")
     known = stage(rows.join(least, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), "ngram-classes")
     of = known.where("doc_id IS NOT NULL").select("doc_id", "rep").distinct()
