@@ -2,18 +2,22 @@
 
 A line's words form a set. Sets are ordered by rarity (counts of hashed buckets over all documents);
 two sets of Jaccard similarity 0.75 or more share a word within their prefixes, at places that
-leave enough after it, and have sizes that allow it. A line goes if a line at an earlier place, (doc_id,
-line number), is that similar, whether or not that one stays.
-
-Equal sets are settled by their first place. Of the rest, each line first meets the earliest line of its words'
-lists that the filters allow; only lines that this leaves undecided meet all such earlier ones. Besides the named
-filters, a 64-bit sketch of word parities bounds how many words two sets can share; it drops no similar pair.
+leave enough after it, and have sizes that allow it. A line goes if a line at an earlier place is that similar, whether or
+not that one stays. A place is (doc_id, the text's tag, line number); tags tell the texts of one doc_id apart.
+
+Equal sets are settled by their first place: each set is posted under its own digest, too. Of the rest, each line is first verified with
+the one earlier line of its words' lists that looks nearest; only lines that this leaves undecided meet all earlier ones that the
+filters allow. Besides the named filters, a sketch of word parities bounds how many words two sets can share; it drops no similar pair.
+A list of up to LONG lines is compared in its task, in pieces by size. Of a longer one a line meets HEADS earlier lines there; its
+undecided lines meet all the others in cells of bounded size.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,265 +26,452 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, some_documents, stage, text_blocks
-from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed, runs_of
-from quarry.llm.words import PLACES, distinct, mixed, word_hashes, words_of
+from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, stage, text_blocks
+from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed
+from quarry.llm.words import PLACES, mixed, words_of
 
 SHIFT = np.uint64(64 - BUCKET_BITS)
-LISTED = "word long, doc_id long, line int, size int, place int, sketch long"
+#: Lines of a list that a task compares with each other; lines of a longer list that the others are compared with there.
+LONG, HEADS = 20_000, 256
 #: Lists up to this long are compared by steps over all lists of a batch at once, longer ones in pieces.
 SHORT, PIECE = 64, 256
-
-
-def word_set(line: str | None) -> np.ndarray:
-    return distinct(word_hashes(words_of(line)))
-
-
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line, words: one row a line. (An outer explode: the optimizer would repeat the split in a filter for an inner one.)"""
-    return docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "words"))
-
-
-def _line_sets(doc_ids: list, texts: list) -> tuple[np.ndarray, ...]:
-    """Of all lines with words in a block: doc_id, line number, key (two columns), size; and the lines' distinct words one after another."""
-    words, counts, docs, numbers = [], [], [], []
-    for doc_id, text in zip(doc_ids, texts, strict=True):
-        for number, line in enumerate((text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")):
-            found = line.split()
-            if found:
-                words += found
-                counts.append(len(found))
-                docs.append(doc_id)
-                numbers.append(number)
-    h = word_hashes(words)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[keep], owner[keep]
-    sizes = np.bincount(owner, minlength=len(counts))
-    starts = offsets_of(sizes)[:-1]
-    key = np.column_stack([np.add.reduceat(mixed(h), starts), np.add.reduceat(mixed(h ^ PLACES[0]), starts)]) if len(starts) else np.zeros((0, 2), np.uint64)
-    return np.array(docs, np.int64), np.array(numbers, np.int32), key, sizes, h
-
-
-def _fresh(doc: np.ndarray, key: np.ndarray, seen: set, last_doc) -> np.ndarray:
-    """Lines whose set the task has not met at an earlier document, the first of each set (lines come in order of their place)."""
-    pairs = list(map(tuple, key.tolist()))
-    out = np.zeros(len(pairs), bool)
-    block: set = set()
-    for i, k in enumerate(pairs):
-        if k not in block and (k not in seen or doc[i] == last_doc):
+#: Sets of so many words have the second half of their sketch.
+LARGE = 80
+#: A cell of a longer list holds about so many lines of either side.
+CELL = 1024
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """doc_id, text, tag: the hash of the text where rows of one doc_id differ in it, else 0."""
+    rows = doc_text(docs).withColumn("tag", F.hash("text"))
+    several = stage(rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("tag").alias("a"), F.max("tag").alias("z")).where("a <> z").select(F.col("doc_id").alias("_id")), "line-several")
+    n = several.count()
+    if not n:
+        return rows.withColumn("tag", F.lit(0))
+    return rows.join(F.broadcast(several) if n <= BROADCAST_IDS else several, rows["doc_id"] == several["_id"], "left").select("doc_id", "text", F.when(F.col("_id").isNotNull(), F.col("tag")).otherwise(0).alias("tag"))
+
+
+class Lines:
+    """The lines with words of a block of texts: ``owner`` is each line's text, ``number`` its place in it; ``words`` holds the
+    hashes of the lines' distinct words one after another, ``sizes`` of them each, rare ones first where levels are given."""
+
+    def __init__(self, texts: list, levels: np.ndarray | None = None, wanted: list | None = None):
+        words, counts, owner, number = [], [], [], []
+        for i, text in enumerate(texts):
+            lines = (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")
+            for k in range(len(lines)) if wanted is None else sorted(wanted[i]):
+                found = lines[k].split()
+                if found:
+                    words += found
+                    counts.append(len(found))
+                    owner.append(i)
+                    number.append(k)
+        index = dict.fromkeys(words)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
+        order = np.argsort(h) if levels is None else np.lexsort((h, levels[(h >> SHIFT).astype(np.int64)]))
+        rank = np.empty(len(h), np.int64)
+        rank[order] = np.arange(len(h))
+        index = dict(zip(index, rank.tolist(), strict=True))
+        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        at += np.repeat(np.arange(len(counts)) << 32, counts)               # (line, rank): one sort orders and finds the distinct ones
+        at.sort()
+        keep = np.ones(len(at), bool)
+        np.not_equal(at[1:], at[:-1], out=keep[1:])
+        at = at[keep]
+        self.owner, self.number = np.array(owner, np.int64), np.array(number, np.int64)
+        self.sizes = np.bincount(at >> 32, minlength=len(counts))
+        self.starts = offsets_of(self.sizes)[:-1]
+        self.words = h[order][at & 0xFFFFFFFF]
+
+    def total(self, values: np.ndarray, by=np.add) -> np.ndarray:
+        return by.reduceat(values, self.starts) if len(self.starts) else values
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.total(mixed(self.words)).view(np.int64), self.total(mixed(self.words ^ PLACES[0])).view(np.int64)
+
+    def sketches(self) -> tuple[np.ndarray, np.ndarray]:
+        """64 parities of the words' hashed counts; and of large sets the half of 128 parities that tells them apart further (else 0)."""
+        bit = mixed(self.words ^ PLACES[1]) & np.uint64(127)
+        one = np.uint64(1) << (bit & np.uint64(63))
+        folded, half = (self.total(v, np.bitwise_xor) for v in (one, np.where(bit >> np.uint64(6) == 1, one, np.uint64(0))))
+        return folded.view(np.int64), np.where(self.sizes >= LARGE, half.view(np.int64), 0)
+
+    def __getitem__(self, rows: np.ndarray) -> Lines:
+        """Some of the lines, by a mask."""
+        out = Lines.__new__(Lines)
+        out.words = self.words[np.repeat(rows, self.sizes)]
+        out.owner, out.number, out.sizes = self.owner[rows], self.number[rows], self.sizes[rows]
+        out.starts = offsets_of(out.sizes)[:-1]
+        return out
+
+
+def _places(tags: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Tag and line number in one number, in their order."""
+    return (tags.astype(np.int64) << 32) | number
+
+
+def _fresh(place: list, keys: tuple, seen: dict) -> np.ndarray:
+    """Lines whose set the task meets for the first time, or at an earlier place than before."""
+    out = np.zeros(len(place), bool)
+    for i, (at, k) in enumerate(zip(place, zip(*(x.tolist() for x in keys), strict=True), strict=True)):
+        if (old := seen.get(k)) is None or at < old:
+            seen[k] = at
             out[i] = True
-        block.add(k)
-    seen |= block
     return out
 
 
-def _pick(h: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The words of the lines that ``rows`` marks."""
-    return h[np.repeat(rows, sizes)]
-
-
 def _survey(docs: DataFrame) -> DataFrame:
-    """Rows of lines (doc_id, line, key, key2), and rows of bucket counts (block, task, counts)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.int64()), ("key2", pa.int64()), ("block", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
+    """Rows of bucket counts (block, task, counts) of all words."""
+    schema = pa.schema([("block", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), set()
-        for batch, texts in text_blocks(batches):
-            doc, line, key, sizes, h = _line_sets(batch.column(0).to_pylist(), texts)
-            if len(doc):
-                fresh = _fresh(doc, key, seen, None)
-                np.add.at(counts, (_pick(h, sizes, fresh) >> SHIFT).astype(np.int64), 1)
-                none = [None] * len(doc)
-                yield as_batch(schema, doc, line, key[:, 0].astype(np.int64), key[:, 1].astype(np.int64), none, none, none)
+        counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), False
+        for _, texts in text_blocks(batches):
+            words: Counter = Counter()
+            for text in texts:
+                words.update(words_of(text))
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+            np.add.at(counts, (h >> SHIFT).astype(np.int64), np.fromiter(words.values(), np.uint32, len(words)))
+            seen |= bool(words)
         if seen:
             blocks = np.minimum(counts, 65535).astype("<u2").reshape(-1, 1 << BLOCK_BITS)
-            none = [None] * len(blocks)
-            yield as_batch(schema, none, none, none, none, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
+            yield as_batch(schema, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
 
-    return stage(docs.mapInArrow(run, "doc_id long, line int, key long, key2 long, block int, task int, counts binary"), "line-survey")
+    return stage(docs.select("text").mapInArrow(run, "block int, task int, counts binary"), "line-survey")
 
 
-def _postings(docs: DataFrame, percent: int, levels) -> DataFrame:
-    """(word, doc_id, line, size, place, sketch) of the prefixes of a task's distinct sets, each at its earliest place in the task;
-    words that only one set has are left out. The sketch's bits are the parities of the words' hashed counts."""
-    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("sketch", pa.int64())])
+LISTED = pa.schema([(c, pa.int64()) for c in ("word", "doc_id", "place", "filters", "s1", "s2")])
+LISTED_SQL = ", ".join(f"{f.name} long" for f in LISTED)
 
+
+#: In place of filters: a row of a set (its digest's two halves stand for word and s1), and a line that is settled already.
+SET, GONE = -1, -2
+WORD_BITS = np.uint64((1 << 44) - 1)
+
+
+def _postings(docs: DataFrame, percent: int, levels) -> DataFrame:
+    """(word, doc_id, place, filters, s1, s2) of the prefixes of a task's distinct sets; ``filters`` is the set's size and the word's place in it.
+    Words that only one set has are left out; words are told apart by 44 bits. And of each set in a block a row for its first line there; its other lines are gone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen, last = levels.value, set(), None
+        level, seen = levels.value, {}
         for batch, texts in text_blocks(batches, chars=2_000_000):
-            doc, line, key, sizes, h = _line_sets(batch.column(0).to_pylist(), texts)
-            if not len(doc):
+            lines = Lines(texts, level)
+            if not len(lines.sizes):
                 continue
-            fresh = _fresh(doc, key, seen, last)
-            last = doc[-1]
-            h, doc, line, sizes = _pick(h, sizes, fresh), doc[fresh], line[fresh], sizes[fresh]
+            doc, tag = (batch.column(i).to_numpy(zero_copy_only=False)[lines.owner] for i in (0, 2))
+            place, keys = _places(tag, lines.number), lines.keys()
+            order = np.lexsort((place, doc, keys[1], keys[0]))
+            first = np.ones(len(order), bool)
+            first[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
+            lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]        # the first line of each line's set
+            again = order[(doc[order] != doc[lead]) | (place[order] != place[lead])]
+            some, zeros = order[first], np.zeros(len(order), np.int64)
+            yield as_batch(LISTED, keys[0][some], doc[some], place[some], np.full(len(some), SET), keys[1][some], zeros[: len(some)])
+            yield as_batch(LISTED, (mixed(doc[again].astype(np.uint64) + mixed(place[again].astype(np.uint64)))).view(np.int64), doc[again], place[again], np.full(len(again), GONE), zeros[: len(again)], zeros[: len(again)])
+            fresh = np.zeros(len(order), bool)
+            fresh[some] = _fresh(list(zip(doc[some].tolist(), place[some].tolist(), strict=True)), (keys[0][some], keys[1][some]), seen)
+            lines, doc, place = lines[fresh], doc[fresh], place[fresh]
             if not len(doc):
                 continue
-            starts = offsets_of(sizes)[:-1]
-            sketch = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(h ^ PLACES[1]) & np.uint64(63)), starts).astype(np.int64)
-            owner = np.repeat(np.arange(len(doc)), sizes)
-            rarity = level[(h >> SHIFT).astype(np.int64)]
-            order = np.lexsort((h, rarity, owner))
-            place = np.arange(len(h)) - np.repeat(starts, sizes)
-            prefix = sizes - -(-percent * sizes // 100) + 1
-            keep = (place < prefix[owner]) & (rarity[order] > 0)
-            owner = owner[keep]
-            yield as_batch(schema, h[order][keep].view(np.int64), doc[owner], line[owner], sizes[owner].astype(np.int32), place[keep].astype(np.int32), sketch[owner])
-
-    return docs.sortWithinPartitions("doc_id").mapInArrow(run, LISTED)
+            sketches = lines.sketches()
+            at = np.arange(len(lines.words)) - np.repeat(lines.starts, lines.sizes)
+            owner = np.repeat(np.arange(len(doc)), lines.sizes)
+            prefix = lines.sizes - -(-percent * lines.sizes // 100) + 1
+            keep = (at < prefix[owner]) & (level[(lines.words >> SHIFT).astype(np.int64)] > 0)
+            owner, at = owner[keep], at[keep]
+            yield as_batch(LISTED, (lines.words[keep] & WORD_BITS).view(np.int64), doc[owner], place[owner], lines.sizes[owner] << 32 | at, sketches[0][owner], sketches[1][owner])
+
+    return docs.mapInArrow(run, LISTED_SQL)
+
+
+def _may_be_similar(rows: list, i, j, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Length and positional filters, and the sketches': they differ in no more bits than the sets in words; and how far apart the two look."""
+    filters, s1, s2 = rows[3], rows[4], rows[5]
+    a, b = filters[i] >> 32, filters[j] >> 32
+    fold = s1[i] ^ s1[j]
+    half = np.where((a >= LARGE) & (b >= LARGE), s2[i] ^ s2[j], 0)          # the two halves' parities are half and fold ^ half
+    apart = (np.bitwise_count((fold ^ half).view(np.uint64)).astype(np.int64) + np.bitwise_count(half.view(np.uint64)))
+    ok = (a + b - apart >= 2 * overlap_needed(a, b, percent)) & may_link(a, filters[i] & 0xFFFFFFFF, b, filters[j] & 0xFFFFFFFF, percent)
+    return ok, apart * 1000 // (a + b)
+
+
+#: What a row of ``_lists`` is: a line of a word's list, a line that is gone, a row of a set whose list was too long.
+LINE, SETTLED, OPEN_SET = 0, 1, 2
+NEAR = pa.schema([("kind", pa.int32()), *LISTED, ("x_doc", pa.int64()), ("x_place", pa.int64()), ("apart", pa.int64()), ("others", pa.int64()), ("long", pa.bool_())])
+
+
+class _Nearest:
+    """Of each line the earlier partner that looks nearest, and how many partners come earlier."""
+
+    def __init__(self, rows: list, percent: int):
+        self.rows, self.percent, n = rows, percent, len(rows[0])
+        order = np.lexsort((rows[2], rows[1]))
+        new = np.ones(n, bool)
+        new[1:] = (rows[1][order][1:] != rows[1][order][:-1]) | (rows[2][order][1:] != rows[2][order][:-1])
+        self.rank = np.empty(n, np.int64)
+        self.rank[order] = np.cumsum(new) - 1                               # of the places; a repeated row is no other line
+        self.of_rank = order[np.flatnonzero(new)]
+        self.best, self.count, self.found = np.full(n, 1 << 62), np.zeros(n, np.int64), np.zeros(n, bool)
+
+    def meet(self, i: np.ndarray, j: np.ndarray) -> None:
+        ok, apart = _may_be_similar(self.rows, i, j, self.percent)
+        ok &= self.rank[i] != self.rank[j]
+        i, j, apart = i[ok], j[ok], apart[ok]
+        swap = self.rank[i] > self.rank[j]
+        x, y = np.where(swap, j, i), np.where(swap, i, j)
+        self.found[x] = self.found[y] = True
+        np.minimum.at(self.best, y, apart << 32 | self.rank[x])
+        np.add.at(self.count, y, 1)
+
+    def batch(self, rows: np.ndarray, long: np.ndarray) -> pa.RecordBatch:
+        none = (self.count == 0)[rows]
+        x = self.of_rank[np.where(none, 0, self.best[rows] & 0xFFFFFFFF)]
+        return as_batch(NEAR, np.full(len(rows), LINE), *(c[rows] for c in self.rows), *(pa.array(self.rows[c][x], mask=none) for c in (1, 2)), pa.array(self.best[rows] >> 32, mask=none), np.maximum(self.count[rows] - 1, 0), long)
+
+
+def _compare_lists(rows: list, percent: int) -> _Nearest:
+    """Whole lists, in order of word and size."""
+    near = _Nearest(rows, percent)
+    word, size = rows[0], rows[3] >> 32
+    head = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
+    members = np.diff(head, append=len(word))
+    i = np.flatnonzero(np.repeat(members <= SHORT, members))
+    for step in range(1, SHORT):
+        i = i[i + step < len(word)]
+        i = i[(word[i] == word[i + step]) & (100 * size[i] >= percent * size[np.minimum(i + step, len(word) - 1)])]
+        if not len(i):
+            break
+        near.meet(i, i + step)
+    for start, n in zip(head[members > SHORT].tolist(), members[members > SHORT].tolist(), strict=True):
+        for at in range(start, start + n, PIECE):
+            x = np.arange(at, min(at + PIECE, start + n))
+            last = int(np.searchsorted(size[start : start + n], 100 * size[x[-1]] // percent, "right")) + start
+            for to in range(at, last, PIECE):
+                y = np.arange(to, min(to + PIECE, last))
+                i, j = (g.ravel() for g in np.meshgrid(x, y, indexing="ij"))
+                if to == at:
+                    i, j = i[i < j], j[i < j]
+                near.meet(i, j)
+    return near
+
+
+def stream_lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_lists`` of batches in order of word; a list that goes on is held up to LONG rows."""
+    held = [np.zeros(0, np.int64)] * 6
+    giant, heads = None, None                                               # the word of a longer list, and its lines to compare with
+    for batch in chain(batches, [None]):
+        rows = held if batch is None else [np.concatenate([a, c.to_numpy(zero_copy_only=False)]) for a, c in zip(held, batch.columns, strict=True)]
+        held = [c[:0] for c in rows]
+        gone = rows[3] == GONE
+        if gone.any():
+            yield _settled([c[gone] for c in rows])
+            rows = [c[~gone] for c in rows]
+        if giant is not None and len(rows[0]) and rows[0][0] == giant:
+            n = int(np.searchsorted(rows[0], giant, "right"))
+            yield from _giant([c[:n] for c in rows], heads, percent)
+            rows = [c[n:] for c in rows]
+        if not len(rows[0]):
+            continue
+        cut = len(rows[0]) if batch is None else int(np.searchsorted(rows[0], rows[0][-1]))
+        if batch is not None and len(rows[0]) - cut > LONG:
+            giant, heads = int(rows[0][-1]), _earliest([c[cut:] for c in rows])
+            yield from _giant([c[cut:] for c in rows], heads, percent)
+        else:
+            held = [c[cut:].copy() for c in rows]
+        rows = [c[:cut] for c in rows]
+        sets = rows[3] == SET
+        if sets.any():
+            s = [c[sets] for c in rows]
+            order = np.lexsort((s[2], s[1], s[4], s[0]))
+            s = [c[order] for c in s]
+            first = np.ones(len(order), bool)
+            first[1:] = (s[0][1:] != s[0][:-1]) | (s[4][1:] != s[4][:-1])
+            lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+            again = (s[1] != s[1][lead]) | (s[2] != s[2][lead])
+            yield _settled([c[again] for c in s])
+            rows = [c[~sets] for c in rows]
+        if len(rows[0]):
+            order = np.lexsort((rows[3] >> 32, rows[0]))
+            rows = [c[order] for c in rows]
+            near = _compare_lists(rows, percent)
+            some = np.flatnonzero(near.found)
+            yield near.batch(some, np.zeros(len(some), bool))
+
+
+def _settled(rows: list) -> pa.RecordBatch:
+    n = len(rows[0])
+    return as_batch(NEAR, np.full(n, SETTLED), *rows, *[pa.nulls(n, pa.int64())] * 3, np.zeros(n, np.int64), np.zeros(n, bool))
+
+
+def _earliest(rows: list) -> list:
+    lines = [c[rows[3] != SET] for c in rows]
+    order = np.lexsort((lines[2], lines[1]))[:HEADS]
+    return [c[order] for c in lines]
+
+
+def _giant(rows: list, heads: list, percent: int) -> Iterator[pa.RecordBatch]:
+    """Lines of a list that is too long for one task: each is held to the list's heads only. Rows of sets are handed on."""
+    sets = rows[3] == SET
+    if sets.any():
+        s, n = [c[sets] for c in rows], int(sets.sum())
+        yield as_batch(NEAR, np.full(n, OPEN_SET), *s, *[pa.nulls(n, pa.int64())] * 3, np.zeros(n, np.int64), np.zeros(n, bool))
+        rows = [c[~sets] for c in rows]
+    k = len(heads[0])
+    for at in range(0, len(rows[0]), 4096):
+        some = [np.concatenate([h, c[at : at + 4096]]) for h, c in zip(heads, rows, strict=True)]
+        near = _Nearest(some, percent)
+        n = len(some[0]) - k
+        near.meet(np.tile(np.arange(k), n), np.repeat(np.arange(k, k + n), k))
+        own = np.arange(k, k + n)
+        yield near.batch(own, np.ones(n, bool))
 
 
-PAIRS = pa.schema([("x_doc", pa.int64()), ("x_line", pa.int32()), ("y_doc", pa.int64()), ("y_line", pa.int32())])
+def _lists(postings: DataFrame, percent: int) -> DataFrame:
+    """Lines that are gone, as equal to earlier ones; and postings that may be similar to another of their word, and all of lists over LONG (``long``), with x_doc, x_place: of the
+    earlier lines that one was held to the nearest, where there is one, how far ``apart`` it looks, and how many ``others`` there are."""
+    run = lambda batches: stream_lists(batches, percent)
+    return stage(postings.repartition("word").sortWithinPartitions("word").mapInArrow(run, "kind int, " + LISTED_SQL + ", x_doc long, x_place long, apart long, others long, long boolean"), "line-lists")
 
 
-def _may_be_similar(size, place, sketch, i, j, percent: int) -> np.ndarray:
-    """Length and positional filters, and the sketches': they differ in no more bits than the sets in words."""
-    a, b = size[i], size[j]
-    apart = np.bitwise_count((sketch[i] ^ sketch[j]).view(np.uint64)).astype(np.int64)
-    return may_link(a, place[i], b, place[j], percent) & (a + b - apart >= 2 * overlap_needed(a, b, percent))
+PAIR = ["x_doc", "x_place", "y_doc", "y_place"]
+PAIRS = pa.schema([(c, pa.int64()) for c in PAIR])
 
 
-def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings that may be similar to another of their word; x_doc, x_line: the earliest of these, where it is earlier."""
-    schema = pa.schema([("word", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("sketch", pa.int64()), ("x_doc", pa.int64()), ("x_line", pa.int32())])
+def _other_pairs(lists: DataFrame, decided: DataFrame, percent: int) -> DataFrame:
+    """Each undecided line with every earlier line of its lists that may be similar. Where a list has one such line, it is known; lists with
+    several, and long ones, are dealt into cells of about CELL lines by CELL undecided lines, so that a long list has many tasks."""
+    open_ = lists.join(decided, ["doc_id", "place"], "left_anti")
+    known = open_.where("NOT long AND x_doc IS NOT NULL").select("x_doc", "x_place", F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place"))
+    asks = stage(open_.where("long OR others > 0").select(*LISTED.names), "line-asks")
+    members = stage(lists.select(*LISTED.names).join(asks.select("word").distinct(), "word", "left_semi"), "line-members")
+    cells = (members.groupBy("word").agg(F.count("*").alias("n")).join(asks.groupBy("word").agg(F.count("*").alias("u")), "word")
+             .select("word", (1 + F.floor((F.col("n") - 1) / CELL)).cast("long").alias("xs"), (1 + F.floor((F.col("u") - 1) / CELL)).cast("long").alias("ys")))
+    of = lambda rows: rows.join(cells, "word").withColumn("h", F.xxhash64("doc_id", "place"))
+    series = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    x = of(members).withColumn("xc", F.pmod("h", "xs")).withColumn("yc", series("ys")).withColumn("asks", F.lit(False))
+    y = of(asks).withColumn("yc", F.pmod("h", "ys")).withColumn("xc", series("xs")).withColumn("asks", F.lit(True))
+    dealt = x.select(*LISTED.names, "asks", "xc", "yc").unionByName(y.select(*LISTED.names, "asks", "xc", "yc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for word, doc, line, size, place, sketch in runs_of(batches):
-            if not len(word):
+        held: list[np.ndarray] | None = None
+        for batch in chain(batches, [None]):
+            rows = held if batch is None else [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if batch is not None and held is not None:
+                rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
+            if rows is None or not len(rows[0]):
                 continue
-            long_size = size.astype(np.int64)
-            order = np.lexsort((line, doc, word))
-            word, doc, line, size, place, sketch, long_size = (c[order] for c in (word, doc, line, size, place, sketch, long_size))
-            head = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
-            members = np.diff(head, append=len(word))
-            first = np.full(len(word), -1)                                  # the earliest partner
-            found = np.zeros(len(word), bool)
-            rows = np.flatnonzero(np.repeat(members <= SHORT, members))
-            for step in range(1, SHORT):
-                rows = rows[rows + step < len(word)]
-                rows = rows[word[rows] == word[rows + step]]
-                if not len(rows):
+            new = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[7]) != 0) | (np.diff(rows[8]) != 0)) + 1
+            cut = len(rows[0]) if batch is None else int(new[-1]) if len(new) else 0
+            held = [c[cut:].copy() for c in rows]                           # a cell of bounded size
+            out, some = [], 0
+            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(rows[0])], strict=True):
+                if a >= cut:
                     break
-                ok = rows[_may_be_similar(long_size, place, sketch, rows, rows + step, percent)]
-                found[ok] = found[ok + step] = True
-                first[ok + step] = ok
-            for start, n in zip(head[members > SHORT], members[members > SHORT], strict=True):
-                for at in range(start, start + n, PIECE):
-                    y = np.arange(at, min(at + PIECE, start + n))
-                    for back in range(at, start - 1, -PIECE):               # pieces from here to the list's first: earlier ones win
-                        x = np.arange(back, min(back + PIECE, start + n))
-                        i, j = (g.ravel() for g in np.meshgrid(x, y, indexing="ij"))
-                        i, j = i[i < j], j[i < j]
-                        ok = _may_be_similar(long_size, place, sketch, i, j, percent)
-                        i, j = i[ok][::-1], j[ok][::-1]
-                        found[i] = found[j] = True
-                        first[j] = i                                        # of repeated j the last, the earliest i, stays
-            has = first >= 0
-            at = np.maximum(first, 0)
-            yield as_batch(schema, *(c[found] for c in (word, doc, line, size, place, sketch)), pa.array(doc[at][found], mask=~has[found]), pa.array(line[at][found], mask=~has[found]))
-
-    return stage(postings.repartition("word").sortWithinPartitions("word").mapInArrow(run, LISTED + ", x_doc long, x_line int"), "line-lists")
-
-
-def _unique_pairs(rows: np.ndarray) -> pa.RecordBatch:
-    rows = np.unique(rows, axis=0)
-    return as_batch(PAIRS, rows[:, 0], rows[:, 1].astype(np.int32), rows[:, 2], rows[:, 3].astype(np.int32))
+                part = [c[a:b] for c in rows]
+                xs = np.flatnonzero(~part[6].astype(bool))
+                for j in np.flatnonzero(part[6].astype(bool)).tolist():
+                    i = xs[(part[1][xs] < part[1][j]) | ((part[1][xs] == part[1][j]) & (part[2][xs] < part[2][j]))]
+                    i = i[_may_be_similar(part, i, np.full(len(i), j), percent)[0]]
+                    if len(i):
+                        out.append(np.column_stack([part[1][i], part[2][i], np.full(len(i), part[1][j]), np.full(len(i), part[2][j])]))
+                        some += len(i)
+                if some > 200_000:
+                    yield as_batch(PAIRS, *np.unique(np.concatenate(out), axis=0).T)
+                    out, some = [], 0
+            if out:
+                yield as_batch(PAIRS, *np.unique(np.concatenate(out), axis=0).T)
+            if batch is None:
+                break
 
+    cell = ["word", "xc", "yc"]
+    return known.unionByName(dealt.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, ", ".join(f"{c} long" for c in PAIR))).distinct()
 
-def _other_pairs(lists: DataFrame, decided: DataFrame, percent: int) -> DataFrame:
-    """Each undecided line with every earlier line of its lists that may be similar."""
-    flagged = lists.join(decided.withColumn("done", F.lit(True)), ["doc_id", "line"], "left").select("word", "doc_id", "line", "size", "place", "sketch", F.coalesce("done", F.lit(False)).alias("done"))
+
+def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, place, words) of the lines at these places, the words' hashes in order; each line's set is made and written once."""
+    per_row = stage(places.groupBy(F.col("doc_id").alias("_id"), F.shiftright("place", 32).cast("int").alias("_tag")).agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("wanted")), "line-wanted")
+    small = per_row.agg(F.coalesce(F.sum(F.size("wanted") + 4), F.lit(0))).first()[0] <= BROADCAST_IDS
+    some = docs.join(F.broadcast(per_row) if small else per_row, (docs["doc_id"] == F.col("_id")) & (docs["tag"] == F.col("_tag"))).select("doc_id", "text", "tag", "wanted")
+    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for word, doc, line, size, place, sketch, done in runs_of(batches):
-            size, out, held = size.astype(np.int64), [], 0
-            for rows in np.split(np.arange(len(word)), np.flatnonzero(np.diff(word)) + 1):
-                for y in rows[~done[rows].astype(bool)]:
-                    x = rows[(doc[rows] < doc[y]) | ((doc[rows] == doc[y]) & (line[rows] < line[y]))]
-                    x = x[_may_be_similar(size, place, sketch, x, np.full(len(x), y), percent)]
-                    if len(x):
-                        out.append(np.column_stack([doc[x], line[x], np.full(len(x), doc[y]), np.full(len(x), line[y])]))
-                        held += len(x)
-                        if held > 500_000:
-                            yield _unique_pairs(np.concatenate(out))
-                            out, held = [], 0
-            if out:
-                yield _unique_pairs(np.concatenate(out))
+        for batch, texts in text_blocks(batches, chars=2_000_000):
+            lines = Lines(texts, wanted=batch.column(3).to_pylist())
+            doc, tag = (batch.column(i).to_numpy(zero_copy_only=False)[lines.owner] for i in (0, 2))
+            raw, bounds = lines.words.tobytes(), 8 * offsets_of(lines.sizes)
+            yield as_batch(schema, doc, _places(tag, lines.number), [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
 
-    return flagged.repartition("word").sortWithinPartitions("word").mapInArrow(run, "x_doc long, x_line int, y_doc long, y_line int").distinct()
+    return stage(some.mapInArrow(run, "doc_id long, place long, words binary").dropDuplicates(["doc_id", "place"]), "line-sets")
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, line) of the later lines of the pairs that are similar."""
+    """(doc_id, place) of the later lines of the pairs that are similar."""
     pairs = stage(pairs, "line-pairs")
-    places = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line")).union(pairs.select("y_doc", "y_line")).distinct()
-    some = lines_of(some_documents(docs, places.select("doc_id").distinct()))
-    lines = stage(some.join(places, ["doc_id", "line"]), "line-texts")
+    sets = _sets(docs, pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_place").alias("place")).union(pairs.select("y_doc", "y_place")).distinct())
+    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32())])
-        before, x = None, None
         for batch in batches:
-            docs_, lines_, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            found = []
             for k, (left, right) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                if left != before:
-                    before, x = left, word_set(left)
-                y = word_set(right)
-                if len(np.intersect1d(x, y, assume_unique=True)) >= overlap_needed(len(x), len(y), percent):
-                    found.append(k)
-            yield as_batch(schema, [docs_[k] for k in found], [lines_[k] for k in found])
-
-    x = lines.select(F.col("doc_id").alias("x_doc"), F.col("line").alias("x_line"), F.col("words").alias("x_words"))
-    y = lines.select(F.col("doc_id").alias("y_doc"), F.col("line").alias("y_line"), F.col("words").alias("y_words"))
-    both = pairs.join(y, ["y_doc", "y_line"]).join(x, ["x_doc", "x_line"]).select("y_doc", "y_line", "x_words", "y_words")
-    return stage(both.mapInArrow(run, "doc_id long, line int").distinct(), "line-similar")
+                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                both = np.sort(np.concatenate([x, y]))                      # both have distinct words
+                found.append(int((both[1:] == both[:-1]).sum()) >= overlap_needed(len(x), len(y), percent))
+            found = np.array(found, bool)
+            yield as_batch(schema, *(batch.column(i).to_numpy(zero_copy_only=False)[found] for i in (0, 1)))
+
+    side = lambda s: sets.select(F.col("doc_id").alias(f"{s}_doc"), F.col("place").alias(f"{s}_place"), F.col("words").alias(f"{s}_words"))
+    both = pairs.join(side("y"), ["y_doc", "y_place"]).join(side("x"), ["x_doc", "x_place"]).select("y_doc", "y_place", "x_words", "y_words")
+    return stage(both.mapInArrow(run, "doc_id long, place long").distinct(), "line-similar")
+
+
+def _gone(rows: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, place) of the lines that go, of rows with tags."""
+    docs = rows.where("doc_id IS NOT NULL")
+    levels = rows.sparkSession.sparkContext.broadcast(levels_of(_survey(docs)))        # 2^BUCKET_BITS bytes, whatever the corpus
+    listed = _lists(_postings(docs, percent, levels), percent)
+    open_sets = listed.where(F.col("kind") == OPEN_SET).select("word", "s1", "doc_id", "place")
+    firsts = open_sets.groupBy("word", "s1").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    later = open_sets.join(firsts, ["word", "s1"]).where("struct(doc_id, place) > first").select("doc_id", "place")
+    again = stage(listed.where(F.col("kind") == SETTLED).select("doc_id", "place").unionByName(later).distinct(), "line-again")
+    lists = listed.where(F.col("kind") == LINE).drop("kind")
+    nearest = (lists.where("x_doc IS NOT NULL").groupBy(F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place")).agg(F.min(F.struct("apart", "x_doc", "x_place")).alias("x"))
+               .join(again.select(F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place")), ["y_doc", "y_place"], "left_anti"))
+    tried = stage(nearest.select("x.x_doc", "x.x_place", "y_doc", "y_place"), "line-nearest")
+    decided = again.unionByName(_similar(tried, docs, percent))
+    rest = _other_pairs(lists, decided, percent).join(tried, PAIR, "left_anti")
+    return decided.unionByName(_similar(rest, docs, percent)).distinct()
 
 
 def repeated_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """(doc_id, line) of the lines that go; a line counts from 0 in its text. See ``dedup_lines`` for the special cases."""
-    spark = docs.sparkSession
-    docs = doc_text(docs).where("doc_id IS NOT NULL")
-    survey = _survey(docs)
-    lines = survey.where("block IS NULL").select("doc_id", "line", "key", "key2")
-    levels = spark.sparkContext.broadcast(levels_of(survey))
-    firsts = stage(lines.groupBy("key", "key2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
-                   .select("key", "key2", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line")), "line-firsts")
-    again = lines.join(firsts, ["key", "key2"]).where("doc_id > first_doc OR (doc_id = first_doc AND line > first_line)").select("doc_id", "line")
-    lists = _lists(_postings(docs, percent, levels), percent)
-    first_pairs = stage(lists.where("x_doc IS NOT NULL").select("x_doc", "x_line", F.col("doc_id").alias("y_doc"), F.col("line").alias("y_line")).distinct(), "line-first-pairs")
-    decided = _similar(first_pairs, docs, percent)
-    rest = _other_pairs(lists, decided, percent).join(first_pairs, PAIRS.names, "left_anti")
-    return again.union(decided).union(_similar(rest, docs, percent)).distinct()
-
-
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc_id, tag, line) of the lines that go; a line counts from 0 in its text, ``tag`` as in ``tagged``. See ``dedup_lines`` for the special cases."""
+    return _gone(tagged(docs), percent).select("doc_id", F.shiftright("place", 32).cast("int").alias("tag"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("line"))
+
+
+def _without(docs: DataFrame, percent: int) -> DataFrame:
     """``docs`` with ``_lines`` (all lines) and ``_left`` (those that stay)."""
-    gone = stage(gone, "line-gone")
-    per_doc = gone.groupBy("doc_id").agg(F.collect_list("line").alias("_gone")).withColumnRenamed("doc_id", "_id")    # at most a document's lines
+    gone = stage(repeated_lines(docs, percent), "line-gone")
+    per_doc = gone.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_list("line").alias("_gone"))    # at most a document's lines
     per_doc = F.broadcast(per_doc) if gone.count() <= BROADCAST_IDS else per_doc
-    joined = docs.join(per_doc, docs["doc_id"].cast("long") == per_doc["_id"], "left").withColumn("_lines", F.split(docs["text"], "\n"))
+    same = (docs["doc_id"].cast("long") == F.col("_id")) & ((F.col("_tag") == 0) | (F.hash(docs["text"].cast("string")) == F.col("_tag")))
+    joined = docs.join(per_doc, same, "left").withColumn("_lines", F.split(docs["text"].cast("string"), "\n"))
     return joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~F.array_contains("_gone", i))))
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_lines, n_removed, text of each row, the text without the lines that go.
 
-    Lines without words never go. Rows that share a doc_id are one document: their lines stand at the same
-    places, and a place that goes is gone from each. Rows without doc_id or text stay as they are and take no part.
+    Lines without words never go. Rows that share doc_id and text are one document; texts that share a doc_id only are
+    in the order of their tags, and each loses its own lines. Rows without doc_id or text stay as they are and take no part.
     """
-    rows = doc_text(docs)
-    return _without(rows, repeated_lines(docs, percent)).select("doc_id", F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_lines") - F.size("_left"), F.lit(0)).cast("long").alias("n_removed"), F.array_join("_left", "\n").alias("text"))
+    return _without(doc_text(docs), percent).select("doc_id", F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_lines") - F.size("_left"), F.lit(0)).cast("long").alias("n_removed"), F.array_join("_left", "\n").alias("text"))
 
 
 def with_lines_removed(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows with all their columns; ``text`` without the lines that go, and ``n_chars``, where there, its new length."""
-    fixed = _without(docs, repeated_lines(docs, percent)).withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n")))
+    fixed = _without(docs, percent).withColumn("_text", F.when(F.col("_gone").isNull(), docs["text"]).otherwise(F.array_join("_left", "\n")))
     kinds = dict(docs.dtypes)
-    out = {c: F.col(c) for c in docs.columns} | {"text": F.col("_text").alias("text")}
+    out = {c: docs[c] for c in docs.columns} | {"text": F.col("_text").alias("text")}
     if "n_chars" in kinds:
-        out["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(kinds["n_chars"]).alias("n_chars")
+        out["n_chars"] = F.when(F.col("_gone").isNull(), docs["n_chars"]).otherwise(F.length("_text")).cast(kinds["n_chars"]).alias("n_chars")
     return fixed.select(*out.values())

@@ -1,17 +1,35 @@
 """Line dedup (8), n-gram Jaccard join (9), components and the pipeline against brute force."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from quarry.llm.common import stage
+from public_tokenizers import path as tokenizer_path
+from tokenizers import Tokenizer
+
+from quarry.llm import linededup, toxicity
+from quarry.llm.common import as_batch, stage
 from quarry.llm.components import components
 from quarry.llm.linededup import dedup_lines, repeated_lines, with_lines_removed
 from quarry.llm.ngramjoin import keep_one, similar_documents, tree_join
 
 
+BYTE_BPE = tokenizer_path("byte_bpe_50k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    """Whether a text fails the base rules, last of a tuple."""
+    w = WORD.findall(text or "")
+    seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    covered = {j for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+    return (len(w), len(w) < 20 or 100 * len(covered) > 30 * len(w))
+
+
 def roots(nodes, links):
     up = {n: n for n in nodes}
 
@@ -74,12 +92,13 @@ def test_similar_documents_against_brute_force(spark):
 
 def test_tree_join_against_sets():
     rng = np.random.default_rng(3)
+    levels = rng.integers(0, 5, 1 << 22).astype(np.uint8)
     for _ in range(50):
         start = rng.choice(200, rng.integers(1, 60), replace=False)
         sets = [np.unique(np.concatenate([start, rng.choice(200, rng.integers(0, 20))])).astype(np.uint64) for _ in range(20)]
         probe = np.unique(np.concatenate([start, rng.choice(200, 5)])).astype(np.uint64)
         want = [k for k, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= 75 * len(np.union1d(s, probe))]
-        assert sorted(tree_join(probe, sets, 75)) == want
+        assert sorted(tree_join(probe, sets, 75, levels)) == want
 
 
 def test_components_of_chains_stars_and_cycles(spark):
@@ -90,35 +109,120 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_lines(rows):
-    places = sorted((i, k, frozenset(line.encode().lower().split())) for i, t in rows if i is not None for k, line in enumerate((t or "").split("\n")))
-    places = [p for p in places if p[2]]
-    return {(i, k) for i, k, s in places for j, m, t in places if (j, m) < (i, k) and 100 * len(s & t) >= 75 * len(s | t)}
+def brute_lines(rows, tags):
+    """(doc_id, tag, line) of the lines that go; ``tags`` of (doc_id, text) come from the operator and set the order of texts that share an id."""
+    places = sorted({(i, tags[i, t], k, frozenset(line.encode().lower().split())) for i, t in rows if i is not None for k, line in enumerate((t or "").split("\n"))}, key=lambda p: p[:3])
+    places = [p for p in places if p[3]]
+    return {p[:3] for p in places for q in places if q[:3] < p[:3] and 100 * len(p[3] & q[3]) >= 75 * len(p[3] | q[3])}
 
 
-def test_repeated_lines_against_brute_force(spark):
-    for seed in (3, 4):
-        rows = near_copies(seed)
+def long_lists(seed):
+    """Families of more lines than a list's window, alike in some words only; one id with several texts."""
+    rng = random.Random(seed)
+    rows = []
+    for family in range(2):
+        start = [f"f{family}w{k}" for k in range(24)]
+        for n in range(170):
+            line = list(start)
+            for _ in range(rng.choice([0, 2, 6, 9, 12])):
+                line[rng.randrange(24)] = f"r{rng.randint(0, 400)}"
+            rows.append((5 * n + family, " ".join(line)))
+    return rows + [(5, "a b c d"), (7, "a b c d\nkeep me please"), (7, "quite other words here\nlast"), (7, "quite other words here\nlast"), (3, "a b c d")]
+
+
+def test_repeated_lines_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "CELL", 16)
+    for rows, long in ((near_copies(3), 20_000), (near_copies(4), 20), (long_lists(5), 50)):
+        monkeypatch.setattr(linededup, "LONG", long)
         df = spark.createDataFrame([(i, t, "x", 4) for i, t in rows], "doc_id long, text string, line string, n_chars long").repartition(6)
-        want = brute_lines(rows)
-        assert {(r.doc_id, r.line) for r in repeated_lines(df).collect()} == want
-    cut = lambda i, t: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want)
-    assert sorted(((r.doc_id, r.text) for r in dedup_lines(df).collect()), key=str) == sorted(((i, cut(i, t)) for i, t in rows), key=str)
+        tags = {(r.doc_id, r.text): r.tag for r in linededup.tagged(df).collect()}
+        want = brute_lines(rows, tags)
+        assert {tuple(r) for r in repeated_lines(df).collect()} == want
+    cut = lambda i, t: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if i is None or (i, tags[i, t], k) not in want)
+    cleaned = sorted(((i, cut(i, t)) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.text) for r in dedup_lines(df).collect()), key=str) == cleaned
     out = with_lines_removed(df)
-    assert out.columns == df.columns and sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(((i, cut(i, t)) for i, t in rows), key=str)
+    assert out.columns == df.columns and sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == cleaned
+    assert (7, "quite other words here\nlast") in cleaned and (7, "\nkeep me please".strip()) in cleaned
     assert dedup_lines(df.limit(0)).count() == 0 and with_lines_removed(df.limit(0)).count() == 0
 
 
-def test_pipeline_stages(spark):
+def test_lists_across_batches(monkeypatch):
+    """Lists that go on over several batches give the same rows as one batch; longer ones hold their lines to the heads."""
+    monkeypatch.setattr(linededup, "SHORT", 6)
+    monkeypatch.setattr(linededup, "PIECE", 4)
+    r = np.random.default_rng(1)
+    word = np.sort(np.concatenate([r.integers(0, 30, 80), np.full(40, 31), np.full(5, 40)]))
+    columns = [word, np.arange(len(word)) * 7 % 100, r.integers(0, 9, len(word)), r.integers(7, 10, len(word)) << 32, r.integers(0, 4, len(word)), np.zeros(len(word), np.int64)]
+    columns[3][::17], columns[4][::17] = linededup.SET, 5
+    run = lambda cuts: sorted((tuple(x) for b in linededup.stream_lists((as_batch(linededup.LISTED, *(c[a:z] for c in columns)) for a, z in zip([0, *cuts], [*cuts, len(word)])), 75) for x in zip(*(c.to_pylist() for c in b.columns))), key=str)
+    whole = run([])
+    assert whole == run(list(range(1, len(word)))) == run([50, 81, 90, 118]) and not any(x[-1] for x in whole)
+    place = {(d, p): k for k, (d, p) in enumerate(sorted(set(zip(columns[1].tolist(), columns[2].tolist()))))}
+    lines = [k for k in range(len(word)) if columns[3][k] != linededup.SET]
+    for x in whole:
+        if x[0] == linededup.LINE:
+            mine = [k for k in lines if word[k] == x[1]]
+            at = next(k for k in mine if (columns[1][k], columns[2][k]) == (x[2], x[3]))
+            earlier = [k for k in mine if place[columns[1][k], columns[2][k]] < place[x[2], x[3]] and linededup._may_be_similar(columns, np.array([k]), np.array([at]), 75)[0][0]]
+            assert len(earlier) == x[10] + (x[7] is not None)
+    monkeypatch.setattr(linededup, "LONG", 10)
+    assert {x[1] for x in run([50, 81, 90, 100, 118]) if x[-1]} == {31}
+
+
+def through(spark, docs, sf):
+    """The pipeline's stages one after another: (name, input rows, output DataFrame)."""
+    for name, function in cp.STAGES:
+        out = stage(function(spark, docs, sf), f"test-{name}")
+        yield name, docs, out
+        docs = out
+
+
+def test_pipeline_stages_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
-    for name, function in cp.STAGES[:-1]:
-        docs = stage(function(spark, docs, sf), f"test-{name}")
-        left = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert docs.columns == columns and left <= ids and left, name
-        ids = left
-    packed = cp.STAGES[-1][1](spark, docs, sf)
-    assert {r.doc_id for r in packed.select("doc_id").collect()} == ids
-    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+    columns = docs.columns
+    for name, before, after in through(spark, docs, sf):
+        rows = [(r.doc_id, r.text) for r in before.select("doc_id", "text").collect()]
+        texts = dict(rows)
+        if name != "best_fit_packing":
+            assert after.columns == columns
+            left = {r.doc_id: r.text for r in after.select("doc_id", "text").collect()}
+        if name == "toxicity":
+            model = toxicity.train(before, spark.read.parquet(f"{sf}/labels.parquet"))
+            scorer = toxicity.Scorer(model.stems)
+            assert left == {i: t for i, t in rows if toxicity.score_of(scorer.features(t), model) < 0.3} and len(left) < len(rows)
+        elif name == "quality_rules":
+            assert set(left) == {i for i, t in rows if not base(t)[-1]} and len(left) < len(rows)
+            assert left == {i: texts[i] for i in left}                      # no line is in more than 100 documents of a host here
+        elif name == "line_dedup":
+            gone = brute_lines(rows, {(i, t): 0 for i, t in rows})
+            assert left == {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, 0, k) not in gone) for i, t in rows} and gone
+        elif name == "ngram_jaccard_join":
+            assert set(left) == {c for *_, c in brute_components(rows)} and left == {i: texts[i] for i in left}
+        else:
+            library = Tokenizer.from_file(BYTE_BPE)
+            want = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows}
+            got = {r.doc_id: r.n for r in after.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+            bins = after.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+            assert got == want and bins.where("n > 2048").count() == 0
+            assert bins.count() >= sum(want.values()) / 2048
     assert [n for n, _ in cp.STAGES] == ["toxicity", "quality_rules", "line_dedup", "ngram_jaccard_join", "best_fit_packing"] and cp.ORACLE_SQL is None
+
+
+def test_pipeline_takes_odd_rows_and_empty_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    long = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, long, "s"), (1, None, None), (2, "", "s"), (3, long, None), (3, long, None), (3, long + " other", "s"), (4, " ".join(f"x{i}" for i in range(60_000)), "s"), (5, long.upper(), "s")]
+    docs = spark.createDataFrame([(i, t, s, 1.5, "clash", 7) for i, t, s in rows], "doc_id long, text string, source string, tag double, place string, n_chars int")
+    sizes = []
+    for name, before, after in through(spark, docs, sf):
+        if name != "best_fit_packing":
+            assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        sizes.append(after.count())
+    # null and empty texts fail the quality rules; lines equal to earlier ones go, and with them what is near
+    assert sizes[:2] == [8, 6] and sizes[-1] > 20
+    for name, before, after in through(spark, docs.limit(0), sf):
+        assert after.count() == 0
+
+
