@@ -116,6 +116,47 @@ def test_probabilities_sum_to_one():
     assert np.allclose(p.sum(axis=0), 1, atol=1e-3)
 
 
+def one_by_one(w, prior, symbols):
+    """log10 probability of a text, symbol after symbol: attention over the block before and what its own block holds so far."""
+    line = [0, *symbols]
+    total = 0.0
+    for i, target in enumerate([*symbols, 0]):
+        start = max(0, (i // lm.BLOCK - 1) * lm.BLOCK)
+        now = w["E"][line[i]]
+        keys = [w["E"][line[j]] for j in range(start, i + 1)]
+        weight = np.array([now @ w["Q"] @ (k @ w["K"]) / math.sqrt(lm.WIDTH) + w["R"][i - j] for j, k in zip(range(start, i + 1), keys)])
+        weight = np.exp(weight - weight.max())
+        seen = sum(a * (k @ w["V"]) for a, k in zip(weight / weight.sum(), keys))
+        h = now + seen @ w["O"]
+        g = h + np.maximum(h @ w["A"] + w["a"], 0) @ w["B"]
+        kind, member = divmod(target, lm.MEMBERS)
+        x, y = g @ w["C"] + w["c"] + prior["class"][line[i]], g @ w["M"][kind] + w["m"][kind] + prior["member"][line[i], kind]
+        total += x[kind] - np.log(np.exp(x).sum()) + y[member] - np.log(np.exp(y).sum())
+    return total / math.log(10)
+
+
+def test_scores_equal_attention_symbol_by_symbol(spark):
+    r = np.random.default_rng(6)
+    w = {k: v + r.standard_normal(v.shape).astype(np.float32) * np.float32(0.05) for k, v in lm.first_weights().items()}
+    prior = lm.prior_of(r.integers(0, 3, lm.SYMBOLS**2))
+    texts = [r.integers(1, lm.SYMBOLS, n) for n in (0, 1, 15, 16, 17, 50, 33)]
+    inputs, targets, real, owner = lm.blocks_of(np.concatenate(texts), np.array([len(t) for t in texts]))
+    got = lm.log_probabilities(lm.by_symbol(w), lm.biased(w, prior), inputs, targets, np.diff(owner, prepend=-1) != 0)
+    sums = np.bincount(owner, weights=(got * real).sum(axis=1)) / math.log(10)
+    assert np.allclose(sums, [one_by_one(w, prior, t.tolist()) for t in texts], atol=2e-3)
+
+
+def test_partitions_have_no_say_in_the_weights(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SLOT", 3000)
+    monkeypatch.setattr(lm, "CHUNK", 64)
+    r = np.random.default_rng(7)
+    rows = [(i, r.integers(1, 400, r.integers(0, 120)).astype("<u2").tobytes()) for i in range(150)]
+    prior = spark.sparkContext.broadcast(lm.prior_of(np.zeros(lm.SYMBOLS**2, np.int64)))
+    df = spark.createDataFrame(rows, "doc_id long, symbols binary")
+    one, many = (lm._train(df.repartition(n), prior) for n in (1, 13))
+    assert all((one[k] == many[k]).all() for k in one) and (one["E"] != lm.first_weights()["E"]).any()
+
+
 def test_frequent_lines_are_removed(spark):
     rows = [(i, f"own {chr(97 + i)}\n\nMENU  {i}\nend {chr(97 + i)}", "a", i) for i in range(6)]
     rows += [(6, "menu 1", "a", 6), (7, "menu 1\nx", "b", 7), (8, None, "a", 8), (None, "menu 2\nz", "a", 9)]
