@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import zlib
@@ -31,11 +33,22 @@ def process_cache(owner: str) -> dict:
         sys.modules[name] = types.ModuleType(name)
     kept = sys.modules[name].__dict__.setdefault("kept", {})
     if kept.get("owner") != owner:
-        kept.clear()
+        if kept:
+            kept.clear()
+            give_back()
         kept["owner"] = owner
     return kept
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system, where the C library can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return session.stage_path(spark, name, "quarry-llm")

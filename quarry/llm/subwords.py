@@ -16,8 +16,8 @@ from quarry.llm.common import offsets_of, process_cache, ragged
 
 LOOSE_SPACE = re.compile(r" (?!\S)")
 #: Beyond this many units or characters the cache keeps the units it was asked for most, so many of them and of their characters.
-MAX_UNITS, MAX_CHARS = 600_000, 12_000_000
-KEPT_UNITS, KEPT_CHARS = 250_000, 5_000_000
+MAX_UNITS, MAX_CHARS = 400_000, 8_000_000
+KEPT_UNITS, KEPT_CHARS = 200_000, 4_000_000
 #: Units that are encoded as one text.
 JOINED = 256
 

@@ -132,7 +132,7 @@ def long_lists(seed):
 
 def test_repeated_lines_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(linededup, "CELL", 16)
-    for rows, long in ((near_copies(3), 20_000), (near_copies(4), 20), (long_lists(5), 50)):
+    for rows, long in ((near_copies(4), 20_000), (long_lists(5), 50)):
         monkeypatch.setattr(linededup, "LONG", long)
         df = spark.createDataFrame([(i, t, "x", 4) for i, t in rows], "doc_id long, text string, line string, n_chars long").repartition(6)
         tags = {(r.doc_id, r.text): r.tag for r in linededup.tagged(df).collect()}
