@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from quarry.operators import repos as rp
 from quarry.operators.collect import split_by_length
 from quarry.operators.pages import page_index
+from quarry.operators.sketches import sketch_anti_join
 from quarry.plans.repo_plans import LANG_CASE, PF, TYPE_AGG, TYPE_CASE, lang_agg
 from quarry.plans.registry import register
 from quarry.plans.sqlkit import with_views
 from quarry.session import materialize, stage_path
 from quarry.sources import io
+from quarry.sources.deltas import CountedTable
 from quarry.sources.fixtures import fixture
 from quarry.sources.tables import table
 from quarry.sources.snapshots import Snapshots, drop_invalid_cached, load_prior
@@ -165,6 +167,13 @@ def q_append_new(spark, sf):
     return io.append_new(s, stored, key="repo_url").select("repo_url")
 
 
+@register("sketch_anti_join", with_views(["v_readme_samples"]) + "SELECT repo_url, stars FROM v_readme_samples WHERE NOT (length(readme) >= 500)")
+def q_sketch_anti_join(spark, sf):
+    """Samples that the store does not hold; only those that its sketch may hold are joined with it."""
+    s = fixture(spark, sf, "v_readme_samples")
+    return sketch_anti_join(s.select("repo_url", "stars"), s.filter(F.length("readme") >= 500), key="repo_url")
+
+
 STREAM_SQL = with_views(["v_repo_files"], [PF, ("summ", f"""SELECT repo_id, {TYPE_CASE} AS project_type, {LANG_CASE} AS project_language,
         file_count FROM (SELECT repo_id, {TYPE_AGG}, {lang_agg(False)}, count(*) AS file_count FROM pf GROUP BY repo_id)""")]) + """
 SELECT e.event_id AS request_id, e.user_id AS repo_id, e.event_type AS kind, e.ts,
@@ -218,3 +227,16 @@ def q_sample_pages(spark, sf):
     """Every page of the samples, most stars first, through the index of ranges."""
     samples = fixture(spark, sf, "v_readme_samples").select("repo_url", "stars")
     return page_index(samples, [("stars", True), ("repo_url", False)]).numbered(50)
+
+
+@register("report_deltas", with_views(["v_readme_samples"]) + """
+SELECT language, source, count(*) AS n FROM v_readme_samples WHERE stars >= 100 GROUP BY language, source""")
+def q_report_deltas(spark, sf):
+    """A10: a report carried over an append and a removal by the parts that changed."""
+    s = fixture(spark, sf, "v_readme_samples").select("repo_url", "language", "source", "stars")
+    kept = CountedTable(spark, scratch(spark, "counted"), s.schema, ["language", "source"])
+    first = kept.append(s.filter(F.col("stars") < 500))
+    report = kept.report(first)
+    kept.append(s.filter("stars >= 500 OR stars IS NULL"))
+    kept.remove(s.filter("stars < 100 OR stars IS NULL"), "repo_url")
+    return kept.updated(report, first)
