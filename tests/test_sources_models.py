@@ -1,6 +1,4 @@
 import json
-import os
-from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import Window
@@ -121,8 +119,11 @@ def test_append_keeps_one_row_a_key_and_counts(spark, tmp_path):
 def test_scanned_files_stay_small(spark, monkeypatch, name):
     """A source of many samples is written as many files, and every sample is read back."""
     monkeypatch.setattr(source_plans, "FILE_BYTES", 20_000, raising=False)
+    written, keep = [], source_plans.scratch
+    monkeypatch.setattr(source_plans, "scratch", lambda *a: written.append(keep(*a)) or written[-1])
     got = getattr(source_plans, f"q_{name}")(spark, SF01)
-    sizes = [os.path.getsize(unquote(urlparse(f).path)) for f in got.inputFiles()]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(written[0])
+    sizes = [r.length for r in files.select("length").collect()]
     assert max(sizes) < 100_000 and sum(sizes) > 500_000
     want = fixture(spark, SF01, "v_readme_samples")
     assert sorted(map(tuple, got.select("repo_url", "readme").collect()), key=str) == sorted(map(tuple, want.select("repo_url", "readme").collect()), key=str)
