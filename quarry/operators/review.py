@@ -51,8 +51,9 @@ def candidates(repos: DataFrame, log: DataFrame, prefilter: DataFrame, *, limit:
     not a global window over all repositories.
     """
     seen = review_state(log).filter(F.col("state") != "none").select(F.col("repo_url").alias("_u"))
+    seen = seen.hint("merge")                           # as many rows as there are reviewed repositories: not to be broadcast
     r = repos.join(seen, repos[url] == seen["_u"], "left").withColumn("_reviewed", F.col("_u").isNotNull()).drop("_u")
-    r = r.join(prefilter.select(key, F.col("ok").alias("_ok")), key, "left")
+    r = r.join(prefilter.select(key, F.col("ok").alias("_ok")).hint("merge"), key, "left")
     passing = r.filter(~F.col("_reviewed") & F.coalesce(F.col("_ok"), F.lit(False)))
     chosen = passing.orderBy(order).limit(limit)
     chosen = chosen.withColumn("cand_no", F.row_number().over(Window.orderBy(order)))   # <= limit rows
