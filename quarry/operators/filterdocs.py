@@ -16,8 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry._workers import ship_by_value
+from quarry.session import materialize
+
+ship_by_value(__name__)
+
 NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-#: Filters that one pass takes; conditions that one expression holds.
+#: Filters, or shapes of filters, that one pass takes; conditions that one expression holds.
 MOST, TOGETHER = 10_000, 100
 
 
@@ -32,7 +37,15 @@ def _field(schema: T.StructType, path: str) -> tuple[Column, T.DataType] | None:
     return column, kind
 
 
+class Slot:
+    """A value that a column holds instead of the document; ``like`` is a value of its type."""
+
+    def __init__(self, column: Column, like):
+        self.column, self.like = column, like
+
+
 def _same_kind(kind: T.DataType, value) -> bool:
+    value = value.like if isinstance(value, Slot) else value
     if isinstance(value, bool):
         return isinstance(kind, T.BooleanType)
     if isinstance(value, (int, float)):
@@ -43,7 +56,8 @@ def _same_kind(kind: T.DataType, value) -> bool:
 
 
 def _literal(kind: T.DataType, value) -> Column:
-    return F.lit(value).try_cast(kind) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.lit(value)
+    column = value.column if isinstance(value, Slot) else F.lit(value)
+    return column.try_cast(kind) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else column
 
 
 def _one(column: Column, kind: T.DataType, op: str, value) -> Column:
@@ -135,7 +149,97 @@ def find_all(df: DataFrame, filters: Iterable[tuple[object, dict]]) -> DataFrame
     return df.select(F.explode(F.concat(*together)).alias("filter_id"), "*")
 
 
+#: What a slot holds: its name, a value of its type, and its place among a filter's values.
+SLOTS = {"int": 0, "double": 0.0, "string": ""}
+DEALT = 16                                             # rows that meet on one value or range are dealt to so many tasks
+
+
+def _cut(document: dict, values: list) -> dict:
+    """The document with its compared numbers and strings replaced by ``{"$slot": [type, place]}``, their values appended to ``values``."""
+    def slot(v):
+        kind = {int: "int", float: "double", str: "string"}.get(type(v))
+        if kind is None or kind == "int" and not -(1 << 31) <= v < 1 << 31:
+            return v
+        values.append((v if kind == "int" else None, v if kind == "double" else None, v if kind == "string" else None))
+        return {"$slot": [kind, len(values) - 1]}
+
+    def asked(a):
+        if not (isinstance(a, dict) and any(k.startswith("$") for k in a)):
+            return slot(a)
+        return {op: asked(v) if op == "$not" else [slot(x) for x in v] if op in ("$in", "$nin", "$all") else slot(v) if op in ("$eq", "$ne", "$gt", "$gte", "$lt", "$lte") else v for op, v in a.items()}
+
+    return {name: [_cut(d, values) for d in a] if name in ("$and", "$or", "$nor") else asked(a) for name, a in document.items()}
+
+
+def _shapes(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        shapes, held = [], []
+        for text in pdf["_document"]:
+            values: list = []
+            shapes.append(json.dumps(_cut(json.loads(text), values)))
+            held.append([{"int": i, "double": d, "string": t} for i, d, t in values])
+        yield pd.DataFrame({"_place": pdf["_place"], "_shape": shapes, "_values": held})
+
+
+def _filled(shape, slots: list):
+    """A shape as a document again, its slots read from columns; these are appended to ``slots``."""
+    if isinstance(shape, list):
+        return [_filled(x, slots) for x in shape]
+    if not isinstance(shape, dict):
+        return shape
+    if list(shape) == ["$slot"]:
+        kind, place = shape["$slot"]
+        slots.append(F.col("_values")[place][kind].alias(f"_slot{place}"))
+        return Slot(F.col(f"_slot{place}"), SLOTS[kind])
+    return {k: _filled(v, slots) for k, v in shape.items()}
+
+
+def _meeting(document: dict, schema: T.StructType) -> tuple[Column, Column, Column] | None:
+    """A comparison that all rows of a shape's filters meet: the field, and the least and the largest value that it can have."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType)
+    for name, asked in document.items():
+        found = None if name.startswith("$") else _field(schema, name)
+        if found is None or not isinstance(found[1], whole):
+            continue
+        asked = asked if isinstance(asked, dict) else {"$eq": asked}
+        ends = [[v.column for op in ops if isinstance(v := asked.get(op), Slot) and v.like == 0] for ops in (("$eq", "$gte", "$gt"), ("$eq", "$lte", "$lt"))]
+        if all(ends):
+            return found[0].cast("long"), ends[0][0].cast("long"), ends[1][0].cast("long")
+    return None
+
+
 def find_table(df: DataFrame, filters: DataFrame, *, key: str = "filter_id", document: str = "document") -> DataFrame:
-    """``find_all`` for a table of filters with their documents as JSON; it may have at most MOST rows."""
-    rows = filters.select(key, document).limit(MOST + 1).collect()
-    return find_all(df, [(r[key], json.loads(r[document])) for r in rows])
+    """``find_all`` for a table of filters with their documents as JSON: one join for each shape of document, of which there may be at most MOST.
+
+    Documents that differ in compared numbers and strings alone have one shape; its condition is compiled once and reads these from the filter's row.
+    Where a shape compares a whole number with bounds, rows and filters meet on ranges about as wide as the filters' own.
+    """
+    rows = filters.select(F.struct(key).alias("_place"), F.col(document).alias("_document"))
+    place = T.StructType([T.StructField("_place", rows.schema["_place"].dataType), T.StructField("_shape", T.StringType()),
+                          T.StructField("_values", T.ArrayType(T.StructType([T.StructField("int", T.IntegerType()), T.StructField("double", T.DoubleType()), T.StructField("string", T.StringType())])))])
+    held = materialize(rows.select("_place", "_document").mapInPandas(_shapes, place).select(F.col("_place")[key].alias("filter_id"), "_shape", "_values"), "filters")
+    shapes = [r["_shape"] for r in held.select("_shape").distinct().limit(MOST + 1).collect()]
+    if len(shapes) > MOST:
+        raise ValueError(f"more than {MOST} shapes of filters")
+    if not shapes:
+        return find_all(df, [])
+    parts = []
+    for shape in shapes:
+        slots: list = []
+        asked = _filled(json.loads(shape), slots)
+        own = held.filter(F.col("_shape") == shape).select("filter_id", *slots)
+        met = _meeting(asked, df.schema)
+        left = df.select(F.struct("*").alias("_row"), "*")
+        if met is None:
+            joined = left.join(own)
+        else:
+            field, low, high = met
+            width = own.agg(F.greatest(F.lit(1), F.ceil(F.avg(F.when(high >= low, high - low)))).alias("_width"))       # one row
+            own = own.filter(high >= low).join(F.broadcast(width)).withColumn("_range", F.explode(F.sequence(F.floor(low / F.col("_width")), F.floor(high / F.col("_width"))))) \
+                .withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))).drop("_width")
+            left = left.join(F.broadcast(width)).withColumn("_range", F.floor(field / F.col("_width"))).withColumn("_deal", F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int"))
+            joined = left.join(own.hint("merge"), ["_range", "_deal"])
+        parts.append(joined.filter(compile_filter(asked, df.schema)).select("filter_id", "_row.*"))
+    return reduce(DataFrame.unionByName, parts)
