@@ -2,7 +2,7 @@
 
 Each search asks for least stars, perhaps a language and a date, any of its positive terms and none of its negative ones; a term is
 met where the item's text contains it. Items and searches meet on one gram (at most three letters) of each positive
-term, the one that fewest items have; what meets is verified with the whole search. A search without positive terms
+term, the one that fewest items have; what meets is verified with the whole search where it meets, and isn't shuffled again. A search without positive terms
 meets items by its language, or by classes of stars.
 """
 
@@ -15,6 +15,7 @@ from quarry.operators.discovery import search_text
 from quarry.session import materialize
 
 GRAM = 3
+DEALT = 16                                             # items of one gram, language or class are dealt to so many tasks
 
 
 def _grams(c: Column, k: int) -> Column:
@@ -38,28 +39,34 @@ def saved_searches(items: DataFrame, searches: DataFrame, *, key: str = "url") -
     null ``min_stars`` is 0; no positive terms ask for nothing. Items without stars are found by no search.
     """
     s = materialize(searches.select("search_id", F.coalesce("min_stars", F.lit(0)).alias("min_stars"), F.lower("language").alias("want_language"),
-                                    F.col("pushed_after").cast("timestamp").alias("pushed_after"), _terms("positive").alias("positive"), _terms("negative").alias("negative")), "searches")
-    held = materialize(items.select(F.col(key).alias("_key"), search_text().alias("text"), "stars", F.lower("language").alias("language"), "updated_at").filter("stars IS NOT NULL"), "searched-items")
-    # the grams of the terms, and the items that hold them
-    terms = s.select("search_id", F.explode("positive").alias("term"))
+                                    F.col("pushed_after").cast("timestamp").alias("pushed_after"), F.array_distinct(_terms("positive")).alias("positive"), _terms("negative").alias("negative"))
+                    .filter("search_id IS NOT NULL"), "searches")
+    held = items.select(F.col(key).alias("_key"), search_text().alias("text"), "stars", F.lower("language").alias("language"), "updated_at").filter("stars IS NOT NULL AND _key IS NOT NULL")
+    held = materialize(held.withColumn("_deal", F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int")), "searched-items")
+
+    def meet(found: DataFrame, asking: DataFrame, on: str) -> DataFrame:
+        """Items and searches of one value of ``on``; an item meets the searches in one task of DEALT."""
+        return found.join(asking.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))).hint("merge"), [on, "_deal"])
+
+    # the grams of the terms, and of each term the one that fewest items hold
+    terms = s.select("*", F.posexplode("positive").alias("place", "term"))
     grams = terms.select("term").distinct().select("term", F.explode(_grams(F.col("term"), 1) if GRAM == 1 else F.when(F.length("term") < GRAM, F.array("term")).otherwise(_grams(F.col("term"), GRAM))).alias("gram"))
-    sizes = [k for k in range(1, GRAM + 1)]
-    postings = held.select("_key", F.explode(F.flatten(F.array(*[_grams(F.col("text"), k) for k in sizes]))).alias("gram")).join(grams.select("gram").distinct(), "gram", "left_semi")
-    postings = materialize(postings, "search-postings")
-    rare = grams.join(postings.groupBy("gram").agg(F.count("*").alias("n")), "gram").groupBy("term").agg(F.min_by("gram", "n").alias("gram"), F.count("*").alias("found"))
+    holds = held.select("*", F.explode(F.flatten(F.array(*[_grams(F.col("text"), k) for k in range(1, GRAM + 1)]))).alias("gram"))
+    counts = holds.select("gram").join(grams.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rare = grams.join(counts, "gram").groupBy("term").agg(F.min_by("gram", "n").alias("gram"), F.count("*").alias("found"))
     whole = grams.groupBy("term").agg(F.count("*").alias("grams"))         # a term with a gram that no item has is in none
-    rare = rare.join(whole, "term").filter("found = grams").select("term", "gram")
-    by_term = terms.join(rare, "term").join(postings, "gram").select("search_id", "_key")
+    rare = materialize(rare.join(whole, "term").filter("found = grams").select("term", "gram"), "search-grams")
+    text = F.col("text")
+    # a search finds an item by the first of its terms that the item has, so no pair comes twice
+    first = F.contains(text, F.col("term")) & ~F.exists(F.slice("positive", F.lit(1), F.col("place")), lambda t: F.contains(text, t))
+    by_term = meet(holds.join(rare.select("gram").distinct(), "gram", "left_semi"), terms.join(rare.hint("merge"), "term"), "gram").filter(first)
     bare = s.filter(F.size("positive") == 0)
-    by_language = bare.filter("want_language IS NOT NULL").select("search_id", "want_language").join(held.select("_key", "language"), F.col("want_language") == F.col("language")).select("search_id", "_key")
+    by_language = meet(held.withColumn("want_language", F.col("language")), bare.filter("want_language IS NOT NULL"), "want_language")
     most = held.agg(F.max(_star_class(F.col("stars"))).alias("most"))      # one row
     classes = bare.filter("want_language IS NULL").crossJoin(F.broadcast(most)).filter(_star_class(F.col("min_stars")) <= F.col("most")) \
-        .select("search_id", F.explode(F.sequence(_star_class(F.col("min_stars")), F.col("most"))).alias("class"))
-    by_stars = classes.join(held.select("_key", _star_class(F.col("stars")).alias("class")), "class").select("search_id", "_key")
-    met = by_term.unionByName(by_language).unionByName(by_stars).distinct()
-    full = met.join(s, "search_id").join(held, "_key")
-    text = F.col("text")
+        .withColumn("class", F.explode(F.sequence(_star_class(F.col("min_stars")), F.col("most"))))
+    by_stars = meet(held.withColumn("class", _star_class(F.col("stars"))), classes, "class")
     ok = (F.col("stars") >= F.col("min_stars")) & (F.col("want_language").isNull() | (F.col("want_language") == F.col("language"))) \
-        & (F.col("pushed_after").isNull() | (F.col("updated_at") > F.col("pushed_after"))) \
-        & ((F.size("positive") == 0) | F.exists("positive", lambda t: F.contains(text, t))) & ~F.exists("negative", lambda t: F.contains(text, t))
-    return full.filter(F.coalesce(ok, F.lit(False))).select("search_id", F.col("_key").alias(key))
+        & (F.col("pushed_after").isNull() | (F.col("updated_at") > F.col("pushed_after"))) & ~F.exists("negative", lambda t: F.contains(text, t))
+    parts = [met.filter(F.coalesce(ok, F.lit(False))).select("search_id", F.col("_key").alias(key)) for met in (by_term, by_language, by_stars)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -133,3 +133,14 @@ def test_tables_of_more_filters_than_one_pass_takes(spark):
     df = spark.createDataFrame([(i,) for i in range(50)], "n int")
     filters = spark.range(10_050).selectExpr("id AS filter_id", """concat('{"n": {"$gte": ', id % 60, ', "$lt": ', id % 60 + 2, '}}') AS document""")
     assert find_table(df, filters).count() == sum(min(i % 60 + 2, 50) - min(i % 60, 50) for i in range(10_050))
+
+
+def test_found_pairs_are_not_shuffled(spark):
+    items = spark.createDataFrame([("u1", "red bolt", None, ["Red"], 5, "Go", None), ("u1", "blue", None, None, 9, None, None), (None, "red", None, None, 9, "go", None)],
+                                  "url string, name string, description string, topics array<string>, stars int, language string, updated_at timestamp")
+    searches = spark.createDataFrame([(1, 0, None, None, ["red", "bolt", "red"], []), (2, 0, "GO", None, [], []), (3, 6, None, None, [], ["red"]), (None, 0, None, None, [], [])],
+                                     "search_id long, min_stars int, language string, pushed_after timestamp, positive array<string>, negative array<string>")
+    found = saved_searches(items, searches)
+    top = found._jdf.queryExecution().optimizedPlan().toString()
+    assert top.startswith("Union") and "Aggregate [search_id" not in top
+    assert sorted((r.search_id, r.url) for r in found.collect()) == [(1, "u1"), (2, "u1"), (3, "u1")]
