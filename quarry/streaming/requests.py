@@ -73,7 +73,8 @@ def _flow_id(spark: SparkSession, checkpoint: str) -> str:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    spark.createDataFrame([(uuid.uuid4().hex[:12],)], "value string").write.text(path)
+    # starts with a letter that no number starts with: it becomes a folder's partition value, whose type Spark infers
+    spark.createDataFrame([(f"r{uuid.uuid4().hex[:12]}",)], "value string").write.text(path)
     return spark.read.text(path).first()[0]
 
 
@@ -101,7 +102,7 @@ def start_requests(spark: SparkSession, source: str | None, summaries: DataFrame
     summaries = materialize(summaries, "request-summaries")
     prompts = None if prompts is None else materialize(prompts, "request-prompts")
     stored = stored_at(spark, sink)
-    older = None if stored is None else materialize(stored.where(F.col("flow") != flow).select("request_id"), "answered")
+    older = None if stored is None else materialize(stored.where(F.col("flow").cast("string") != flow).select("request_id"), "answered")
     if older is not None and older.isEmpty():
         older = None
 

@@ -82,3 +82,12 @@ def test_stream_sets_bad_messages_aside_and_repeats_once(spark):
     start_requests(spark, f"{base}/in", summ, sink=f"{base}/out", checkpoint=f"{base}/ck", max_files_per_trigger=1, dead_letters=f"{base}/bad").awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == 1
     assert sorted(r["value"] for r in spark.read.parquet(f"{base}/bad").collect()) == ["not json", "{}"]
+
+
+def test_a_flow_is_never_named_like_a_number(spark, tmp_path, monkeypatch):
+    from quarry.streaming import requests
+
+    monkeypatch.setattr(requests.uuid, "uuid4", lambda: type("U", (), {"hex": "12345678e901" + "0" * 20}))
+    flow = requests._flow_id(spark, str(tmp_path / "checkpoint"))
+    spark.range(1).write.parquet(str(tmp_path / f"sink/flow={flow}"))
+    assert spark.read.parquet(str(tmp_path / "sink")).first()["flow"] == flow
