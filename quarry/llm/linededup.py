@@ -9,7 +9,8 @@ Equal sets are settled by their first place: each set is posted under its own di
 the one earlier line of its words' lists that looks nearest; only lines that this leaves undecided meet all earlier ones that the
 filters allow. Besides the named filters, a sketch of word parities bounds how many words two sets can share; it drops no similar pair.
 A list of up to LONG lines is compared in its task, in pieces by size. Of a longer one a line meets HEADS earlier lines there; its
-undecided lines meet all the others in cells of bounded size.
+undecided lines meet all the others in cells of bounded size. A cell first names its lines that the filters leave a partner, then gets
+these lines' words and verifies them itself: it hands on lines, not pairs, so what is written does not grow with a group's square.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, stage, text_blocks
+from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, ragged, stage, text_blocks
 from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed
 from quarry.llm.words import PLACES, mixed, words_of
 
@@ -39,6 +40,8 @@ SHORT, PIECE = 64, 256
 LARGE = 80
 #: A cell of a longer list holds about so many lines of either side.
 CELL = 1024
+#: And not many more words than this.
+CELL_WORDS = 1 << 20
 
 
 def tagged(docs: DataFrame) -> DataFrame:
@@ -334,18 +337,52 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
 
 
 PAIR = ["x_doc", "x_place", "y_doc", "y_place"]
-PAIRS = pa.schema([(c, pa.int64()) for c in PAIR])
 
 
-def _other_pairs(lists: DataFrame, decided: DataFrame, percent: int) -> DataFrame:
-    """Each undecided line with every earlier line of its lists that may be similar. Where a list has one such line, it is known; lists with
-    several, and long ones, are dealt into cells of about CELL lines by CELL undecided lines, so that a long list has many tasks."""
+CELL_KEY = ["word", "xc", "yc"]
+CELLED_SQL = LISTED_SQL + ", asks boolean, xc long, yc long"
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """One cell after another, of batches in order of the cells; a cell is of bounded size."""
+    held = None
+    for batch in chain(batches, [None]):
+        rows = [t for t in (held, None if batch is None else pa.Table.from_batches([batch])) if t is not None]
+        if not rows:
+            continue
+        rows = pa.concat_tables(rows)
+        new = np.zeros(max(0, rows.num_rows - 1), bool)
+        for c in CELL_KEY:
+            new |= np.diff(rows.column(c).to_numpy()) != 0
+        bounds = [0, *(np.flatnonzero(new) + 1).tolist(), rows.num_rows]
+        held = rows.slice(bounds.pop(-2)) if batch is not None else None
+        if held is not None:
+            bounds[-1] -= held.num_rows
+        yield from (rows.slice(a, b - a) for a, b in pairwise(bounds) if b > a)
+
+
+def _partners(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each line of a cell that asks, with the earlier members that the filters allow."""
+    rows, asks = [cell.column(f.name).to_numpy() for f in LISTED], cell.column("asks").to_numpy()
+    doc, place, members = rows[1], rows[2], np.flatnonzero(~asks)
+    for j in np.flatnonzero(asks).tolist():
+        i = members[(doc[members] < doc[j]) | ((doc[members] == doc[j]) & (place[members] < place[j]))]
+        i = i[_may_be_similar(rows, i, np.full(len(i), j), percent)[0]]
+        if len(i):
+            yield j, i
+
+
+def _others(lists: DataFrame, decided: DataFrame, tried: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What the undecided lines are still to be verified with. Where a list has one earlier line that may be similar, it is known: pairs. Lists with several, and long ones, are
+    dealt into cells of about CELL lines by CELL undecided lines, so that a long list has many tasks: the cells' rows that may be similar to another of their cell."""
     open_ = lists.join(decided, ["doc_id", "place"], "left_anti")
-    known = open_.where("NOT long AND x_doc IS NOT NULL").select("x_doc", "x_place", F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place"))
+    known = open_.where("NOT long AND others = 0 AND x_doc IS NOT NULL").select("x_doc", "x_place", F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place"))
     asks = stage(open_.where("long OR others > 0").select(*LISTED.names), "line-asks")
     members = stage(lists.select(*LISTED.names).join(asks.select("word").distinct(), "word", "left_semi"), "line-members")
-    cells = (members.groupBy("word").agg(F.count("*").alias("n")).join(asks.groupBy("word").agg(F.count("*").alias("u")), "word")
-             .select("word", (1 + F.floor((F.col("n") - 1) / CELL)).cast("long").alias("xs"), (1 + F.floor((F.col("u") - 1) / CELL)).cast("long").alias("ys")))
+    words = F.sum(F.shiftright("filters", 32))
+    parts = lambda n, w: (1 + F.greatest(F.floor((F.col(n) - 1) / CELL), F.floor(F.col(w) / CELL_WORDS))).cast("long")
+    cells = (members.groupBy("word").agg(F.count("*").alias("n"), words.alias("nw")).join(asks.groupBy("word").agg(F.count("*").alias("u"), words.alias("uw")), "word")
+             .select("word", parts("n", "nw").alias("xs"), parts("u", "uw").alias("ys")))
     of = lambda rows: rows.join(cells, "word").withColumn("h", F.xxhash64("doc_id", "place"))
     series = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     x = of(members).withColumn("xc", F.pmod("h", "xs")).withColumn("yc", series("ys")).withColumn("asks", F.lit(False))
@@ -353,38 +390,22 @@ def _other_pairs(lists: DataFrame, decided: DataFrame, percent: int) -> DataFram
     dealt = x.select(*LISTED.names, "asks", "xc", "yc").unionByName(y.select(*LISTED.names, "asks", "xc", "yc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in chain(batches, [None]):
-            rows = held if batch is None else [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if batch is not None and held is not None:
-                rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
-            if rows is None or not len(rows[0]):
-                continue
-            new = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[7]) != 0) | (np.diff(rows[8]) != 0)) + 1
-            cut = len(rows[0]) if batch is None else int(new[-1]) if len(new) else 0
-            held = [c[cut:].copy() for c in rows]                           # a cell of bounded size
-            out, some = [], 0
-            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(rows[0])], strict=True):
-                if a >= cut:
-                    break
-                part = [c[a:b] for c in rows]
-                xs = np.flatnonzero(~part[6].astype(bool))
-                for j in np.flatnonzero(part[6].astype(bool)).tolist():
-                    i = xs[(part[1][xs] < part[1][j]) | ((part[1][xs] == part[1][j]) & (part[2][xs] < part[2][j]))]
-                    i = i[_may_be_similar(part, i, np.full(len(i), j), percent)[0]]
-                    if len(i):
-                        out.append(np.column_stack([part[1][i], part[2][i], np.full(len(i), part[1][j]), np.full(len(i), part[2][j])]))
-                        some += len(i)
-                if some > 200_000:
-                    yield as_batch(PAIRS, *np.unique(np.concatenate(out), axis=0).T)
-                    out, some = [], 0
-            if out:
-                yield as_batch(PAIRS, *np.unique(np.concatenate(out), axis=0).T)
-            if batch is None:
-                break
-
-    cell = ["word", "xc", "yc"]
-    return known.unionByName(dealt.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, ", ".join(f"{c} long" for c in PAIR))).distinct()
+        out, some = [], 0
+        for cell in _cells(batches):
+            keep = np.zeros(cell.num_rows, bool)
+            for j, i in _partners(cell, percent):
+                keep[j] = keep[i] = True
+            if keep.any():
+                out.append(cell.filter(pa.array(keep)))
+                some += out[-1].num_rows
+            if some > 10_000:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+                out, some = [], 0
+        if out:
+            yield from pa.concat_tables(out).combine_chunks().to_batches()
+
+    near = dealt.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, CELLED_SQL)
+    return stage(known.distinct().join(tried, PAIR, "left_anti"), "line-pairs"), stage(near, "line-cells")
 
 
 def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -404,10 +425,12 @@ def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
     return stage(some.mapInArrow(run, "doc_id long, place long, words binary").dropDuplicates(["doc_id", "place"]), "line-sets")
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_place").alias("place")).union(pairs.select("y_doc", "y_place"))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(doc_id, place) of the later lines of the pairs that are similar."""
-    pairs = stage(pairs, "line-pairs")
-    sets = _sets(docs, pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_place").alias("place")).union(pairs.select("y_doc", "y_place")).distinct())
     schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,6 +448,31 @@ def _similar(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return stage(both.mapInArrow(run, "doc_id long, place long").distinct(), "line-similar")
 
 
+def _similar_in_cells(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, place) of the asking lines of the cells that are similar to an earlier member; a cell's sets are compared where they meet, so no pair is written."""
+    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches):
+            words = cell.column("words").to_pylist()
+            sizes = np.array([len(w) // 8 for w in words], np.int64)
+            starts = offsets_of(sizes)[:-1]
+            known, ids = np.unique(np.frombuffer(b"".join(words), np.uint64), return_inverse=True)
+            asked, found = np.zeros(len(known), bool), []
+            for j, i in _partners(cell, percent):
+                own = ids[starts[j] : starts[j] + sizes[j]]
+                asked[own] = True
+                both = np.add.reduceat(asked[ragged(ids, starts[i], sizes[i])], offsets_of(sizes[i])[:-1], dtype=np.int64)
+                asked[own] = False
+                if (both >= overlap_needed(sizes[i], sizes[j], percent)).any():
+                    found.append(j)
+            if found:
+                yield as_batch(schema, *(cell.column(c).to_numpy()[found] for c in schema.names))
+
+    met = near.join(sets, ["doc_id", "place"]).select(*LISTED.names, "asks", "xc", "yc", "words")
+    return stage(met.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, "doc_id long, place long").distinct(), "line-similar")
+
+
 def _gone(rows: DataFrame, percent: int) -> DataFrame:
     """(doc_id, place) of the lines that go, of rows with tags."""
     docs = rows.where("doc_id IS NOT NULL")
@@ -438,9 +486,10 @@ def _gone(rows: DataFrame, percent: int) -> DataFrame:
     nearest = (lists.where("x_doc IS NOT NULL").groupBy(F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place")).agg(F.min(F.struct("apart", "x_doc", "x_place")).alias("x"))
                .join(again.select(F.col("doc_id").alias("y_doc"), F.col("place").alias("y_place")), ["y_doc", "y_place"], "left_anti"))
     tried = stage(nearest.select("x.x_doc", "x.x_place", "y_doc", "y_place"), "line-nearest")
-    decided = again.unionByName(_similar(tried, docs, percent))
-    rest = _other_pairs(lists, decided, percent).join(tried, PAIR, "left_anti")
-    return decided.unionByName(_similar(rest, docs, percent)).distinct()
+    decided = again.unionByName(_similar(tried, _sets(docs, _ends(tried)), percent))
+    known, near = _others(lists, decided, tried, percent)
+    sets = _sets(docs, _ends(known).union(near.select("doc_id", "place")))
+    return decided.unionByName(_similar(known, sets, percent)).unionByName(_similar_in_cells(near, sets, percent)).distinct()
 
 
 def repeated_lines(docs: DataFrame, percent: int = 75) -> DataFrame:

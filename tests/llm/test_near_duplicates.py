@@ -147,6 +147,25 @@ def test_repeated_lines_against_brute_force(spark, monkeypatch):
     assert dedup_lines(df.limit(0)).count() == 0 and with_lines_removed(df.limit(0)).count() == 0
 
 
+def test_a_group_of_almost_similar_lines_writes_rows_by_its_lines(spark, monkeypatch):
+    """Lines that the filters can't tell apart and that are not similar: no step writes them in pairs."""
+    n, written = 160, {}
+
+    def counted(df, name):
+        out = stage(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(linededup, "stage", counted)
+    shared = " ".join(f"s{k}" for k in range(20))
+    rows = [(k, " ".join([shared, *(f"own{k}x{m}" for m in range(4))])) for k in range(n)]          # 20 of 28 words: 0.71
+    rows += [(n + k, " ".join([shared, *(f"own{k}x{m}" for m in range(3)), "other"])) for k in range(3)]   # 23 of 25 words of one of them
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_lines(rows, {r: 0 for r in rows})
+    assert {tuple(r) for r in repeated_lines(df).collect()} == want and len(want) == 3
+    assert max(written.values()) <= 8 * n < n * n / 8, written
+
+
 def test_lists_across_batches(monkeypatch):
     """Lists that go on over several batches give the same rows as one batch; longer ones hold their lines to the heads."""
     monkeypatch.setattr(linededup, "SHORT", 6)
