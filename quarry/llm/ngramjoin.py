@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_batch, doc_text, some_documents, stage, text_blocks
+from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, some_documents, stage, text_blocks
 from quarry.llm.components import components
 from quarry.llm.words import shingles_of
 
@@ -309,14 +309,19 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     return known.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """Staged ids to join the texts with: the texts are shuffled only where these are too many for a broadcast."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """The rows of one document of each component, the one with the least doc_id, with all their columns.
 
     Of rows that share a doc_id the one with the least text stays; rows without doc_id stay.
     """
     found = stage(similar_documents(docs, size, percent).where("doc_id IS NOT NULL"), "ngram-found")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    twice = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
+    gone = _few(stage(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "ngram-gone"))
+    twice = _few(stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice")), "ngram-twice"))
     key = docs["doc_id"].cast("long")
     left = docs.join(gone, key == gone["_gone"], "left_anti")
     repeated = left.join(twice, left["doc_id"].cast("long") == twice["_twice"], "left_semi")

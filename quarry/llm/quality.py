@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import doc_text, stage
+from quarry.llm.common import BROADCAST_IDS, doc_text, stage
 
 #: White space, and the symbols that are counted.
 SPACES, SPACE_RUN = " \t\n\x0b\f\r", r"[\x20\x09-\x0D]+"
@@ -84,7 +84,9 @@ def depleted(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: floa
 
 
 def _joined(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_digest"]), "left")
+    """The documents with what ``_per_document`` found; the texts are shuffled only where that is too much for a broadcast."""
+    small = gone.agg(F.coalesce(F.sum(F.size("_places") + 4), F.lit(0))).first()[0] <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_digest"]), "left")
 
 
 def _cleaned(rows: DataFrame, docs: DataFrame) -> DataFrame:

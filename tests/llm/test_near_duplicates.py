@@ -11,7 +11,7 @@ import corpus_pipeline as cp
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
-from quarry.llm import linededup, toxicity
+from quarry.llm import linededup, ngramjoin, quality, toxicity
 from quarry.llm.common import as_batch, stage
 from quarry.llm.components import components
 from quarry.llm.linededup import dedup_lines, repeated_lines, with_lines_removed
@@ -189,6 +189,27 @@ def test_lists_across_batches(monkeypatch):
     assert {x[1] for x in run([50, 81, 90, 100, 118]) if x[-1]} == {31}
 
 
+def test_texts_meet_what_goes_without_a_shuffle(spark, monkeypatch):
+    """The pipeline's stages join the texts with ids by a broadcast, whatever Spark's own limit; beyond theirs the shuffle join gives the same rows."""
+    same = " ".join(f"w{k}" for k in range(30))
+    rows = [(k, f"often {k % 7} here\n" + " ".join(f"d{k}x{m}" for m in range(30)), "s") for k in range(120)] + [(200, same, "s"), (201, same, "s"), (201, same + " more", "s"), (None, same, None), (202, None, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for module, function in ((quality, quality.keep_good), (ngramjoin, keep_one)):
+            got = []
+            for limit, shuffled in ((1_000_000, False), (-1, True)):
+                monkeypatch.setattr(module, "BROADCAST_IDS", limit)
+                out = function(df)
+                assert ("SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()) == shuffled
+                got.append(sorted(map(tuple, out.collect()), key=str))
+            assert got[0] == got[1] and 0 < len(got[0]) < len(rows)
+            assert (module is quality) == any(t is not None and "often" not in t and t.startswith("d") for _, t, _ in got[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def through(spark, docs, sf):
     """The pipeline's stages one after another: (name, input rows, output DataFrame)."""
     for name, function in cp.STAGES:
