@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -202,3 +203,28 @@ def test_scores_and_counts(spark):
     seen = {r.doc_id: r.score / r.n_tokens for r in got}
     assert seen[7] > seen[502]
     assert lm.score(df.limit(0), P.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_head_words_leave_no_sort_to_the_driver(spark, monkeypatch):
+    """Words that come more often than some number of times, at most HEAD_WORDS; scores are the same whatever has the others' counts."""
+    words = spark.createDataFrame([(bytearray(w.encode()), n) for w, n in (("a", 9), ("b", 5), ("c", 5), ("d", 2), ("e", 1))], "word binary, n long")
+    for most, want in ((0, {}), (1, {b"a": 9}), (2, {b"a": 9}), (3, {b"a": 9, b"b": 5, b"c": 5}), (9, {b"a": 9, b"b": 5, b"c": 5, b"d": 2, b"e": 1})):
+        monkeypatch.setattr(lm, "HEAD_WORDS", most)
+        assert lm.head_words(words) == want
+    assert lm.head_words(words.limit(0)) == {}
+    docs = spark.createDataFrame([(i, f"alpha beta{i % 7} gamma{i % 3} alpha") for i in range(60)], "doc_id long, text string")
+    seen = []
+    for most in (0, 5, 1000):
+        monkeypatch.setattr(lm, "HEAD_WORDS", most)
+        seen.append({r.doc_id: (r.n_known, round(r.base_score, 9), r.score) for r in lm.score(docs, P.path("byte_bpe_50k.json")).collect()})
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_prior_takes_few_copies_of_the_pairs():
+    pairs = np.random.default_rng(5).integers(0, 3, lm.SYMBOLS**2).astype(np.float32)
+    tracemalloc.start()
+    prior = lm.prior_of(pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * pairs.nbytes                                          # the result is one copy
+    assert np.allclose(np.exp(prior["class"]).sum(axis=1), 1, atol=1e-4) and np.allclose(np.exp(prior["member"]).sum(axis=2), 1, atol=1e-4)
