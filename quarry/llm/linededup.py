@@ -16,7 +16,6 @@ these lines' words and verifies them itself: it hands on lines, not pairs, so wh
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -29,19 +28,24 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_IDS, as_batch, doc_text, offsets_of, ragged, stage, text_blocks
 from quarry.llm.ngramjoin import BLOCK_BITS, BUCKET_BITS, levels_of, may_link, overlap_needed
-from quarry.llm.words import PLACES, mixed, words_of
+from quarry.llm.words import PLACES, mixed
 
 SHIFT = np.uint64(64 - BUCKET_BITS)
 #: Lines of a list that a task compares with each other; lines of a longer list that the others are compared with there.
 LONG, HEADS = 20_000, 256
-#: Lists up to this long are compared by steps over all lists of a batch at once, longer ones in pieces.
-SHORT, PIECE = 64, 256
+#: Pairs of lines of the lists that are compared at once: SHORT times PIECE, about.
+SHORT, PIECE = 512, 512
 #: Sets of so many words have the second half of their sketch.
 LARGE = 80
 #: A cell of a longer list holds about so many lines of either side.
 CELL = 1024
 #: And not many more words than this.
 CELL_WORDS = 1 << 20
+#: Words up to so many bytes are hashed side by side.
+LONG_WORD = 64
+#: 0 for white space, 1 for what words consist of; and the lowest 0 to 8 bytes of a number.
+BLACK = bytes(int(b not in b" \t\n\x0b\x0c\r") for b in range(256))
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def tagged(docs: DataFrame) -> DataFrame:
@@ -54,37 +58,66 @@ def tagged(docs: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(several) if n <= BROADCAST_IDS else several, rows["doc_id"] == several["_id"], "left").select("doc_id", "text", F.when(F.col("_id").isNotNull(), F.col("tag")).otherwise(0).alias("tag"))
 
 
+class CutTexts:
+    """Where the words of a block of texts stand: ``owner`` and ``number`` of each line, ``words`` in each line."""
+
+    def __init__(self, texts: list):
+        parts = [(t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass")) for t in texts]
+        self.raw = b"\n".join([b"", *parts, b""]).lower()
+        black = np.frombuffer(self.raw.translate(BLACK), np.uint8)
+        edges = np.flatnonzero(black[1:] != black[:-1]) + 1                 # white space stands at both ends
+        self.starts, self.ends = edges[::2], edges[1::2]
+        breaks = np.flatnonzero(np.frombuffer(self.raw, np.uint8) == 10)
+        self.words = np.diff(np.searchsorted(self.starts, breaks))
+        lines = np.fromiter((t.count(b"\n") + 1 for t in parts), np.int64, len(parts))
+        self.owner = np.repeat(np.arange(len(parts)), lines)
+        self.number = np.arange(len(self.owner)) - np.repeat(offsets_of(lines)[:-1], lines)
+
+    def hashes(self) -> np.ndarray:
+        """Each word's hash: its length and its bytes, eight at a time; longer words than LONG_WORD one by one."""
+        eights = np.frombuffer(self.raw + bytes(16 - len(self.raw) % 8), "<u8")
+        sizes = self.ends - self.starts
+        h = sizes.astype(np.uint64) * PLACES[3]
+        some = slice(None)
+        for at in range(0, LONG_WORD, 8):
+            if at:
+                some = np.flatnonzero((sizes > at) & (sizes <= LONG_WORD))
+                if not len(some):
+                    break
+            start, left = self.starts[some] + at, np.minimum(sizes[some] - at, 8)
+            block, shift = start >> 3, (start & 7).astype(np.uint64) << np.uint64(3)
+            chunk = eights[block] >> shift | eights[block + 1] << np.uint64(1) << (np.uint64(63) - shift)
+            h[some] = mixed(mixed(h[some] ^ (chunk & LOW_BYTES[left])) * PLACES[4])
+        long = np.flatnonzero(sizes > LONG_WORD)
+        h[long] = [xxhash.xxh3_64_intdigest(self.raw[a:b]) for a, b in zip(self.starts[long].tolist(), self.ends[long].tolist(), strict=True)]
+        return h
+
+
 class Lines:
     """The lines with words of a block of texts: ``owner`` is each line's text, ``number`` its place in it; ``words`` holds the
     hashes of the lines' distinct words one after another, ``sizes`` of them each, rare ones first where levels are given."""
 
-    def __init__(self, texts: list, levels: np.ndarray | None = None, wanted: list | None = None):
-        words, counts, owner, number = [], [], [], []
-        for i, text in enumerate(texts):
-            lines = (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")
-            for k in range(len(lines)) if wanted is None else sorted(wanted[i]):
-                found = lines[k].split()
-                if found:
-                    words += found
-                    counts.append(len(found))
-                    owner.append(i)
-                    number.append(k)
-        index = dict.fromkeys(words)
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
-        order = np.argsort(h) if levels is None else np.lexsort((h, levels[(h >> SHIFT).astype(np.int64)]))
-        rank = np.empty(len(h), np.int64)
-        rank[order] = np.arange(len(h))
-        index = dict(zip(index, rank.tolist(), strict=True))
-        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        at += np.repeat(np.arange(len(counts)) << 32, counts)               # (line, rank): one sort orders and finds the distinct ones
-        at.sort()
-        keep = np.ones(len(at), bool)
-        np.not_equal(at[1:], at[:-1], out=keep[1:])
-        at = at[keep]
-        self.owner, self.number = np.array(owner, np.int64), np.array(number, np.int64)
-        self.sizes = np.bincount(at >> 32, minlength=len(counts))
+    def __init__(self, texts: list, levels: np.ndarray | None = None):
+        cut = CutTexts(texts)
+        full = np.flatnonzero(cut.words)
+        self.owner, self.number = cut.owner[full], cut.number[full]
+        h, line = cut.hashes(), np.repeat(np.arange(len(full), dtype=np.uint64), cut.words[full])
+        bits = np.uint64(max(1, len(full)).bit_length())
+        key = line << (np.uint64(64) - bits)                                # line, level, and as much of the hash as there is room for
+        if levels is not None:
+            key |= levels[(h >> SHIFT).astype(np.int64)].astype(np.uint64) << (np.uint64(56) - bits)
+            bits += np.uint64(8)
+        key |= h >> bits
+        order = np.argsort(key)
+        h, key = h[order], key[order]
+        if ((key[1:] == key[:-1]) & (h[1:] != h[:-1])).any():               # the room was too small
+            order = np.lexsort((h, key))
+            h, key = h[order], key[order]
+        keep = np.ones(len(h), bool)
+        keep[1:] = (key[1:] != key[:-1]) | (h[1:] != h[:-1])
+        self.words = h[keep]
+        self.sizes = np.bincount(line[order][keep].astype(np.int64), minlength=len(full))
         self.starts = offsets_of(self.sizes)[:-1]
-        self.words = h[order][at & 0xFFFFFFFF]
 
     def total(self, values: np.ndarray, by=np.add) -> np.ndarray:
         return by.reduceat(values, self.starts) if len(self.starts) else values
@@ -130,12 +163,9 @@ def _survey(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), False
         for _, texts in text_blocks(batches):
-            words: Counter = Counter()
-            for text in texts:
-                words.update(words_of(text))
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            np.add.at(counts, (h >> SHIFT).astype(np.int64), np.fromiter(words.values(), np.uint32, len(words)))
-            seen |= bool(words)
+            h = CutTexts(texts).hashes()
+            np.add.at(counts, (h >> SHIFT).astype(np.int64), np.uint32(1))
+            seen |= bool(len(h))
         if seen:
             blocks = np.minimum(counts, 65535).astype("<u2").reshape(-1, 1 << BLOCK_BITS)
             yield as_batch(schema, list(range(len(blocks))), [TaskContext.get().partitionId()] * len(blocks), [zlib.compress(b.tobytes(), 1) for b in blocks])
@@ -215,8 +245,12 @@ class _Nearest:
         self.rank[order] = np.cumsum(new) - 1                               # of the places; a repeated row is no other line
         self.of_rank = order[np.flatnonzero(new)]
         self.best, self.count, self.found = np.full(n, 1 << 62), np.zeros(n, np.int64), np.zeros(n, bool)
+        self.room = ((rows[3] >> 32) * ((100 - percent) / (100 + percent)) + 0.1).astype(np.float32)     # a line's part of the words by which similar sets differ
 
     def meet(self, i: np.ndarray, j: np.ndarray) -> None:
+        s1 = self.rows[4]
+        some = np.flatnonzero(np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)) <= self.room[i] + self.room[j])      # most pairs end here
+        i, j = i[some], j[some]
         ok, apart = _may_be_similar(self.rows, i, j, self.percent)
         ok &= self.rank[i] != self.rank[j]
         i, j, apart = i[ok], j[ok], apart[ok]
@@ -235,26 +269,18 @@ class _Nearest:
 def _compare_lists(rows: list, percent: int) -> _Nearest:
     """Whole lists, in order of word and size."""
     near = _Nearest(rows, percent)
-    word, size = rows[0], rows[3] >> 32
-    head = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
-    members = np.diff(head, append=len(word))
-    i = np.flatnonzero(np.repeat(members <= SHORT, members))
-    for step in range(1, SHORT):
-        i = i[i + step < len(word)]
-        i = i[(word[i] == word[i + step]) & (100 * size[i] >= percent * size[np.minimum(i + step, len(word) - 1)])]
-        if not len(i):
-            break
-        near.meet(i, i + step)
-    for start, n in zip(head[members > SHORT].tolist(), members[members > SHORT].tolist(), strict=True):
-        for at in range(start, start + n, PIECE):
-            x = np.arange(at, min(at + PIECE, start + n))
-            last = int(np.searchsorted(size[start : start + n], 100 * size[x[-1]] // percent, "right")) + start
-            for to in range(at, last, PIECE):
-                y = np.arange(to, min(to + PIECE, last))
-                i, j = (g.ravel() for g in np.meshgrid(x, y, indexing="ij"))
-                if to == at:
-                    i, j = i[i < j], j[i < j]
-                near.meet(i, j)
+    size = rows[3] >> 32
+    number = np.cumsum(np.diff(rows[0], prepend=rows[0][0] - 1) != 0)
+    last = np.searchsorted(number << 32 | size, number << 32 | 100 * size // percent, "right")      # behind the last that is not too large
+    partners = last - np.arange(len(size)) - 1
+    ends, at = np.cumsum(partners), 0
+    while at < len(size):
+        before = int(ends[at] - partners[at])
+        to = max(at + 1, int(np.searchsorted(ends, before + SHORT * PIECE, "right")))
+        n = partners[at:to]
+        i = np.repeat(np.arange(at, to), n)
+        near.meet(i, i + 1 + np.arange(len(i)) - np.repeat(ends[at:to] - n - before, n))
+        at = to
     return near
 
 
@@ -409,7 +435,7 @@ def _others(lists: DataFrame, decided: DataFrame, tried: DataFrame, percent: int
 
 
 def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(doc_id, place, words) of the lines at these places, the words' hashes in order; each line's set is made and written once."""
+    """(doc_id, place, words) of the lines at these places, each once; the words as text, which takes less room than their hashes."""
     per_row = stage(places.groupBy(F.col("doc_id").alias("_id"), F.shiftright("place", 32).cast("int").alias("_tag")).agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("wanted")), "line-wanted")
     small = per_row.agg(F.coalesce(F.sum(F.size("wanted") + 4), F.lit(0))).first()[0] <= BROADCAST_IDS
     some = docs.join(F.broadcast(per_row) if small else per_row, (docs["doc_id"] == F.col("_id")) & (docs["tag"] == F.col("_tag"))).select("doc_id", "text", "tag", "wanted")
@@ -417,10 +443,14 @@ def _sets(docs: DataFrame, places: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, chars=2_000_000):
-            lines = Lines(texts, wanted=batch.column(3).to_pylist())
-            doc, tag = (batch.column(i).to_numpy(zero_copy_only=False)[lines.owner] for i in (0, 2))
-            raw, bounds = lines.words.tobytes(), 8 * offsets_of(lines.sizes)
-            yield as_batch(schema, doc, _places(tag, lines.number), [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+            wanted = [np.sort(w) for w in batch.column(3).to_pylist()]
+            owner = np.repeat(np.arange(len(texts)), [len(w) for w in wanted])
+            doc, tag = (batch.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 2))
+            found = []
+            for text, some in zip(texts, wanted, strict=True):
+                lines = text.encode("utf-8", "surrogatepass").lower().split(b"\n")
+                found += [b" ".join(dict.fromkeys(lines[k].split())) for k in some.tolist()]
+            yield as_batch(schema, doc, _places(tag, np.concatenate(wanted)), found)
 
     return stage(some.mapInArrow(run, "doc_id long, place long, words binary").dropDuplicates(["doc_id", "place"]), "line-sets")
 
@@ -435,13 +465,16 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for k, (left, right) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = np.sort(np.concatenate([x, y]))                      # both have distinct words
-                found.append(int((both[1:] == both[:-1]).sum()) >= overlap_needed(len(x), len(y), percent))
-            found = np.array(found, bool)
-            yield as_batch(schema, *(batch.column(i).to_numpy(zero_copy_only=False)[found] for i in (0, 1)))
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            room = np.cumsum([len(x) + len(y) for x, y in zip(left, right, strict=True)]) // 2_000_000
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(room)) + 1).tolist(), batch.num_rows]):
+                some = batch.slice(a, b - a)
+                x, y = Lines(left[a:b]), Lines(right[a:b])                  # one line a row
+                found = np.zeros(some.num_rows, bool)
+                for k in range(some.num_rows):
+                    both = np.sort(np.concatenate([s.words[s.starts[k] : s.starts[k] + s.sizes[k]] for s in (x, y)]))      # both have distinct words
+                    found[k] = int((both[1:] == both[:-1]).sum()) >= overlap_needed(x.sizes[k], y.sizes[k], percent)
+                yield as_batch(schema, *(some.column(i).to_numpy(zero_copy_only=False)[found] for i in (0, 1)))
 
     side = lambda s: sets.select(F.col("doc_id").alias(f"{s}_doc"), F.col("place").alias(f"{s}_place"), F.col("words").alias(f"{s}_words"))
     both = pairs.join(side("y"), ["y_doc", "y_place"]).join(side("x"), ["x_doc", "x_place"]).select("y_doc", "y_place", "x_words", "y_words")
@@ -454,10 +487,9 @@ def _similar_in_cells(near: DataFrame, sets: DataFrame, percent: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            words = cell.column("words").to_pylist()
-            sizes = np.array([len(w) // 8 for w in words], np.int64)
-            starts = offsets_of(sizes)[:-1]
-            known, ids = np.unique(np.frombuffer(b"".join(words), np.uint64), return_inverse=True)
+            lines = Lines(cell.column("words").to_pylist())                 # one line a row
+            starts, sizes = lines.starts, lines.sizes
+            known, ids = np.unique(lines.words, return_inverse=True)
             asked, found = np.zeros(len(known), bool), []
             for j, i in _partners(cell, percent):
                 own = ids[starts[j] : starts[j] + sizes[j]]

@@ -266,3 +266,28 @@ def test_pipeline_takes_odd_rows_and_empty_tables(spark):
         assert after.count() == 0
 
 
+
+
+def test_words_are_cut_and_told_apart_as_by_split():
+    rng = random.Random(8)
+    pieces = ["a", "B", "b", "é", "中", "\u00a0", "\u2003", "\x00", "\t", " ", "  ", "\n", "\r\n", "\x0b", "\x0c", "\x1c", "q" * 9, "w" * 70, "w" * 71]
+    for _ in range(200):
+        texts = [rng.choice([None, "", "".join(rng.choice(pieces) for _ in range(rng.randint(0, 50)))]) for _ in range(rng.randint(0, 6))]
+        got, want = linededup.Lines(texts), []
+        for i, text in enumerate(texts):
+            want += [(i, k, set(line.split())) for k, line in enumerate((text or "").encode().lower().split(b"\n")) if line.split()]
+        assert [(i, k, n) for i, k, n in zip(got.owner.tolist(), got.number.tolist(), got.sizes.tolist())] == [(i, k, len(w)) for i, k, w in want]
+        hashes = {}
+        for at, (_, _, words) in zip(got.starts.tolist(), want):
+            for word in words:
+                one = linededup.Lines([word]).words
+                assert len(one) == 1 and hashes.setdefault(int(one[0]), word) == word and one[0] in got.words[at : at + len(words)]
+
+
+def test_lines_to_verify_travel_as_text(spark):
+    """A line's words take no more room than the line, and each word is written once."""
+    lines = [" ".join(f"{chr(97 + k % 26)}{j % 9}" for j in range(60)) for k in range(20)]
+    docs = spark.createDataFrame([(k, f"x\n{line.upper()}", 0) for k, line in enumerate(lines)], "doc_id long, text string, tag int")
+    got = linededup._sets(docs, docs.selectExpr("doc_id", "1L AS place")).collect()
+    assert {(r.doc_id, r.place, frozenset(bytes(r.words).split())) for r in got} == {(k, 1, frozenset(line.encode().split())) for k, line in enumerate(lines)}
+    assert all(len(r.words) <= 9 * 3 for r in got)
