@@ -152,6 +152,7 @@ def find_all(df: DataFrame, filters: Iterable[tuple[object, dict]]) -> DataFrame
 #: What a slot holds: its name, a value of its type, and its place among a filter's values.
 SLOTS = {"int": 0, "double": 0.0, "string": ""}
 DEALT = 16                                             # rows that meet on one value or range are dealt to so many tasks
+ASKED = 1000                                           # lists are cut down to what filters ask for, where that is no more strings than this
 
 
 def _cut(document: dict, values: list) -> dict:
@@ -210,23 +211,90 @@ def _meeting(document: dict, schema: T.StructType) -> tuple[Column, Column, Colu
     return None
 
 
-def find_table(df: DataFrame, filters: DataFrame, *, key: str = "filter_id", document: str = "document") -> DataFrame:
-    """``find_all`` for a table of filters with their documents as JSON: one join for each shape of document, of which there may be at most MOST.
+class Cut:
+    """A table of filters, staged as ``(filter_id, _shape, _values)``, and its shapes."""
 
-    Documents that differ in compared numbers and strings alone have one shape; its condition is compiled once and reads these from the filter's row.
-    Where a shape compares a whole number with bounds, rows and filters meet on ranges about as wide as the filters' own.
-    """
-    rows = filters.select(F.struct(key).alias("_place"), F.col(document).alias("_document"))
+    def __init__(self, held: DataFrame, shapes: list[str]):
+        self.held, self.shapes = held, shapes
+
+
+def cut_filters(filters: DataFrame, *, key: str = "filter_id", document: str = "document") -> Cut:
+    """The filters by their shapes, for ``find_table`` and ``as_asked``."""
+    rows = filters.repartition(filters.sparkSession.sparkContext.defaultParallelism).select(F.struct(key).alias("_place"), F.col(document).alias("_document"))
     place = T.StructType([T.StructField("_place", rows.schema["_place"].dataType), T.StructField("_shape", T.StringType()),
                           T.StructField("_values", T.ArrayType(T.StructType([T.StructField("int", T.IntegerType()), T.StructField("double", T.DoubleType()), T.StructField("string", T.StringType())])))])
     held = materialize(rows.select("_place", "_document").mapInPandas(_shapes, place).select(F.col("_place")[key].alias("filter_id"), "_shape", "_values"), "filters")
     shapes = [r["_shape"] for r in held.select("_shape").distinct().limit(MOST + 1).collect()]
     if len(shapes) > MOST:
         raise ValueError(f"more than {MOST} shapes of filters")
-    if not shapes:
+    return Cut(held, shapes)
+
+
+def _uses(document: dict):
+    """``(field, operator, value)`` of all that a document or a shape compares."""
+    for name, asked in document.items():
+        if name in ("$and", "$or", "$nor"):
+            for d in asked:
+                yield from _uses(d)
+        elif isinstance(asked, dict) and any(k.startswith("$") for k in asked) and list(asked) != ["$slot"]:
+            for op, value in asked.items():
+                yield from _uses({name: value}) if op == "$not" else [(name, op, value)]
+        else:
+            yield name, "$eq", asked
+
+
+def as_asked(df: DataFrame, filters: Cut) -> list[Column]:
+    """The columns that the filters read, as far as they read them: rows that agree in these are asked for by the same filters.
+
+    A string or number that is only compared with null tells whether there is one, and a list that is only searched for strings keeps
+    those that some filter asks for (where these are at most ASKED).
+    """
+    uses: dict[str, list] = {}
+    for shape in filters.shapes:
+        for path, op, value in _uses(json.loads(shape)):
+            name = path.split(".")[0]
+            if name in df.columns:
+                uses.setdefault(name, []).append((shape, path, op, value))
+
+    def slots(op, value):
+        """The places of the slots of a search for strings, or None where the condition is another one."""
+        found = value if op in ("$in", "$nin") else [value] if op in ("$eq", "$ne") else [None]
+        return [v["$slot"] for v in found] if all(isinstance(v, dict) and list(v) == ["$slot"] for v in found) else None
+
+    searched = {name: [(shape, place) for shape, _, op, value in of for _, place in slots(op, value)] for name, of in uses.items()
+                if df.schema[name].dataType in (T.ArrayType(T.StringType()), T.ArrayType(T.StringType(), False)) and all(path == name and slots(op, value) is not None for _, path, op, value in of)}
+    wanted: dict[str, list] = {name: [] for name in searched}
+    if any(searched.values()):
+        places = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(shape).alias("_shape"), F.lit(place).alias("place")) for name, of in searched.items() for shape, place in of])
+        places = df.sparkSession.range(1).select(F.inline(places))
+        values = filters.held.select("_shape", F.posexplode("_values").alias("place", "value")).join(F.broadcast(places), ["_shape", "place"]).select("name", "value.string").distinct()
+        for row in values.filter("string IS NOT NULL").limit(ASKED + 1).collect():
+            wanted[row["name"]].append(row["string"])
+    few = sum(map(len, wanted.values())) <= ASKED
+    out = []
+    for name, of in uses.items():
+        column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        if isinstance(kind, (T.StringType, *NUMBERS)) and all(path == name and (op == "$exists" or op in ("$eq", "$ne") and value is None) for _, path, op, value in of):
+            column = F.when(column.isNotNull(), F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind))
+        elif name in searched and few:
+            column = F.array_sort(F.array_intersect(column, F.array(*map(F.lit, sorted(wanted[name]))).cast(kind)))
+        out.append(column.alias(name))
+    return out
+
+
+def find_table(df: DataFrame, filters: DataFrame | Cut, *, key: str = "filter_id", document: str = "document", few: bool = False) -> DataFrame:
+    """``find_all`` for a table of filters with their documents as JSON: one join for each shape of document, of which there may be at most MOST.
+
+    Documents that differ in compared numbers and strings alone have one shape; its condition is compiled once and reads these from the filter's row.
+    Where a shape compares a whole number with bounds, rows and filters meet on ranges about as wide as the filters' own; the rows are dealt
+    to tasks and the filters of their range go to each, or the other way where rows are ``few``.
+    """
+    filters = filters if isinstance(filters, Cut) else cut_filters(filters, key=key, document=document)
+    held = filters.held
+    if not filters.shapes:
         return find_all(df, [])
     parts = []
-    for shape in shapes:
+    for shape in filters.shapes:
         slots: list = []
         asked = _filled(json.loads(shape), slots)
         own = held.filter(F.col("_shape") == shape).select("filter_id", *slots)
@@ -237,9 +305,10 @@ def find_table(df: DataFrame, filters: DataFrame, *, key: str = "filter_id", doc
         else:
             field, low, high = met
             width = own.agg(F.greatest(F.lit(1), F.ceil(F.avg(F.when(high >= low, high - low)))).alias("_width"))       # one row
-            own = own.filter(high >= low).join(F.broadcast(width)).withColumn("_range", F.explode(F.sequence(F.floor(low / F.col("_width")), F.floor(high / F.col("_width"))))) \
-                .withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))).drop("_width")
-            left = left.join(F.broadcast(width)).withColumn("_range", F.floor(field / F.col("_width"))).withColumn("_deal", F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int"))
+            own = own.filter(high >= low).join(F.broadcast(width)).withColumn("_range", F.explode(F.sequence(F.floor(low / F.col("_width")), F.floor(high / F.col("_width"))))).drop("_width")
+            left = left.join(F.broadcast(width)).withColumn("_range", F.floor(field / F.col("_width")))
+            to_all, to_one = F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))), F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int")
+            own, left = own.withColumn("_deal", to_one if few else to_all), left.withColumn("_deal", to_all if few else to_one)
             joined = left.join(own.hint("merge"), ["_range", "_deal"])
         parts.append(joined.filter(compile_filter(asked, df.schema)).select("filter_id", "_row.*"))
     return reduce(DataFrame.unionByName, parts)
